@@ -41,7 +41,10 @@ class Rule:
     output: str = "rows"       # rows | alerts
     user_col: str | None = None  # output column with the acting user (reports)
 
-    def run(self, tables, earliest=None, latest=None, sort: bool = True, **params) -> DataFrame:
+    def run(self, tables, earliest=None, latest=None, sort: bool = True,
+            output: str | None = None, **params) -> DataFrame:
+        """Findings of this rule in [earliest, latest]; ``output='rows'``
+        skips the alert wrapping of alert-type rules."""
         p = {**self.defaults, **params}
         if self.stateless is not None:
             df = self._run_stateless(tables, earliest, latest, **p)
@@ -49,7 +52,7 @@ class Rule:
                 df = df.orderBy(F.col(self.stateless.sort_col).desc())
         else:
             df = self.build(tables, earliest, latest, **p)
-        if self.output == "alerts":
+        if (output or self.output) == "alerts":
             from .alerts import to_alerts
             df = to_alerts(df)
         return df
