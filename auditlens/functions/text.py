@@ -49,3 +49,12 @@ def _flatten(c: Column, name: str, dt: T.DataType) -> list[Column]:
             cols.extend(_flatten(c.getField(sf.name), f"{name}_{sf.name}", sf.dataType))
         return cols
     return [c.alias(name)]
+
+
+JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def json_text(c: Column) -> Column:
+    """``to_json`` keeping microseconds (the default format keeps milliseconds)."""
+    return F.to_json(c, JSON_OPTIONS)

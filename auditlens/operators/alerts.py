@@ -24,8 +24,8 @@ ALERTS_SCHEMA = T.StructType([
 def to_alerts(df: DataFrame, time_col: str = "EVENT_DATE", user_col: str = "SRC_USER",
               type_col: str = "ACTION", ip_col: str = "SRC_IP") -> DataFrame:
     """Needs EVENT_DATE, SRC_USER, ACTION and SRC_IP (names configurable)."""
-    from ..functions.text import map_text
-    payload = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    from ..functions.text import json_text, map_text
+    payload = json_text(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
     # Stable id: payload text with maps in sorted-key form.
     canon = F.to_json(F.struct(*[
         (map_text(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.MapType)
