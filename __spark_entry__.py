@@ -8,15 +8,29 @@ Each key has an equivalent DuckDB query in ``oracle_sql`` unless noted.
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from auditlens import oracle as O
 from auditlens.functions.text import flatten_for_compare
+from auditlens.functions.ip import is_public_ip
+from auditlens.operators import reports as R
 from auditlens.operators.catalog import get_rule
+from auditlens.operators.enrich import asn_enrich, geo_enrich
+from auditlens.operators.rules_stateless import STATELESS_AUDIT_IDS
+from auditlens.plans.evaluate import evaluate, run_summary
+from auditlens.plans.runner import run_rules
+from auditlens.plans.single_scan import single_scan
+from auditlens.plans.threat_models import THREAT_MODELS, run_threat_model
+from auditlens.session import checkpoint_dir
 from auditlens.sources import load_test_tables
+from auditlens.sources import projection as PR
+from auditlens.streaming.rules_stream import start_findings_stream, stream_events_audit
 
 SF_SMOKE = "/root/testdata/sf0.001"
 ALL = O.WINDOW_ALL
@@ -79,6 +93,144 @@ def _rule_oracle(rule_id: str, window, params: dict) -> str:
     return fn(lo, hi, **params)
 
 
+# --- findings, enrichment, reports, threat models, pipeline, stream --------
+BILLING_WINDOW = ("1995-01-01 00:00:00", "2002-01-01 00:00:00")
+THREAT_NOW = _dt.datetime(2024, 1, 31)
+ALL_RULE_IDS = [r for r in ["D01", "D02", "D03", "D04", "D05", "D06", "D07", "D08", "D09",
+                            "D10", "D11", "D12", "D13", "D13b", "D14", "D15", "D16", "D17",
+                            "D18", "D19", "D20", "D21", "D22", "D23", "D24", "D25", "D26",
+                            "D27", "D28", "D29", "D30", "D31", "D32"]]
+
+
+def _all_windows():
+    return {rid: ALL for rid in ALL_RULE_IDS}
+
+
+def q_single_scan(spark, sf_dir):
+    t = load_test_tables(spark, sf_dir)
+    return single_scan(t, *ALL).select("rule_id", "severity", "event_ts", "event_date",
+                                       "dedupe_key")
+
+
+def q_all_findings(spark, sf_dir):
+    t = load_test_tables(spark, sf_dir)
+    rules = [get_rule(r) for r in ALL_RULE_IDS]
+    return evaluate(t, rules, _all_windows()).drop("payload_json")
+
+
+def q_run_summary(spark, sf_dir):
+    t = load_test_tables(spark, sf_dir)
+    rules = [get_rule(r) for r in ALL_RULE_IDS]
+    return run_summary(evaluate(t, rules, _all_windows()), rules)
+
+
+def q_threat_models(spark, sf_dir):
+    t = load_test_tables(spark, sf_dir)
+    out = None
+    for name in THREAT_MODELS:
+        _, summary = run_threat_model(t, name, days=30, hours=24, now=THREAT_NOW)
+        out = summary if out is None else out.unionByName(summary)
+    return out
+
+
+def _threat_windows():
+    res = {}
+    for m, ids in THREAT_MODELS.items():
+        rws = []
+        for rid in ids:
+            span = (_dt.timedelta(hours=24) if get_rule(rid).group == "binary"
+                    else _dt.timedelta(days=30))
+            rws.append((rid, str(THREAT_NOW - span), str(THREAT_NOW)))
+        res[m] = rws
+    return res
+
+
+def q_public_ip(spark, sf_dir):
+    t = load_test_tables(spark, sf_dir)
+    return (t.audit.groupBy("source_ip_address").agg(F.count(F.lit(1)).alias("events"))
+            .withColumn("is_public", is_public_ip(F.col("source_ip_address"))))
+
+
+def q_geo(spark, sf_dir):
+    t = load_test_tables(spark, sf_dir)
+    return flatten_for_compare(geo_enrich(t.audit.select("event_id", "source_ip_address"),
+                                          "source_ip_address", t.ip_geo, out="geo"))
+
+
+def q_asn(spark, sf_dir):
+    t = load_test_tables(spark, sf_dir)
+    return flatten_for_compare(asn_enrich(t.audit.select("event_id", "source_ip_address"),
+                                          "source_ip_address", t.ip_asn, out="asn"))
+
+
+def _report(fn, window):
+    def q(spark, sf_dir):
+        return fn(load_test_tables(spark, sf_dir), *window)
+    return q
+
+
+def q_alerts(spark, sf_dir):
+    t = load_test_tables(spark, sf_dir)
+    return get_rule("D24").run(t, *ALL)
+
+
+def q_pipeline_idempotent(spark, sf_dir):
+    """Run every rule twice into a fresh findings root; the second run adds nothing."""
+    t = load_test_tables(spark, sf_dir)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/auditlens-findings-{uuid.uuid4().hex}"
+    for _ in range(2):
+        run_rules(t, root, *ALL, rule_ids=ALL_RULE_IDS)
+    return spark.read.parquet(f"{root}/unified").select(
+        "rule_id", "severity", "event_ts", "event_date", "dedupe_key")
+
+
+def q_stream(spark, sf_dir):
+    """Stateless rules over a file stream of events, merged per micro-batch."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/auditlens-stream-{uuid.uuid4().hex}"
+    audit = stream_events_audit(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    start_findings_stream(audit, root, *ALL, checkpoint=f"{root}/_checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/unified").select(
+        "rule_id", "severity", "event_ts", "event_date", "dedupe_key")
+
+
+OTHER_QUERIES = {
+    "f07_single_scan_stateless_rules": q_single_scan,
+    "f04_findings_all_rules": q_all_findings,
+    "r06_run_summary_all_rules": q_run_summary,
+    "t02_threat_model_summaries": q_threat_models,
+    "e01_is_public_ip": q_public_ip,
+    "e04_geo_enrich": q_geo,
+    "e05_asn_enrich": q_asn,
+    "r01_ip_usage_per_user": _report(R.ip_usage, ALL),
+    "r02_token_usage_per_user": _report(R.token_usage, ALL),
+    "r03_api_actions_per_user": _report(R.api_actions, ALL),
+    "r04_billing_usage_per_user": _report(R.billing_usage, BILLING_WINDOW),
+    "a01_alerts_sso_config_changed": q_alerts,
+    "f05_merge_unified_twice": q_pipeline_idempotent,
+    "s01_stream_stateless_rules": q_stream,
+}
+
+
+def _other_oracles() -> dict[str, str]:
+    all_rw = [(rid, *ALL) for rid in ALL_RULE_IDS]
+    stateless_rw = [(rid, *ALL) for rid in STATELESS_AUDIT_IDS]
+    return {
+        "f07_single_scan_stateless_rules": O.findings_union_sql(stateless_rw),
+        "f04_findings_all_rules": O.findings_union_sql(all_rw),
+        "r06_run_summary_all_rules": O.run_summary_sql(all_rw),
+        "t02_threat_model_summaries": O.threat_models_sql(_threat_windows()),
+        "e01_is_public_ip": O.public_ip_sql(),
+        "e04_geo_enrich": O.enrich_sql("ip_geo", PR.GEO_FIELDS, "geo"),
+        "e05_asn_enrich": O.enrich_sql("ip_asn", PR.ASN_FIELDS, "asn"),
+        "r01_ip_usage_per_user": O.ip_usage_sql(*ALL),
+        "r02_token_usage_per_user": O.token_usage_sql(*ALL),
+        "r03_api_actions_per_user": O.api_actions_sql(*ALL),
+        "r04_billing_usage_per_user": O.billing_usage_sql(*BILLING_WINDOW),
+        "f05_merge_unified_twice": O.findings_union_sql(all_rw, distinct=True),
+        "s01_stream_stateless_rules": O.findings_union_sql(stateless_rw, distinct=True),
+    }
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: D12 device switches on the sf0.001 tables."""
     return queries()["d12_multi_device"](spark, SF_SMOKE)
@@ -88,6 +240,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for key, (rid, window, params) in RULE_QUERIES.items():
         out[key] = partial(_rule_query, rid, window, params)
+    out.update(OTHER_QUERIES)
     return out
 
 
@@ -95,4 +248,5 @@ def oracle_sql() -> dict[str, str]:
     out = {}
     for key, (rid, window, params) in RULE_QUERIES.items():
         out[key] = _rule_oracle(rid, window, params)
+    out.update(_other_oracles())
     return out

@@ -5,7 +5,8 @@ insert-only merging into parquet tables.
 * F02 ``dedupe_key``: SHA-256 of ``concat_ws('||', ...)`` over the payload
   leaves sorted by name, each cast to text with NULL -> ''. Maps become
   sorted ``k=v;...`` text, arrays sorted text, structs one leaf per field,
-  so the key does not depend on entry order. (NULL and '' collide, as do
+  floating values fixed-point text with 9 decimals, so the key depends
+  neither on entry order nor on the engine's number formatting. (NULL and '' collide, as do
   values containing '||'; documented.)
 * F03/F05 ``insert_new``: rows whose key is new are appended; duplicates
   inside the batch are dropped too. MERGE needs a table format parquet lacks,
@@ -50,9 +51,17 @@ def _leaf(name: str, c: Column, dt: T.DataType) -> list[tuple[str, Column]]:
         return [(name, map_text(c))]
     if isinstance(dt, T.ArrayType):
         return [(name, array_text(c.cast(T.ArrayType(T.StringType()))))]
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        return [(name, float_text(c))]
     return [(name, c.cast("string"))]
 
 
+def float_text(c: Column) -> Column:
+    """Engine-neutral text of a floating value: fixed point, 9 decimals
+    (plain float text switches to exponent notation differently per engine)."""
+    return F.coalesce(c.try_cast(T.DecimalType(38, 9)).cast("string"), c.cast("string"))
+
+
 def key_of(named: list[tuple[str, Column]]) -> Column:
     parts = [F.coalesce(c, F.lit("")) for _, c in sorted(named, key=lambda x: x[0])]
     return F.sha2(F.concat_ws("||", *parts), 256)

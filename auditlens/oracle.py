@@ -235,26 +235,48 @@ def stateless_columns(rid: str) -> list[str]:
 # ---------------------------------------------------------------------------
 # Stateful rules
 # ---------------------------------------------------------------------------
+def _Parts(*ctes: str) -> list[str]:
+    return list(ctes)
+
+
+def _with_parts(fn):
+    """``fn`` returns (ctes, select). The wrapped function returns the full
+    query; ``.body`` returns it without the shared prefix, for nesting as a
+    subquery under one prefix."""
+    def full(*a, **k):
+        ctes, sel = fn(*a, **k)
+        return prefix(*ctes) + sel
+
+    def body(*a, **k):
+        ctes, sel = fn(*a, **k)
+        return "WITH " + ",\n".join(ctes) + "\n" + sel
+
+    full.body = body
+    return full
+
+
 def _login_filter(agents: list[str]) -> str:
     return (f"{ACC} AND action_name IN {_in(P.LOGIN_ACTIONS)}"
             f" AND {_nrx('source_ip_address', P.PRIVATE_IP_REGEX)}"
             f" AND {_nrx('user_agent', '|'.join(agents))}")
 
 
+@_with_parts
 def d11_sql(lo, hi, threshold_seconds=600, threshold_value=2) -> str:
-    return prefix(
+    return _Parts(
         f"logins AS (SELECT email, event_time, source_ip_address, {EPOCH} AS ts FROM audit"
         f" WHERE {win(lo, hi)} AND {_login_filter(P.LOGIN_BURST_AGENTS)} AND email IS NOT NULL)",
         "counted AS (SELECT *, count(*) OVER (PARTITION BY email ORDER BY ts RANGE BETWEEN "
         f"{threshold_seconds} PRECEDING AND CURRENT ROW) AS login_count FROM logins)"
-    ) + ("SELECT email, CAST(count(*) AS INTEGER) AS total_logins,"
+    ), ("SELECT email, CAST(count(*) AS INTEGER) AS total_logins,"
          " count(DISTINCT source_ip_address) AS unique_ips, min(event_time) AS first_seen,"
          " max(event_time) AS last_seen, CAST(max(login_count) AS INTEGER) AS max_login_count"
          f" FROM counted GROUP BY email HAVING max(login_count) >= {threshold_value}")
 
 
+@_with_parts
 def d12_sql(lo, hi, threshold_secs=600) -> str:
-    return prefix(
+    return _Parts(
         f"l AS (SELECT event_time, email, session_id, source_ip_address, user_agent, audit_level,"
         f" event_id, {EPOCH} AS ts FROM audit WHERE {win(lo, hi)}"
         f" AND {_login_filter(P.DEVICE_SWITCH_AGENTS)} AND session_id IS NOT NULL)",
@@ -266,7 +288,7 @@ def d12_sql(lo, hi, threshold_secs=600) -> str:
         " CASE WHEN previous_ip <> source_ip_address AND previous_agent <> user_agent"
         " THEN 'Different IP & User-Agent' WHEN previous_ip <> source_ip_address THEN 'Different IP'"
         " WHEN previous_agent <> user_agent THEN 'Different User-Agent' END AS trigger_reason FROM g)"
-    ) + ("SELECT event_time, email, session_id, source_ip_address, user_agent, audit_level,"
+    ), ("SELECT event_time, email, session_id, source_ip_address, user_agent, audit_level,"
          " previous_ip, previous_agent, previous_time, time_diff_seconds, trigger_reason FROM r"
          " WHERE previous_ip IS NOT NULL AND trigger_reason IS NOT NULL"
          f" AND time_diff_seconds < {threshold_secs}")
@@ -276,9 +298,10 @@ def _sorted_set(col: str) -> str:
     return (f"array_to_string(list_sort(list(DISTINCT {col}) FILTER (WHERE {col} IS NOT NULL)), ',')")
 
 
+@_with_parts
 def d13_sql(lo, hi, corrected: bool = False) -> str:
     keys = "session_id, email" if corrected else "source_ip_address, email, audit_level"
-    return prefix(
+    return _Parts(
         f"s AS (SELECT event_time, session_id, email, source_ip_address, user_agent, audit_level"
         f" FROM audit WHERE {win(lo, hi)} AND session_id IS NOT NULL"
         f" AND {_nrx('source_ip_address', P.PRIVATE_IP_REGEX)}"
@@ -291,7 +314,7 @@ def d13_sql(lo, hi, corrected: bool = False) -> str:
         " CAST((CAST(floor(epoch(max(event_time))) AS BIGINT)"
         " - CAST(floor(epoch(min(event_time))) AS BIGINT)) / 3600.0 AS FLOAT) AS session_duration_hours"
         f" FROM s GROUP BY {keys})"
-    ) + (f"SELECT {keys}, ip_count, agent_count, source_ip_address_list, user_agent_list,"
+    ), (f"SELECT {keys}, ip_count, agent_count, source_ip_address_list, user_agent_list,"
          " first_seen, last_seen, session_duration_hours FROM g"
          " WHERE (ip_count > 1 OR agent_count > 1) AND session_duration_hours <= 24")
 
@@ -334,12 +357,13 @@ def lookup_cte(name: str, addr_sql: str, ranges: str, fields: list[str]) -> str:
             + f" FROM {name}_m)")
 
 
+@_with_parts
 def d14_sql(lo, hi, threshold=0.5) -> str:
     strip = r"regexp_replace(source_ip_address, '^(\d+\.\d+\.\d+\.\d+):\d+$', '\1')"
     first = ("struct_pack(user_agent := user_agent, token_owner := email, service_name := service_name,"
              " action_name := action_name, account_id := account_id, workspace_id := workspace_id,"
              " request_params := request_params_text, authenticated := authenticated)")
-    return prefix(
+    return _Parts(
         f"t AS (SELECT p_tokenId AS tokenId, {strip} AS ip, event_time, event_id, action_name,"
         " user_agent, email, service_name, account_id, workspace_id, request_params_text,"
         " (source_ip_address IS NOT NULL AND source_ip_address <> '') AS authenticated"
@@ -360,30 +384,175 @@ def d14_sql(lo, hi, threshold=0.5) -> str:
         + ", f.authenticated AS authenticated, geo_latitude AS lat, geo_longitude AS lon FROM j"
         " WHERE f.token_owner IS NOT NULL)",
         "a AS (SELECT *, avg(ACTIONS) OVER (PARTITION BY token_owner) AS AVG_ACTIONS FROM o)"
-    ) + f"SELECT *, round(ACTIONS / AVG_ACTIONS, 2) AS RATE FROM a WHERE round(ACTIONS / AVG_ACTIONS, 2) <= {threshold}"
+    ), f"SELECT *, round(ACTIONS / AVG_ACTIONS, 2) AS RATE FROM a WHERE round(ACTIONS / AVG_ACTIONS, 2) <= {threshold}"
 
 
+@_with_parts
 def d31_sql(lo, hi, threshold=1.5) -> str:
-    return prefix(
+    return _Parts(
         "d AS (SELECT executed_as, CAST(start_time AS DATE) AS activity_date,"
         " count(DISTINCT statement_text) AS unique_admin_queries FROM history"
         f" WHERE {win(lo, hi, 'start_time')} AND regexp_matches(upper(statement_text),"
         r" '^\s*(GRANT|REVOKE|ALTER|DROP|CREATE)\b') GROUP BY executed_as, CAST(start_time AS DATE))",
         "a AS (SELECT *, avg(unique_admin_queries) OVER (PARTITION BY executed_as)"
         " AS avg_daily_admin_queries FROM d)"
-    ) + ("SELECT executed_as, activity_date, unique_admin_queries, avg_daily_admin_queries,"
+    ), ("SELECT executed_as, activity_date, unique_admin_queries, avg_daily_admin_queries,"
          " round(unique_admin_queries / avg_daily_admin_queries, 2) AS spike_ratio FROM a"
          f" WHERE round(unique_admin_queries / avg_daily_admin_queries, 2) >= {threshold}")
 
 
+@_with_parts
 def d32_sql(lo, hi, threshold_seconds=3600, threshold_value=3) -> str:
-    return prefix(
+    return _Parts(
         f"r AS (SELECT email, event_time, source_ip_address, {EPOCH} AS ts FROM audit"
         f" WHERE {win(lo, hi)} AND service_name = 'secrets'"
         " AND action_name IN ('getSecret', 'listSecrets', 'listScopes') AND email IS NOT NULL)",
         "c AS (SELECT *, count(*) OVER (PARTITION BY email ORDER BY ts RANGE BETWEEN "
         f"{threshold_seconds} PRECEDING AND CURRENT ROW) AS reads_in_window FROM r)"
-    ) + ("SELECT email, count(*) AS total_reads, count(DISTINCT source_ip_address) AS unique_ips,"
+    ), ("SELECT email, count(*) AS total_reads, count(DISTINCT source_ip_address) AS unique_ips,"
          " min(event_time) AS first_seen, max(event_time) AS last_seen,"
          " max(reads_in_window) AS max_reads_in_window FROM c GROUP BY email"
          f" HAVING max(reads_in_window) >= {threshold_value}")
+
+
+# ---------------------------------------------------------------------------
+# Findings: de-duplication key over the sorted payload leaves
+# ---------------------------------------------------------------------------
+STATEFUL_LEAVES: dict[str, list[str]] = {
+    "D11": ["email", "total_logins", "unique_ips", "first_seen", "last_seen", "max_login_count"],
+    "D12": ["event_time", "email", "session_id", "source_ip_address", "user_agent", "audit_level",
+            "previous_ip", "previous_agent", "previous_time", "time_diff_seconds",
+            "trigger_reason"],
+    "D13": ["source_ip_address", "email", "audit_level", "ip_count", "agent_count",
+            "source_ip_address_list", "user_agent_list", "first_seen", "last_seen",
+            "session_duration_hours"],
+    "D13b": ["session_id", "email", "ip_count", "agent_count", "source_ip_address_list",
+             "user_agent_list", "first_seen", "last_seen", "session_duration_hours"],
+    "D14": ["token_owner", "tokenId", "source_ip_address", "min_event_time", "latest_event_time",
+            "user_agent", "ACTIONS", "service_name", "action_name", "account_id", "workspace_id",
+            "request_params"] + [f"geo_{f}" for f in PR.GEO_FIELDS]
+           + ["authenticated", "lat", "lon", "AVG_ACTIONS", "RATE"],
+    "D31": ["executed_as", "activity_date", "unique_admin_queries", "avg_daily_admin_queries",
+            "spike_ratio"],
+    "D32": ["email", "total_reads", "unique_ips", "first_seen", "last_seen",
+            "max_reads_in_window"],
+}
+_STATEFUL_SQL = {"D11": d11_sql, "D12": d12_sql, "D13": d13_sql,
+                 "D13b": None, "D14": d14_sql, "D31": d31_sql, "D32": d32_sql}
+
+
+FLOAT_LEAVES = {"TOKEN_LIFETIME_DAYS", "session_duration_hours", "geo_latitude", "geo_longitude",
+                "lat", "lon", "AVG_ACTIONS", "RATE", "avg_daily_admin_queries", "spike_ratio"}
+
+
+def _leaf_text(n: str) -> str:
+    if n in FLOAT_LEAVES:
+        return f"CAST(CAST(\"{n}\" AS DECIMAL(38, 9)) AS VARCHAR)"
+    return f"CAST(\"{n}\" AS VARCHAR)"
+
+
+def dedupe_sql(names: list[str]) -> str:
+    parts = ", ".join(f"coalesce({_leaf_text(n)}, '')" for n in sorted(names))
+    return f"sha256(concat_ws('||', {parts}))"
+
+
+def rule_body(rid: str, lo: str, hi: str, **params) -> tuple[str, list[str]]:
+    """(query without the shared prefix, output column names)."""
+    if rid in STATELESS or rid == "D08":
+        return stateless_body(rid, lo, hi), stateless_columns(rid)
+    if rid == "D13b":
+        return d13_sql.body(lo, hi, corrected=True), STATEFUL_LEAVES[rid]
+    return _STATEFUL_SQL[rid].body(lo, hi, **params), STATEFUL_LEAVES[rid]
+
+
+def finding_sql(rid: str, lo: str, hi: str, extra: str = "", **params) -> str:
+    """rule_id, severity, event_ts, event_date, dedupe_key (+ extra) of one rule."""
+    from .operators.catalog import catalog
+    rule = catalog()[rid]
+    body, names = rule_body(rid, lo, hi, **params)
+    tc = rule.time_col
+    return (f"SELECT '{rid}' AS rule_id, '{rule.severity}' AS severity,"
+            f" CAST(\"{tc}\" AS TIMESTAMP) AS event_ts, CAST(\"{tc}\" AS DATE) AS event_date,"
+            f" {dedupe_sql(names)} AS dedupe_key{extra} FROM ({body}) t")
+
+
+def findings_union_sql(rule_windows: list[tuple[str, str, str]], distinct: bool = False) -> str:
+    body = "\nUNION ALL\n".join(finding_sql(rid, lo, hi) for rid, lo, hi in rule_windows)
+    if distinct:
+        body = f"SELECT DISTINCT * FROM ({body}) u"
+    return prefix() + body
+
+
+def run_summary_sql(rule_windows: list[tuple[str, str, str]]) -> str:
+    from .operators.catalog import catalog
+    cat = catalog()
+    union = "\nUNION ALL\n".join(finding_sql(rid, lo, hi) for rid, lo, hi in rule_windows)
+    dim = ", ".join(f"('{rid}', '{cat[rid].name}', '{cat[rid].group}')"
+                    for rid, _, _ in rule_windows)
+    return prefix(f"f AS ({union})", f"dim(rule_id, name, rule_group) AS (VALUES {dim})") + (
+        "SELECT d.rule_id, d.name, d.rule_group, CAST(coalesce(c.n, 0) AS BIGINT) AS findings,"
+        " coalesce(c.n, 0) > 0 AS triggered FROM dim d"
+        " LEFT JOIN (SELECT rule_id, count(*) AS n FROM f GROUP BY rule_id) c USING (rule_id)")
+
+
+def threat_models_sql(models: dict[str, list[tuple[str, str, str]]]) -> str:
+    from .operators.catalog import catalog
+    cat = catalog()
+    union = "\nUNION ALL\n".join(finding_sql(rid, lo, hi, extra=f", '{m}' AS threat_model")
+                                 for m, rws in models.items() for rid, lo, hi in rws)
+    dim = ", ".join(f"('{m}', '{rid}', '{cat[rid].name}', '{cat[rid].group}')"
+                    for m, rws in models.items() for rid, _, _ in rws)
+    return prefix(f"f AS ({union})",
+                  f"dim(threat_model, rule_id, name, rule_group) AS (VALUES {dim})") + (
+        "SELECT d.rule_id, d.name, d.rule_group, CAST(coalesce(c.n, 0) AS BIGINT) AS findings,"
+        " coalesce(c.n, 0) > 0 AS triggered, d.threat_model FROM dim d LEFT JOIN"
+        " (SELECT threat_model, rule_id, count(*) AS n FROM f GROUP BY threat_model, rule_id) c"
+        " USING (threat_model, rule_id)")
+
+
+# ---------------------------------------------------------------------------
+# Enrichment and reports
+# ---------------------------------------------------------------------------
+def public_ip_sql() -> str:
+    return prefix() + (f"SELECT source_ip_address, count(*) AS events,"
+                       f" {is_public('source_ip_address')} AS is_public FROM audit"
+                       " GROUP BY source_ip_address")
+
+
+def enrich_sql(ranges: str, fields: list[str], out: str) -> str:
+    look = lookup_cte("lk", "SELECT source_ip_address AS ip FROM audit", ranges, fields)
+    cols = ", ".join(f"CASE WHEN {skip_lookup('a.source_ip_address')} THEN NULL ELSE lk.{f} END"
+                     f" AS {out}_{f}" for f in fields)
+    return prefix(look) + (f"SELECT a.event_id, a.source_ip_address, {cols} FROM audit a"
+                           " LEFT JOIN lk ON a.source_ip_address = lk.ip")
+
+
+def ip_usage_sql(lo, hi) -> str:
+    return prefix() + ("SELECT email, source_ip_address, min(event_time) AS earliest,"
+                       " max(event_time) AS latest, count(*) AS total_events,"
+                       " count(DISTINCT service_name || action_name) AS num_unique_actions"
+                       f" FROM audit WHERE {win(lo, hi)} GROUP BY email, source_ip_address")
+
+
+def token_usage_sql(lo, hi) -> str:
+    return prefix() + ("SELECT email, p_tokenId AS tokenId, min(event_time) AS earliest,"
+                       " max(event_time) AS latest, count(*) AS total_events,"
+                       " count(DISTINCT source_ip_address) AS num_source_ips,"
+                       " count(DISTINCT user_agent) AS num_useragents FROM audit"
+                       f" WHERE {win(lo, hi)} AND action_name = 'tokenLogin'"
+                       " AND p_authenticationMethod <> 'API_INT_PAT_TOKEN'"
+                       " GROUP BY email, p_tokenId")
+
+
+def api_actions_sql(lo, hi) -> str:
+    return prefix() + ("SELECT email, service_name, action_name, min(event_time) AS earliest,"
+                       " max(event_time) AS latest, count(*) AS total_events,"
+                       " count(DISTINCT source_ip_address) AS num_source_ips,"
+                       " count(DISTINCT user_agent) AS num_useragents FROM audit"
+                       f" WHERE {win(lo, hi)} GROUP BY email, service_name, action_name")
+
+
+def billing_usage_sql(lo, hi) -> str:
+    return prefix() + ("SELECT created_by, usage_date, sku_name, sum(usage_quantity) AS DBU_used"
+                       f" FROM billing WHERE {win(lo, hi, 'usage_start_time')}"
+                       " AND usage_unit = 'DBU' GROUP BY created_by, usage_date, sku_name")

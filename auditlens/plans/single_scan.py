@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import json_text
 from ..functions.time import window_bounds, window_filter
@@ -61,18 +62,25 @@ def single_scan(tables, earliest=None, latest=None, rule_ids: list[str] | None =
     matched = audit.withColumn(
         "rule_id", F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())))
 
+    # Output schemas of all rules, resolved in one analysis of an empty frame
+    # with the audit schema (no job; cheaper than analysing the source plan).
+    spark = audit.sparkSession
+    cols_by_rule = {r.rule_id: r.stateless.columns(**{**r.defaults, **params.get(r.rule_id, {})})
+                    for r in rules}
+    probe = [c.alias(f"_{i}_{j}") for i, r in enumerate(rules)
+             for j, c in enumerate(cols_by_rule[r.rule_id])]
+    types = {f.name: f.dataType
+             for f in spark.createDataFrame([], audit.schema).select(*probe).schema.fields}
     payload, key, ts, sev = {}, {}, {}, {}
-    for r in rules:
-        p = {**r.defaults, **params.get(r.rule_id, {})}
-        cols = r.stateless.columns(**p)
-        # Output schema of the rule (resolved on an empty projection; no job).
-        schema = audit.select(*cols).schema
-        by_name = {f.name: c for f, c in zip(schema.fields, cols)}
-        named = leaves(schema, by_name)
-        key[r.rule_id] = key_of(named)
+    for i, r in enumerate(rules):
+        cols = cols_by_rule[r.rule_id]
+        names = [_output_name(c) for c in cols]
+        schema = T.StructType([T.StructField(n, types[f"_{i}_{j}"])
+                               for j, n in enumerate(names)])
+        by_name = dict(zip(names, cols))
+        key[r.rule_id] = key_of(leaves(schema, by_name))
         payload[r.rule_id] = json_text(F.struct(*[
-            _sorted_maps(by_name[f.name], f.dataType).alias(f.name)
-            for f in schema.fields]))
+            _sorted_maps(by_name[f.name], f.dataType).alias(f.name) for f in schema.fields]))
         ts[r.rule_id] = by_name[r.time_col].cast("timestamp")
         sev[r.rule_id] = F.lit(r.severity)
     rid = F.col("rule_id")
@@ -83,8 +91,13 @@ def single_scan(tables, earliest=None, latest=None, rule_ids: list[str] | None =
         _case(rid, payload).alias("payload_json"), _case(rid, key).alias("dedupe_key"))
 
 
+def _output_name(c: Column) -> str:
+    """Name a rule column gets in its projection (its alias or column name)."""
+    return c._jc.toString().split(" AS ")[-1].strip("`") if " AS " in c._jc.toString() \
+        else c._jc.toString().split(".")[-1].strip("`")
+
+
 def _sorted_maps(c: Column, dt) -> Column:
-    from pyspark.sql import types as T
     if isinstance(dt, T.MapType):
         return F.map_from_entries(F.array_sort(F.map_entries(c)))
     return c

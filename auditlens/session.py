@@ -24,6 +24,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
+         # No Python call-site capture per Column call (thousands of JVM round
+         # trips when a plan has hundreds of expressions).
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.driver.memory", os.environ.get("AUDITLENS_DRIVER_MEMORY", "8g")))
     if master:
