@@ -50,9 +50,8 @@ def ipv4_to_long(c: Column) -> Column:
     return F.when(ok, value)
 
 
-def is_public_ip(c: Column) -> Column:
-    """True when globally reachable; NULL when empty, NULL or not an IPv4 address."""
-    n = ipv4_to_long(c)
+def is_public_long(n: Column) -> Column:
+    """Global reachability of an IPv4 address given as bigint (NULL stays NULL)."""
     blocked = reduce(lambda a, b: a | b,
                      [n.between(*_block(net, p)) for net, p in NOT_GLOBAL_V4])
     allowed = reduce(lambda a, b: a | b,
@@ -60,6 +59,16 @@ def is_public_ip(c: Column) -> Column:
     return F.when(n.isNotNull(), ~blocked | allowed)
 
 
+def is_public_ip(c: Column) -> Column:
+    """True when globally reachable; NULL when empty, NULL or not an IPv4 address.
+
+    The address is parsed once and bound to a lambda variable: inlining the
+    parse into each of the 16 block tests makes the generated code too large
+    to compile. Where the bigint is already a column, use ``is_public_long``.
+    """
+    return F.transform(F.array(ipv4_to_long(c)), is_public_long)[0]
+
+
 def ip_prefix_condition(c: Column, template: str, lo: int, hi: int) -> Column:
     """OR of ``startswith(template.format(i))`` for i in [lo, hi]."""
     return reduce(lambda a, b: a | b,

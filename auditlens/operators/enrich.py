@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ip import ipv4_to_long, is_public_ip, skip_lookup
+from ..functions.ip import ipv4_to_long, is_public_long, skip_lookup
 
 GEO_FIELDS = [("city", "string"), ("country", "string"), ("country_code", "string"),
               ("latitude", "double"), ("longitude", "double"), ("accuracy_radius", "int")]
@@ -48,7 +48,8 @@ def range_lookup(df: DataFrame, ip_col: str, ranges: DataFrame, fields, out: str
     stype = _struct_type(fields)
     ip = F.col(ip_col)
     addrs = (df.select(ip.alias("_ip")).filter(~skip_lookup(F.col("_ip"))).distinct()
-             .withColumn("_n", F.when(is_public_ip(F.col("_ip")), ipv4_to_long(F.col("_ip"))))
+             .withColumn("_v4", ipv4_to_long(F.col("_ip")))
+             .withColumn("_n", F.when(is_public_long(F.col("_v4")), F.col("_v4")))
              .withColumn("_block", F.shiftright(F.col("_n"), 16)))
     rx = _explode_blocks(ranges.select("start_ip", "end_ip", "prefix_len", *names))
     if broadcast_ranges is None:

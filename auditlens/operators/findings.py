@@ -119,13 +119,16 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def insert_new(df: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None,
-               prune: dict[str, list] | None = None, merge_schema: bool = False) -> int:
+               prune: dict[str, list] | None = None, merge_schema: bool = False,
+               date_bounds: tuple | None = None, date_col: str = "event_date") -> int:
     """Insert-only merge. Returns the number of rows appended.
 
     The batch is de-duplicated on ``keys``; keys already in ``path`` are
     removed by a left-anti join (``prune`` restricts the existing side to the
-    batch's partitions). The result is persisted once so the count and the
-    write do not recompute the rule.
+    batch's partitions, ``date_bounds`` to stored rows whose ``date_col`` lies
+    in the batch's window: a key embeds the event time, so older findings
+    cannot collide). The result is persisted once so the count and the write
+    do not recompute the rule.
     """
     spark = df.sparkSession
     batch = df.dropDuplicates(keys)
@@ -133,6 +136,8 @@ def insert_new(df: DataFrame, path: str, keys: list[str], partition_by: list[str
         existing = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
         for col, values in (prune or {}).items():
             existing = existing.filter(F.col(col).isin(values))
+        if date_bounds is not None and date_col in existing.columns:
+            existing = existing.filter(F.col(date_col).between(*date_bounds))
         batch = batch.join(existing.select(*keys).distinct(), keys, "left_anti")
     from pyspark import StorageLevel
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -155,10 +160,12 @@ def merge_rule_findings(std: DataFrame, root: str, rule_id: str) -> int:
                       merge_schema=True)
 
 
-def merge_unified(unified: DataFrame, root: str, rule_ids: list[str]) -> int:
+def merge_unified(unified: DataFrame, root: str, rule_ids: list[str],
+                  date_bounds: tuple | None = None) -> int:
     """unified table partitioned by rule_id."""
     return insert_new(unified, f"{root.rstrip('/')}/unified", ["rule_id", "dedupe_key"],
-                      partition_by=["rule_id"], prune={"rule_id": rule_ids})
+                      partition_by=["rule_id"], prune={"rule_id": rule_ids},
+                      date_bounds=date_bounds)
 
 
 def read_rule_findings(spark: SparkSession, root: str, rule_id: str) -> DataFrame:

@@ -57,12 +57,19 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def _bounds_literals(spark, earliest, latest, lookback):
-    lo, hi = window_bounds(earliest, latest, lookback)
-    # Fix "now" once per run so every write carries the same bounds.
-    row = spark.range(1).select(lo.cast("timestamp").alias("lo"),
-                                hi.cast("timestamp").alias("hi")).first()
-    return row["lo"], row["hi"]
+def _resolve_bounds(spark, earliest, latest, rules: list[Rule]) -> dict:
+    """Literal (lo, hi) per rule, "now" fixed once for the run (one tiny query)."""
+    exprs = []
+    for i, r in enumerate(rules):
+        if r.lookback is None and earliest is None:
+            continue
+        lo, hi = window_bounds(earliest, latest, r.lookback)
+        exprs += [lo.cast("timestamp").alias(f"lo{i}"), hi.cast("timestamp").alias(f"hi{i}")]
+    if not exprs:
+        return {}
+    row = spark.range(1).select(*exprs).first().asDict()
+    return {r.rule_id: (row[f"lo{i}"], row[f"hi{i}"]) for i, r in enumerate(rules)
+            if f"lo{i}" in row}
 
 
 def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | None = None,
@@ -87,6 +94,7 @@ def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | Non
     unified_parts: list[DataFrame] = []
     persisted: list[DataFrame] = []
 
+    bounds_by_rule = _resolve_bounds(spark, earliest, latest, rules)
     scan_rules = [r for r in rules if use_single_scan and r.stateless is not None
                   and r.source == "audit"]
     other_rules = [r for r in rules if r not in scan_rules]
@@ -94,8 +102,7 @@ def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | Non
     if scan_rules:
         started = _now(); t0 = time.time()
         try:
-            windows = {r.rule_id: _bounds_literals(spark, earliest, latest, r.lookback)
-                       for r in scan_rules}
+            windows = {r.rule_id: bounds_by_rule[r.rule_id] for r in scan_rules}
             found = single_scan(tables, rule_ids=[r.rule_id for r in scan_rules],
                                 windows={k: (F.lit(v[0]), F.lit(v[1])) for k, v in windows.items()},
                                 params=params)
@@ -134,7 +141,7 @@ def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | Non
         try:
             if r.lookback is None and earliest is None:
                 raise ValueError(f"{r.rule_id} needs an explicit earliest bound")
-            bounds = _bounds_literals(spark, earliest, latest, r.lookback)
+            bounds = bounds_by_rule[r.rule_id]
             rows = r.run(tables, F.lit(bounds[0]), F.lit(bounds[1]), sort=False, output="rows",
                          **params.get(r.rule_id, {}))
             std = FN.standardize(rows, r.rule_id, run_id, F.lit(bounds[0]), F.lit(bounds[1]),
@@ -156,7 +163,10 @@ def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | Non
         unified = unified_parts[0]
         for p in unified_parts[1:]:
             unified = unified.unionByName(p)
-        res.inserted_unified = FN.merge_unified(unified, root, [r.rule_id for r in rules])
+        spans = list(bounds_by_rule.values())
+        dates = (min(s[0] for s in spans).date(), max(s[1] for s in spans).date()) if spans else None
+        res.inserted_unified = FN.merge_unified(unified, root, [r.rule_id for r in rules],
+                                                date_bounds=dates)
     if log_rows:
         log = C.run_log_rows(spark, log_rows)
         C.append_run_log(log, f"{root}/run_log")
