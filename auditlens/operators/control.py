@@ -111,6 +111,11 @@ def registry_summary(registry: DataFrame) -> DataFrame:
                                               F.sum(F.col("enabled").cast("int")).alias("enabled"))
 
 
+def registry_listing(registry: DataFrame) -> DataFrame:
+    """Ordered listing."""
+    return registry.orderBy("rule_group", "rule_id")
+
+
 def enabled_rules(registry: DataFrame) -> DataFrame:
     """C06."""
     return registry.filter(F.col("enabled"))

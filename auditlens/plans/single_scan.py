@@ -67,16 +67,13 @@ def single_scan(tables, earliest=None, latest=None, rule_ids: list[str] | None =
     spark = audit.sparkSession
     cols_by_rule = {r.rule_id: r.stateless.columns(**{**r.defaults, **params.get(r.rule_id, {})})
                     for r in rules}
-    probe = [c.alias(f"_{i}_{j}") for i, r in enumerate(rules)
-             for j, c in enumerate(cols_by_rule[r.rule_id])]
-    types = {f.name: f.dataType
-             for f in spark.createDataFrame([], audit.schema).select(*probe).schema.fields}
+    probe = [c for r in rules for c in cols_by_rule[r.rule_id]]
+    fields = iter(spark.createDataFrame([], audit.schema).select(*probe).schema.fields)
     payload, key, ts, sev = {}, {}, {}, {}
-    for i, r in enumerate(rules):
+    for r in rules:
         cols = cols_by_rule[r.rule_id]
-        names = [_output_name(c) for c in cols]
-        schema = T.StructType([T.StructField(n, types[f"_{i}_{j}"])
-                               for j, n in enumerate(names)])
+        schema = T.StructType([next(fields) for _ in cols])
+        names = schema.names
         by_name = dict(zip(names, cols))
         key[r.rule_id] = key_of(leaves(schema, by_name))
         payload[r.rule_id] = json_text(F.struct(*[
@@ -91,12 +88,6 @@ def single_scan(tables, earliest=None, latest=None, rule_ids: list[str] | None =
         _case(rid, payload).alias("payload_json"), _case(rid, key).alias("dedupe_key"))
 
 
-def _output_name(c: Column) -> str:
-    """Name a rule column gets in its projection (its alias or column name)."""
-    return c._jc.toString().split(" AS ")[-1].strip("`") if " AS " in c._jc.toString() \
-        else c._jc.toString().split(".")[-1].strip("`")
-
-
 def _sorted_maps(c: Column, dt) -> Column:
     if isinstance(dt, T.MapType):
         return F.map_from_entries(F.array_sort(F.map_entries(c)))
