@@ -22,7 +22,7 @@ looked up without a hit or are not globally reachable.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ip import ipv4_to_long, is_public_long, skip_lookup
@@ -42,26 +42,49 @@ def _explode_blocks(ranges: DataFrame) -> DataFrame:
         F.shiftright(F.col("start_ip"), 16), F.shiftright(F.col("end_ip"), 16))))
 
 
+def _ranges_side(ranges: DataFrame, names: list[str], broadcast_ranges: bool | None):
+    rx = _explode_blocks(ranges.select("start_ip", "end_ip", "prefix_len", *names))
+    if broadcast_ranges is None:
+        broadcast_ranges = rx.count() <= RANGE_BROADCAST_ROWS
+    return F.broadcast(rx) if broadcast_ranges else rx
+
+
 def range_lookup(df: DataFrame, ip_col: str, ranges: DataFrame, fields, out: str,
-                 broadcast_ranges: bool | None = None) -> DataFrame:
+                 broadcast_ranges: bool | None = None, row_key: list[str] | None = None
+                 ) -> DataFrame:
+    """``row_key``: columns that identify an input row. When given, the rows
+    are joined to the ranges directly and the longest prefix is kept per row
+    (for small or already reduced inputs: no distinct-address branch, so the
+    input is computed once)."""
     names = [n for n, _ in fields]
     stype = _struct_type(fields)
     ip = F.col(ip_col)
+    empty = F.struct(*[F.lit(None).cast(t).alias(n) for n, t in fields])
+    if row_key:
+        x = (df.withColumn("_v4", ipv4_to_long(ip))
+             .withColumn("_n", F.when(~skip_lookup(ip) & is_public_long(F.col("_v4")),
+                                      F.col("_v4")))
+             .withColumn("_blk", F.shiftright(F.col("_n"), 16)))
+        rx = _ranges_side(ranges, names, broadcast_ranges).withColumnRenamed("_block", "_rblk")
+        j = x.join(rx, (x["_blk"] == rx["_rblk"]) & x["_n"].between(rx["start_ip"], rx["end_ip"]),
+                   "left")
+        w = Window.partitionBy(*row_key).orderBy(F.col("prefix_len").desc_nulls_last())
+        rec = F.when(F.col("prefix_len").isNotNull(),
+                     F.struct(*[F.col(n) for n in names])).otherwise(empty).cast(stype)
+        return (j.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") == 1)
+                .withColumn(out, F.when(skip_lookup(ip), F.lit(None).cast(stype)).otherwise(rec))
+                .drop("_v4", "_n", "_blk", "_rblk", "_rk", "start_ip", "end_ip", "prefix_len",
+                      *names))
     addrs = (df.select(ip.alias("_ip")).filter(~skip_lookup(F.col("_ip"))).distinct()
              .withColumn("_v4", ipv4_to_long(F.col("_ip")))
              .withColumn("_n", F.when(is_public_long(F.col("_v4")), F.col("_v4")))
              .withColumn("_block", F.shiftright(F.col("_n"), 16)))
-    rx = _explode_blocks(ranges.select("start_ip", "end_ip", "prefix_len", *names))
-    if broadcast_ranges is None:
-        broadcast_ranges = rx.count() <= RANGE_BROADCAST_ROWS
-    if broadcast_ranges:
-        rx = F.broadcast(rx)
+    rx = _ranges_side(ranges, names, broadcast_ranges)
     hit = addrs.join(rx, (addrs["_block"] == rx["_block"])
                      & addrs["_n"].between(rx["start_ip"], rx["end_ip"]), "left")
     best = (hit.groupBy(addrs["_ip"].alias("_ip"))
             .agg(F.max_by(F.struct(*[F.col(n) for n in names]), F.col("prefix_len"))
                  .alias("_rec")))
-    empty = F.struct(*[F.lit(None).cast(t).alias(n) for n, t in fields])
     best = best.select("_ip", F.coalesce(F.col("_rec"), empty).cast(stype).alias("_rec"))
     joined = df.join(best, ip == best["_ip"], "left")
     return (joined.withColumn(out, F.when(skip_lookup(ip), F.lit(None).cast(stype))

@@ -164,27 +164,35 @@ def token_scanning(tables, earliest, latest, threshold: float = 0.5) -> DataFram
                    F.max("event_time").alias("latest_event_time"),
                    F.count("action_name").alias("ACTIONS"),
                    F.min_by("_first", F.struct("event_time", "event_id")).alias("_first")))
-    if tables.ip_geo is not None:
-        from .enrich import geo_enrich
-        per_ip = geo_enrich(per_ip, "source_ip_address", tables.ip_geo, out="geo")
-    else:
-        per_ip = per_ip.withColumn("geo", F.lit(None).cast(GEO_STRUCT))
     f = F.col("_first")
     flat = per_ip.select(
         f["token_owner"].alias("token_owner"), "tokenId", "source_ip_address",
         "min_event_time", "latest_event_time", f["user_agent"].alias("user_agent"), "ACTIONS",
         f["service_name"].alias("service_name"), f["action_name"].alias("action_name"),
         f["account_id"].alias("account_id"), f["workspace_id"].alias("workspace_id"),
-        f["request_params"].alias("request_params"), "geo",
-        f["authenticated"].alias("authenticated"),
-        F.col("geo.latitude").alias("lat"), F.col("geo.longitude").alias("lon"))
+        f["request_params"].alias("request_params"),
+        f["authenticated"].alias("authenticated"))
     # Inner join to the owner average drops NULL owners; the aggregate is per
     # (token, address), so the owner window runs on already-reduced rows.
     owned = flat.filter(F.col("token_owner").isNotNull())
     avg = F.avg("ACTIONS").over(Window.partitionBy("token_owner"))
-    return (owned.withColumn("AVG_ACTIONS", avg)
+    kept = (owned.withColumn("AVG_ACTIONS", avg)
             .withColumn("RATE", F.round(F.col("ACTIONS") / F.col("AVG_ACTIONS"), 2))
             .filter(F.col("RATE") <= threshold))
+    # Geo depends only on the address (a group key), so it is looked up for
+    # the surviving rows only, keyed by (token, address): one scan of the log.
+    if tables.ip_geo is not None:
+        from .enrich import geo_enrich
+        kept = geo_enrich(kept, "source_ip_address", tables.ip_geo, out="geo",
+                          row_key=["tokenId", "source_ip_address"])
+    else:
+        kept = kept.withColumn("geo", F.lit(None).cast(GEO_STRUCT))
+    return kept.select(
+        "token_owner", "tokenId", "source_ip_address", "min_event_time", "latest_event_time",
+        "user_agent", "ACTIONS", "service_name", "action_name", "account_id", "workspace_id",
+        "request_params", "geo", "authenticated",
+        F.col("geo.latitude").alias("lat"), F.col("geo.longitude").alias("lon"),
+        "AVG_ACTIONS", "RATE")
 
 
 register(Rule("D14", "token_scanning_activity", "behavioral", "low",

@@ -32,8 +32,9 @@ def test_geo_longest_prefix_and_skip_rules(spark):
         "start_ip bigint, end_ip bigint, prefix_len int, city string, country string,"
         " country_code string, latitude double, longitude double, accuracy_radius int")
     df = spark.createDataFrame([(a,) for a in ADDRS + ["203.0.9.9"]], "ip string")
-    for bc in (True, False):
-        out = {r.ip: r.geo for r in geo_enrich(df, "ip", ranges, broadcast_ranges=bc).collect()}
+    for bc, key in ((True, None), (False, None), (True, ["ip"]), (False, ["ip"])):
+        out = {r.ip: r.geo for r in
+               geo_enrich(df, "ip", ranges, broadcast_ranges=bc, row_key=key).collect()}
         assert out["203.0.3.7"].country == "N3"           # /24 inside the /16 wins
         assert out["203.0.9.9"].country == "R0"           # only the /16 covers it
         assert out["8.8.8.8"].city == "DNS"
