@@ -80,9 +80,9 @@ def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | Non
               registry_path: str | None = None, use_single_scan: bool = True,
               params: dict | None = None, run_id: str | None = None,
               write_rule_tables: bool = False, resume: bool = False) -> RunResult:
-    """``write_rule_tables``: also write per-rule tables for the rules of the
-    single scan (their columns are always in the unified payload; see
-    :func:`rule_findings_from_unified`). Rules run alone always get one.
+    """``write_rule_tables``: also write the per-rule tables (rule columns +
+    metadata); every rule's columns are always in the unified payload (see
+    :func:`rule_findings_from_unified`).
     ``resume``: a rule with a successful checkpoint starts at the end of its
     last processed window instead of ``earliest`` (inclusive bounds: rows on
     the boundary are seen twice and de-duplicated by the merge)."""
@@ -97,8 +97,6 @@ def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | Non
     rules = select_rules(group, pattern, rule_ids, enabled)
     res = RunResult(run_id)
     log_rows: list[dict] = []
-    unified_parts: list[DataFrame] = []
-    persisted: list[DataFrame] = []
 
     resume_from = None
     if resume:
@@ -110,9 +108,14 @@ def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | Non
     scan_rules = [r for r in rules if use_single_scan and r.stateless is not None
                   and r.source == "audit"]
     other_rules = [r for r in rules if r not in scan_rules]
+    started = _now()
+    t0 = time.time()
 
+    # 1. Plan every rule into the unified shape (planning errors stay per rule).
+    parts: dict[str, DataFrame] = {}          # part name -> unified rows
+    part_rules: dict[str, list[Rule]] = {}
+    std_frames: dict[str, DataFrame] = {}
     if scan_rules:
-        started = _now(); t0 = time.time()
         try:
             windows = {r.rule_id: bounds_by_rule[r.rule_id] for r in scan_rules}
             found = single_scan(tables, rule_ids=[r.rule_id for r in scan_rules],
@@ -120,78 +123,106 @@ def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | Non
                                 params=params)
             win_lo = F.create_map(*[x for k, v in windows.items() for x in (F.lit(k), F.lit(v[0]))])
             win_hi = F.create_map(*[x for k, v in windows.items() for x in (F.lit(k), F.lit(v[1]))])
-            found = found.select(
+            parts["scan"] = found.select(
                 "event_ts", "event_date", "rule_id", F.lit(run_id).alias("run_id"),
                 win_lo[F.col("rule_id")].alias("window_start_ts"),
                 win_hi[F.col("rule_id")].alias("window_end_ts"), "severity",
-                F.current_timestamp().alias("observed_at"), "payload_json", "dedupe_key"
-            ).persist(StorageLevel.MEMORY_AND_DISK)
-            persisted.append(found)
-            counts = {r["rule_id"]: r["count"] for r in
-                      found.groupBy("rule_id").count().collect()}
-            unified_parts.append(found)
-            if write_rule_tables:
-                for r in scan_rules:
-                    if counts.get(r.rule_id):
-                        _write_rule_table_from_payload(found, r, root, params,
-                                                       tables.audit.schema)
-            dur = int((time.time() - t0) * 1000)
-            for r in scan_rules:
-                n = int(counts.get(r.rule_id, 0))
-                res.counts[r.rule_id] = n
-                log_rows.append(_log(run_id, r.rule_id, windows[r.rule_id], started, "SUCCESS",
-                                     n, dur, None))
+                F.current_timestamp().alias("observed_at"), "payload_json", "dedupe_key")
+            part_rules["scan"] = scan_rules
         except Exception as e:  # noqa: BLE001 - one failure must not stop the run
             for r in scan_rules:
                 res.failures[r.rule_id] = str(e)
-                log_rows.append(_log(run_id, r.rule_id, (None, None), started, "FAILED",
-                                     None, None, str(e)))
-
     for r in other_rules:
-        started = _now(); t0 = time.time()
-        bounds = None
         try:
-            if r.lookback is None and earliest is None:
+            if r.rule_id not in bounds_by_rule:
                 raise ValueError(f"{r.rule_id} needs an explicit earliest bound")
-            bounds = bounds_by_rule[r.rule_id]
-            rows = r.run(tables, F.lit(bounds[0]), F.lit(bounds[1]), sort=False, output="rows",
+            lo, hi = bounds_by_rule[r.rule_id]
+            rows = r.run(tables, F.lit(lo), F.lit(hi), sort=False, output="rows",
                          **params.get(r.rule_id, {}))
-            std = FN.standardize(rows, r.rule_id, run_id, F.lit(bounds[0]), F.lit(bounds[1]),
-                                 r.severity).persist(StorageLevel.MEMORY_AND_DISK)
-            persisted.append(std)
-            n = std.count()
-            if write_rule_tables and n:
-                FN.merge_rule_findings(std, root, r.rule_id)
-            unified_parts.append(FN.to_unified(std, r.time_col))
-            res.counts[r.rule_id] = n
-            log_rows.append(_log(run_id, r.rule_id, bounds, started, "SUCCESS", n,
-                                 int((time.time() - t0) * 1000), None))
+            std = FN.standardize(rows, r.rule_id, run_id, F.lit(lo), F.lit(hi), r.severity)
+            std_frames[r.rule_id] = std
+            parts[r.rule_id] = FN.to_unified(std, r.time_col)
+            part_rules[r.rule_id] = [r]
         except Exception as e:  # noqa: BLE001
             res.failures[r.rule_id] = str(e)
-            log_rows.append(_log(run_id, r.rule_id, bounds or (None, None), started, "FAILED",
-                                 None, int((time.time() - t0) * 1000), str(e)))
-
-    if unified_parts:
-        unified = unified_parts[0]
-        for p in unified_parts[1:]:
-            unified = unified.unionByName(p)
-        spans = list(bounds_by_rule.values())
+
+    # 2. One job evaluates all rules (persisted once); a failing part is
+    #    isolated by evaluating the parts on their own.
+    unified = None
+    if parts:
+        unified, counts = _evaluate_parts(parts, part_rules, res)
+        res.counts.update(counts)
+    dur = int((time.time() - t0) * 1000)
+
+    # 3. Sinks: unified merge, optional per-rule tables.
+    if unified is not None:
+        spans = [bounds_by_rule[r] for r in res.counts if r in bounds_by_rule]
         dates = (min(s[0] for s in spans).date(), max(s[1] for s in spans).date()) if spans else None
-        res.inserted_unified = FN.merge_unified(unified, root, [r.rule_id for r in rules],
-                                                date_bounds=dates)
+        res.inserted_unified = FN.merge_unified(unified, root, list(res.counts), date_bounds=dates)
+        if write_rule_tables:
+            for r in rules:
+                if not res.counts.get(r.rule_id):
+                    continue
+                if r.rule_id in std_frames:
+                    FN.merge_rule_findings(std_frames[r.rule_id], root, r.rule_id)
+                else:
+                    _write_rule_table_from_payload(unified, r, root, params, tables.audit.schema)
+        unified.unpersist()
+
+    for r in rules:
+        b = bounds_by_rule.get(r.rule_id, (None, None))
+        if r.rule_id in res.failures:
+            log_rows.append(_log(run_id, r.rule_id, b, started, "FAILED", None, dur,
+                                 res.failures[r.rule_id]))
+        else:
+            log_rows.append(_log(run_id, r.rule_id, b, started, "SUCCESS",
+                                 int(res.counts.get(r.rule_id, 0)), dur, None))
     if log_rows:
         log = C.run_log_rows(spark, log_rows)
         C.append_run_log(log, f"{root}/run_log")
         C.update_checkpoints(log, f"{root}/checkpoints")
-    for p in persisted:
-        p.unpersist()
     return res
 
 
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _evaluate_parts(parts: dict, part_rules: dict, res: RunResult):
+    """Persist the union of all parts and count findings per rule in one job.
+    If that job fails, each part is evaluated alone: failing parts are marked
+    FAILED and the rest go on."""
+    unified = _union(list(parts.values())).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counts = {r["rule_id"]: r["count"] for r in
+                  unified.groupBy("rule_id").count().collect()}
+        ran = [r.rule_id for rs in part_rules.values() for r in rs]
+        return unified, {rid: int(counts.get(rid, 0)) for rid in ran}
+    except Exception:  # noqa: BLE001 - find the failing part(s)
+        unified.unpersist()
+    good, counts = [], {}
+    for name, df in parts.items():
+        try:
+            c = {r["rule_id"]: r["count"] for r in df.groupBy("rule_id").count().collect()}
+            good.append(df)
+            for r in part_rules[name]:
+                counts[r.rule_id] = int(c.get(r.rule_id, 0))
+        except Exception as e:  # noqa: BLE001
+            for r in part_rules[name]:
+                res.failures[r.rule_id] = str(e)
+    if not good:
+        return None, counts
+    return _union(good).persist(StorageLevel.MEMORY_AND_DISK), counts
+
+
 def run_rule(tables, root: str, rule_id: str, earliest=None, latest=None, **kw) -> RunResult:
-    """one rule through the same pipeline."""
+    """one rule through the same pipeline, with its per-rule table."""
+    kw.setdefault("write_rule_tables", True)
     return run_rules(tables, root, earliest, latest, rule_ids=[rule_id],
-                     use_single_scan=False, write_rule_tables=True, **kw)
+                     use_single_scan=False, **kw)
 
 
 def _log(run_id, rule_id, bounds, started, status, rows, duration_ms, error) -> dict:
