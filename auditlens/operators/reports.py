@@ -20,35 +20,45 @@ def _audit(tables, user, earliest, latest, lookback=DAY) -> DataFrame:
     return a if user is None else a.filter(email() == user)
 
 
+def _distinct(c, approx: bool):
+    """Exact distinct count (as the reports specify) or a HyperLogLog++
+    estimate: one pass with a fixed-size sketch per group, no distinct
+    expansion (for very large groups)."""
+    return F.approx_count_distinct(c) if approx else F.countDistinct(c)
+
+
 def _times():
     return [F.min("event_time").alias("earliest"), F.max("event_time").alias("latest"),
             F.count(F.lit(1)).alias("total_events")]
 
 
-def ip_usage(tables, earliest=None, latest=None, user: str | None = None) -> DataFrame:
+def ip_usage(tables, earliest=None, latest=None, user: str | None = None,
+             approx: bool = False) -> DataFrame:
     """Per (user, source IP): time span, events, distinct service||action."""
     a = _audit(tables, user, earliest, latest)
     return (a.groupBy(email().alias("email"), "source_ip_address")
-            .agg(*_times(), F.countDistinct(F.concat("service_name", "action_name"))
+            .agg(*_times(), _distinct(F.concat("service_name", "action_name"), approx)
                  .alias("num_unique_actions")))
 
 
-def token_usage(tables, earliest=None, latest=None, user: str | None = None) -> DataFrame:
+def token_usage(tables, earliest=None, latest=None, user: str | None = None,
+                approx: bool = False) -> DataFrame:
     """Token logins other than internal tokens, per (user, tokenId)."""
     a = (_audit(tables, user, earliest, latest)
          .filter((F.col("action_name") == "tokenLogin")
                  & (param("authenticationMethod") != "API_INT_PAT_TOKEN")))
     return (a.groupBy(email().alias("email"), param("tokenId").alias("tokenId"))
-            .agg(*_times(), F.countDistinct("source_ip_address").alias("num_source_ips"),
-                 F.countDistinct("user_agent").alias("num_useragents")))
+            .agg(*_times(), _distinct("source_ip_address", approx).alias("num_source_ips"),
+                 _distinct("user_agent", approx).alias("num_useragents")))
 
 
-def api_actions(tables, earliest=None, latest=None, user: str | None = None) -> DataFrame:
+def api_actions(tables, earliest=None, latest=None, user: str | None = None,
+                approx: bool = False) -> DataFrame:
     """Per (user, service, action)."""
     a = _audit(tables, user, earliest, latest)
     return (a.groupBy(email().alias("email"), "service_name", "action_name")
-            .agg(*_times(), F.countDistinct("source_ip_address").alias("num_source_ips"),
-                 F.countDistinct("user_agent").alias("num_useragents")))
+            .agg(*_times(), _distinct("source_ip_address", approx).alias("num_source_ips"),
+                 _distinct("user_agent", approx).alias("num_useragents")))
 
 
 def billing_usage(tables, earliest=None, latest=None, user: str | None = None) -> DataFrame:

@@ -172,11 +172,13 @@ def token_scanning(tables, earliest, latest, threshold: float = 0.5) -> DataFram
         f["account_id"].alias("account_id"), f["workspace_id"].alias("workspace_id"),
         f["request_params"].alias("request_params"),
         f["authenticated"].alias("authenticated"))
-    # Inner join to the owner average drops NULL owners; the aggregate is per
-    # (token, address), so the owner window runs on already-reduced rows.
-    owned = flat.filter(F.col("token_owner").isNotNull())
-    avg = F.avg("ACTIONS").over(Window.partitionBy("token_owner"))
-    kept = (owned.withColumn("AVG_ACTIONS", avg)
+    # Owner average by aggregation (map-side partial, so a hot owner with
+    # millions of (token, address) pairs is not one task) joined back on the
+    # owner; the inner join drops NULL owners. AQE broadcasts the per-owner
+    # table when it is small and splits skewed partitions otherwise.
+    avg = (flat.filter(F.col("token_owner").isNotNull())
+           .groupBy("token_owner").agg(F.avg("ACTIONS").alias("AVG_ACTIONS")))
+    kept = (flat.join(avg, "token_owner")
             .withColumn("RATE", F.round(F.col("ACTIONS") / F.col("AVG_ACTIONS"), 2))
             .filter(F.col("RATE") <= threshold))
     # Geo depends only on the address (a group key), so it is looked up for

@@ -233,17 +233,37 @@ def _log(run_id, rule_id, bounds, started, status, rows, duration_ms, error) ->
             "runner_version": RUNNER_VERSION, "error_message": error, "created_at": now}
 
 
-def rule_findings_from_unified(spark, root: str, rule: Rule, audit_schema,
-                               params: dict | None = None) -> DataFrame:
-    """Rule columns + metadata of a single-scan rule, parsed from the unified table."""
+def rule_output_schema(tables, rule: Rule, params: dict | None = None):
+    """The rule's output schema, resolved on empty tables of the same
+    schemas (analysis only, no job)."""
+    from ..sources import Tables
+    spark = tables.audit.sparkSession
+
+    def empty(df):
+        return None if df is None else spark.createDataFrame([], df.schema)
+
+    et = Tables(audit=empty(tables.audit), history=empty(tables.history),
+                billing=empty(tables.billing), ip_geo=empty(tables.ip_geo),
+                ip_asn=empty(tables.ip_asn))
     p = {**rule.defaults, **(params or {})}
-    rows_schema = spark.createDataFrame([], audit_schema).select(*rule.stateless.columns(**p)).schema
+    ts = F.lit("2000-01-01").cast("timestamp")
+    return rule.run(et, ts, ts, sort=False, output="rows", **p).schema
+
+
+def rule_findings_from_unified(tables, root: str, rule: Rule,
+                               params: dict | None = None) -> DataFrame:
+    """Rule columns + metadata of any rule, parsed from the unified table's
+    payload (the per-rule view when no per-rule table was written)."""
+    spark = tables.audit.sparkSession
+    rows_schema = rule_output_schema(tables, rule, params)
     u = FN.read_unified(spark, root).filter(F.col("rule_id") == rule.rule_id)
+    meta = ["rule_id", "run_id", "window_start_ts", "window_end_ts", "severity",
+            "observed_at", "dedupe_key"]
+    low = {m.lower() for m in meta}
+    cols = [F.col(f"_p.`{f.name}`").alias(f"payload_{f.name}" if f.name.lower() in low
+                                          else f.name) for f in rows_schema.fields]
     return u.select(F.from_json("payload_json", rows_schema, JSON_OPTIONS).alias("_p"),
-                    "rule_id", "run_id", "window_start_ts", "window_end_ts", "severity",
-                    "observed_at", "dedupe_key").select("_p.*", "rule_id", "run_id",
-                                                        "window_start_ts", "window_end_ts",
-                                                        "severity", "observed_at", "dedupe_key")
+                    *meta).select(*cols, *meta)
 
 
 def _write_rule_table_from_payload(found: DataFrame, rule: Rule, root: str, params: dict,

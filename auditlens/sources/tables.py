@@ -62,6 +62,19 @@ def load_test_tables(spark: SparkSession, sf_dir: str) -> Tables:
     )
 
 
+def load_catalog_tables(spark: SparkSession, audit: str, history: str | None = None,
+                        billing: str | None = None, ip_geo: str | None = None,
+                        ip_asn: str | None = None) -> Tables:
+    """Production entry: catalog tables by name (``spark.table``)."""
+    ensure_utc(spark)
+    tb = spark.table
+    return Tables(audit=tb(audit),
+                  history=tb(history) if history else None,
+                  billing=tb(billing) if billing else None,
+                  ip_geo=tb(ip_geo) if ip_geo else None,
+                  ip_asn=tb(ip_asn) if ip_asn else None)
+
+
 def load_parquet_tables(spark: SparkSession, audit: str, history: str | None = None,
                         billing: str | None = None, ip_geo: str | None = None,
                         ip_asn: str | None = None) -> Tables:

@@ -133,3 +133,18 @@ def test_listing_and_coverage(spark):
     cov = {r.threat_model: r for r in coverage(spark).collect()}
     assert cov["account_takeover"].rules == 15 and cov["supply_chain"].rules == 3
     assert cov["data_exfiltration"].documented == 2
+
+
+def test_rule_view_from_unified_payload(spark, small_tables):
+    from auditlens.plans.runner import rule_findings_from_unified
+    root = fresh_root(spark)
+    run_rules(small_tables, root, *ALL, rule_ids=["D13", "D19", "D01"])
+    for rid in ["D13", "D19", "D01"]:
+        view = rule_findings_from_unified(small_tables, root, get_rule(rid))
+        direct = get_rule(rid).run(small_tables, *ALL, sort=False, output="rows")
+        from auditlens.functions.text import flatten_for_compare
+        named = [("payload_" + c) if c.lower() == "severity" else c for c in direct.columns]
+        a = flatten_for_compare(view.select(*named).toDF(*direct.columns))
+        b = flatten_for_compare(direct)
+        assert a.count() == b.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
