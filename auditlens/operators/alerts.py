@@ -1,7 +1,8 @@
 """Alert output (A01-A03): a fixed 7-column row per finding, the finding as JSON.
 
-``alert_id`` is the SHA-256 of the event payload (stable across runs, so
-re-running a window inserts nothing new), not a random id.
+``alert_id`` is the finding's de-duplication key (F02: SHA-256 over the
+canonical payload text), stable across runs, so re-running a window inserts
+nothing new; not a random id.
 """
 
 from __future__ import annotations
@@ -24,13 +25,10 @@ ALERTS_SCHEMA = T.StructType([
 def to_alerts(df: DataFrame, time_col: str = "EVENT_DATE", user_col: str = "SRC_USER",
               type_col: str = "ACTION", ip_col: str = "SRC_IP") -> DataFrame:
     """Needs EVENT_DATE, SRC_USER, ACTION and SRC_IP (names configurable)."""
-    from ..functions.text import json_text, map_text
+    from ..functions.text import json_text
+    from .findings import dedupe_key
     payload = json_text(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
-    # Stable id: payload text with maps in sorted-key form.
-    canon = F.to_json(F.struct(*[
-        (map_text(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.MapType)
-         else F.col(f"`{f.name}`")).alias(f.name) for f in df.schema.fields]))
-    return (df.select(F.sha2(canon, 256).alias("alert_id"),
+    return (df.select(dedupe_key(df).alias("alert_id"),
                       F.current_timestamp().alias("alertTime"),
                       F.col(time_col).cast("timestamp").alias("eventTime"),
                       F.col(user_col).alias("user_email"),

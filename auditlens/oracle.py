@@ -556,3 +556,24 @@ def billing_usage_sql(lo, hi) -> str:
     return prefix() + ("SELECT created_by, usage_date, sku_name, sum(usage_quantity) AS DBU_used"
                        f" FROM billing WHERE {win(lo, hi, 'usage_start_time')}"
                        " AND usage_unit = 'DBU' GROUP BY created_by, usage_date, sku_name")
+
+
+def alerts_sql(rid: str, lo: str, hi: str, ts_cols=("EVENT_DATE",),
+               int_cols=("RESPONSE_CODE",)) -> str:
+    """A01 for a stateless rule: alert fields without the run time; event_data
+    as compact JSON (null fields left out, timestamps ISO with microseconds)."""
+    body = stateless_body(rid, lo, hi)
+    names = stateless_columns(rid)
+
+    def piece(n):
+        if n in ts_cols:
+            return f"'\"{n}\":\"' || strftime(\"{n}\", '%Y-%m-%dT%H:%M:%S.%fZ') || '\"'"
+        if n in int_cols:
+            return f"'\"{n}\":' || CAST(\"{n}\" AS VARCHAR)"
+        return f"'\"{n}\":\"' || \"{n}\" || '\"'"
+
+    js = "'{' || concat_ws(',', " + ", ".join(piece(n) for n in names) + ") || '}'"
+    return prefix(f"d AS ({body})") + (
+        f"SELECT {dedupe_sql(names)} AS alert_id, EVENT_DATE AS eventTime,"
+        " coalesce(SRC_USER, 'unknown') AS user_email, ACTION AS event_type,"
+        f" coalesce(SRC_IP, 'unknown') AS source_ip, {js} AS event_data FROM d")

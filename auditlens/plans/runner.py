@@ -1,11 +1,12 @@
 """Rule runner (F06, F07): run rules over a window and keep the findings.
 
-``run_rules`` evaluates all selected stateless audit rules with the
-single-scan operator (one pass over the audit table), the others one by one,
-persists each result once (count and writes reuse it), merges new findings
-into the per-rule tables and the unified table (insert-only), appends one
-run-log row per rule and updates the checkpoints. A failing rule is logged
-as FAILED and the run continues.
+``run_rules`` plans all selected stateless audit rules through the
+single-scan operator (one pass over the audit table) and the others one by
+one, all into the unified findings shape. The union is persisted once and
+counted per rule in one job, merged insert-only into the unified table (and,
+on request, the per-rule tables); one run-log row per rule is appended and
+the checkpoints are updated. A failing rule is logged as FAILED and the run
+continues.
 """
 
 from __future__ import annotations

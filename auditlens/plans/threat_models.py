@@ -97,3 +97,29 @@ def user_report(tables, user: str, earliest, latest) -> dict[str, DataFrame]:
         "findings": found,
         "summary": run_summary(found, rules),
     }
+
+
+def run_threat_models(tables, names: list[str] | None = None, days: int = 30, hours: int = 24,
+                      now: _dt.datetime | None = None, user: str | None = None):
+    """T02 for several models at once: each rule is evaluated once (its
+    window depends only on its group), then attached to every model that
+    lists it through the bounded model dimension (broadcast)."""
+    now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    cat = catalog()
+    names = names or list(THREAT_MODELS)
+    if user is not None:
+        tables = tables.scoped_to_user(user)
+    ids = sorted({i for m in names for i in THREAT_MODELS[m] if i in cat})
+    rules = [cat[i] for i in ids]
+    found = evaluate(tables, rules, {r.rule_id: _window(r, now, days, hours) for r in rules})
+    spark = found.sparkSession
+    dim = spark.createDataFrame(
+        [(m, i, cat[i].name, cat[i].group) for m in names for i in THREAT_MODELS[m] if i in cat],
+        "threat_model string, rule_id string, name string, rule_group string")
+    per_model = found.join(F.broadcast(dim.select("threat_model", "rule_id")), "rule_id")
+    counts = per_model.groupBy("threat_model", "rule_id").agg(F.count(F.lit(1)).alias("n"))
+    summary = (F.broadcast(dim).join(counts, ["threat_model", "rule_id"], "left")
+               .select("rule_id", "name", "rule_group",
+                       F.coalesce("n", F.lit(0)).cast("bigint").alias("findings"),
+                       (F.coalesce("n", F.lit(0)) > 0).alias("triggered"), "threat_model"))
+    return per_model, summary

@@ -13,6 +13,9 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+JIT_OPTS = "-XX:-DontCompileHugeMethods"
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "auditlens", extra: dict | None = None) -> SparkSession:
     """Local/test session; on a cluster use the cluster's session and
@@ -29,7 +32,12 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
          # trips when a plan has hundreds of expressions).
          .config("spark.python.sql.dataFrameDebugging.enabled", "false")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.driver.memory", os.environ.get("AUDITLENS_DRIVER_MEMORY", "8g")))
+         .config("spark.driver.memory", os.environ.get("AUDITLENS_DRIVER_MEMORY", "8g"))
+         # The single-scan stage evaluates all rule predicates and projections
+         # in one generated method; HotSpot skips JIT for methods over 8 KB of
+         # bytecode unless told otherwise (several times slower per row).
+         .config("spark.driver.extraJavaOptions", JIT_OPTS)
+         .config("spark.executor.extraJavaOptions", JIT_OPTS))
     if master:
         b = b.master(master)
     for k, v in (extra or {}).items():

@@ -47,8 +47,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def load_test_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Derive the audit/history/billing/IP-range tables from a test-data folder."""
+_DERIVED: dict[tuple, str] = {}
+
+
+def derive_test_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """The derived tables as lazy DataFrames over the test-data files."""
     ensure_utc(spark)
     events = read_table(spark, sf_dir, "events")
     nation = read_table(spark, sf_dir, "nation")
@@ -62,6 +65,37 @@ def load_test_tables(spark: SparkSession, sf_dir: str) -> Tables:
     )
 
 
+def load_test_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Tables:
+    """Derive the audit/history/billing/IP-range tables from a test-data folder.
+
+    With ``materialize`` (default) they are written once per session as
+    parquet into the shared checkpoint folder and read back, so rules run
+    on stored tables as in production (a stored ``request_params`` column,
+    filters pushed to the scan) instead of re-deriving every row per query.
+    """
+    import os
+    import uuid
+
+    from ..session import checkpoint_dir
+    derived = derive_test_tables(spark, sf_dir)
+    if not materialize:
+        return derived
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    base = _DERIVED.get(key)
+    if base is None:
+        base = f"{checkpoint_dir(spark).rstrip('/')}/auditlens-derived-{uuid.uuid4().hex}"
+        derived.audit.sortWithinPartitions("event_time").write.parquet(f"{base}/audit")
+        derived.history.sortWithinPartitions("start_time").write.parquet(f"{base}/history")
+        derived.billing.write.parquet(f"{base}/billing")
+        derived.ip_geo.write.parquet(f"{base}/ip_geo")
+        derived.ip_asn.write.parquet(f"{base}/ip_asn")
+        _DERIVED[key] = base
+    rd = spark.read.parquet
+    return Tables(audit=rd(f"{base}/audit"), history=rd(f"{base}/history"),
+                  billing=rd(f"{base}/billing"), ip_geo=rd(f"{base}/ip_geo"),
+                  ip_asn=rd(f"{base}/ip_asn"))
+
+
 def load_catalog_tables(spark: SparkSession, audit: str, history: str | None = None,
                         billing: str | None = None, ip_geo: str | None = None,
                         ip_asn: str | None = None) -> Tables:
