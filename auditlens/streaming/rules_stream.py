@@ -1,14 +1,15 @@
 """Stateless rules on a stream (extension; the mirrored rule set is batch only).
 
-The audit source is read with ``readStream``; every micro-batch goes through
-the single-scan operator and is merged insert-only into the unified findings
-table in ``foreachBatch`` (so a replayed batch after a failure inserts
+The audit source is read with ``readStream``; in ``foreachBatch`` every
+micro-batch is persisted once, goes through the single-scan operator and is
+merged insert-only into the unified findings table (so a replayed batch after a failure inserts
 nothing twice). Progress lives in the checkpoint location, which must be on
 shared storage (``spark.checkpoint.dir`` by default).
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,21 +40,25 @@ def start_findings_stream(audit_stream: DataFrame, root: str, earliest, latest,
                           run_id: str = "stream", available_now: bool = True):
     """Start the query; returns the StreamingQuery."""
     spark = audit_stream.sparkSession
-    rules = stateless_rules(rule_ids)
-    ids = [r.rule_id for r in rules]
-    found = single_scan(Tables(audit=audit_stream), earliest, latest, rule_ids=ids)
-    unified = found.select(
-        "event_ts", "event_date", "rule_id", F.lit(run_id).alias("run_id"),
-        F.lit(earliest).cast("timestamp").alias("window_start_ts"),
-        F.lit(latest).cast("timestamp").alias("window_end_ts"), "severity",
-        F.current_timestamp().alias("observed_at"), "payload_json", "dedupe_key")
+    ids = [r.rule_id for r in stateless_rules(rule_ids)]
     target = f"{root.rstrip('/')}/unified"
 
     def merge_batch(batch: DataFrame, _batch_id: int) -> None:
-        FN.insert_new(batch, target, ["rule_id", "dedupe_key"], partition_by=["rule_id"],
-                      prune={"rule_id": ids})
+        # The micro-batch is materialised once and every rule reads it.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            found = single_scan(Tables(audit=batch), earliest, latest, rule_ids=ids)
+            unified = found.select(
+                "event_ts", "event_date", "rule_id", F.lit(run_id).alias("run_id"),
+                F.lit(earliest).cast("timestamp").alias("window_start_ts"),
+                F.lit(latest).cast("timestamp").alias("window_end_ts"), "severity",
+                F.current_timestamp().alias("observed_at"), "payload_json", "dedupe_key")
+            FN.insert_new(unified, target, ["rule_id", "dedupe_key"], partition_by=["rule_id"],
+                          prune={"rule_id": ids})
+        finally:
+            batch.unpersist()
 
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/auditlens-stream-{run_id}"
-    w = unified.writeStream.foreachBatch(merge_batch).option("checkpointLocation", ckpt)
+    w = audit_stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

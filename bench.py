@@ -4,7 +4,8 @@ Prints ONE JSON line: {"metric", "value", "unit", "queries": {...}, "sf", ...}.
 Each query is executed completely (``noop`` sink, no collection to the
 driver). ``value`` is the summed wall time of the timed queries. Besides the
 per-query times it reports the comparison the baseline asks for: the 25
-stateless rules run one by one versus the single-scan operator (median of 3).
+stateless rules run one by one versus the single-scan operator, both producing
+findings with payload and de-duplication key (median of 3).
 """
 
 from __future__ import annotations
@@ -47,10 +48,14 @@ def main() -> None:
     from auditlens import oracle as O
     from auditlens.operators.catalog import get_rule
     from auditlens.operators.rules_stateless import STATELESS_AUDIT_IDS
+    from auditlens.plans.evaluate import rule_findings
     from auditlens.plans.single_scan import single_scan
     from auditlens.sources import load_test_tables
 
     qs = entry.queries()
+    # Derived audit/history/billing/IP tables are written once per session
+    # (data preparation, reported separately).
+    derive = timed(lambda: load_test_tables(spark, SF_DIR))
     # Warm-up (JVM, class loading, codegen caches): one rule and the single scan.
     run_noop(qs["d04_mfa_key_added"](spark, SF_DIR))
     run_noop(single_scan(load_test_tables(spark, SF_DIR), *O.WINDOW_ALL))
@@ -64,8 +69,9 @@ def main() -> None:
     tables = load_test_tables(spark, SF_DIR)
 
     def one_by_one():
+        # Same output as the single scan: findings with payload and key, per rule.
         for rid in STATELESS_AUDIT_IDS:
-            run_noop(get_rule(rid).run(tables, *O.WINDOW_ALL, sort=False, output="rows"))
+            run_noop(rule_findings(tables, get_rule(rid), *O.WINDOW_ALL))
 
     def scan():
         run_noop(single_scan(tables, *O.WINDOW_ALL))
@@ -82,6 +88,7 @@ def main() -> None:
         "stateless_25_rules_single_scan_sec": round(ss, 3),
         "pipeline_all_rules_two_runs_sec": round(pipeline, 3),
         "stream_stateless_rules_sec": round(stream, 3),
+        "derive_test_tables_once_sec": round(derive, 3),
     }))
     spark.stop()
 
