@@ -138,7 +138,7 @@ def insert_new(df: DataFrame, path: str, keys: list[str], partition_by: list[str
             existing = existing.filter(F.col(col).isin(values))
         if date_bounds is not None and date_col in existing.columns:
             existing = existing.filter(F.col(date_col).between(*date_bounds))
-        batch = batch.join(existing.select(*keys).distinct(), keys, "left_anti")
+        batch = batch.join(existing.select(*keys), keys, "left_anti")
     from pyspark import StorageLevel
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
