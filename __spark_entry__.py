@@ -24,6 +24,7 @@ from auditlens.operators.catalog import get_rule
 from auditlens.operators.enrich import asn_enrich, geo_enrich
 from auditlens.operators.rules_stateless import STATELESS_AUDIT_IDS
 from auditlens.plans.evaluate import evaluate, run_summary
+from auditlens.operators.control import read_run_log
 from auditlens.plans.runner import run_rules
 from auditlens.plans.single_scan import single_scan
 from auditlens.plans.threat_models import THREAT_MODELS, run_threat_models
@@ -181,6 +182,15 @@ def q_pipeline_idempotent(spark, sf_dir):
         "rule_id", "severity", "event_ts", "event_date", "dedupe_key")
 
 
+def q_run_log(spark, sf_dir):
+    """One pipeline run over all rules; the run log it leaves."""
+    t = load_test_tables(spark, sf_dir)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/auditlens-findings-{uuid.uuid4().hex}"
+    run_rules(t, root, *ALL, rule_ids=ALL_RULE_IDS)
+    return flatten_for_compare(read_run_log(spark, f"{root}/run_log").select(
+        "rule_id", "status", "row_count", "window_start_ts", "window_end_ts"))
+
+
 def q_stream(spark, sf_dir):
     """Stateless rules over a file stream of events, merged per micro-batch."""
     root = f"{checkpoint_dir(spark).rstrip('/')}/auditlens-stream-{uuid.uuid4().hex}"
@@ -204,6 +214,7 @@ OTHER_QUERIES = {
     "r04_billing_usage_per_user": _report(R.billing_usage, BILLING_WINDOW),
     "a01_alerts_sso_config_changed": q_alerts,
     "f05_merge_unified_twice": q_pipeline_idempotent,
+    "c05_run_log_all_rules": q_run_log,
     "s01_stream_stateless_rules": q_stream,
 }
 
@@ -225,6 +236,7 @@ def _other_oracles() -> dict[str, str]:
         "r04_billing_usage_per_user": O.billing_usage_sql(*BILLING_WINDOW),
         "a01_alerts_sso_config_changed": O.alerts_sql("D24", *ALL),
         "f05_merge_unified_twice": O.findings_union_sql(all_rw, distinct=True),
+        "c05_run_log_all_rules": O.run_log_sql(all_rw),
         "s01_stream_stateless_rules": O.findings_union_sql(stateless_rw, distinct=True),
     }
 

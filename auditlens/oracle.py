@@ -577,3 +577,13 @@ def alerts_sql(rid: str, lo: str, hi: str, ts_cols=("EVENT_DATE",),
         f"SELECT {dedupe_sql(names)} AS alert_id, EVENT_DATE AS eventTime,"
         " coalesce(SRC_USER, 'unknown') AS user_email, ACTION AS event_type,"
         f" coalesce(SRC_IP, 'unknown') AS source_ip, {js} AS event_data FROM d")
+
+
+def run_log_sql(rule_windows: list[tuple[str, str, str]]) -> str:
+    """C05 after one run: one SUCCESS row per rule with its window and count."""
+    union = "\nUNION ALL\n".join(finding_sql(rid, lo, hi) for rid, lo, hi in rule_windows)
+    dim = ", ".join(f"('{rid}', TIMESTAMP '{lo}', TIMESTAMP '{hi}')" for rid, lo, hi in rule_windows)
+    return prefix(f"f AS ({union})", f"dim(rule_id, lo, hi) AS (VALUES {dim})") + (
+        "SELECT d.rule_id, 'SUCCESS' AS status, CAST(coalesce(c.n, 0) AS BIGINT) AS row_count,"
+        " d.lo AS window_start_ts, d.hi AS window_end_ts FROM dim d"
+        " LEFT JOIN (SELECT rule_id, count(*) AS n FROM f GROUP BY rule_id) c USING (rule_id)")
