@@ -40,6 +40,8 @@ class Rule:
     defaults: dict = field(default_factory=dict)
     output: str = "rows"       # rows | alerts
     user_col: str | None = None  # output column with the acting user (reports)
+    prefilter: Callable[[], Column] | None = None  # cheap superset of the rows a
+    #                                                stateful rule reads (shared scan)
 
     def run(self, tables, earliest=None, latest=None, sort: bool = True,
             output: str | None = None, **params) -> DataFrame:

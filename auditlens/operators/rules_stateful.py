@@ -51,6 +51,7 @@ def login_bursts(tables, earliest=None, latest=None, threshold_seconds: int = 60
 register(Rule("D11", "session_hijacking_frequent_logins", "behavioral", "low",
               "Bursts of public-IP logins by one user within a short interval",
               DAY, "last_seen", build=login_bursts, user_col="email",
+              prefilter=lambda: P.service("accounts") & P.action(*P.LOGIN_ACTIONS),
               defaults={"threshold_seconds": 600, "threshold_value": 2}))
 
 
@@ -84,6 +85,7 @@ def device_switches(tables, earliest=None, latest=None, threshold_secs: int = 60
 register(Rule("D12", "session_hijacking_multi_device", "behavioral", "low",
               "Consecutive logins of one user from another IP or agent within minutes",
               DAY, "event_time", build=device_switches, user_col="email",
+              prefilter=lambda: P.service("accounts") & P.action(*P.LOGIN_ACTIONS),
               defaults={"threshold_secs": 600}))
 
 
@@ -130,10 +132,12 @@ def session_spread(tables, earliest=None, latest=None) -> DataFrame:
 
 register(Rule("D13", "session_hijacking_session_count", "behavioral", "low",
               "Public-IP sessions seen with several user agents within 24 h",
-              DAY, "last_seen", build=session_count, user_col="email"))
+              DAY, "last_seen", build=session_count, user_col="email",
+              prefilter=lambda: F.col("session_id").isNotNull()))
 register(Rule("D13b", "session_hijacking_session_spread", "behavioral", "low",
               "One session used from several IPs or user agents within 24 h",
-              DAY, "last_seen", build=session_spread, user_col="email"))
+              DAY, "last_seen", build=session_spread, user_col="email",
+              prefilter=lambda: F.col("session_id").isNotNull()))
 
 
 # --- D14 -------------------------------------------------------------------
@@ -200,6 +204,7 @@ def token_scanning(tables, earliest, latest, threshold: float = 0.5) -> DataFram
 register(Rule("D14", "token_scanning_activity", "behavioral", "low",
               "Token used from an address far below the owner's usual activity",
               None, "latest_event_time", build=token_scanning, user_col="token_owner",
+              prefilter=lambda: param("authenticationMethod") == "API_EXT_PAT_TOKEN",
               defaults={"threshold": 0.5}))
 
 
@@ -253,4 +258,5 @@ def secret_scanning(tables, earliest=None, latest=None, threshold_seconds: int =
 register(Rule("D32", "secret_scanning_activity", "documented", "low",
               "Many secret reads by one user within a short interval",
               DAY, "last_seen", build=secret_scanning, user_col="email",
+              prefilter=lambda: P.service("secrets") & P.action(*SECRET_READ_ACTIONS),
               defaults={"threshold_seconds": 3600, "threshold_value": 3}))

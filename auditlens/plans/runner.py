@@ -14,7 +14,7 @@ from __future__ import annotations
 import re
 import time
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import JSON_OPTIONS
-from ..functions.time import window_bounds
+from ..functions.time import window_bounds, window_filter
 from ..operators import control as C
 from ..operators import findings as FN
 from ..operators.catalog import Rule, catalog
@@ -133,12 +133,27 @@ def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | Non
         except Exception as e:  # noqa: BLE001 - one failure must not stop the run
             for r in scan_rules:
                 res.failures[r.rule_id] = str(e)
+    # Stateful audit rules read one shared, persisted subset of the window:
+    # the rows any of them can use (their pre-filters OR-ed), one scan.
+    shared = [r for r in other_rules if r.source == "audit" and r.prefilter is not None
+              and r.rule_id in bounds_by_rule]
+    rule_tables, subset = tables, None
+    if len(shared) > 1:
+        lo = min(bounds_by_rule[r.rule_id][0] for r in shared)
+        hi = max(bounds_by_rule[r.rule_id][1] for r in shared)
+        pred = shared[0].prefilter()
+        for r in shared[1:]:
+            pred = pred | r.prefilter()
+        subset = (window_filter(tables.audit, "event_time", F.lit(lo), F.lit(hi))
+                  .filter(pred).persist(StorageLevel.MEMORY_AND_DISK))
+        rule_tables = replace(tables, audit=subset)
     for r in other_rules:
         try:
             if r.rule_id not in bounds_by_rule:
                 raise ValueError(f"{r.rule_id} needs an explicit earliest bound")
             lo, hi = bounds_by_rule[r.rule_id]
-            rows = r.run(tables, F.lit(lo), F.lit(hi), sort=False, output="rows",
+            src = rule_tables if r in shared else tables
+            rows = r.run(src, F.lit(lo), F.lit(hi), sort=False, output="rows",
                          **params.get(r.rule_id, {}))
             std = FN.standardize(rows, r.rule_id, run_id, F.lit(lo), F.lit(hi), r.severity)
             std_frames[r.rule_id] = std
@@ -169,6 +184,8 @@ def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | Non
                 else:
                     _write_rule_table_from_payload(unified, r, root, params, tables.audit.schema)
         unified.unpersist()
+    if subset is not None:
+        subset.unpersist()
 
     for r in rules:
         b = bounds_by_rule.get(r.rule_id, (None, None))
