@@ -19,7 +19,11 @@ DEFAULT_BUCKET_S = 3600
 
 
 def _bucket_size(horizon_s: int, bucket_s: int | None) -> int:
-    return max(int(bucket_s or DEFAULT_BUCKET_S), int(horizon_s), 1)
+    """Explicit size (at least the horizon), else max(1 h, 4 x horizon): at
+    most a quarter of the rows are copied as context."""
+    if bucket_s:
+        return max(int(bucket_s), int(horizon_s), 1)
+    return max(DEFAULT_BUCKET_S, 4 * int(horizon_s), 1)
 
 
 def with_context(df: DataFrame, ts_s: str, horizon_s: int, bucket_s: int | None = None) -> DataFrame:
