@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import predicates as P
 from ..functions.ip import strip_port
 from ..functions.predicates import email, param
-from ..functions.time import DAY, epoch_seconds, window_bounds, window_filter
+from ..functions.time import DAY, THIRTY_DAYS, epoch_seconds, window_bounds, window_filter
 from .catalog import Rule, register
 from .windows import lag_within, range_count
 
@@ -213,7 +213,7 @@ ADMIN_STATEMENT_REGEX = r"^\s*(GRANT|REVOKE|ALTER|DROP|CREATE)\b"
 
 
 def admin_query_spike(tables, earliest=None, latest=None, threshold: float = 1.5) -> DataFrame:
-    lo, hi = window_bounds(earliest, latest, DAY)
+    lo, hi = window_bounds(earliest, latest, THIRTY_DAYS)  # a daily average needs days
     h = (window_filter(tables.history, "start_time", lo, hi)
          .filter(F.upper(F.col("statement_text")).rlike(ADMIN_STATEMENT_REGEX))
          .select("executed_as", F.to_date("start_time").alias("activity_date"),
@@ -229,7 +229,7 @@ def admin_query_spike(tables, earliest=None, latest=None, threshold: float = 1.5
 
 register(Rule("D31", "spike_in_table_admin_activity", "documented", "medium",
               "Day with far more unique admin statements than the user's daily average",
-              "30 days", "activity_date", source="history", build=admin_query_spike,
+              THIRTY_DAYS, "activity_date", source="history", build=admin_query_spike,
               user_col="executed_as", defaults={"threshold": 1.5}))
 
 
