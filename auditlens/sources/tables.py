@@ -47,7 +47,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_DERIVED: dict[tuple, str] = {}
+_DERIVED: dict[tuple, Tables] = {}
 
 
 def derive_test_tables(spark: SparkSession, sf_dir: str) -> Tables:
@@ -77,23 +77,26 @@ def load_test_tables(spark: SparkSession, sf_dir: str, materialize: bool = True)
     import uuid
 
     from ..session import checkpoint_dir
-    derived = derive_test_tables(spark, sf_dir)
     if not materialize:
-        return derived
+        return derive_test_tables(spark, sf_dir)
+    ensure_utc(spark)
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    base = _DERIVED.get(key)
-    if base is None:
-        base = f"{checkpoint_dir(spark).rstrip('/')}/auditlens-derived-{uuid.uuid4().hex}"
-        derived.audit.sortWithinPartitions("event_time").write.parquet(f"{base}/audit")
-        derived.history.sortWithinPartitions("start_time").write.parquet(f"{base}/history")
-        derived.billing.write.parquet(f"{base}/billing")
-        derived.ip_geo.write.parquet(f"{base}/ip_geo")
-        derived.ip_asn.write.parquet(f"{base}/ip_asn")
-        _DERIVED[key] = base
+    cached = _DERIVED.get(key)
+    if cached is not None:
+        return cached
+    derived = derive_test_tables(spark, sf_dir)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/auditlens-derived-{uuid.uuid4().hex}"
+    derived.audit.sortWithinPartitions("event_time").write.parquet(f"{base}/audit")
+    derived.history.sortWithinPartitions("start_time").write.parquet(f"{base}/history")
+    derived.billing.write.parquet(f"{base}/billing")
+    derived.ip_geo.write.parquet(f"{base}/ip_geo")
+    derived.ip_asn.write.parquet(f"{base}/ip_asn")
     rd = spark.read.parquet
-    return Tables(audit=rd(f"{base}/audit"), history=rd(f"{base}/history"),
-                  billing=rd(f"{base}/billing"), ip_geo=rd(f"{base}/ip_geo"),
-                  ip_asn=rd(f"{base}/ip_asn"))
+    tables = Tables(audit=rd(f"{base}/audit"), history=rd(f"{base}/history"),
+                    billing=rd(f"{base}/billing"), ip_geo=rd(f"{base}/ip_geo"),
+                    ip_asn=rd(f"{base}/ip_asn"))
+    _DERIVED[key] = tables   # the files are written once and never change
+    return tables
 
 
 def load_catalog_tables(spark: SparkSession, audit: str, history: str | None = None,
