@@ -35,3 +35,25 @@ def test_threat_model_scoped_to_user(spark, small_tables):
                                       user=USER)
     assert summary.count() == 15
     assert found.filter(~F.col("payload_json").contains(USER)).count() == 0
+
+
+def test_shared_threat_models_equal_per_model_runs(spark, small_tables):
+    import datetime as dt
+    from auditlens.plans.threat_models import THREAT_MODELS, run_threat_models
+    now = dt.datetime(2024, 1, 31)
+    _, shared = run_threat_models(small_tables, now=now)
+    per_model = None
+    for name in THREAT_MODELS:
+        s = run_threat_model(small_tables, name, now=now)[1]
+        per_model = s if per_model is None else per_model.unionByName(s)
+    assert shared.exceptAll(per_model).count() == 0
+    assert per_model.exceptAll(shared).count() == 0
+
+
+def test_catalog_tables_loader(spark, small_tables):
+    from auditlens.operators.catalog import get_rule
+    from auditlens.sources import load_catalog_tables
+    small_tables.audit.createOrReplaceTempView("audit_view_for_test")
+    t = load_catalog_tables(spark, audit="audit_view_for_test")
+    a = get_rule("D04").run(t, *ALL).count()
+    assert a == get_rule("D04").run(small_tables, *ALL).count() > 0
