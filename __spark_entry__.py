@@ -9,6 +9,7 @@ Each key has an equivalent DuckDB query in ``oracle_sql`` unless noted.
 from __future__ import annotations
 
 import datetime as _dt
+import importlib.util
 import uuid
 from collections.abc import Callable
 from functools import partial
@@ -33,6 +34,15 @@ from auditlens.sources import load_test_tables
 from auditlens.sources import projection as PR
 from auditlens.streaming.rules_stream import start_findings_stream, stream_events_audit
 
+try:
+    _TEXT = importlib.util.find_spec("auditlens.llm.entries")
+except ModuleNotFoundError:  # installed without the text operators
+    _TEXT = None
+if _TEXT is not None:
+    from auditlens.llm import entries as TEXT
+else:
+    TEXT = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 ALL = O.WINDOW_ALL
 
@@ -253,6 +263,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for key, (rid, window, params) in RULE_QUERIES.items():
         out[key] = partial(_rule_query, rid, window, params)
     out.update(OTHER_QUERIES)
+    if TEXT is not None:
+        out.update(TEXT.queries())
     return out
 
 
@@ -261,4 +273,6 @@ def oracle_sql() -> dict[str, str]:
     for key, (rid, window, params) in RULE_QUERIES.items():
         out[key] = _rule_oracle(rid, window, params)
     out.update(_other_oracles())
+    if TEXT is not None:
+        out.update(TEXT.oracle_sql())
     return out
