@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from . import quality_rules as QR
 from .common import documents
 from .packing import pack
+from .substring_dedup import substring_dedup
 from .token_count import token_counts
 from .token_files import read_token_files, write_token_files
 
@@ -21,6 +22,11 @@ def op1_quality_rules(spark, sf_dir):
     return QR.quality_rules(documents(spark, sf_dir)).drop("shrunk_rate")
 
 
+def op5_substring_dedup(spark, sf_dir):
+    return substring_dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_token_counts(spark, sf_dir):
     return token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
@@ -38,6 +44,7 @@ def op10_token_files(spark, sf_dir):
 def queries():
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op5_substring_dedup": op5_substring_dedup,
         "op6_token_counts": op6_token_counts,
         "op9_packing": op9_packing,
         "op10_token_files": op10_token_files,
