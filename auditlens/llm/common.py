@@ -6,7 +6,6 @@ Words are runs of characters other than the six ASCII white-space characters
 
 from __future__ import annotations
 
-import gc
 import os
 import uuid
 
@@ -28,28 +27,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Spark's own switch: a finished write drops the shuffle files it made.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def pinned(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation,
-    and what was decided once stays decided.
+    and what was decided once stays decided. The write's shuffle files go when
+    it ends, so the disk holds one step's shuffles at a time.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_FREE_SHUFFLES, "false")
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of finished jobs now.
-
-    The cleaner acts when the driver's garbage collector finds their plans
-    unreachable, which on a quiet driver can take half an hour.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def only(df: DataFrame, *cols: str) -> DataFrame:
     """The named input columns alone, so extra columns can never clash.
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from xxhash import xxh3_64_intdigest
 
 from . import repeats as R
-from .common import pinned, release
+from .common import pinned
 
 OUT = "doc_id long, n_words long, n_removed long, spans array<array<long>>, kept binary"
 _BLOCK_WIDTH, _WINDOW_WIDTH = 6, 8
@@ -52,7 +52,6 @@ def _valid(hashes: np.ndarray, counts: np.ndarray, length: int):
 def substring_dedup(docs: DataFrame, window: int = 35) -> DataFrame:
     """Per document: word counts, removed spans [first, end) and the kept text (UTF-8)."""
     block = (window + 1) // 2
-    spark = docs.sparkSession
     plan = R.plan_for(docs)
     dealt = R.dealt(docs, plan)
     bits = plan.bits
@@ -110,9 +109,7 @@ def substring_dedup(docs: DataFrame, window: int = 35) -> DataFrame:
 
     blocks = pinned(R.repeated(dealt.groupBy("batch").applyInArrow(send_blocks, R.MESSAGE),
                                _BLOCK_WIDTH, indexed=True), "block-hits")
-    release(spark)
     windows = pinned(R.repeated(with_reply(blocks).applyInArrow(send_windows, R.MESSAGE),
                                 _WINDOW_WIDTH), "window-hits")
-    release(spark)
     return with_reply(windows).applyInArrow(remove, OUT)
 

@@ -19,7 +19,6 @@ written each; extra columns are ignored; an empty table gives an empty set.
 from __future__ import annotations
 
 import uuid
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ from pyspark.sql import types as T
 
 from auditlens.session import checkpoint_dir
 
-from .common import only, release
+from .common import only, pinned
 from .tokens import encoder, sliced
 
 _CODES = np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3
@@ -79,9 +78,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, path: str |
     4. the stored ids are coded by rank, shard by shard, without a shuffle.
     """
     spark = docs.sparkSession
-    base = f"{checkpoint_dir(spark).rstrip('/')}/llm"
-    raw_path = f"{base}/token-ids-{uuid.uuid4().hex}"
-    path = path or f"{base}/token-files-{uuid.uuid4().hex}"
+    path = path or f"{checkpoint_dir(spark).rstrip('/')}/llm/token-files-{uuid.uuid4().hex}"
     docs = only(docs, "doc_id", "text")
     rows = docs.count()
     n_shards = int(min(max_shards, max(1, -(-rows // rows_per_shard))))
@@ -117,12 +114,10 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, path: str |
                     ["shard", "doc_id", "start_in_shard", "n_tokens", "width", "ids"])
 
     raw_schema = ROW_SCHEMA + ", width int, ids binary"
-    (docs.mapInArrow(shard_of, "shard int, doc_id long, text string")
-     .repartitionById(n_shards, F.col("shard"))
-     .sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
-     .mapInArrow(encode, raw_schema).write.parquet(raw_path))
-    release(spark)
-    raw = spark.read.schema(raw_schema).parquet(raw_path)
+    raw = pinned(docs.mapInArrow(shard_of, "shard int, doc_id long, text string")
+                 .repartitionById(n_shards, F.col("shard"))
+                 .sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
+                 .mapInArrow(encode, raw_schema), "token-ids")
 
     def count(batches):
         total = np.zeros(0, np.int64)
