@@ -8,6 +8,7 @@ from . import quality_rules as QR
 from .common import documents
 from .packing import pack
 from .substring_dedup import substring_dedup
+from .suffix_dedup import suffix_dedup
 from .token_count import token_counts
 from .token_files import read_token_files, write_token_files
 
@@ -31,6 +32,12 @@ def op6_token_counts(spark, sf_dir):
     return token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
+def op7_suffix_dedup(spark, sf_dir):
+    return suffix_dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_packing(spark, sf_dir):
     return pack(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
@@ -46,6 +53,7 @@ def queries():
         "op1_quality_rules": op1_quality_rules,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_token_counts": op6_token_counts,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op9_packing": op9_packing,
         "op10_token_files": op10_token_files,
     }
