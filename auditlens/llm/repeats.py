@@ -31,14 +31,14 @@ _K_INV = pow(_K, -1, 1 << 64)
 class Plan:
     """Batches and buckets for a corpus of ``n_bytes`` of text."""
 
-    def __init__(self, n_bytes: int, batch_bytes: int = 4 << 20):
+    def __init__(self, n_bytes: int, batch_bytes: int):
         self.batches = max(1, math.ceil(n_bytes / batch_bytes))
         self.bits = max(0, math.ceil(math.log2(self.batches)))
 
 
-def plan_for(docs: DataFrame) -> Plan:
+def plan_for(docs: DataFrame, batch_bytes: int) -> Plan:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0]
-    return Plan(total or 0)
+    return Plan(total or 0, batch_bytes)
 
 
 def dealt(docs: DataFrame, plan: Plan) -> DataFrame:
@@ -57,18 +57,28 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+class Prefixes:
+    """Hash of any run of symbols (64-bit values), from prefix sums."""
+
+    def __init__(self, symbols: np.ndarray):
+        powers = np.full(len(symbols), _K, np.uint64)
+        powers[:1] = 1
+        self.sums = np.zeros(len(symbols) + 1, np.uint64)
+        np.cumsum(symbols * np.cumprod(powers), out=self.sums[1:])
+        powers[1:] = _K_INV
+        self.back = np.cumprod(powers)
+
+    def of(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mixed((self.sums[end] - self.sums[first]) * self.back[first])
+
+    def rolling(self, length: int) -> np.ndarray:
+        """Of every ``length`` consecutive symbols, by start."""
+        n = max(0, len(self.back) - length + 1)
+        return mixed((self.sums[length:length + n] - self.sums[:n]) * self.back[:n])
+
+
 def rolling(symbols: np.ndarray, length: int) -> np.ndarray:
-    """Hash of every ``length`` consecutive symbols (64-bit values), by start."""
-    n = len(symbols) - length + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    powers = np.full(len(symbols), _K, np.uint64)
-    powers[0] = 1
-    sums = np.cumsum(symbols * np.cumprod(powers), dtype=np.uint64)
-    out = sums[length - 1:].copy()
-    out[1:] -= sums[:n - 1]
-    powers[1:] = _K_INV
-    return mixed(out * np.cumprod(powers[:n]))
+    return Prefixes(symbols).rolling(length)
 
 
 def starts_inside(lengths: np.ndarray, length: int) -> np.ndarray:
@@ -85,27 +95,33 @@ def covered(starts: np.ndarray, length: int) -> np.ndarray:
     return np.cumsum(change[:len(starts)]) > 0
 
 
-def _packed(values: np.ndarray, width: int) -> bytes:
+def packed(values: np.ndarray, width: int) -> bytes:
     return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
-def _unpacked(data: bytes, width: int) -> np.ndarray:
+def unpacked(data: bytes, width: int) -> np.ndarray:
     raw = np.zeros((len(data) // width, 8), np.uint8)
     raw[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
     return raw.view("<u8").ravel()
 
 
+def bucket_edges(ascending: np.ndarray, bits: int) -> list[int]:
+    """Where each bucket (the first ``bits`` of a fingerprint) begins, and the end."""
+    first = np.arange(1 << bits, dtype=np.uint64)
+    at = np.searchsorted(ascending, first << np.uint64(64 - bits)) if bits else [0]
+    return [*map(int, at), len(ascending)]
+
+
 def messages(batch: int, prints: np.ndarray, more: np.ndarray, marked: np.ndarray, bits: int, width: int):
     """One row per bucket. ``prints``: the batch's distinct fingerprints, ascending;
     ``more``: which occur twice or more in it; ``marked``: which are index entries."""
     keep = np.uint64(64 - 8 * width)
-    edges = np.searchsorted(prints, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
-                            if bits else np.zeros(1, np.uint64)).tolist() + [len(prints)]
+    edges = bucket_edges(prints, bits)
     rows = []
     for b, (i, j) in enumerate(zip(edges, edges[1:])):
         if i < j:
             p, m, k = prints[i:j] >> keep, more[i:j], marked[i:j]
-            rows.append((batch, b, _packed(p[~m], width), _packed(p[m], width), _packed(p[k], width)))
+            rows.append((batch, b, packed(p[~m], width), packed(p[m], width), packed(p[k], width)))
     cols = zip(*rows) if rows else [()] * 5
     types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
@@ -161,8 +177,8 @@ def repeated(sent: DataFrame, width: int, indexed: bool = False) -> DataFrame:
     (and, if ``indexed``, that some batch sent as an index entry)."""
 
     def merge(table: pa.Table) -> pa.Table:
-        once = [_unpacked(x.as_py(), width) for x in table.column("once")]
-        more = [_unpacked(x.as_py(), width) for x in table.column("more")]
+        once = [unpacked(x.as_py(), width) for x in table.column("once")]
+        more = [unpacked(x.as_py(), width) for x in table.column("more")]
         lists = [(x, np.zeros(len(x), bool)) for x in once] + [(x, np.ones(len(x), bool)) for x in more]
         while len(lists) > 1:  # pairwise, so every entry moves log2(lists) times
             lists = [merged(*lists[i:i + 2]) if i + 1 < len(lists) else lists[i]
@@ -171,9 +187,9 @@ def repeated(sent: DataFrame, width: int, indexed: bool = False) -> DataFrame:
         if indexed and len(hits):
             known = np.zeros(len(hits), bool)
             for x in table.column("marked"):
-                known |= inside(hits, _unpacked(x.as_py(), width))
+                known |= inside(hits, unpacked(x.as_py(), width))
             hits = hits[known]
-        out = [_packed(np.concatenate([o[inside(o, hits)], m[inside(m, hits)]]), width)
+        out = [packed(np.concatenate([o[inside(o, hits)], m[inside(m, hits)]]), width)
                for o, m in zip(once, more)]
         # Whole fingerprints again: the bucket is their first bits.
         got = pa.Table.from_arrays([table.column("batch").combine_chunks(), pa.array(out, pa.binary())],
@@ -185,7 +201,7 @@ def repeated(sent: DataFrame, width: int, indexed: bool = False) -> DataFrame:
 
 def hit_list(table: pa.Table, width: int) -> np.ndarray:
     """The fingerprints of a batch's reply, ascending, in their place of 64 bits."""
-    got = [_unpacked(x.as_py(), width) for x in table.column("hits")]
+    got = [unpacked(x.as_py(), width) for x in table.column("hits")]
     if not got:
         return np.zeros(0, np.uint64)
     return np.sort(np.concatenate(got)) << np.uint64(64 - 8 * width)

@@ -49,10 +49,10 @@ def _valid(hashes: np.ndarray, counts: np.ndarray, length: int):
     return at, R.rolling(hashes, length)[at]
 
 
-def substring_dedup(docs: DataFrame, window: int = 35) -> DataFrame:
+def substring_dedup(docs: DataFrame, window: int = 35, batch_bytes: int = 4 << 20) -> DataFrame:
     """Per document: word counts, removed spans [first, end) and the kept text (UTF-8)."""
     block = (window + 1) // 2
-    plan = R.plan_for(docs)
+    plan = R.plan_for(docs, batch_bytes)
     dealt = R.dealt(docs, plan)
     bits = plan.bits
 

@@ -3,20 +3,25 @@
 A byte goes if a string of ``length`` bytes that covers it starts anywhere
 else in the corpus. Shards are batches of documents (see ``repeats``).
 
-1. Candidate regions. Of every ``length - seed + 1`` consecutive ``seed``-byte
-   strings the least hash is an anchor, so equal strings of ``length`` bytes
-   have an equal anchor at the same place. Anchors (about one in 85 bytes) are
-   counted across shards; text near no repeated anchor is out, exactly.
-2. Each shard builds the suffix array of its regions by Larsson-Sadakane
-   refinement and common prefixes by Kasai's rule. Neighbours that share
-   ``length`` bytes are one string; each distinct string is sent once, as the
-   fingerprint of its bytes, marked if the shard has it twice or more.
+1. Owners. The least-hash ``seed``-byte string inside a string of ``length``
+   bytes (the last, on ties) owns it, so equal strings have equal owners at the
+   same place. An owner's strings lie side by side and make up its *span*.
+   Owners (about one in 65 bytes) are counted across shards by seed and span.
+   A seed that occurs once has no repeated strings; a span that occurs twice
+   has only repeated ones. What stays open are spans that occur once while
+   their seed has others: texts just before and after a repeat's edge.
+2. Each shard builds the suffix array of its open regions (and of one copy of
+   each repeated span whose seed has others) by Larsson-Sadakane refinement,
+   and common prefixes by Kasai's rule. Neighbours that share ``length`` bytes
+   are one string; each distinct string is sent once, as the fingerprint of its
+   bytes, marked if the shard has it twice or more.
 3. The shards' sorted lists are merged by binary search; a string found in two
    shards, or twice in one, repeats. Every shard then removes what its
    repeated strings cover.
 
-The shuffle carries text by shard (once a step) and eight bytes for each
-distinct candidate string, however often it occurs.
+The shuffle carries text by shard (once a step), 14 bytes an owner, one byte
+back, and eight bytes for each distinct open string. A passage that any number
+of documents share is one list entry per shard.
 
 Defined cases: a null or empty text has no bytes; matches never cross
 documents; exact copies and repeated rows remove one another; the kept bytes
@@ -28,6 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 
 from . import repeats as R
@@ -35,7 +41,10 @@ from .common import pinned
 from .suffix_arrays import common_prefixes, suffix_array
 
 OUT = "doc_id long, n_bytes long, n_removed long, spans array<array<long>>, kept binary"
-_SEED, _ANCHOR_WIDTH, _STRING_WIDTH = 32, 6, 8
+_PAIRS = "batch int, bucket int, seed binary, span binary, more binary"
+_SETTLED = "batch int, bucket int, hits binary"
+_SEED, _SEED_WIDTH = 32, 6
+_REPEATED, _OPEN = 1, 2
 #: A fixed random 64-bit value per byte, for the rolling hash.
 _BYTE_VALUES = np.random.Generator(np.random.PCG64(20240611)).integers(0, 1 << 64, 256, np.uint64)
 
@@ -55,46 +64,111 @@ def _slide(values: np.ndarray, width: int, op) -> np.ndarray:
     return op(out[:len(values) - width + 1], out[width - done:]) if done < width else out
 
 
-def anchors(data: np.ndarray, lengths: np.ndarray, length: int):
-    """(positions, hashes) of the anchors of all texts laid end to end."""
-    span = length - _SEED + 1
-    if len(data) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    seeds = R.rolling(_BYTE_VALUES[data], _SEED)
-    least = _slide(seeds, span, np.minimum)  # by start of the whole string
-    # A string across two texts chooses none: 0 is below every real minimum.
-    least[~R.starts_inside(lengths, length)[:len(least)]] = 0
-    padded = np.zeros(len(least) + 2 * (span - 1), np.uint64)
-    padded[span - 1:span - 1 + len(least)] = least
-    chosen = _slide(padded, span, np.maximum) == seeds
-    at = np.flatnonzero(chosen)
-    return at, seeds[at]
-
-
-def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
+class Owners:
+    """The owners of all strings of ``length`` bytes in texts laid end to end.
+
+    ``own``: each owner's seed hash and span hash; ``first``/``last``: the starts
+    of its first and last string; ``keys``: the distinct (seed, span) pairs in
+    order, ``key``: each owner's place among them, ``more``: which occur again.
+    """
+
+    def __init__(self, data: np.ndarray, lengths: np.ndarray, length: int):
+        self.hash = R.Prefixes(_BYTE_VALUES[data])
+        starts = np.flatnonzero(R.starts_inside(lengths, length))
+        seed, span = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.first = self.last = np.zeros(0, np.int64)
+        if len(starts):
+            seeds, reach = self.hash.rolling(_SEED), length - _SEED
+            least = _slide(seeds, reach + 1, np.minimum)[starts]
+            lows = np.zeros(len(seeds) + reach, np.uint64)  # by start of string, shifted
+            lows[starts + reach] = least
+            low = np.flatnonzero(_slide(lows, reach + 1, np.maximum)[:len(seeds)] == seeds)
+            upto = np.zeros(len(seeds), np.int32)
+            upto[low] = 1
+            owner = np.cumsum(upto, dtype=np.int32)[starts + reach] - 1  # last low seed inside
+            wrong = np.flatnonzero(seeds[low[owner]] != least)
+            while len(wrong):
+                owner[wrong] -= 1
+                wrong = wrong[seeds[low[owner[wrong]]] != least[wrong]]
+            turn = np.flatnonzero(np.diff(owner, prepend=-1))
+            self.first = starts[turn]
+            self.last = starts[np.append(turn[1:], len(starts)) - 1]
+            at = low[owner[turn]]
+            seed = seeds[at] & ~np.uint64((1 << 64 - 8 * _SEED_WIDTH) - 1)
+            place = (at - self.first).astype(np.uint64) << np.uint64(32)
+            size = (self.last - self.first).astype(np.uint64)
+            span = R.mixed(self.hash.of(self.first, self.last + length) ^ R.mixed(place | size))
+        order = np.lexsort((span, seed))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(seed[order]) != 0) | (np.diff(span[order]) != 0)
+        at = np.flatnonzero(new)
+        self.seed, self.span = seed[order[at]], span[order[at]]
+        self.more = np.diff(np.append(at, len(order))) > 1
+        self.key = np.empty(len(order), np.int64)
+        self.key[order] = np.cumsum(new) - 1
+
+    def starts(self, chosen: np.ndarray, n: int) -> np.ndarray:
+        """Over ``n`` positions, the starts of the strings of the chosen owners."""
+        change = np.zeros(n + 1, np.int32)
+        np.add.at(change, self.first[chosen], 1)
+        np.add.at(change, self.last[chosen] + 1, -1)
+        return np.cumsum(change[:n]) > 0
+
+
+def settle(table: pa.Table) -> pa.Table:
+    """A bucket of (seed, span) pairs of all shards: each shard's answers, in its order.
+
+    _REPEATED: the span occurs twice; _OPEN: its strings are to be compared.
+    """
+    parts = [(R.unpacked(s.as_py(), _SEED_WIDTH), np.frombuffer(p.as_py(), "<u8"), np.frombuffer(m.as_py(), bool))
+             for s, p, m in zip(table.column("seed"), table.column("span"), table.column("more"))]
+    seed, span, more = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((span, seed))  # stable: a pair's first shard comes first
+    s, p = seed[order], span[order]
+    new_seed, new_pair = np.ones(len(s), bool), np.ones(len(s), bool)
+    new_seed[1:] = s[1:] != s[:-1]
+    new_pair[1:] = new_seed[1:] | (p[1:] != p[:-1])
+    pair = np.cumsum(new_pair) - 1
+    twice = np.bincount(pair, weights=1 + more[order]) > 1
+    spans_of_seed = np.bincount((np.cumsum(new_seed) - 1)[new_pair])
+    others = spans_of_seed[np.cumsum(new_seed) - 1] > 1
+    answer = np.empty(len(s), np.uint8)
+    answer[order] = _REPEATED * twice[pair] | _OPEN * (others & (new_pair | ~twice[pair]))
+    cuts = np.cumsum([len(x[0]) for x in parts])[:-1]
+    return pa.Table.from_arrays(
+        [table.column("batch").combine_chunks(), table.column("bucket").combine_chunks(),
+         pa.array([x.tobytes() for x in np.split(answer, cuts)], pa.binary())], ["batch", "bucket", "hits"])
+
+
+def answers(reply: pa.Table, owners: Owners) -> np.ndarray:
+    """Each owner's answer from its batch's replies to step 1."""
+    rows = sorted((b, h) for b, h in zip(reply.column("bucket").to_pylist(), reply.column("hits").to_pylist())
+                  if b is not None)
+    return np.frombuffer(b"".join(h for _, h in rows), np.uint8)[owners.key]
+
+
+def suffix_dedup(docs: DataFrame, length: int = 200, batch_bytes: int = 4 << 20) -> DataFrame:
     """Per document: byte counts, removed spans [first, end) and the kept bytes."""
-    plan = R.plan_for(docs)
+    plan = R.plan_for(docs, batch_bytes)
     dealt = R.dealt(docs, plan)
     bits = plan.bits
 
-    def send_anchors(table: pa.Table) -> pa.Table:
-        data, lengths = _bytes(table)
-        prints, more = R.distinct(anchors(data, lengths, length)[1], _ANCHOR_WIDTH)
-        return R.messages(table.column("batch")[0].as_py(), prints, more, np.zeros(len(prints), bool),
-                          bits, _ANCHOR_WIDTH)
+    def send_owners(table: pa.Table) -> pa.Table:
+        o = Owners(*_bytes(table), length)
+        batch, edges = table.column("batch")[0].as_py(), R.bucket_edges(o.seed, bits)
+        rows = [(batch, b, R.packed(o.seed[i:j] >> np.uint64(64 - 8 * _SEED_WIDTH), _SEED_WIDTH),
+                 o.span[i:j].tobytes(), o.more[i:j].tobytes())
+                for b, (i, j) in enumerate(zip(edges, edges[1:])) if i < j]
+        cols = list(zip(*rows)) or [()] * 5
+        return pa.Table.from_arrays(
+            [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
+            ["batch", "bucket", "seed", "span", "more"])
 
     def send_strings(key, table: pa.Table, reply: pa.Table) -> pa.Table:
         data, lengths = _bytes(table)
-        at, seeds = anchors(data, lengths, length)
-        cut = ~np.uint64((1 << 64 - 8 * _ANCHOR_WIDTH) - 1)
-        hit = np.zeros(len(data) + 1, np.int32)
-        hit[at[R.inside(seeds & cut, R.hit_list(reply, _ANCHOR_WIDTH))] + 1] = 1
-        hit = np.cumsum(hit, dtype=np.int32)  # repeated anchors that start before each place
-        fits = np.flatnonzero(R.starts_inside(lengths, length))
-        starts = np.zeros(len(data), bool)
-        starts[fits] = hit[fits + length - _SEED + 1] > hit[fits]
-        inside = R.covered(starts, length)
-        place = np.flatnonzero(inside)  # of each region byte in the batch's text
+        o = Owners(data, lengths, length)
+        starts = o.starts(answers(reply, o) & _OPEN > 0, len(data))
+        place = np.flatnonzero(R.covered(starts, length))  # of each region byte in the batch's text
         doc_end = np.repeat(np.cumsum(lengths), lengths)[place]
         last = np.ones(len(place), bool)  # a region ends at a gap or its text's end
         last[:-1] = (np.diff(place) > 1) | (place[:-1] + 1 == doc_end[:-1])
@@ -102,23 +176,25 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
         end = np.repeat(ends, np.diff(np.concatenate(([0], ends))))
         region = data[place]
         order = suffix_array(region, end)
-        shared = common_prefixes(region, end, order, length)
-        whole = end[order] - order >= length
-        first = np.flatnonzero(whole & (shared < length))  # each distinct string's first place
-        twice = np.zeros(len(order) + 1, bool)
-        twice[:len(order)] = shared >= length
-        prints = R.rolling(_BYTE_VALUES[region], length)[order[first]]
+        string = np.cumsum(common_prefixes(region, end, order, length) < length)
+        sent = starts[place[order]]
+        order, string = order[sent], string[sent]
+        first = np.flatnonzero(np.diff(string, prepend=-1))  # each distinct string's first place
+        more = np.diff(np.append(first, len(string))) > 1
+        at = place[order[first]]
+        prints = o.hash.of(at, at + length)
         turn = np.argsort(prints)
-        return R.messages(key[0].as_py(), prints[turn], twice[first + 1][turn],
-                          np.zeros(len(turn), bool), bits, _STRING_WIDTH)
+        return R.messages(key[0].as_py(), prints[turn], more[turn], np.zeros(len(turn), bool), bits, 8)
 
     def remove(key, table: pa.Table, reply: pa.Table) -> pa.Table:
         data, lengths = _bytes(table)
-        hits = R.hit_list(reply, _STRING_WIDTH)
-        starts = np.zeros(len(data), bool)
+        o = Owners(data, lengths, length)
+        answer = answers(reply, o)
+        starts = o.starts(answer & _REPEATED > 0, len(data))
+        hits = R.hit_list(reply.filter(pa.compute.is_null(reply.column("bucket"))), 8)
         if len(hits):
-            fits = np.flatnonzero(R.starts_inside(lengths, length))
-            starts[fits] = R.lookup(R.rolling(_BYTE_VALUES[data], length)[fits], hits)
+            at = np.flatnonzero(o.starts(answer & _OPEN > 0, len(data)))
+            starts[at] |= R.inside(o.hash.of(at, at + length), hits)
         gone = R.covered(starts, length)
         ends = np.cumsum(lengths)
         removed, spans, kept = [], [], []
@@ -137,8 +213,8 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
     def with_reply(reply):
         return dealt.groupBy("batch").cogroup(reply.groupBy("batch"))
 
-    hits = pinned(R.repeated(dealt.groupBy("batch").applyInArrow(send_anchors, R.MESSAGE), _ANCHOR_WIDTH),
-                  "anchor-hits")
-    strings = pinned(R.repeated(with_reply(hits).applyInArrow(send_strings, R.MESSAGE), _STRING_WIDTH),
-                     "string-hits")
-    return with_reply(strings).applyInArrow(remove, OUT)
+    settled = pinned(dealt.groupBy("batch").applyInArrow(send_owners, _PAIRS)
+                     .groupBy("bucket").applyInArrow(settle, _SETTLED), "owner-answers")
+    strings = pinned(R.repeated(with_reply(settled).applyInArrow(send_strings, R.MESSAGE), 8), "string-hits")
+    both = settled.unionByName(strings, allowMissingColumns=True)  # bucket is null in the second
+    return with_reply(both).applyInArrow(remove, OUT)
