@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from . import quality_rules as QR
 from .common import documents
+from .jaccard_join import jaccard_join
 from .packing import pack
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
@@ -23,6 +24,10 @@ def op1_quality_rules(spark, sf_dir):
     return QR.quality_rules(documents(spark, sf_dir)).drop("shrunk_rate")
 
 
+def op4_jaccard_join(spark, sf_dir):
+    return jaccard_join(documents(spark, sf_dir))
+
+
 def op5_substring_dedup(spark, sf_dir):
     return substring_dedup(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -51,6 +56,7 @@ def op10_token_files(spark, sf_dir):
 def queries():
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op4_jaccard_join": op4_jaccard_join,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_token_counts": op6_token_counts,
         "op7_suffix_dedup": op7_suffix_dedup,
