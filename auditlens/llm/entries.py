@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import quality_rules as QR
-from .common import documents
+from .common import documents, table
+from .decontaminate import decontaminate
 from .jaccard_join import jaccard_join
 from .packing import pack
 from .substring_dedup import substring_dedup
@@ -24,6 +25,10 @@ def op1_quality_rules(spark, sf_dir):
     return QR.quality_rules(documents(spark, sf_dir)).drop("shrunk_rate")
 
 
+def op3_decontaminate(spark, sf_dir):
+    return decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op4_jaccard_join(spark, sf_dir):
     return jaccard_join(documents(spark, sf_dir))
 
@@ -56,6 +61,7 @@ def op10_token_files(spark, sf_dir):
 def queries():
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op3_decontaminate": op3_decontaminate,
         "op4_jaccard_join": op4_jaccard_join,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_token_counts": op6_token_counts,
