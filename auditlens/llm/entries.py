@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import quality_classifier as QC
 from . import quality_rules as QR
 from .common import documents, table
 from .decontaminate import decontaminate
@@ -12,6 +13,7 @@ from .packing import pack
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 from .token_count import token_counts
+from .toxicity import toxicity
 from .token_files import read_token_files, write_token_files
 
 
@@ -25,6 +27,10 @@ def op1_quality_rules(spark, sf_dir):
     return QR.quality_rules(documents(spark, sf_dir)).drop("shrunk_rate")
 
 
+def op2_quality_classifier(spark, sf_dir):
+    return QC.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op3_decontaminate(spark, sf_dir):
     return decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
@@ -48,6 +54,10 @@ def op7_suffix_dedup(spark, sf_dir):
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_toxicity(spark, sf_dir):
+    return toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op9_packing(spark, sf_dir):
     return pack(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
@@ -61,11 +71,13 @@ def op10_token_files(spark, sf_dir):
 def queries():
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_quality_classifier": op2_quality_classifier,
         "op3_decontaminate": op3_decontaminate,
         "op4_jaccard_join": op4_jaccard_join,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_token_counts": op6_token_counts,
         "op7_suffix_dedup": op7_suffix_dedup,
+        "op8_toxicity": op8_toxicity,
         "op9_packing": op9_packing,
         "op10_token_files": op10_token_files,
     }
