@@ -34,14 +34,16 @@ from auditlens.sources import load_test_tables
 from auditlens.sources import projection as PR
 from auditlens.streaming.rules_stream import start_findings_stream, stream_events_audit
 
-try:
-    _TEXT = importlib.util.find_spec("auditlens.llm.entries")
-except ModuleNotFoundError:  # installed without the text operators
-    _TEXT = None
-if _TEXT is not None:
-    from auditlens.llm import entries as TEXT
-else:
-    TEXT = None
+def _present(module: str) -> bool:
+    """Whether a module is installed; one that is there but fails to import still raises."""
+    try:
+        return importlib.util.find_spec(module) is not None
+    except ModuleNotFoundError:
+        return False
+
+
+TEXT = importlib.import_module("auditlens.llm.entries") if _present("auditlens.llm.entries") else None
+PIPELINE = importlib.import_module("corpus_pipeline") if TEXT and _present("corpus_pipeline") else None
 
 SF_SMOKE = "/root/testdata/sf0.001"
 ALL = O.WINDOW_ALL
@@ -265,6 +267,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out.update(OTHER_QUERIES)
     if TEXT is not None:
         out.update(TEXT.queries())
+    if PIPELINE is not None:
+        out["pipeline"] = PIPELINE.run
     return out
 
 
@@ -275,4 +279,6 @@ def oracle_sql() -> dict[str, str]:
     out.update(_other_oracles())
     if TEXT is not None:
         out.update(TEXT.oracle_sql())
+    if PIPELINE is not None and PIPELINE.ORACLE_SQL:
+        out["pipeline"] = PIPELINE.ORACLE_SQL
     return out
