@@ -35,7 +35,7 @@ from . import repeats as R
 from .common import only, pinned
 from .tokens import sliced
 
-_SLOTS = 1 << 21
+_SLOTS = 1 << 23
 _PARTS = 64
 #: Lists above this many classes are worked on in blocks of this many.
 BLOCK = 64
@@ -74,7 +74,7 @@ def frequency_sketch(docs: DataFrame, n: int) -> np.ndarray:
         for batch in batches:
             for b in sliced(batch):
                 members, _ = shingle_sets(_texts(b), n)
-                np.add.at(total, (members >> np.uint64(43)).astype(np.int64), 1)
+                np.add.at(total, (members >> np.uint64(41)).astype(np.int64), 1)
         if total.any():
             parts = np.minimum(total, 65535).astype("<u2").reshape(_PARTS, -1)
             yield pa.RecordBatch.from_arrays([pa.array(range(_PARTS), pa.int32()),
@@ -104,7 +104,7 @@ def _signatures(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> Da
         for batch in batches:
             for b in sliced(batch):
                 members, counts = shingle_sets(_texts(b), n)
-                rank = frequency[(members >> np.uint64(43)).astype(np.int64)]
+                rank = frequency[(members >> np.uint64(41)).astype(np.int64)]
                 out, at = [], 0
                 for size in counts.tolist():
                     s, f = members[at:at + size], rank[at:at + size]
@@ -169,7 +169,8 @@ def _forest(sets: list[np.ndarray], rows: np.ndarray, cols: np.ndarray, percent:
 
 def components(edges: DataFrame) -> DataFrame:
     """cls, label (least class reachable) for every class with an edge (a, b)."""
-    both = pinned(edges.unionByName(edges.selectExpr("b AS a", "a AS b")).distinct(), "links")
+    edges = pinned(edges, "links")  # verified once, read in both directions
+    both = pinned(edges.unionByName(edges.selectExpr("b AS a", "a AS b")).distinct(), "both-ways")
     labels = pinned(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label"))
                     .withColumnRenamed("a", "cls"), "labels")
     while True:
