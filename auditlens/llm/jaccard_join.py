@@ -14,7 +14,9 @@ size - ceil(percent * size / 100) + 1 members, in any order common to all sets.
    a long one is dealt to blocks, each pair of blocks a task's work, which
    emits only a spanning forest of the links it finds. So a long list is never
    gathered in one place, and no row is made for each of its pairs.
-4. Pairs are verified on the whole sets; links give components by repeated
+4. A pair's overlap is at most the sum, over 64 ranges of hash values, of the
+   lesser member count: pairs below the need go, which takes nearly all chance
+   candidates. The others are verified on the whole sets. Links give components by repeated
    least labels with pointer jumping.
 
 Defined cases: a null or empty text has an empty set and links with nothing; a
@@ -38,7 +40,9 @@ from .tokens import sliced
 _SLOTS = 1 << 23
 _PARTS = 64
 #: Lists above this many classes are worked on in blocks of this many.
-BLOCK = 64
+BLOCK = 256
+#: Ranges of hash values whose member counts make up a set's profile.
+_RANGES = 64
 
 
 def shingle_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,15 +117,18 @@ def _signatures(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> Da
                     first = s[np.lexsort((s, f))[:k]]
                     out.append((size, xxh3_128_digest(s.tobytes()) if size else None,
                                 xxh3_128_digest(first.tobytes() + size.to_bytes(8, "little")),
-                                first.view(np.int64)))
-                cols = list(zip(*out)) or [()] * 4
+                                first.view(np.int64),
+                                np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=_RANGES)
+                                .astype("<u4").tobytes()))
+                cols = list(zip(*out)) or [()] * 5
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()),
-                     pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.list_(pa.int64()))],
-                    ["doc_id", "n_shingles", "sig", "grp", "prefix"])
+                     pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.list_(pa.int64())),
+                     pa.array(cols[4], pa.binary())],
+                    ["doc_id", "n_shingles", "sig", "grp", "prefix", "profile"])
 
     return only(docs, "doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, sig binary, grp binary, prefix array<long>")
+        run, "doc_id long, n_shingles long, sig binary, grp binary, prefix array<long>, profile binary")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -191,7 +198,7 @@ def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     marked = pinned(_signatures(docs, n, percent, frequency_sketch(docs, n)), "signatures")
     classes = (marked.filter("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig")
                .agg(F.min("doc_id").alias("cls"), F.first("n_shingles").alias("size"), F.first("grp").alias("grp"),
-                    F.first("prefix").alias("prefix")))
+                    F.first("prefix").alias("prefix"), F.first("profile").alias("profile")))
     classes = pinned(classes, "classes")
     groups = classes.groupBy("grp", "size").agg(F.count(F.lit(1)).alias("n_classes"), F.first("prefix").alias("prefix"))
     # A group's own list (its key's hash) serves the pairs inside it.
@@ -206,9 +213,21 @@ def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
 
     short = entries.filter(F.col("length") <= BLOCK)
     x, y = short.alias("x"), short.alias("y")
-    pairs = pinned(x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cls") < F.col("y.cls"))
+
+    def may_link(batches):
+        for b in batches:
+            p, q = (np.frombuffer(b"".join(b.column(c).to_pylist()), "<u4").reshape(-1, _RANGES).astype(np.int64)
+                    for c in ("p", "q"))
+            most = np.minimum(p, q).sum(1)
+            need = 100 * most >= percent * (p.sum(1) + q.sum(1) - most)
+            yield b.select(["a", "b"]).filter(pa.array(need, pa.bool_()))
+
+    pairs = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cls") < F.col("y.cls"))
                           & (100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size")))
-                   .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct(), "pairs")
+                   .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct())
+    pairs = pinned(pairs.join(classes.select(F.col("cls").alias("a"), F.col("profile").alias("p")), "a")
+                   .join(classes.select(F.col("cls").alias("b"), F.col("profile").alias("q")), "b")
+                   .select("a", "b", "p", "q").mapInArrow(may_link, "a long, b long"), "pairs")
     long = entries.filter(F.col("length") > BLOCK)
     wanted = (pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(long.select("cls")).distinct()
               .join(classes.select("cls", "sig"), "cls"))
