@@ -48,7 +48,6 @@ RUN_LOG_SCHEMA = T.StructType([
     T.StructField("error_message", T.StringType()),
     T.StructField("created_at", T.TimestampType()),
 ])
-ERROR_TEXT_LIMIT = 10_000
 
 
 # --- versioned small tables -------------------------------------------------
@@ -141,7 +140,9 @@ def update_checkpoints(runs: DataFrame, path: str) -> int:
     ok = F.col("r.status") == "SUCCESS"
     merged = cur.join(r, F.col("c.rule_id") == F.col("r.rule_id"), "full_outer").select(
         F.coalesce("r.rule_id", "c.rule_id").alias("rule_id"),
-        F.when(ok, F.col("r.window_end_ts")).otherwise(F.col("c.last_success_end_ts"))
+        # A back-fill of an old window never moves the end backwards.
+        F.when(ok, F.greatest("r.window_end_ts", "c.last_success_end_ts"))
+        .otherwise(F.col("c.last_success_end_ts"))
         .alias("last_success_end_ts"),
         F.coalesce("r.started_at", "c.last_attempt_start_ts").alias("last_attempt_start_ts"),
         F.coalesce("r.finished_at", "c.last_attempt_end_ts").alias("last_attempt_end_ts"),
@@ -163,8 +164,6 @@ def run_log_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
     fixed = []
     for r in rows:
         d = {f.name: r.get(f.name) for f in RUN_LOG_SCHEMA.fields}
-        if d["error_message"]:
-            d["error_message"] = d["error_message"][:ERROR_TEXT_LIMIT]
         fixed.append(d)
     return spark.createDataFrame(fixed, RUN_LOG_SCHEMA)
 

@@ -17,6 +17,7 @@ insert-only merging into parquet tables.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,11 +112,14 @@ def to_unified(std: DataFrame, time_col: str | None) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """False only where nothing has been written yet; any other read error is raised."""
     try:
         spark.read.parquet(path).schema
         return True
-    except Exception:  # noqa: BLE001 - no files yet
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def insert_new(df: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None,

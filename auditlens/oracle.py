@@ -112,9 +112,7 @@ STATELESS: dict[str, tuple[list, str]] = {
                          " OR (action_name = 'downloadQueryResult' AND coalesce(p_fileType, '') <> 'arrows'))"),
     "D10": ([("event_time", "EVENT_DATE"), ("action_name", "ACTION"), (OK, "STATUS"),
              ("p_target_user_name", "TARGET_USER"),
-             ("CASE WHEN action_name IN ('removePrincipalFromGroup', 'addPrincipalToGroup') "
-              "THEN p_target_group_name WHEN action_name IN ('createGroup', 'removeGroup') "
-              "THEN p_target_user_name END", "USER_GROUP"),
+             ("p_target_group_name", "USER_GROUP"),
              ("email", "SRC_USER")] + TAIL, f"{ACC} AND action_name = 'addPrincipalToGroup'"),
     "D15": ([("event_time", "EVENT_DATE"), ("action_name", "ACTION"), (OK, "STATUS"),
              ("email", "SRC_USER"), ("p_targetUserName", "TARGET_USER"), ("p_endpoint", "ENDPOINT"),
@@ -186,8 +184,7 @@ STATELESS: dict[str, tuple[list, str]] = {
             f"{ACC} AND action_name IN {_in(P.ROLE_ACTIONS)}"),
     "D29": ([("event_time", "EVENT_DATE"), ("action_name", "ACTION"), (OK, "STATUS"),
              ("email", "SRC_USER"), ("p_workspaceConfKeys", "CONF_KEY"),
-             ("CASE WHEN p_workspaceConfValues = 'false' THEN 'Disabled' ELSE 'Enabled' END",
-              "CONF_VALUE")] + TAIL,
+             ("'Disabled'", "CONF_VALUE")] + TAIL,
             f"service_name = 'workspace' AND {CONF_EDIT} AND p_workspaceConfKeys = 'enableVerboseAuditLogs'"
             " AND p_workspaceConfValues = 'false'"),
     "D30": ([("event_time", "EVENT_TIME"), ("action_name", "ACTION"),

@@ -15,7 +15,7 @@ import re
 import time
 import uuid
 from dataclasses import dataclass, field, replace
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -43,7 +43,7 @@ def select_rules(group: str | None = None, pattern: str | None = None,
                  rule_ids: list[str] | None = None, enabled: set[str] | None = None) -> list[Rule]:
     rules = list(catalog().values())
     if rule_ids is not None:
-        rules = [r for r in rules if r.rule_id in rule_ids]
+        rules = [r for r in rules if r.rule_id in rule_ids or r.name in rule_ids]
     if group is not None:
         rules = [r for r in rules if r.group == group]
     if pattern is not None:
@@ -55,7 +55,7 @@ def select_rules(group: str | None = None, pattern: str | None = None,
 
 
 def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    return datetime.now(timezone.utc)
 
 
 def _resolve_bounds(spark, earliest, latest, rules: list[Rule],
@@ -68,12 +68,15 @@ def _resolve_bounds(spark, earliest, latest, rules: list[Rule],
         if r.lookback is None and start is None:
             continue
         lo, hi = window_bounds(start, latest, r.lookback)
-        exprs += [lo.cast("timestamp").alias(f"lo{i}"), hi.cast("timestamp").alias(f"hi{i}")]
+        exprs += [F.unix_micros(lo.cast("timestamp")).alias(f"lo{i}"),
+                  F.unix_micros(hi.cast("timestamp")).alias(f"hi{i}")]
     if not exprs:
         return {}
-    row = spark.range(1).select(*exprs).first().asDict()
+    # Instants, not wall-clock times: the driver's own time zone plays no part.
+    row = {k: datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=v)
+           for k, v in spark.range(1).select(*exprs).first().asDict().items() if v is not None}
     return {r.rule_id: (row[f"lo{i}"], row[f"hi{i}"]) for i, r in enumerate(rules)
-            if f"lo{i}" in row}
+            if f"lo{i}" in row and f"hi{i}" in row}
 
 
 def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | None = None,
@@ -84,9 +87,13 @@ def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | Non
     """``write_rule_tables``: also write the per-rule tables (rule columns +
     metadata); every rule's columns are always in the unified payload (see
     :func:`rule_findings_from_unified`).
-    ``resume``: a rule with a successful checkpoint starts at the end of its
-    last processed window instead of ``earliest`` (inclusive bounds: rows on
-    the boundary are seen twice and de-duplicated by the merge)."""
+    ``resume``: a stateless rule with a successful checkpoint starts at the end
+    of its last processed window instead of ``earliest`` (inclusive bounds: rows
+    on the boundary are seen twice and de-duplicated by the merge). The other
+    rules need the rows before a finding, so they run over the whole window again.
+
+    A rule asked for by id or name that is unknown or not enabled is logged as
+    FAILED and raises; so does a failure of the sinks."""
     spark = tables.audit.sparkSession
     root = root.rstrip("/")
     params = params or {}
@@ -98,12 +105,21 @@ def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | Non
     rules = select_rules(group, pattern, rule_ids, enabled)
     res = RunResult(run_id)
     log_rows: list[dict] = []
+    names = {x for r in rules for x in (r.rule_id, r.name)}
+    if missing := [r for r in rule_ids or [] if r not in names]:
+        error = f"unknown or not enabled: {', '.join(missing)}"
+        C.append_run_log(C.run_log_rows(spark, [
+            _log(run_id, r, (None, None), _now(), "FAILED", None, 0, error) for r in missing]),
+            f"{root}/run_log")
+        raise ValueError(error)
 
     resume_from = None
     if resume:
+        stateless = [r.rule_id for r in rules if r.stateless is not None]
         resume_from = {r["rule_id"]: r["last_success_end_ts"] for r in
                        C.read_checkpoints(spark, f"{root}/checkpoints")
-                       .filter(F.col("last_success_end_ts").isNotNull())
+                       .filter(F.col("last_success_end_ts").isNotNull()
+                               & F.col("rule_id").isin(stateless))
                        .select("rule_id", "last_success_end_ts").collect()}
     bounds_by_rule = _resolve_bounds(spark, earliest, latest, rules, resume_from)
     scan_rules = [r for r in rules if use_single_scan and r.stateless is not None
@@ -171,21 +187,29 @@ def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | Non
     dur = int((time.time() - t0) * 1000)
 
     # 3. Sinks: unified merge, optional per-rule tables.
-    if unified is not None:
-        spans = [bounds_by_rule[r] for r in res.counts if r in bounds_by_rule]
-        dates = (min(s[0] for s in spans).date(), max(s[1] for s in spans).date()) if spans else None
-        res.inserted_unified = FN.merge_unified(unified, root, list(res.counts), date_bounds=dates)
-        if write_rule_tables:
-            for r in rules:
-                if not res.counts.get(r.rule_id):
-                    continue
-                if r.rule_id in std_frames:
-                    FN.merge_rule_findings(std_frames[r.rule_id], root, r.rule_id)
-                else:
-                    _write_rule_table_from_payload(unified, r, root, params, tables.audit.schema)
-        unified.unpersist()
-    if subset is not None:
-        subset.unpersist()
+    sink_error: Exception | None = None
+    try:
+        if unified is not None:
+            spans = [bounds_by_rule[r] for r in res.counts if r in bounds_by_rule]
+            dates = (min(s[0] for s in spans).date(), max(s[1] for s in spans).date()) if spans else None
+            res.inserted_unified = FN.merge_unified(unified, root, list(res.counts), date_bounds=dates)
+            if write_rule_tables:
+                for r in rules:
+                    if not res.counts.get(r.rule_id):
+                        continue
+                    if r.rule_id in std_frames:
+                        FN.merge_rule_findings(std_frames[r.rule_id], root, r.rule_id)
+                    else:
+                        _write_rule_table_from_payload(unified, r, root, params, tables.audit.schema)
+    except Exception as e:  # noqa: BLE001 - logged for every rule, then raised again
+        sink_error = e
+        for r in rules:
+            res.failures.setdefault(r.rule_id, str(e))
+    finally:
+        if unified is not None:
+            unified.unpersist()
+        if subset is not None:
+            subset.unpersist()
 
     for r in rules:
         b = bounds_by_rule.get(r.rule_id, (None, None))
@@ -199,6 +223,8 @@ def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | Non
         log = C.run_log_rows(spark, log_rows)
         C.append_run_log(log, f"{root}/run_log")
         C.update_checkpoints(log, f"{root}/checkpoints")
+    if sink_error is not None:
+        raise sink_error
     return res
 
 

@@ -64,6 +64,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not d and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     if not d:
         d = tempfile.mkdtemp(prefix="auditlens-ckpt-")
     if not sc.getCheckpointDir():

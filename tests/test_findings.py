@@ -148,3 +148,30 @@ def test_rule_view_from_unified_payload(spark, small_tables):
         b = flatten_for_compare(direct)
         assert a.count() == b.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_unknown_rule_raises_and_is_logged(spark, small_tables, tmp_path):
+    import pytest
+
+    from auditlens.operators.control import read_run_log
+    from auditlens.plans.runner import run_rule
+    with pytest.raises(ValueError):
+        run_rule(small_tables, str(tmp_path), "D99", *ALL)
+    assert [(r.rule_id, r.status) for r in read_run_log(spark, f"{tmp_path}/run_log").collect()] == [("D99", "FAILED")]
+
+
+def test_merge_bounds_ignore_the_drivers_zone(spark, small_tables, tmp_path, monkeypatch):
+    import time
+
+    from auditlens.plans.runner import run_rules
+    window = ("2024-01-05 20:00:00", "2024-01-25 07:00:00")
+    for zone in ("Asia/Seoul", "America/Los_Angeles"):
+        monkeypatch.setenv("TZ", zone)
+        time.tzset()
+        try:
+            first = run_rules(small_tables, f"{tmp_path}/{zone[:4]}", *window, rule_ids=["D04", "D11"])
+            again = run_rules(small_tables, f"{tmp_path}/{zone[:4]}", *window, rule_ids=["D04", "D11"])
+        finally:
+            monkeypatch.delenv("TZ")
+            time.tzset()
+        assert first.inserted_unified > 0 and again.inserted_unified == 0
