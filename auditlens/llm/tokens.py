@@ -75,6 +75,9 @@ class Encoder:
         self.starts = np.zeros(size, bool)
         for token, i in vocab.items():
             self.starts[i] = token.startswith("Ġ")  # a byte-level token with a leading space
+        # Whether a leading space stays in the ids, as its own sign of a chunk's start.
+        first = self.tok.encode(" a", add_special_tokens=False).ids
+        self.spaced = bool(first) and bool(self.starts[first[0]])
         mark = self.tok.encode(_MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
         self.table = ChunkTable(self._new)
@@ -84,7 +87,7 @@ class Encoder:
 
     def _joined(self, chunks: list[str]) -> list[bytes] | None:
         """Ids of regular chunks from one call, or None if their ends can't be told."""
-        if self.starts.any():
+        if self.spaced:
             ids = np.array(self.tok.encode("".join(chunks), add_special_tokens=False).ids, self.dtype)
             at = np.flatnonzero(self.starts[ids])
             if len(at) != len(chunks) or at[0]:
