@@ -3,8 +3,8 @@
 A text is cut at each space that has no other white space beside it. The
 pre-tokenizers of the vocabularies used here never join characters across such
 a space, so a text's ids are the ids of its chunks one after the other. Chunks
-repeat a lot, so each Python worker keeps a bounded table chunk -> ids and asks
-the library only for unknown ones, many at a time.
+repeat a lot, so each Python worker keeps bounded tables of ids and asks the
+library only for unknown atoms of chunks, many at a time.
 
 A text that holds one of the vocabulary's special strings goes to the library
 whole, because there the special string is cut out first.
@@ -22,8 +22,14 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 _ODD_SPACE = re.compile(r"\s\s|^\s|\s$")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Known chunks per worker (about 200 bytes each); the table is emptied when full.
-CACHE_LIMIT = 600_000
+#: Chunks (about 200 bytes each) after which a worker's table becomes its old one.
+CACHE_LIMIT = 400_000
+#: Longer chunks are not kept in a table.
+LONG = 256
+#: A run that ends in a letter or digit, then ASCII punctuation without the apostrophe (it
+#: begins contractions). "\u0130" is left out: lower-cased it ends in a combining mark.
+_SIMPLE = re.compile("([^\\s]*[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])"
+                     r"([!-&(-/:-@\[-`{-~]*)")
 _MARK = "\x01"
 
 
@@ -39,19 +45,27 @@ def is_regular(chunk: str) -> bool:
 
 
 class ChunkTable:
-    """chunk -> value, bounded; ``missing`` computes the values of new chunks."""
+    """chunk -> value, bounded; ``missing`` computes the values of new chunks.
+
+    A full table becomes the old one; what is met again moves over from there,
+    so frequent chunks stay known.
+    """
 
     def __init__(self, missing, limit: int = CACHE_LIMIT):
         self.known: dict = {}
+        self.old: dict = {}
         self.missing = missing
         self.limit = limit
 
     def values(self, batch: list[list[str]]):
         """For each list of chunks, the list of their values."""
         if len(self.known) > self.limit:
-            self.known.clear()
-        known = self.known
-        new = {c for chunks in batch for c in chunks if c not in known}
+            self.known, self.old = {}, self.known
+        known, old = self.known, self.old
+        new = set().union(*batch).difference(known)
+        if new and old:
+            known.update((c, old[c]) for c in new if c in old)
+            new = new.difference(known)
         if new:
             new = list(new)
             known.update(zip(new, self.missing(new)))
@@ -60,7 +74,12 @@ class ChunkTable:
 
 
 class Encoder:
-    """Ids of whole texts by ``tokenizers``, without added special tokens."""
+    """Ids of whole texts by ``tokenizers``, without added special tokens.
+
+    A chunk's ids come from its atoms: lines, and the ASCII punctuation at a
+    line's end apart from the letter or digit before it. Chunks and atoms are
+    kept in tables by what follows the cut space.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -71,55 +90,89 @@ class Encoder:
         size = self.tok.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        vocab = self.tok.get_vocab(with_added_tokens=False)
-        self.starts = np.zeros(size, bool)
-        for token, i in vocab.items():
-            self.starts[i] = token.startswith("Ġ")  # a byte-level token with a leading space
-        # Whether a leading space stays in the ids, as its own sign of a chunk's start.
-        first = self.tok.encode(" a", add_special_tokens=False).ids
-        self.spaced = bool(first) and bool(self.starts[first[0]])
-        mark = self.tok.encode(_MARK, add_special_tokens=False).ids
+        # Whether a leading space shows in the ids, and what tells joined atoms apart.
+        ids = self.tok.encode("\n", add_special_tokens=False).ids
+        self.lead = " " if self._whole(" a") != self._whole("a") else ""
+        self.between = "\n" if len(ids) == 1 else f" {_MARK} "
+        mark = ids or self.tok.encode(self.between, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
-        self.table = ChunkTable(self._new)
+        self.bodies = ChunkTable(self._bodies)
+        self.atoms = ChunkTable(self._atoms)
+        self.literal = ChunkTable(lambda new: [self._whole(c) for c in new])
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _joined(self, chunks: list[str]) -> list[bytes] | None:
-        """Ids of regular chunks from one call, or None if their ends can't be told."""
-        if self.spaced:
-            ids = np.array(self.tok.encode("".join(chunks), add_special_tokens=False).ids, self.dtype)
-            at = np.flatnonzero(self.starts[ids])
-            if len(at) != len(chunks) or at[0]:
-                return None
-            ends = np.append(at[1:], len(ids))
-        elif self.mark is not None:
-            ids = np.array(self.tok.encode(f" {_MARK}".join(chunks) + f" {_MARK}",
-                                           add_special_tokens=False).ids, self.dtype)
-            ends = np.flatnonzero(ids == self.mark)
-            if len(ends) != len(chunks):
-                return None
-            at = np.append(0, ends[:-1] + 1)
-        else:
+    def _joined(self, atoms: list[str]) -> list[bytes] | None:
+        """Ids of atoms from one call, or None if their ends can't be told."""
+        ids = np.array(self.tok.encode(self.between.join(atoms), add_special_tokens=False).ids, self.dtype)
+        ends = np.flatnonzero(ids == self.mark)
+        if self.mark is None or len(ends) != len(atoms) - 1:
             return None
-        return [ids[a:b].tobytes() for a, b in zip(at.tolist(), ends.tolist())]
-
-    def _new(self, chunks: list[str]) -> list[bytes]:
-        out = dict.fromkeys(chunks)
-        regular = [c for c in chunks if is_regular(c) and _MARK not in c]
-        for i in range(0, len(regular), 512):
-            part = regular[i:i + 512]
+        raw, w = ids.tobytes(), self.dtype.itemsize
+        return [raw[a:b] for a, b in zip([0, *((ends + 1) * w).tolist()], [*(ends * w).tolist(), len(raw)])]
+
+    def _atoms(self, new: list[str]) -> list[bytes]:
+        out = dict.fromkeys(new)
+        plain = [a for a in new if "\n" not in a and _MARK not in a]
+        for i in range(0, len(plain), 512):
+            part = plain[i:i + 512]
             if (got := self._joined(part)) is not None:
                 out.update(zip(part, got))
-        return [self._whole(c) if v is None else v for c, v in out.items()]
+        return [self._whole(a) if v is None else v for a, v in out.items()]
+
+    def _cut(self, body: str) -> list[str] | None:
+        """The atoms of a space and ``body``, or None if the body is long or its ends are white space."""
+        if len(body) <= LONG and (m := _SIMPLE.fullmatch(body)):
+            return [self.lead + m[1], m[2]] if m[2] else [self.lead + body]
+        if not 0 < len(body) <= LONG or body[0].isspace() or body[-1].isspace():
+            return None
+        lines = body.split("\n")
+        if len(lines) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+            return [" " + body]
+        out, lead = [], self.lead
+        for line in lines:
+            if out:
+                out.append("\n")
+            if m := _SIMPLE.fullmatch(line):
+                out.append(lead + m[1])
+                if m[2]:
+                    out.append(m[2])
+            else:
+                out.append(lead + line)
+            lead = ""
+        return out
+
+    def _bodies(self, new: list[str]) -> list[bytes | None]:
+        cut = [self._cut(b) for b in new]
+        return [None if atoms is None else b"".join(got)
+                for atoms, got in zip(cut, self.atoms.values([a or [] for a in cut]))]
+
+    def _literal(self, chunk: str) -> bytes:
+        return self._whole(chunk) if len(chunk) > LONG else next(next(self.literal.values([[chunk]])))
+
+    def _odd(self, text: str) -> bytes:
+        """Ids of a text with runs of white space or long chunks."""
+        first, *rest = _CUT.split(text)
+        return self._literal(first) + b"".join([
+            self._literal(" " + c) if v is None else v
+            for c, v in zip(rest, next(self.bodies.values([rest])))])
 
     def encode(self, texts: list[str]):
         """The ids of each text, as an array."""
-        batch = [None if any(s in t for s in self.specials) else cut_chunks(t) if t else []
-                 for t in texts]
-        for t, got in zip(texts, self.table.values([c or [] for c in batch])):
-            special = bool(t) and any(s in t for s in self.specials)
-            yield np.frombuffer(self._whole(t) if special else b"".join(got), self.dtype)
+        special = [any(s in t for s in self.specials) for t in texts]
+        cut = [[""] if sp else t.split(" ") for t, sp in zip(texts, special)]
+        rest = [c[1:] for c in cut]
+        for text, sp, (first, *_), got in zip(texts, special, cut, self.bodies.values(rest)):
+            if sp:
+                ids = self._whole(text)
+            elif not text:
+                ids = b""
+            else:
+                got = list(got)
+                odd = got and (not first or first[-1].isspace() or None in got)
+                ids = self._odd(text) if odd else self._literal(first) + b"".join(got)
+            yield np.frombuffer(ids, self.dtype)
 
 
 _encoders: dict[str, Encoder] = {}

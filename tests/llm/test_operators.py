@@ -269,3 +269,20 @@ def test_pipeline_keeps_clean_documents(spark):
 def test_hash_of_kept_text(spark):
     res = entries.op5_substring_dedup(spark, "/root/testdata/sf0.001").filter("n_removed = n_words").first()
     assert res is None or res.kept_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_equals_library_on_odd_characters(name):
+    from auditlens.llm import tokens
+
+    rng = random.Random(5)
+    alphabet = [*"abXYßñçüŧ中あ٣½²_'’.,!?;-\"(…—*#09 \n\t\r\xa0\x01\x1c\x85̀​ 😀İΣς",
+                "'s", "'ll", " ", " ", "  ", "\n\n", "the", "<|endoftext|>"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(3000)]
+    texts += ["x" * 700 + " b", " ", "\n", "a ", " a", "a  b", ""]
+    enc = tokens.Encoder(entries.vocabulary(name))
+    enc.bodies.limit = enc.atoms.limit = 500  # tables turn over within the test
+    for i in range(0, len(texts), 100):
+        part = texts[i:i + 100]
+        for text, ids in zip(part, enc.encode(part)):
+            assert ids.tolist() == enc.tok.encode(text, add_special_tokens=False).ids, text
