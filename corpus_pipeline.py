@@ -41,8 +41,12 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates: the one with the least doc_id."""
-    groups = jaccard_join(docs)
+    """Keep one document of each group of near duplicates: the one with the least doc_id.
+
+    Near duplicates share 0.8 or more of their word shingles of five words;
+    the defaults of ``jaccard_join`` are the contract of the op4 query alone.
+    """
+    groups = jaccard_join(docs, n=5, percent=80)
     kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
     return _columns(docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
 

@@ -266,6 +266,23 @@ def test_pipeline_keeps_clean_documents(spark):
     assert {r.doc_id for r in out.collect()} <= heads and out.agg(F.sum("length")).first()[0] > 0
 
 
+def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark):
+    import corpus_pipeline as P
+
+    rng, texts = random.Random(11), []
+    for size, edits in ((55, 1), (40, 1), (300, 8), (300, 20), (90, 0)):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        texts += [list(base), list(base)]
+        for at in rng.sample(range(5, size - 5), edits):
+            texts[-1][at] = "edit"
+    sets = [{tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in texts]
+    heads = {j for j, y in enumerate(sets) if not any(10 * len(x & y) >= 8 * len(x | y) for x in sets[:j])}
+    assert 1 not in heads and 3 in heads
+    d = spark.createDataFrame([(i, " ".join(w), "en", "s", 0) for i, w in enumerate(texts)],
+                              "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in P.near_duplicates(spark, d, "").collect()} == heads
+
+
 def test_hash_of_kept_text(spark):
     res = entries.op5_substring_dedup(spark, "/root/testdata/sf0.001").filter("n_removed = n_words").first()
     assert res is None or res.kept_sha256 == hashlib.sha256(b"").hexdigest()
