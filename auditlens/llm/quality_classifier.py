@@ -41,6 +41,12 @@ def _ratio_bucket(x: float) -> int:
     return min(_BUCKETS - 1, int(max(0.0, x) ** 0.5 * _BUCKETS))
 
 
+def _packed_size(text: bytes, step: int = 1 << 16) -> int:
+    """Bytes of the whole text once compressed, a piece at a time."""
+    z, data = zlib.compressobj(1), memoryview(text)
+    return sum(len(z.compress(data[k:k + step])) for k in range(0, len(data), step)) + len(z.flush())
+
+
 def _shapes(text: bytes) -> list[int]:
     """Buckets of the shape figures of a text."""
     words = text.split()
@@ -50,7 +56,7 @@ def _shapes(text: bytes) -> list[int]:
     letters = int(kinds[65:91].sum() + kinds[97:123].sum() + kinds[128:].sum())
     symbols = size - letters - int(kinds[32] + kinds[9:14].sum())
     same = sum(map(bytes.__eq__, words[1:], words)) if n > 1 else 0
-    packed = len(zlib.compress(text[:1 << 16], 1)) / min(size, 1 << 16) if text else 0
+    packed = _packed_size(text) / size if text else 0
     return [_ratio_bucket(int(kinds[65:91].sum()) / max(1, letters)),
             _ratio_bucket(symbols / size),
             _ratio_bucket(same / max(1, n)),

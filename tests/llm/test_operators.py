@@ -250,6 +250,17 @@ def test_classifiers(spark, empty):
         assert {r.doc_id: r.held_out for r in res.filter("doc_id < 50").collect()} == crc
 
 
+def test_compressibility_is_of_the_whole_text():
+    from auditlens.llm.quality_classifier import _ratio_bucket, _shapes
+
+    rng = random.Random(4)
+    clean = " ".join(f"w{rng.randrange(10**6)}" for _ in range(10_000)).encode()
+    assert len(clean) > 1 << 16
+    for text in (b"short", clean, clean + b"buy now " * 100_000, b"buy now " * 10_000 + clean * 3):
+        assert _shapes(text)[6] == _ratio_bucket(len(zlib.compress(text, 1)) / len(text))
+    assert _shapes(clean + b"buy now " * 100_000)[6] < _shapes(clean)[6]
+
+
 def test_pipeline_keeps_clean_documents(spark):
     import corpus_pipeline as P
 
