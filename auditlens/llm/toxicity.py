@@ -8,9 +8,12 @@ so the negatives inside the unlabelled text are estimated, never assumed, and
 the estimate can't fall below zero (a step that would drive it there goes the
 other way instead).
 
-The fit takes about ``positives`` toxic rows and ``unlabelled`` rows (bounds
-on what the driver holds); the features kept are those that differ most
-between the two. Scoring is one map-only pass over all documents and whole texts.
+The features kept are those whose share among about ``positives`` toxic rows
+differs most from that among all documents that aren't held out; these counts
+and the class prior come from one pass over the corpus, combined in each task.
+Only the gradients are taken from a sample, of about ``unlabelled`` rows (both
+bound what the driver holds). The prior counts as 0.001 at least there.
+Scoring is one map-only pass over all documents and whole texts.
 
 Defined cases: a null or empty text scores by the bias alone; with no toxic
 examples (or no feature that sets them apart) every score is 0; repeated rows
@@ -24,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import only, pinned
+from .common import only
 from .decontaminate import plain
 from .labels import held_out, learnable, sample
 from .tokens import sliced
@@ -76,36 +79,126 @@ class Features:
         return sorted(self.at[f] for f in features(found) if f in self.at) if found else []
 
 
-def select_features(toxic: DataFrame, other: DataFrame, limit: int, least: int = 3, sigmas: float = 4.0):
-    """(features, prior). Features of at least ``least`` toxic texts whose share there and among the
-    unlabelled texts differs by ``sigmas`` standard errors or more, the clearest first.
+class Counter:
+    """Counts the texts that hold each of the named features; raw word forms are remembered."""
 
-    Prior: where only toxic texts have a feature, its share among the unlabelled
+    def __init__(self, names: list[str]):
+        self.at = {f: i for i, f in enumerate(names)}
+        levels: dict[str, list[int]] = {}
+        for f, i in self.at.items():
+            head, star, k = f.rpartition("*")
+            if star and k.isdigit() and int(k) in LEVELS:
+                levels.setdefault(head + star, [-1] * len(LEVELS))[LEVELS.index(int(k))] = i
+        self.begin = {b: j for j, b in enumerate(levels)}
+        self.levels = np.array([*levels.values()], np.int64).reshape(-1, len(LEVELS))
+        self.total = np.zeros(len(names), np.int64)
+        self._clear()
+
+    def _clear(self):
+        #: Form 0 has no feature; a form's row: its word's feature and beginnings, -1 for none.
+        self.raw, self.form, self.rows = {}, {}, np.full((1, 5), -1, np.int64)
+
+    def _learn(self, words: set[bytes]):
+        new = []
+        for w in words:
+            if w in self.raw:
+                continue
+            p = plain(w)
+            if p not in self.form:
+                row = [self.at.get(p, -1), *(self.begin.get(b, -1) for b in beginnings(p))]
+                row += [-1] * (5 - len(row))
+                if max(row) >= 0:
+                    self.form[p] = len(self.rows) + len(new)
+                    new.append(row)
+                else:
+                    self.form[p] = 0
+            self.raw[w] = self.form[p]
+        if new:
+            self.rows = np.concatenate([self.rows, np.array(new, np.int64)])
+
+    def add(self, texts: list[bytes]):
+        if len(self.raw) > _CACHE:
+            self._clear()
+        words = [set(t.split()) for t in texts]
+        flat = [w for ws in words for w in ws]
+        got = list(map(self.raw.get, flat))
+        if None in got:
+            self._learn(set(flat))
+            got = list(map(self.raw.__getitem__, flat))
+        form = np.array(got, np.int64)
+        text = np.repeat(np.arange(len(texts)), [len(ws) for ws in words])
+        known = form > 0
+        pairs = np.unique(text[known] * len(self.rows) + form[known])  # a text's distinct words
+        text, row = pairs // len(self.rows), self.rows[pairs % len(self.rows)]
+        self._count(row[:, 0])
+        begin = row[:, 1:]
+        at, column = np.nonzero(begin >= 0)
+        if len(at):
+            shared, n = np.unique(text[at] * len(self.levels) + begin[at, column], return_counts=True)
+            shared = self.levels[shared % len(self.levels)]
+            for k, level in enumerate(LEVELS):
+                self._count(shared[n >= level, k])
+
+    def _count(self, ids: np.ndarray):
+        self.total += np.bincount(ids[ids >= 0], minlength=len(self.total))
+
+
+def corpus_counts(docs: DataFrame, names: list[str]) -> tuple[np.ndarray, int]:
+    """(documents that hold each feature, documents) over all of ``docs``; combined in each task."""
+    shared = docs.sparkSession.sparkContext.broadcast(names)
+
+    def run(batches):
+        counter, rows = Counter(shared.value), 0
+        for batch in batches:
+            for b in sliced(batch):
+                counter.add([(t or "").encode() for t in b.column("text").to_pylist()])
+                rows += b.num_rows
+        at = np.flatnonzero(counter.total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(counter.total[at], rows), pa.int64())],
+            ["id", "n"])
+
+    got = docs.select("text").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counts, n_docs = np.zeros(len(names), np.int64), 0
+    for r in got:
+        if r.id >= 0:
+            counts[r.id] = r.n
+        else:
+            n_docs = r.n
+    return counts, n_docs
+
+
+def select_features(toxic: DataFrame, docs: DataFrame, limit: int, least: int = 3, sigmas: float = 4.0):
+    """(features, prior). Features of at least ``least`` toxic texts whose share there and among all
+    of ``docs`` differs by ``sigmas`` standard errors or more, the clearest first.
+
+    Prior: where only toxic texts have a feature, its share among the documents
     over its share among the toxic is the class prior; the upper quartile of that ratio
     over the clearest features is taken."""
 
     def run(batches):
         for batch in batches:
             for b in sliced(batch, 64):
-                for t, k in zip(b.column("text").to_pylist(), b.column("kind").to_pylist()):
+                for t in b.column("text").to_pylist():
                     found = ["", *features({plain(x) for x in (t or "").encode().split()})]
-                    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array([k] * len(found), pa.int32())],
-                                                     ["feature", "kind"])
-
-    both = toxic.select("text", F.lit(1).alias("kind")).union(other.select("text", F.lit(0).alias("kind")))
-    counts = (both.mapInArrow(run, "feature string, kind int").groupBy("feature")
-              .agg(F.sum("kind").alias("p"), F.sum(1 - F.col("kind")).alias("u")))
-    counts = pinned(counts.filter((F.col("p") >= least) | (F.col("feature") == "")), "feature-counts")
-    total = counts.filter("feature = ''").first()  # every text has the empty feature
-    if total is None or not total.p or not total.u:
+                    yield pa.RecordBatch.from_arrays([pa.array(found)], ["feature"])
+
+    counts = toxic.select("text").mapInArrow(run, "feature string").groupBy("feature").agg(
+        F.count(F.lit(1)).alias("p"))
+    # A bounded sample's features; every text has the empty one.
+    rows = {r.feature: r.p for r in counts.filter((F.col("p") >= least) | (F.col("feature") == "")).collect()}
+    n_toxic = rows.pop("", 0)
+    names = sorted(rows)
+    if not names:
+        return [], 0.0
+    in_docs, n_docs = corpus_counts(docs, names)
+    if not n_docs:
         return [], 0.0
-    a, b = F.col("p") / total.p, F.col("u") / total.u
-    error = F.sqrt(F.greatest(a * (1 - a) / total.p + b * (1 - b) / total.u, F.lit(1e-12)))
-    best = (counts.filter("feature <> ''").withColumn("strength", F.abs(a - b) / error)
-            .filter(F.col("strength") >= sigmas).orderBy(F.desc("strength"), "feature").limit(limit))
-    rows = best.collect()
-    ratios = [(r.u / total.u) / (r.p / total.p) for r in rows[:16]]
-    return [r.feature for r in rows], float(np.quantile(ratios, 0.75)) if ratios else 0.0
+    a, b = np.array([rows[f] for f in names]) / n_toxic, in_docs / n_docs
+    strength = np.abs(a - b) / np.sqrt(np.maximum(a * (1 - a) / n_toxic + b * (1 - b) / n_docs, 1e-12))
+    best = np.argsort(-strength, kind="stable")[:limit]
+    best = best[strength[best] >= sigmas]
+    return [names[i] for i in best], float(np.quantile((b / a)[best[:16]], 0.75)) if len(best) else 0.0
 
 
 def train(toxic: np.ndarray, other: np.ndarray, prior: float, steps: int = 800, rate: float = 0.05,
@@ -156,10 +249,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", positives: int
     """(features, weights), or None if nothing sets toxic texts apart."""
     rows = learnable(docs, labels, label)
     toxic = sample(rows.filter("label = 1"), positives, label)
-    other = sample(docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull() & ~held_out()), unlabelled, label)
-    names, prior = select_features(toxic, other, n_features)
+    names, prior = select_features(toxic, docs.filter(~held_out()), n_features)
     if not names:
         return None
+    other = sample(docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull() & ~held_out()), unlabelled, label)
     return names, train(_matrix(toxic, names), _matrix(other, names), min(max(prior, 0.001), 0.9))
 
 

@@ -261,6 +261,37 @@ def test_compressibility_is_of_the_whole_text():
     assert _shapes(clean + b"buy now " * 100_000)[6] < _shapes(clean)[6]
 
 
+def test_toxicity_counts_the_whole_corpus(spark, monkeypatch):
+    from auditlens.llm import toxicity as T
+
+    rng = random.Random(8)
+    texts = [" ".join(["Vile!", "vileness", "vilest"][:k % 4] + words(rng, 12)) if k % 50 < 4 else
+             " ".join(words(rng, 15)) for k in range(3000)]
+    d = spark.createDataFrame([*enumerate(texts), (None, "vile")], "doc_id long, text string").repartition(3)
+    lab = spark.createDataFrame([(k, 1) for k in range(0, 3000) if k % 50 in (1, 2, 3)], "doc_id long, toxic int")
+    seen = {}
+    real = T.train
+    monkeypatch.setattr(T, "train", lambda toxic, other, prior, **k: seen.update(
+        prior=prior, n=len(other)) or real(toxic, other, prior, **k))
+    names, _ = T.fit(d, lab, unlabelled=100)
+    assert seen["n"] < 300 and {"vile", "vile*1"} <= set(names)
+    known = [(i, t) for i, t in [*enumerate(texts), (None, "vile")]
+             if i is None or zlib.crc32(str(i).encode()) % 3 != 1]
+    held = [T.features({T.plain(w) for w in t.encode().split()}) for _, t in known]
+    expect = collections.Counter(f for fs in held for f in fs)
+    every = sorted(expect)
+    monkeypatch.setattr(T, "_CACHE", 20)  # the table of raw forms turns over
+    counts, n = T.corpus_counts(d.filter(~T.held_out()), every)
+    assert n == len(known) and dict(zip(every, counts.tolist())) == expect
+    toxic = [fs for (i, _), fs in zip(known, held) if i is not None and i % 50 in (1, 2, 3)]
+    p = collections.Counter(f for fs in toxic for f in fs)
+    first = sorted((f for f in p if p[f] >= 3), key=lambda f: (-abs(p[f] / len(toxic) - expect[f] / n) / max(
+        1e-12, p[f] / len(toxic) * (1 - p[f] / len(toxic)) / len(toxic) + expect[f] / n * (1 - expect[f] / n) / n) ** 0.5,
+        f))[:16]
+    ratios = [expect[f] / n / (p[f] / len(toxic)) for f in first if f in names]
+    assert abs(seen["prior"] - np.quantile(ratios, 0.75)) < 1e-9
+
+
 def test_pipeline_keeps_clean_documents(spark):
     import corpus_pipeline as P
 
