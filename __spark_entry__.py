@@ -65,6 +65,7 @@ RULE_QUERIES: dict[str, tuple[str, tuple[str, str], dict]] = {
     "d11_frequent_logins_60s_3": ("D11", ALL, {"threshold_seconds": 60, "threshold_value": 3}),
     "d12_multi_device": ("D12", ALL, {}),
     "d13_session_count": ("D13", ALL, {}),
+    "d13b_session_spread": ("D13b", ALL, {}),
     "d13b_session_spread_day": ("D13b", O.WINDOW_DAY, {}),
     "d14_token_scanning": ("D14", ALL, {"threshold": 0.5}),
     "d15_user_account_created": ("D15", ALL, {}),
@@ -78,6 +79,7 @@ RULE_QUERIES: dict[str, tuple[str, tuple[str, str], dict]] = {
     "d23_principal_removed_from_group": ("D23", ALL, {}),
     "d24_sso_config_changed": ("D24", ALL, {}),
     "d25_trufflehog_scan_detected": ("D25", ALL, {}),
+    "d26_user_account_deleted": ("D26", ALL, {}),
     "d26_user_account_deleted_cut_window": ("D26", O.WINDOW_CUT, {}),
     "d27_user_admin_account_change": ("D27", ALL, {}),
     "d28_user_role_modified": ("D28", ALL, {}),

@@ -58,3 +58,7 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 33 and df.columns == ["rule_id", "name", "rule_group", "findings",
                                                "triggered"]
+
+
+def test_every_rule_has_a_full_window_query():
+    assert {rid for rid, window, _ in E.RULE_QUERIES.values() if window == E.ALL} == set(E.ALL_RULE_IDS)
