@@ -9,12 +9,15 @@ from . import quality_rules as QR
 from .common import documents, table
 from .decontaminate import decontaminate
 from .jaccard_join import jaccard_join
+from .language_id import identify
 from .packing import pack
+from .spelling import spelling_variants
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 from .token_count import token_counts
 from .toxicity import toxicity
 from .token_files import read_token_files, write_token_files
+from .whitening import whiten
 
 
 def vocabulary(name: str) -> str:
@@ -68,6 +71,18 @@ def op10_token_files(spark, sf_dir):
                                                 F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_language_id(spark, sf_dir):
+    return identify(documents(spark, sf_dir))
+
+
+def op12_whitening(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark, sf_dir):
+    return spelling_variants(documents(spark, sf_dir))
+
+
 def queries():
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -80,6 +95,9 @@ def queries():
         "op8_toxicity": op8_toxicity,
         "op9_packing": op9_packing,
         "op10_token_files": op10_token_files,
+        "op11_language_id": op11_language_id,
+        "op12_whitening": op12_whitening,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
