@@ -302,7 +302,7 @@ def test_pipeline_keeps_clean_documents(spark):
     assert first.columns == d.columns and {r.doc_id for r in first.collect()} == {
         r.doc_id for r in d.collect()} - rejected
     near = P.near_duplicates(spark, first, sf)
-    heads = {r.doc_id for r in jaccard_join(first).filter("doc_id = component_id").collect()}
+    heads = {r.doc_id for r in jaccard_join(first, n=5, percent=80).filter("doc_id = component_id").collect()}
     assert near.columns == d.columns and {r.doc_id for r in near.collect()} == heads
     out = P.run(spark, sf)
     assert {r.doc_id for r in out.collect()} <= heads and out.agg(F.sum("length")).first()[0] > 0
