@@ -1,19 +1,23 @@
-"""IP enrichment (E01-E07) by range join, no per-row Python.
+"""IP enrichment (E01-E07): longest prefix by equality joins, no per-row Python.
 
-A range table has ``start_ip``/``end_ip`` (IPv4 as bigint), ``prefix_len``
-and payload fields. Lookup plan:
+A range table names CIDR blocks of either family: a ``network`` column
+('203.0.3.0/24', '2600:1::/32'), or for IPv4 alone ``start_ip`` (bigint) and
+``prefix_len``; plus payload fields. Lookup plan:
 
 1. distinct addresses of the input that need a lookup (map-side partial
-   distinct, so the join below runs on distinct addresses, not events);
-2. ranges are exploded to the /16 blocks they cover and equi-joined on the
-   /16 block with a ``between`` residual (a /16 holds at most 65,536 distinct
-   addresses, so no block is unbounded); the range side is broadcast only
-   when its row count is checked to be under a limit, else both sides shuffle
-   on the block;
-3. nested ranges: longest prefix wins (``max_by`` per address);
-4. the per-address result is joined back on the address text; AQE turns
-   this into a broadcast when the materialised lookup is small and splits
-   skewed partitions (a hot address) otherwise.
+   distinct, so what follows runs on distinct addresses, not events), parsed
+   to 128 bits;
+2. the prefix lengths in use (at most 33 + 129 rows whatever the table's size,
+   so this side is broadcast) give every address one key per length: the
+   masked network;
+3. an equi-join with the networks on (family, length, network): no range
+   comparison, no block that collects many ranges, and Spark may broadcast or
+   shuffle the networks by their size;
+4. the longest prefix wins (one ``max`` per address, equal networks by their
+   fields);
+5. the result is joined back on the address text. Rows that are not looked up
+   get distinct keys, so NULLs never meet in one task; AQE broadcasts a small
+   lookup and splits a hot address.
 
 Skip rules (E03): NULL struct for NULL, '', non-addresses and private,
 loopback or link-local prefixes; a struct of NULLs for addresses that are
@@ -22,90 +26,86 @@ looked up without a hit or are not globally reachable.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ip import ipv4_to_long, is_public_long, skip_lookup
+from ..functions.ip import is_public_address, mask_halves, parse_ip, skip_lookup
 
 GEO_FIELDS = [("city", "string"), ("country", "string"), ("country_code", "string"),
               ("latitude", "double"), ("longitude", "double"), ("accuracy_radius", "int")]
 ASN_FIELDS = [("as_number", "int"), ("as_org", "string"), ("as_network", "string")]
-RANGE_BROADCAST_ROWS = 2_000_000
 
 
 def _struct_type(fields) -> str:
     return "struct<" + ",".join(f"{n}:{t}" for n, t in fields) + ">"
 
 
-def _explode_blocks(ranges: DataFrame) -> DataFrame:
-    return ranges.withColumn("_block", F.explode(F.sequence(
-        F.shiftright(F.col("start_ip"), 16), F.shiftright(F.col("end_ip"), 16))))
-
-
-def _ranges_side(ranges: DataFrame, names: list[str], broadcast_ranges: bool | None):
-    rx = _explode_blocks(ranges.select("start_ip", "end_ip", "prefix_len", *names))
-    if broadcast_ranges is None:
-        broadcast_ranges = rx.count() <= RANGE_BROADCAST_ROWS
-    return F.broadcast(rx) if broadcast_ranges else rx
-
-
-def range_lookup(df: DataFrame, ip_col: str, ranges: DataFrame, fields, out: str,
-                 broadcast_ranges: bool | None = None, row_key: list[str] | None = None
-                 ) -> DataFrame:
-    """``row_key``: columns that identify an input row. When given, the rows
-    are joined to the ranges directly and the longest prefix is kept per row
-    (for small or already reduced inputs: no distinct-address branch, so the
-    input is computed once)."""
-    names = [n for n, _ in fields]
+def networks(ranges: DataFrame, names: list[str]) -> DataFrame:
+    """family, plen, net_hi, net_lo and ``rec`` (the payload) of every CIDR block.
+
+    Host bits in a network's text are masked off; rows that name no network
+    are left out.
+    """
+    rec = F.struct(*[F.col(n) for n in names])
+    if "network" in ranges.columns:
+        text = F.col("network")
+        plen = F.split_part(text, F.lit("/"), F.lit(2)).try_cast("int")
+        rows = ranges.select(parse_ip(F.split_part(text, F.lit("/"), F.lit(1))).alias("a"),
+                             plen.alias("plen"), rec.alias("rec"))
+        rows = rows.select(F.col("a.family").alias("family"), "plen", F.col("a.hi").alias("hi"),
+                           F.col("a.lo").alias("lo"), "rec")
+    else:
+        rows = ranges.select(F.lit(4).alias("family"), F.col("prefix_len").cast("int").alias("plen"),
+                             F.lit(0).cast("bigint").alias("hi"), F.col("start_ip").alias("lo"), rec.alias("rec"))
+    most = F.when(F.col("family") == 4, 32).otherwise(128)
+    mask_hi, mask_lo = mask_halves(F.col("family"), F.col("plen"))
+    return rows.filter(F.col("plen").between(0, most) & F.col("lo").isNotNull()).select(
+        "family", "plen", F.col("hi").bitwiseAND(mask_hi).alias("net_hi"),
+        F.col("lo").bitwiseAND(mask_lo).alias("net_lo"), "rec")
+
+
+def prefix_lookup(addresses: DataFrame, nets: DataFrame) -> DataFrame:
+    """(_ip, _rec) of the addresses (column ``_ip``, distinct texts) that a network covers."""
+    lengths = nets.select("family", "plen").distinct()  # bounded by the families' bits
+    mask_hi, mask_lo = mask_halves(F.col("family"), F.col("plen"))
+    parsed = (addresses.select("_ip", parse_ip(F.col("_ip")).alias("_a"))
+              .filter(is_public_address(F.col("_a")))
+              .select("_ip", F.col("_a.family").alias("family"), F.col("_a.hi").alias("hi"), F.col("_a.lo").alias("lo")))
+    keyed = parsed.join(F.broadcast(lengths), "family").select(
+        "_ip", "family", "plen", F.col("hi").bitwiseAND(mask_hi).alias("net_hi"),
+        F.col("lo").bitwiseAND(mask_lo).alias("net_lo"))
+    return (keyed.join(nets, ["family", "plen", "net_hi", "net_lo"])
+            .groupBy("_ip").agg(F.max(F.struct("plen", "rec")).alias("_best"))
+            .select("_ip", F.col("_best.rec").alias("_rec")))
+
+
+def range_lookup(df: DataFrame, ip_col: str, ranges: DataFrame, fields, out: str) -> DataFrame:
+    """``df`` plus the struct ``out`` of the longest matching network's fields."""
     stype = _struct_type(fields)
-    ip = F.col(ip_col)
-    empty = F.struct(*[F.lit(None).cast(t).alias(n) for n, t in fields])
-    if row_key:
-        x = (df.withColumn("_v4", ipv4_to_long(ip))
-             .withColumn("_n", F.when(~skip_lookup(ip) & is_public_long(F.col("_v4")),
-                                      F.col("_v4")))
-             .withColumn("_blk", F.shiftright(F.col("_n"), 16)))
-        rx = _ranges_side(ranges, names, broadcast_ranges).withColumnRenamed("_block", "_rblk")
-        j = x.join(rx, (x["_blk"] == rx["_rblk"]) & x["_n"].between(rx["start_ip"], rx["end_ip"]),
-                   "left")
-        w = Window.partitionBy(*row_key).orderBy(F.col("prefix_len").desc_nulls_last())
-        rec = F.when(F.col("prefix_len").isNotNull(),
-                     F.struct(*[F.col(n) for n in names])).otherwise(empty).cast(stype)
-        return (j.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") == 1)
-                .withColumn(out, F.when(skip_lookup(ip), F.lit(None).cast(stype)).otherwise(rec))
-                .drop("_v4", "_n", "_blk", "_rblk", "_rk", "start_ip", "end_ip", "prefix_len",
-                      *names))
-    addrs = (df.select(ip.alias("_ip")).filter(~skip_lookup(F.col("_ip"))).distinct()
-             .withColumn("_v4", ipv4_to_long(F.col("_ip")))
-             .withColumn("_n", F.when(is_public_long(F.col("_v4")), F.col("_v4")))
-             .withColumn("_block", F.shiftright(F.col("_n"), 16)))
-    rx = _ranges_side(ranges, names, broadcast_ranges)
-    hit = addrs.join(rx, (addrs["_block"] == rx["_block"])
-                     & addrs["_n"].between(rx["start_ip"], rx["end_ip"]), "left")
-    best = (hit.groupBy(addrs["_ip"].alias("_ip"))
-            .agg(F.max_by(F.struct(*[F.col(n) for n in names]), F.col("prefix_len"))
-                 .alias("_rec")))
-    best = best.select("_ip", F.coalesce(F.col("_rec"), empty).cast(stype).alias("_rec"))
-    joined = df.join(best, ip == best["_ip"], "left")
+    empty = F.struct(*[F.lit(None).cast(t).alias(n) for n, t in fields]).cast(stype)
+    ip = F.col(f"`{ip_col}`")
+    wanted = df.select(ip.alias("_ip")).filter(~skip_lookup(F.col("_ip"))).distinct()
+    best = prefix_lookup(wanted, networks(ranges, [n for n, _ in fields]))
+    # '~' starts no address; the number spreads rows without a lookup over all tasks.
+    key = F.when(skip_lookup(ip), F.concat(F.lit("~"), F.monotonically_increasing_id())).otherwise(ip)
+    joined = df.withColumn("_lookup_key", key).join(best, F.col("_lookup_key") == F.col("_ip"), "left")
     return (joined.withColumn(out, F.when(skip_lookup(ip), F.lit(None).cast(stype))
-                              .otherwise(F.col("_rec")))
-            .drop("_ip", "_rec"))
+                              .otherwise(F.coalesce(F.col("_rec").cast(stype), empty)))
+            .drop("_lookup_key", "_ip", "_rec"))
 
 
-def geo_enrich(df: DataFrame, ip_col: str, ranges: DataFrame | None, out: str = "geo",
-               **kw) -> DataFrame:
+def geo_enrich(df: DataFrame, ip_col: str, ranges: DataFrame | None, out: str = "geo") -> DataFrame:
     """E04; ``ranges=None`` (not configured) gives a typed NULL column."""
     if ranges is None:
         return df.withColumn(out, F.lit(None).cast(_struct_type(GEO_FIELDS)))
-    return range_lookup(df, ip_col, ranges, GEO_FIELDS, out, **kw)
+    return range_lookup(df, ip_col, ranges, GEO_FIELDS, out)
 
 
-def asn_enrich(df: DataFrame, ip_col: str, ranges: DataFrame | None, out: str = "asn",
-               **kw) -> DataFrame:
+def asn_enrich(df: DataFrame, ip_col: str, ranges: DataFrame | None, out: str = "asn") -> DataFrame:
     """E05."""
     if ranges is None:
         return df.withColumn(out, F.lit(None).cast(_struct_type(ASN_FIELDS)))
-    return range_lookup(df, ip_col, ranges, ASN_FIELDS, out, **kw)
+    return range_lookup(df, ip_col, ranges, ASN_FIELDS, out)
 
 
 def enrich(df: DataFrame, fn, *args, **kw) -> DataFrame:

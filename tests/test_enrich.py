@@ -1,40 +1,85 @@
-"""IP helpers and the range-join enrichment."""
+"""IP helpers (both families) and the longest-prefix enrichment."""
+
+import ipaddress
+import random
 
 from pyspark.sql import functions as F
 
-from auditlens.functions.ip import ipv4_to_long, is_public_ip, skip_lookup, strip_port
-from auditlens.operators.enrich import geo_enrich
+from auditlens.functions.ip import (in_octet_range, ipv4_to_long, ipv6_hex, is_public_ip, skip_lookup,
+                                    strip_port)
+from auditlens.operators.enrich import geo_enrich, networks
 
 ADDRS = ["", "abc", "10.1.1.1", "172.16.0.1", "172.32.0.1", "203.0.3.7", "8.8.8.8",
          "198.51.100.1", "2001:db8::1", "1.2.3.4:80", "300.1.1.1", None]
+GEO_DDL = ("city string, country string, country_code string, latitude double, longitude double,"
+           " accuracy_radius int")
 
 
 def test_ip_functions(spark):
     df = spark.createDataFrame([(a,) for a in ADDRS], "ip string")
     out = {r.ip: r for r in df.select(
         "ip", ipv4_to_long(F.col("ip")).alias("n"), is_public_ip(F.col("ip")).alias("pub"),
-        skip_lookup(F.col("ip")).alias("skip"), strip_port(F.col("ip")).alias("bare")).collect()}
+        skip_lookup(F.col("ip")).alias("skip"), strip_port(F.col("ip")).alias("bare"),
+        in_octet_range(F.col("ip"), "172.{}.", 16, 31).alias("private172")).collect()}
     assert out["203.0.3.7"].n == 203 * 16777216 + 3 * 256 + 7
     assert out["8.8.8.8"].pub is True and out["198.51.100.1"].pub is False
     assert out["10.1.1.1"].pub is False and out["300.1.1.1"].pub is None
-    assert out[""].pub is None and out["abc"].pub is None
+    assert out[""].pub is None and out["abc"].pub is None and out["1.2.3.4:80"].pub is None
     assert out["172.16.0.1"].skip and not out["172.32.0.1"].skip
-    assert out["abc"].skip and not out["2001:db8::1"].skip
+    assert out["abc"].skip and not out["2001:db8::1"].skip and out[""].skip and out[None].skip
     assert out["1.2.3.4:80"].bare == "1.2.3.4" and out["2001:db8::1"].bare == "2001:db8::1"
+    assert {k for k, r in out.items() if r.private172} == {"172.16.0.1"} and out[None].private172 is None
+
+
+def spelled(rng, n):
+    """One of the ways to write a 128-bit number."""
+    groups = [f"{n >> s & 0xffff:04x}" for s in range(112, -16, -16)]
+    tail = f"{n >> 24 & 255}.{n >> 16 & 255}.{n >> 8 & 255}.{n & 255}"
+    return rng.choice([str(ipaddress.IPv6Address(n)), ":".join(groups), ":".join(groups).upper(),
+                       ":".join(f"{int(g, 16):x}" for g in groups), ":".join(groups[:6]) + ":" + tail])
+
+
+def test_ipv6_text_equals_the_standard_library(spark):
+    rng = random.Random(3)
+    starts = [0, 1, 0xffff << 32, 0x64ff9b << 96, 0x64ff9b0001 << 80, 0x100 << 112, 0x2001 << 112, 0x2001000000010 << 76,
+              0x20010004011200 << 72, 0x2001002 << 100, 0x2001003 << 100, 0x20010db8 << 96, 0x2002 << 112, 0xfc << 120,
+              0xfdff << 112, 0xfe80 << 112, 0xfebf << 112, 0xfec0 << 112, 0x2600 << 112, (1 << 128) - 1]
+    texts = []
+    for s in starts:
+        texts += [spelled(rng, s), spelled(rng, s | rng.getrandbits(64)), spelled(rng, s | rng.getrandbits(16))]
+    texts += [spelled(rng, rng.getrandbits(128) & rng.getrandbits(128) & rng.getrandbits(128)) for _ in range(300)]
+    bad = ["::1%eth0", "1::2::3", ":::", ":1", "1:", "1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8:9", "g::", "12345::", "1::2:3:4:5:6:7:8",
+           "::256.1.1.1", "::1.2.3", "1.2.3.4::", "[::1]:443", "::ffff:01.2.3.4", " ::1", ":", "1:2:3:4:5:6:7:1.2.3.4"]
+    texts += bad + ["::", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "::FFFF:8.8.8.8"]
+    df = spark.createDataFrame([(t,) for t in texts], "ip string")
+    for r in df.select("ip", ipv6_hex(F.col("ip")).alias("h"), is_public_ip(F.col("ip")).alias("pub")).collect():
+        try:
+            a = ipaddress.IPv6Address(r.ip) if "%" not in r.ip else None
+        except ValueError:
+            a = None
+        assert (r.h and r.h.lower()) == (a and f"{int(a):032x}"), r.ip
+        assert (r.ip in bad) <= (a is None)
+        # Mapped and 6to4 addresses are reserved blocks here; the library's answer for them varies by version.
+        if a is None or a.ipv4_mapped or a.sixtofour or int(a) >> 108 == 0x3fff0:
+            assert r.pub is (None if a is None else False), r.ip
+        else:
+            assert r.pub == a.is_global, r.ip
 
 
 def test_geo_longest_prefix_and_skip_rules(spark):
-    ranges = spark.createDataFrame(
-        [(203 * 16777216, 203 * 16777216 + 65535, 16, None, "R0", "R", 1.0, 1.0, 1000),
-         (203 * 16777216 + 3 * 256, 203 * 16777216 + 3 * 256 + 255, 24, "C3", "N3", "N", 3.0,
-          3.0, 10),
-         (134744064, 134744064 + 255, 24, "DNS", "US", "US", 2.0, 2.0, 5)],
-        "start_ip bigint, end_ip bigint, prefix_len int, city string, country string,"
-        " country_code string, latitude double, longitude double, accuracy_radius int")
-    df = spark.createDataFrame([(a,) for a in ADDRS + ["203.0.9.9"]], "ip string")
-    for bc, key in ((True, None), (False, None), (True, ["ip"]), (False, ["ip"])):
-        out = {r.ip: r.geo for r in
-               geo_enrich(df, "ip", ranges, broadcast_ranges=bc, row_key=key).collect()}
+    by_number = spark.createDataFrame(
+        [(203 * 16777216, 16, None, "R0", "R", 1.0, 1.0, 1000),
+         (203 * 16777216 + 3 * 256, 24, "C3", "N3", "N", 3.0, 3.0, 10),
+         (134744064, 24, "DNS", "US", "US", 2.0, 2.0, 5)], "start_ip bigint, prefix_len int, " + GEO_DDL)
+    by_text = spark.createDataFrame(
+        [("203.0.0.0/16", None, "R0", "R", 1.0, 1.0, 1000), ("203.0.3.9/24", "C3", "N3", "N", 3.0, 3.0, 10),
+         ("8.8.8.0/24", "DNS", "US", "US", 2.0, 2.0, 5), (None, "x", "x", "x", 0.0, 0.0, 0), ("no/8", "x", "x", "x", 0.0, 0.0, 0),
+         ("1.0.0.0/40", "x", "x", "x", 0.0, 0.0, 0), ("1.2.3.4", "x", "x", "x", 0.0, 0.0, 0)], "network string, " + GEO_DDL)
+    df = spark.createDataFrame([(a,) for a in ADDRS + ["203.0.9.9", "8.8.8.8"]], "ip string")
+    for ranges in (by_number, by_text):
+        rows = geo_enrich(df, "ip", ranges).collect()
+        out = {r.ip: r.geo for r in rows}
+        assert len(rows) == df.count()
         assert out["203.0.3.7"].country == "N3"           # /24 inside the /16 wins
         assert out["203.0.9.9"].country == "R0"           # only the /16 covers it
         assert out["8.8.8.8"].city == "DNS"
@@ -43,6 +88,40 @@ def test_geo_longest_prefix_and_skip_rules(spark):
         assert out["2001:db8::1"] is not None and out["2001:db8::1"].country is None
 
 
+def test_longest_prefix_equals_brute_force_in_both_families(spark):
+    rng = random.Random(9)
+    nets = {}
+    for k in range(400):
+        six = k % 2
+        base = (0x2600 << 112 | rng.getrandbits(6) << 90 | rng.getrandbits(3) << 60) if six else 11 << 24 | rng.getrandbits(6) << 14
+        plen = rng.choice([0, 8, 16, 30, 33, 48, 64, 65, 80, 127, 128] if six else [0, 1, 8, 15, 24, 31, 32])
+        net = ipaddress.ip_network((base | rng.getrandbits(64 if six else 10), plen), strict=False)
+        nets[net] = f"c{k}"
+    ranges = spark.createDataFrame([(str(n), c, "x", "x", 0.0, 0.0, 1) for n, c in nets.items()], "network string, " + GEO_DDL)
+    addrs = [str(ipaddress.IPv6Address(0x2600 << 112 | rng.getrandbits(6) << 90 | rng.getrandbits(3) << 60 | rng.getrandbits(2)))
+             for _ in range(300)]
+    addrs += [str(ipaddress.IPv4Address(11 << 24 | rng.getrandbits(6) << 14 | rng.getrandbits(10))) for _ in range(300)]
+    addrs += [str(next(iter(n.hosts()), n.network_address)) for n in list(nets)[:60] if n.prefixlen > 0] + [addrs[0]] * 50
+    got = geo_enrich(spark.createDataFrame([(a,) for a in addrs], "ip string"), "ip", ranges).collect()
+    assert len(got) == len(addrs)
+    for r in got:
+        a = ipaddress.ip_address(r.ip)
+        hits = [n for n in nets if n.version == a.version and a in n] if a.is_global else []
+        assert r.geo.city == (nets[max(hits, key=lambda n: n.prefixlen)] if hits else None), r.ip
+
+
+def test_lookup_plan_has_equality_keys_and_runs_no_job(spark):
+    seen = spark.createDataFrame([("8.8.8.8", 1), (None, 2)], "ip string, id int")
+    ranges = spark.createDataFrame([("8.0.0.0/8", "c", "x", "x", 0.0, 0.0, 1)], "network string, " + GEO_DDL)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lookup-plan", "plan only")
+    plan = geo_enrich(seen, "ip", ranges)._jdf.queryExecution().executedPlan().toString()
+    assert not tracker.getJobIdsForGroup("lookup-plan")
+    spark.sparkContext.setJobGroup("", "")
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Generate" not in plan
+    assert networks(ranges, ["city"]).columns == ["family", "plen", "net_hi", "net_lo", "rec"]
+
+
 def test_geo_not_configured_gives_typed_null(spark):
     df = spark.createDataFrame([("8.8.8.8",)], "ip string")
     out = geo_enrich(df, "ip", None)
