@@ -1,75 +1,69 @@
 """Control tables (C01-C06): rule registry, checkpoints and run log.
 
-Registry and checkpoints are small tables that need upserts. Parquet has no
-MERGE and a path must never be overwritten while it is read, so they are
-*versioned*: every upsert appends a complete new version (``_version``
-column, one partition per version) and readers take the highest version.
-Older versions stay until removed by retention. The run log is append-only.
+All are plain Parquet tables that are only ever appended to, one folder per
+append (``append=<id>``), so writers need not know of each other: nothing is
+read before a write, rewritten, or committed over another job's output. What
+is current is a query: per rule the latest non-null value of each column
+(registry), or the latest attempt and the windows covered (checkpoints).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .findings import table_exists
-
-REGISTRY_SCHEMA = T.StructType([
-    T.StructField("rule_id", T.StringType(), False),
-    T.StructField("rule_group", T.StringType()),
-    T.StructField("module_path", T.StringType()),
-    T.StructField("callable_name", T.StringType()),
-    T.StructField("severity", T.StringType()),
-    T.StructField("created_at", T.TimestampType()),
-    T.StructField("updated_at", T.TimestampType()),
-    T.StructField("enabled", T.BooleanType()),
-])
-CHECKPOINT_SCHEMA = T.StructType([
-    T.StructField("rule_id", T.StringType(), False),
-    T.StructField("last_success_end_ts", T.TimestampType()),
-    T.StructField("last_attempt_start_ts", T.TimestampType()),
-    T.StructField("last_attempt_end_ts", T.TimestampType()),
-    T.StructField("last_status", T.StringType()),
-    T.StructField("last_error", T.StringType()),
-    T.StructField("updated_at", T.TimestampType()),
-])
-RUN_LOG_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType(), False),
-    T.StructField("rule_id", T.StringType(), False),
-    T.StructField("window_start_ts", T.TimestampType()),
-    T.StructField("window_end_ts", T.TimestampType()),
-    T.StructField("started_at", T.TimestampType()),
-    T.StructField("finished_at", T.TimestampType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("row_count", T.LongType()),
-    T.StructField("duration_ms", T.LongType()),
-    T.StructField("runner_version", T.StringType()),
-    T.StructField("error_message", T.StringType()),
-    T.StructField("created_at", T.TimestampType()),
-])
-
-
-# --- versioned small tables -------------------------------------------------
-def read_current(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    if not table_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    df = spark.read.parquet(path)
-    top = df.agg(F.max("_version")).first()[0]
-    return df.filter(F.col("_version") == top).select(*[f.name for f in schema.fields])
-
-
-def _next_version(spark: SparkSession, path: str) -> int:
-    if not table_exists(spark, path):
-        return 1
-    top = spark.read.parquet(path).agg(F.max("_version")).first()[0]
-    return int(top or 0) + 1
-
-
-def write_version(df: DataFrame, path: str) -> int:
-    v = _next_version(df.sparkSession, path)
-    df.withColumn("_version", F.lit(v)).write.mode("append").partitionBy("_version").parquet(path)
-    return v
+def schema_of(columns: str) -> T.StructType:
+    """'a string, b timestamp' as a schema (atomic types; needs no session)."""
+    kinds = {k.typeName(): k for k in (T.StringType, T.TimestampType, T.DateType, T.BooleanType, T.LongType)}
+    kinds["bigint"] = T.LongType
+    return T.StructType([T.StructField(n, kinds[k]()) for n, k in (c.split() for c in columns.split(","))])
+
+
+# ---------------------------------------------------------------------------
+# Column names and types of the control tables.
+# ---------------------------------------------------------------------------
+REGISTRY_SCHEMA = schema_of(
+    "rule_id string, rule_group string, module_path string, callable_name string, severity string,"
+    " created_at timestamp, updated_at timestamp, enabled boolean")
+CHECKPOINT_SCHEMA = schema_of(
+    "rule_id string, last_success_end_ts timestamp, last_attempt_start_ts timestamp,"
+    " last_attempt_end_ts timestamp, last_status string, last_error string, updated_at timestamp")
+ATTEMPT_SCHEMA = schema_of(
+    "rule_id string, window_start_ts timestamp, window_end_ts timestamp, started_at timestamp,"
+    " finished_at timestamp, status string, error_message string, updated_at timestamp")
+RUN_LOG_SCHEMA = schema_of(
+    "run_id string, rule_id string, window_start_ts timestamp, window_end_ts timestamp,"
+    " started_at timestamp, finished_at timestamp, status string, row_count bigint,"
+    " duration_ms bigint, runner_version string, error_message string, created_at timestamp")
+
+
+# --- append-only tables -------------------------------------------------------
+def append_rows(df: DataFrame, path: str, schema: T.StructType) -> None:
+    """Add the rows, missing columns as NULL, in a folder of their own."""
+    cols = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields]
+    df.select(*cols).coalesce(1).write.parquet(f"{path.rstrip('/')}/append={uuid.uuid4().hex}")
+
+
+def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows ever appended, with the ``append`` they came in; none if nothing was written yet."""
+    whole = T.StructType([*schema.fields, T.StructField("append", T.StringType())])
+    try:
+        return spark.read.schema(whole).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], whole)
+
+
+def _latest(value: Column | str, known: Column | None = None) -> Column:
+    """The value appended last; with ``known`` the last for which that holds."""
+    order = F.struct("updated_at", "append")
+    return F.max_by(value, order if known is None else F.when(known, order))
 
 
 # --- C01 / C02 / C06 registry ----------------------------------------------
@@ -83,25 +77,25 @@ def catalog_rows(spark: SparkSession, enabled: bool = True) -> DataFrame:
               " severity string, enabled boolean")
 
 
-def upsert_registry(incoming: DataFrame, path: str) -> int:
-    """Keep created_at of known rules, set updated_at, take new values."""
-    spark = incoming.sparkSession
-    cur = read_current(spark, path, REGISTRY_SCHEMA).alias("c")
-    new = incoming.alias("n")
+def upsert_registry(incoming: DataFrame, path: str) -> None:
+    """New values of the given rules. NULL leaves a value as it is; the first
+    append of a rule is its creation."""
     now = F.current_timestamp()
-    merged = cur.join(new, F.col("c.rule_id") == F.col("n.rule_id"), "full_outer").select(
-        F.coalesce("n.rule_id", "c.rule_id").alias("rule_id"),
-        *[F.coalesce(f"n.{c}", f"c.{c}").alias(c)
-          for c in ["rule_group", "module_path", "callable_name", "severity"]],
-        F.coalesce("c.created_at", now).alias("created_at"),
-        F.when(F.col("n.rule_id").isNotNull(), now).otherwise(F.col("c.updated_at"))
-        .alias("updated_at"),
-        F.coalesce("n.enabled", "c.enabled").alias("enabled"))
-    return write_version(merged, path)
+    append_rows(incoming.withColumn("created_at", now).withColumn("updated_at", now), path, REGISTRY_SCHEMA)
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    return read_current(spark, path, REGISTRY_SCHEMA)
+    """One current row per rule."""
+    rows = read_appended(spark, path, REGISTRY_SCHEMA)
+    kept = ["rule_group", "module_path", "callable_name", "severity", "enabled"]
+    return (rows.groupBy("rule_id")
+            .agg(F.min("created_at").alias("created_at"), F.max("updated_at").alias("updated_at"),
+                 *[_latest(c, F.col(c).isNotNull()).alias(c) for c in kept])
+            .select(*REGISTRY_SCHEMA.names))
+
+
+def registry_exists(spark: SparkSession, path: str) -> bool:
+    return not read_appended(spark, path, REGISTRY_SCHEMA).isEmpty()
 
 
 def registry_summary(registry: DataFrame) -> DataFrame:
@@ -121,58 +115,54 @@ def enabled_rules(registry: DataFrame) -> DataFrame:
 
 
 # --- C03 / C04 checkpoints ---------------------------------------------------
-def seed_checkpoints(registry: DataFrame, path: str) -> int:
-    """A NULL checkpoint row for every registered rule without one."""
-    spark = registry.sparkSession
-    cur = read_current(spark, path, CHECKPOINT_SCHEMA)
-    missing = registry.select("rule_id").join(cur.select("rule_id"), "rule_id", "left_anti")
-    seeded = missing.select("rule_id", *[F.lit(None).cast(f.dataType).alias(f.name)
-                                         for f in CHECKPOINT_SCHEMA.fields[1:]])
-    return write_version(cur.unionByName(seeded), path)
-
-
-def update_checkpoints(runs: DataFrame, path: str) -> int:
-    """C04 from run-log rows: last attempt, status, error; on success the end
-    of the processed window (so the next run can start from it)."""
-    spark = runs.sparkSession
-    cur = read_current(spark, path, CHECKPOINT_SCHEMA).alias("c")
-    r = runs.alias("r")
-    ok = F.col("r.status") == "SUCCESS"
-    merged = cur.join(r, F.col("c.rule_id") == F.col("r.rule_id"), "full_outer").select(
-        F.coalesce("r.rule_id", "c.rule_id").alias("rule_id"),
-        # A back-fill of an old window never moves the end backwards.
-        F.when(ok, F.greatest("r.window_end_ts", "c.last_success_end_ts"))
-        .otherwise(F.col("c.last_success_end_ts"))
-        .alias("last_success_end_ts"),
-        F.coalesce("r.started_at", "c.last_attempt_start_ts").alias("last_attempt_start_ts"),
-        F.coalesce("r.finished_at", "c.last_attempt_end_ts").alias("last_attempt_end_ts"),
-        F.coalesce("r.status", "c.last_status").alias("last_status"),
-        F.when(F.col("r.rule_id").isNotNull(), F.col("r.error_message"))
-        .otherwise(F.col("c.last_error")).alias("last_error"),
-        F.when(F.col("r.rule_id").isNotNull(), F.current_timestamp())
-        .otherwise(F.col("c.updated_at")).alias("updated_at"))
-    return write_version(merged, path)
+def seed_checkpoints(registry: DataFrame, path: str) -> None:
+    """An empty checkpoint for every registered rule without one. A rule seeded by
+    two writers at once still has one current row."""
+    known = read_appended(registry.sparkSession, path, ATTEMPT_SCHEMA).select("rule_id")
+    append_rows(registry.select("rule_id").distinct().join(known, "rule_id", "left_anti"), path, ATTEMPT_SCHEMA)
+
+
+def update_checkpoints(runs: DataFrame, path: str) -> None:
+    """C04 from run-log rows: each is one attempt at a window."""
+    append_rows(runs.withColumn("updated_at", F.current_timestamp()), path, ATTEMPT_SCHEMA)
 
 
 def read_checkpoints(spark: SparkSession, path: str) -> DataFrame:
-    return read_current(spark, path, CHECKPOINT_SCHEMA)
+    """One row per rule: the latest end of a successful window, and the last attempt."""
+    rows = read_appended(spark, path, ATTEMPT_SCHEMA)
+    last = {"last_attempt_start_ts": "started_at", "last_attempt_end_ts": "finished_at",
+            "last_status": "status", "last_error": "error_message"}
+    return (rows.groupBy("rule_id")
+            .agg(F.max(F.when(F.col("status") == "SUCCESS", F.col("window_end_ts"))).alias("last_success_end_ts"),
+                 F.max("updated_at").alias("updated_at"),
+                 _latest(F.struct(*[F.col(c).alias(k) for k, c in last.items()])).alias("_last"))
+            .select("rule_id", "last_success_end_ts", *[f"_last.{k}" for k in last], "updated_at")
+            .select(*CHECKPOINT_SCHEMA.names))
+
+
+def covered_spans(spark: SparkSession, path: str) -> DataFrame:
+    """(rule_id, span_start, span_end): the successful windows of each rule, those that
+    touch or overlap joined into one. A gap between two windows stays a gap."""
+    done = (read_appended(spark, path, ATTEMPT_SCHEMA)
+            .filter((F.col("status") == "SUCCESS") & F.col("window_start_ts").isNotNull()))
+    by_start = Window.partitionBy("rule_id").orderBy("window_start_ts", "window_end_ts")
+    before = F.max("window_end_ts").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce((F.col("window_start_ts") > before).cast("int"), F.lit(0))
+    return (done.withColumn("_opens", opens).withColumn("_span", F.sum("_opens").over(by_start))
+            .groupBy("rule_id", "_span")
+            .agg(F.min("window_start_ts").alias("span_start"), F.max("window_end_ts").alias("span_end"))
+            .drop("_span"))
 
 
 # --- C05 run log ---------------------------------------------------------------
 def run_log_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
     """One row per rule run; ``rows`` hold the driver-side run bookkeeping."""
-    fixed = []
-    for r in rows:
-        d = {f.name: r.get(f.name) for f in RUN_LOG_SCHEMA.fields}
-        fixed.append(d)
-    return spark.createDataFrame(fixed, RUN_LOG_SCHEMA)
+    return spark.createDataFrame([{c: r.get(c) for c in RUN_LOG_SCHEMA.names} for r in rows], RUN_LOG_SCHEMA)
 
 
 def append_run_log(log: DataFrame, path: str) -> None:
-    log.write.mode("append").parquet(path)
+    append_rows(log, path, RUN_LOG_SCHEMA)
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    if not table_exists(spark, path):
-        return spark.createDataFrame([], RUN_LOG_SCHEMA)
-    return spark.read.parquet(path)
+    return read_appended(spark, path, RUN_LOG_SCHEMA).drop("append")

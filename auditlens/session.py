@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 JIT_OPTS = "-XX:-DontCompileHugeMethods"
@@ -71,3 +72,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read back by its schema.
+
+    For a reduced frame that a plan uses more than once: it is computed once,
+    and a lost executor costs a re-read. The folder is kept until whoever owns
+    ``spark.checkpoint.dir`` clears it.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/auditlens-work/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -44,6 +44,15 @@ STATEMENTS = [
     "SELECT 1",
 ]
 FAN_OFFSETS_S = [0, 45, 400]
+# Addresses as SQL expressions: IPv6 in all its spellings, reserved and mapped
+# ones, and texts that are no address.
+ODD_ADDRESSES = [
+    "'2600:' || CAST(user_id % 7 AS STRING) || ':' || CAST(user_id % 25 AS STRING) || '::' || CAST(src_id % 250 AS STRING)",
+    "'2600:' || CAST(user_id % 5 AS STRING) || ':' || CAST(user_id % 25 AS STRING) || ':0:7::' || CAST(src_id % 250 AS STRING)",
+    "'2600:0001:0006:0000:0000:0000:0000:00AB'", "'2001:db8::1'", "'::1'", "'fe80::1'", "'fd00::5'",
+    "'::ffff:8.8.8.8'", "'2001:4860:4860::8888'", "'2002:c000:204::1'", "'64:ff9b::1.2.3.4'", "'2001:20::1'",
+    "'203.0.3.7:443'", "'2600::1::2'", "'2600:1:2:3:4:5:6:7:8'", "'2600:1:1::256.1.1.1'",
+]
 
 
 def _lit(v) -> str:
@@ -60,6 +69,11 @@ def _pick(expr: str, values: list) -> str:
     return f"(CASE {expr} {arms} END)"
 
 
+def _choose(expr: str, exprs: list[str]) -> str:
+    """The ``expr``-th of some SQL expressions."""
+    return f"(CASE {expr} " + " ".join(f"WHEN {k} THEN {e}" for k, e in enumerate(exprs)) + " END)"
+
+
 def _s(expr: str) -> str:
     return f"CAST({expr} AS STRING)"
 
@@ -101,6 +115,7 @@ AUDIT_COLUMNS: dict[str, str] = {
                   "ELSE 'Mozilla/5.0' END)",
     "source_ip_address": "(CASE WHEN s IN (24, 25) THEN '198.51.100.' || "
                          "(CASE WHEN r % 6 < 5 THEN '1' ELSE '2' END) "
+                         f"WHEN s < 24 AND r % 9 = 7 THEN {_choose('r4 % 16', ODD_ADDRESSES)} "
                          f"WHEN r % 9 = 8 THEN '10.0.0.' || {_s('src_id % 250')} "
                          f"ELSE '203.0.' || {_s('user_id % 25')} || '.' || "
                          f"{_s('(src_id + (CASE WHEN s >= 27 THEN i ELSE 0 END)) % 250')} END)",
@@ -144,7 +159,7 @@ PARAM_COLUMNS: dict[str, str] = {
 }
 PARAM_KEYS_SORTED = sorted(PARAM_COLUMNS)
 
-FANOUT_PRED = "(s >= 27 OR (s IN (24, 25) AND r % 6 < 5))"
+FANOUT_PRED = "(s >= 27 OR (s = 26 AND r % 4 = 1) OR (s IN (24, 25) AND r % 6 < 5))"
 
 HISTORY_COLUMNS: dict[str, str] = {
     "executed_as": f"'user' || {_s('user_id')} || '@example.com'",
@@ -165,11 +180,13 @@ BILLING_COLUMNS: dict[str, str] = {
 }
 
 # IP ranges: one /24 per nation (203.0.<n>.0/24) nested in one /16 per region
-# (203.<r>.0.0/16), so longest-prefix matching is exercised.
+# (203.<r>.0.0/16), and in IPv6 a /80 nested in a /48 per nation and a /32 per
+# region, so longest-prefix matching is exercised in both families.
+NATION_NETWORKS = [f"'203.0.' || {_s('n_nationkey')} || '.0/24'",
+                   f"'2600:' || {_s('n_nationkey % 5')} || ':' || {_s('n_nationkey')} || '::/48'",
+                   f"'2600:' || {_s('n_nationkey % 5')} || ':' || {_s('n_nationkey')} || ':0:7::/80'"]
+REGION_NETWORKS = [f"'203.' || {_s('r_regionkey')} || '.0.0/16'", f"'2600:' || {_s('r_regionkey')} || '::/32'"]
 NATION_GEO: dict[str, str] = {
-    "start_ip": "(CAST(203 AS BIGINT) * 16777216 + n_nationkey * 256)",
-    "end_ip": "(CAST(203 AS BIGINT) * 16777216 + n_nationkey * 256 + 255)",
-    "prefix_len": "24",
     "city": f"'CITY_' || {_s('n_nationkey')}",
     "country": "n_name",
     "country_code": f"'N' || {_s('n_nationkey')}",
@@ -178,12 +195,9 @@ NATION_GEO: dict[str, str] = {
     "accuracy_radius": "50 + n_nationkey",
     "as_number": "64500 + n_nationkey",
     "as_org": "'ORG_' || n_name",
-    "as_network": f"'203.0.' || {_s('n_nationkey')} || '.0/24'",
+    "as_network": "network",
 }
 REGION_GEO: dict[str, str] = {
-    "start_ip": "(CAST(203 AS BIGINT) * 16777216 + r_regionkey * 65536)",
-    "end_ip": "(CAST(203 AS BIGINT) * 16777216 + r_regionkey * 65536 + 65535)",
-    "prefix_len": "16",
     "city": "CAST(NULL AS STRING)",
     "country": "r_name",
     "country_code": f"'R' || {_s('r_regionkey')}",
@@ -192,7 +206,7 @@ REGION_GEO: dict[str, str] = {
     "accuracy_radius": "1000 + r_regionkey",
     "as_number": "64400 + r_regionkey",
     "as_org": "'ORG_' || r_name",
-    "as_network": f"'203.' || {_s('r_regionkey')} || '.0.0/16'",
+    "as_network": "network",
 }
 GEO_FIELDS = ["city", "country", "country_code", "latitude", "longitude", "accuracy_radius"]
 ASN_FIELDS = ["as_number", "as_org", "as_network"]
@@ -266,22 +280,19 @@ def billing_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 
 def _ranges(nation: DataFrame, region: DataFrame, fields: list[str]) -> DataFrame:
-    keep = ["start_ip", "end_ip", "prefix_len"] + fields
-    n = nation.selectExpr(*[f"{NATION_GEO[k]} AS {k}" for k in keep])
-    r = region.selectExpr(*[f"{REGION_GEO[k]} AS {k}" for k in keep])
-    return n.unionByName(r)
+    n = nation.withColumn("network", F.explode(F.array(*map(F.expr, NATION_NETWORKS))))
+    r = region.withColumn("network", F.explode(F.array(*map(F.expr, REGION_NETWORKS))))
+    return n.selectExpr("network", *[f"{NATION_GEO[k]} AS {k}" for k in fields]).unionByName(
+        r.selectExpr("network", *[f"{REGION_GEO[k]} AS {k}" for k in fields]))
 
 
 def ip_geo_from_nations(nation: DataFrame, region: DataFrame) -> DataFrame:
     return _ranges(nation, region, GEO_FIELDS).withColumn(
-        "accuracy_radius", F.col("accuracy_radius").cast("int")).withColumn(
-        "prefix_len", F.col("prefix_len").cast("int"))
+        "accuracy_radius", F.col("accuracy_radius").cast("int"))
 
 
 def ip_asn_from_nations(nation: DataFrame, region: DataFrame) -> DataFrame:
-    return _ranges(nation, region, ASN_FIELDS).withColumn(
-        "as_number", F.col("as_number").cast("int")).withColumn(
-        "prefix_len", F.col("prefix_len").cast("int"))
+    return _ranges(nation, region, ASN_FIELDS).withColumn("as_number", F.col("as_number").cast("int"))
 
 
 # ---------------------------------------------------------------------------
@@ -334,11 +345,10 @@ def duckdb_billing_cte() -> str:
 
 
 def duckdb_ip_ranges_cte(name: str, fields: list[str]) -> str:
-    keep = ["start_ip", "end_ip", "prefix_len"] + fields
-    n = ", ".join(f"{NATION_GEO[k]} AS {k}" for k in keep)
-    r = ", ".join(f"{REGION_GEO[k]} AS {k}" for k in keep)
+    n = ", ".join(f"{NATION_GEO[k]} AS {k}" for k in fields)
+    r = ", ".join(f"{REGION_GEO[k]} AS {k}" for k in fields)
     return f"""{name} AS (
-  SELECT {n} FROM nation
+  SELECT network, {n} FROM (SELECT *, unnest([{", ".join(NATION_NETWORKS)}]) AS network FROM nation)
   UNION ALL
-  SELECT {r} FROM region
+  SELECT network, {r} FROM (SELECT *, unnest([{", ".join(REGION_NETWORKS)}]) AS network FROM region)
 )"""

@@ -7,11 +7,12 @@ tables are turned into the same shapes by :mod:`auditlens.sources.projection`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_utc
+from ..session import ensure_utc, written
 from . import projection
 
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -26,6 +27,21 @@ class Tables:
     billing: DataFrame | None = None
     ip_geo: DataFrame | None = None
     ip_asn: DataFrame | None = None
+    #: What a rule does with a reduced frame that it uses more than once (name given).
+    keep: Callable[[DataFrame, str], DataFrame] = written
+
+    def scoped_to_users(self, users: DataFrame) -> "Tables":
+        """Every source reduced to the users listed in ``users`` (column email): a
+        semi-join, so a short list is broadcast and filters the scans at run time, and
+        a long one is shuffled."""
+        from pyspark.sql import functions as F
+        listed = users.select(F.col("email").alias("_listed")).distinct()
+
+        def only(df: DataFrame | None, who: str) -> DataFrame | None:
+            return df if df is None else df.join(listed, F.col(who) == F.col("_listed"), "left_semi")
+
+        return replace(self, audit=only(self.audit, "user_identity.email"), history=only(self.history, "executed_as"),
+                       billing=only(self.billing, "identity_metadata.created_by"))
 
     def scoped_to_user(self, email: str) -> "Tables":
         """Row filter on every source before the rules run (user report)."""
@@ -39,9 +55,6 @@ class Tables:
             self.billing.filter(F.col("identity_metadata.created_by") == email),
         )
 
-    def filtered(self, audit_pred: Column | None = None) -> "Tables":
-        return self if audit_pred is None else replace(self, audit=self.audit.filter(audit_pred))
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -73,14 +86,13 @@ def load_test_tables(spark: SparkSession, sf_dir: str, materialize: bool = True)
     on stored tables as in production (a stored ``request_params`` column,
     filters pushed to the scan) instead of re-deriving every row per query.
     """
-    import os
     import uuid
 
     from ..session import checkpoint_dir
     if not materialize:
         return derive_test_tables(spark, sf_dir)
     ensure_utc(spark)
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     cached = _DERIVED.get(key)
     if cached is not None:
         return cached

@@ -2,8 +2,9 @@
 
 The audit source is read with ``readStream``; in ``foreachBatch`` every
 micro-batch is persisted once, goes through the single-scan operator and is
-merged insert-only into the unified findings table (so a replayed batch after a failure inserts
-nothing twice). Progress lives in the checkpoint location, which must be on
+merged insert-only into the unified findings table: only the stored rules and
+days that the batch touches are read, and a replayed batch after a failure
+inserts nothing twice. Progress lives in the checkpoint location, which must be on
 shared storage (``spark.checkpoint.dir`` by default).
 """
 
@@ -23,13 +24,11 @@ from ..sources import projection as PR
 def stream_events_audit(spark: SparkSession, events_path: str,
                         max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming audit frame derived from an events parquet source."""
-    import os
-    schema = spark.read.parquet(events_path).schema
-    reader = spark.readStream.schema(schema)
-    if os.path.isfile(events_path):  # a single local file: stream it by a glob on its folder
-        folder, name = os.path.split(events_path)
-        reader = reader.option("basePath", folder)
-        events_path = f"{folder}/{name[0]}[{name[1]}]{name[2:]}"
+    # A stream source is a folder; a single file is one match of a pattern on its folder
+    # (a folder of that name matches too). Spark resolves both, on any store.
+    folder, _, name = events_path.rstrip("/").rpartition("/")
+    reader = spark.readStream.schema(spark.read.parquet(events_path).schema).option("basePath", folder)
+    events_path = f"{folder}/{name[0]}[{name[1]}]{name[2:]}"
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return PR.audit_from_events(reader.parquet(events_path))
@@ -41,7 +40,6 @@ def start_findings_stream(audit_stream: DataFrame, root: str, earliest, latest,
     """Start the query; returns the StreamingQuery."""
     spark = audit_stream.sparkSession
     ids = [r.rule_id for r in stateless_rules(rule_ids)]
-    target = f"{root.rstrip('/')}/unified"
 
     def merge_batch(batch: DataFrame, _batch_id: int) -> None:
         # The micro-batch is materialised once and every rule reads it.
@@ -53,8 +51,7 @@ def start_findings_stream(audit_stream: DataFrame, root: str, earliest, latest,
                 F.lit(earliest).cast("timestamp").alias("window_start_ts"),
                 F.lit(latest).cast("timestamp").alias("window_end_ts"), "severity",
                 F.current_timestamp().alias("observed_at"), "payload_json", "dedupe_key")
-            FN.insert_new(unified, target, ["rule_id", "dedupe_key"], partition_by=["rule_id"],
-                          prune={"rule_id": ids})
+            FN.merge_unified(unified, root)
         finally:
             batch.unpersist()
 
