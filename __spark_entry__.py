@@ -18,20 +18,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditlens import oracle as O
-from auditlens.functions.text import flatten_for_compare
+from auditlens.functions.text import flatten_for_compare, json_content
 from auditlens.functions.ip import is_public_ip
+from auditlens.operators import findings as FN
 from auditlens.operators import reports as R
 from auditlens.operators.catalog import get_rule
 from auditlens.operators.enrich import asn_enrich, geo_enrich
 from auditlens.operators.rules_stateless import STATELESS_AUDIT_IDS
 from auditlens.plans.evaluate import evaluate, run_summary
 from auditlens.operators.control import read_run_log
-from auditlens.plans.runner import run_rules
+from auditlens.plans.runner import RUNNER_VERSION, run_rules
 from auditlens.plans.single_scan import single_scan
-from auditlens.plans.threat_models import THREAT_MODELS, run_threat_models
+from auditlens.plans.threat_models import THREAT_MODELS, run_threat_models, user_reports
 from auditlens.session import checkpoint_dir
 from auditlens.sources import load_test_tables
 from auditlens.sources import projection as PR
+from auditlens.sources.tables import read_table
 from auditlens.streaming.rules_stream import start_findings_stream, stream_events_audit
 
 def _present(module: str) -> bool:
@@ -120,16 +122,21 @@ def _all_windows():
     return {rid: ALL for rid in ALL_RULE_IDS}
 
 
+def _compared(findings: DataFrame) -> DataFrame:
+    """Findings with their payload's content."""
+    return findings.select("rule_id", "severity", "event_ts", "event_date", "dedupe_key",
+                           json_content("payload_json").alias("payload"))
+
+
 def q_single_scan(spark, sf_dir):
     t = load_test_tables(spark, sf_dir)
-    return single_scan(t, *ALL).select("rule_id", "severity", "event_ts", "event_date",
-                                       "dedupe_key")
+    return _compared(single_scan(t, *ALL))
 
 
 def q_all_findings(spark, sf_dir):
     t = load_test_tables(spark, sf_dir)
     rules = [get_rule(r) for r in ALL_RULE_IDS]
-    return evaluate(t, rules, _all_windows()).drop("payload_json")
+    return _compared(evaluate(t, rules, _all_windows()))
 
 
 def q_run_summary(spark, sf_dir):
@@ -192,17 +199,56 @@ def q_pipeline_idempotent(spark, sf_dir):
     root = f"{checkpoint_dir(spark).rstrip('/')}/auditlens-findings-{uuid.uuid4().hex}"
     for _ in range(2):
         run_rules(t, root, *ALL, rule_ids=ALL_RULE_IDS)
-    return spark.read.parquet(f"{root}/unified").select(
-        "rule_id", "severity", "event_ts", "event_date", "dedupe_key")
+    return _compared(FN.read_unified(spark, root))
+
+
+def q_resumed(spark, sf_dir):
+    """All rules over a window that ends inside a login burst, then resumed to the end.
+
+    Per rule: the stored findings' keys; for the burst rules each user's greatest
+    burst (see :func:`auditlens.oracle.resumed_sql`)."""
+    t = load_test_tables(spark, sf_dir)
+    r = F.expr("event_id div 32")
+    burst = read_table(spark, sf_dir, "events").filter(
+        (F.col("event_id") % 32 >= 27) & (r % 7 != 6) & (r % 9 != 8) & (F.col("ts") >= "2024-01-15"))
+    cut = burst.agg((F.min("ts") + F.expr("INTERVAL 200 SECOND")).cast("string")).first()[0]
+    root = f"{checkpoint_dir(spark).rstrip('/')}/auditlens-findings-{uuid.uuid4().hex}"
+    run_rules(t, root, ALL[0], cut, rule_ids=ALL_RULE_IDS)
+    run_rules(t, root, *ALL, rule_ids=ALL_RULE_IDS, resume=True)
+    found = FN.read_unified(spark, root)
+    peak = F.coalesce(*[F.when(F.col("rule_id") == rid, F.get_json_object("payload_json", f"$.{c}").cast("bigint"))
+                        for rid, c in O.BURST_PEAKS.items()], F.lit(1))
+    item = F.when(F.col("rule_id").isin(*O.BURST_PEAKS), F.get_json_object("payload_json", "$.email"))
+    return (found.groupBy("rule_id", F.coalesce(item, F.col("dedupe_key")).alias("item"))
+            .agg(F.max(peak).cast("bigint").alias("n")))
+
+
+RUN_LOG_ID = "c05"
 
 
 def q_run_log(spark, sf_dir):
-    """One pipeline run over all rules; the run log it leaves."""
+    """One pipeline run over all rules; the run log it leaves (C05). Wall-clock columns as
+    whether they are in order."""
     t = load_test_tables(spark, sf_dir)
     root = f"{checkpoint_dir(spark).rstrip('/')}/auditlens-findings-{uuid.uuid4().hex}"
-    run_rules(t, root, *ALL, rule_ids=ALL_RULE_IDS)
+    run_rules(t, root, *ALL, rule_ids=ALL_RULE_IDS, run_id=RUN_LOG_ID)
     return flatten_for_compare(read_run_log(spark, f"{root}/run_log").select(
-        "rule_id", "status", "row_count", "window_start_ts", "window_end_ts"))
+        "run_id", "runner_version", "error_message", "rule_id", "status", "row_count", "window_start_ts", "window_end_ts",
+        (F.col("started_at") <= F.col("finished_at")).alias("started_before_end"),
+        F.col("duration_ms").between(0, F.unix_millis("finished_at") - F.unix_millis("started_at") + 1000).alias("lasted"),
+        (F.col("created_at") == F.col("finished_at")).alias("created_at_end")))
+
+
+def q_user_reports(spark, sf_dir):
+    """R05 of every user that a secret scanner's request came from."""
+    t = load_test_tables(spark, sf_dir)
+    users = get_rule("D25").run(t, *ALL, sort=False).select(F.col("SRC_USER").alias("email")).distinct()
+    got = user_reports(t, users, *ALL)
+    out = got["summary"].select("email", F.col("rule_id").alias("item"), F.col("findings").alias("n"))
+    for item, name in (("addresses", "ip_usage"), ("actions", "api_actions"), ("tokens", "token_usage")):
+        out = out.unionByName(got[name].groupBy("email").agg(F.count(F.lit(1)).alias("n"))
+                              .select("email", F.lit(item).alias("item"), "n"))
+    return out
 
 
 def q_stream(spark, sf_dir):
@@ -210,8 +256,7 @@ def q_stream(spark, sf_dir):
     root = f"{checkpoint_dir(spark).rstrip('/')}/auditlens-stream-{uuid.uuid4().hex}"
     audit = stream_events_audit(spark, f"{sf_dir.rstrip('/')}/events.parquet")
     start_findings_stream(audit, root, *ALL, checkpoint=f"{root}/_checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/unified").select(
-        "rule_id", "severity", "event_ts", "event_date", "dedupe_key")
+    return _compared(FN.read_unified(spark, root))
 
 
 OTHER_QUERIES = {
@@ -226,8 +271,10 @@ OTHER_QUERIES = {
     "r02_token_usage_per_user": _report(R.token_usage, ALL),
     "r03_api_actions_per_user": _report(R.api_actions, ALL),
     "r04_billing_usage_per_user": _report(R.billing_usage, BILLING_WINDOW),
+    "r05_user_reports": q_user_reports,
     "a01_alerts_sso_config_changed": q_alerts,
     "f05_merge_unified_twice": q_pipeline_idempotent,
+    "f06_resumed_equals_whole": q_resumed,
     "c05_run_log_all_rules": q_run_log,
     "s01_stream_stateless_rules": q_stream,
 }
@@ -248,9 +295,12 @@ def _other_oracles() -> dict[str, str]:
         "r02_token_usage_per_user": O.token_usage_sql(*ALL),
         "r03_api_actions_per_user": O.api_actions_sql(*ALL),
         "r04_billing_usage_per_user": O.billing_usage_sql(*BILLING_WINDOW),
+        "r05_user_reports": O.user_reports_sql(
+            [r for r in ALL_RULE_IDS if get_rule(r).group in ("binary", "behavioral")], *ALL),
         "a01_alerts_sso_config_changed": O.alerts_sql("D24", *ALL),
         "f05_merge_unified_twice": O.findings_union_sql(all_rw, distinct=True),
-        "c05_run_log_all_rules": O.run_log_sql(all_rw),
+        "f06_resumed_equals_whole": O.resumed_sql(ALL_RULE_IDS, ALL[0], O.CUT_IN_BURST, ALL[1]),
+        "c05_run_log_all_rules": O.run_log_sql(all_rw, RUN_LOG_ID, RUNNER_VERSION),
         "s01_stream_stateless_rules": O.findings_union_sql(stateless_rw, distinct=True),
     }
 

@@ -58,3 +58,18 @@ JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 def json_text(c: Column) -> Column:
     """``to_json`` keeping microseconds (the default format keeps milliseconds)."""
     return F.to_json(c, JSON_OPTIONS)
+
+
+def json_content(c: Column | str) -> Column:
+    """A JSON object's top-level members as sorted ``name=value`` texts, numbers without
+    exponents, so that two payloads compare by content."""
+    c = F.col(c) if isinstance(c, str) else c
+
+    def text(v: Column) -> Column:
+        plain = F.rtrim(v.try_cast(T.DecimalType(38, 20)).cast("string"), F.lit("0"))
+        return F.when(v.rlike(r"^-?[0-9]+\.[0-9]+E-[0-9]+$"), plain).otherwise(v)
+
+    members = F.map_entries(F.from_json(c, "map<string,string>"))
+    return F.array_join(F.array_sort(F.transform(
+        F.filter(members, lambda e: e["value"].isNotNull()),
+        lambda e: F.concat(e["key"], F.lit("="), text(e["value"])))), "||")

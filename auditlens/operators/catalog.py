@@ -10,12 +10,13 @@ audit rules are declared as a row predicate plus an aliased projection
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import window_bounds, window_filter
+from ..functions.time import bound, window_bounds, window_filter
 
 
 @dataclass(frozen=True)
@@ -23,6 +24,10 @@ class StatelessSpec:
     predicate: Callable[..., Column]          # (**params) -> row predicate, window excluded
     columns: Callable[..., list[Column]]      # (**params) -> aliased output columns
     sort_col: str | None = None               # presented newest first
+    # What a scan of many rules can push down: every action the predicate can match, or
+    # another superset of it in plain column tests.
+    actions: tuple[str, ...] = ()
+    touches: Callable[[], Column] | None = None
 
 
 @dataclass(frozen=True)
@@ -42,18 +47,24 @@ class Rule:
     user_col: str | None = None  # output column with the acting user (reports)
     prefilter: Callable[[], Column] | None = None  # cheap superset of the rows a
     #                                                stateful rule reads (shared scan)
+    reach: Callable[[dict], int] | None = None   # seconds before its end that a finding of a
+    #                                              stateful rule depends on; None: the whole window
 
     def run(self, tables, earliest=None, latest=None, sort: bool = True,
-            output: str | None = None, **params) -> DataFrame:
+            output: str | None = None, since=None, **params) -> DataFrame:
         """Findings of this rule in [earliest, latest]; ``output='rows'``
-        skips the alert wrapping of alert-type rules."""
+        skips the alert wrapping of alert-type rules.
+
+        ``since`` (resumed runs): only findings that end after it. The rows up
+        to ``since`` are context; see :func:`resumed_start` for how far back
+        they are needed."""
         p = {**self.defaults, **params}
         if self.stateless is not None:
-            df = self._run_stateless(tables, earliest, latest, **p)
+            df = self._run_stateless(tables, earliest if since is None else since, latest, **p)
             if sort and self.stateless.sort_col:
                 df = df.orderBy(F.col(self.stateless.sort_col).desc())
         else:
-            df = self.build(tables, earliest, latest, **p)
+            df = self.build(tables, earliest, latest, **p, **({} if since is None else {"since": bound(since)}))
         if (output or self.output) == "alerts":
             from .alerts import to_alerts
             df = to_alerts(df)
@@ -68,6 +79,24 @@ class Rule:
                 .select(*self.stateless.columns(**p)))
 
 
+def resumed_start(rule: Rule, since: datetime, start: datetime, explicit: bool, end: datetime,
+                  params: dict | None = None) -> datetime:
+    """Where a run that reports what ends after ``since`` must start to read.
+
+    A stateless rule needs no context, a rule with a ``reach`` that many
+    seconds, any other its whole window: from the caller's start, or as long as
+    its default window before ``since`` when the caller gave none. An explicit
+    start is never passed: rows before it aren't part of the window.
+    """
+    if rule.stateless is not None:
+        return since
+    if rule.reach is not None:
+        first = since - timedelta(seconds=rule.reach({**rule.defaults, **(params or {})}))
+    else:
+        first = start if explicit else since - (end - start)
+    return max(first, start) if explicit else first
+
+
 _CATALOG: dict[str, Rule] = {}
 
 

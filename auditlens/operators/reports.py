@@ -7,7 +7,7 @@ first, so a single user's report is the same query with a pushed-down filter.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import email, param
@@ -32,6 +32,31 @@ def _times():
             F.count(F.lit(1)).alias("total_events")]
 
 
+def _by_use(a: DataFrame, keys: dict, approx: bool) -> DataFrame:
+    """Per key: time span, events, distinct addresses and agents.
+
+    Exact counts of two columns at once would copy every event per column. So
+    the events are first reduced to one row per (key, address, agent), with
+    map-side combine; each address and each agent of a key is then counted where
+    it comes first. No group's values are gathered.
+    """
+    named = a.select(*[c.alias(k) for k, c in keys.items()], "event_time", "source_ip_address", "user_agent")
+    if approx:
+        return (named.groupBy(*keys).agg(*_times(), _distinct("source_ip_address", True).alias("num_source_ips"),
+                                         _distinct("user_agent", True).alias("num_useragents")))
+    uses = named.groupBy(*keys, "source_ip_address", "user_agent").agg(*_times())
+
+    def first_of(value: str, other: str):
+        w = Window.partitionBy(*keys, value).orderBy(other)
+        return (F.col(value).isNotNull() & (F.row_number().over(w) == 1)).cast("bigint")
+
+    return (uses.withColumn("_ip", first_of("source_ip_address", "user_agent"))
+            .withColumn("_agent", first_of("user_agent", "source_ip_address"))
+            .groupBy(*keys).agg(F.min("earliest").alias("earliest"), F.max("latest").alias("latest"),
+                                F.sum("total_events").alias("total_events"), F.sum("_ip").alias("num_source_ips"),
+                                F.sum("_agent").alias("num_useragents")))
+
+
 def ip_usage(tables, earliest=None, latest=None, user: str | None = None,
              approx: bool = False) -> DataFrame:
     """Per (user, source IP): time span, events, distinct service||action."""
@@ -47,18 +72,15 @@ def token_usage(tables, earliest=None, latest=None, user: str | None = None,
     a = (_audit(tables, user, earliest, latest)
          .filter((F.col("action_name") == "tokenLogin")
                  & (param("authenticationMethod") != "API_INT_PAT_TOKEN")))
-    return (a.groupBy(email().alias("email"), param("tokenId").alias("tokenId"))
-            .agg(*_times(), _distinct("source_ip_address", approx).alias("num_source_ips"),
-                 _distinct("user_agent", approx).alias("num_useragents")))
+    return _by_use(a, {"email": email(), "tokenId": param("tokenId")}, approx)
 
 
 def api_actions(tables, earliest=None, latest=None, user: str | None = None,
                 approx: bool = False) -> DataFrame:
     """Per (user, service, action)."""
     a = _audit(tables, user, earliest, latest)
-    return (a.groupBy(email().alias("email"), "service_name", "action_name")
-            .agg(*_times(), _distinct("source_ip_address", approx).alias("num_source_ips"),
-                 _distinct("user_agent", approx).alias("num_useragents")))
+    return _by_use(a, {"email": email(), "service_name": F.col("service_name"),
+                       "action_name": F.col("action_name")}, approx)
 
 
 def billing_usage(tables, earliest=None, latest=None, user: str | None = None) -> DataFrame:

@@ -23,6 +23,17 @@ def _audit_window(tables, earliest, latest, lookback=DAY) -> DataFrame:
     return window_filter(tables.audit, "event_time", lo, hi)
 
 
+def _ends_after(df: DataFrame, time, since) -> DataFrame:
+    """Rows that end after ``since``; all of them where it is None."""
+    return df if since is None else df.filter(time > since)
+
+
+def _of_groups(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ``df`` whose keys (NULLs included) are among ``groups``."""
+    wanted = groups.select(*[F.col(k).alias(f"_group_{k}") for k in keys])
+    return df.join(wanted, P.all_of([F.col(k).eqNullSafe(F.col(f"_group_{k}")) for k in keys]), "left_semi")
+
+
 def _public_login(agent_regex: str):
     return (P.service("accounts") & P.action(*P.LOGIN_ACTIONS)
             & P.not_rlike(F.col("source_ip_address"), P.PRIVATE_IP_REGEX)
@@ -31,7 +42,8 @@ def _public_login(agent_regex: str):
 
 # --- D11 -------------------------------------------------------------------
 def login_bursts(tables, earliest=None, latest=None, threshold_seconds: int = 600,
-                 threshold_value: int = 2, bucket_seconds: int | None = None) -> DataFrame:
+                 threshold_value: int = 2, bucket_seconds: int | None = None, since=None) -> DataFrame:
+    """``since``: the logins up to it are counted in bursts, but only later ones make a finding."""
     logins = (_audit_window(tables, earliest, latest)
               .filter(_public_login(P.alternation(P.LOGIN_BURST_AGENTS))
                       & email().isNotNull())
@@ -39,7 +51,7 @@ def login_bursts(tables, earliest=None, latest=None, threshold_seconds: int = 60
                       epoch_seconds("event_time").alias("_ts")))
     counted = range_count(logins, ["email"], "_ts", threshold_seconds, "login_count",
                           bucket_seconds)
-    return (counted.groupBy("email")
+    return (_ends_after(counted, F.col("event_time"), since).groupBy("email")
             .agg(F.count(F.lit(1)).cast("int").alias("total_logins"),
                  F.countDistinct("source_ip_address").alias("unique_ips"),
                  F.min("event_time").alias("first_seen"),
@@ -52,12 +64,13 @@ register(Rule("D11", "session_hijacking_frequent_logins", "behavioral", "low",
               "Bursts of public-IP logins by one user within a short interval",
               DAY, "last_seen", build=login_bursts, user_col="email",
               prefilter=lambda: P.service("accounts") & P.action(*P.LOGIN_ACTIONS),
+              reach=lambda p: p["threshold_seconds"] + 1,  # bursts count whole seconds
               defaults={"threshold_seconds": 600, "threshold_value": 2}))
 
 
 # --- D12 -------------------------------------------------------------------
 def device_switches(tables, earliest=None, latest=None, threshold_secs: int = 600,
-                    bucket_seconds: int | None = None) -> DataFrame:
+                    bucket_seconds: int | None = None, since=None) -> DataFrame:
     logins = (_audit_window(tables, earliest, latest)
               .filter(_public_login(P.alternation(P.DEVICE_SWITCH_AGENTS))
                       & F.col("session_id").isNotNull())
@@ -72,7 +85,7 @@ def device_switches(tables, earliest=None, latest=None, threshold_secs: int = 60
     reason = (F.when(ip_changed & agent_changed, "Different IP & User-Agent")
               .when(ip_changed, "Different IP")
               .when(agent_changed, "Different User-Agent"))
-    return (lagged
+    return (_ends_after(lagged, F.col("event_time"), since)
             .withColumn("time_diff_seconds", F.col("_ts") - F.col("_prev_ts"))
             .withColumn("trigger_reason", reason)
             .filter(F.col("previous_ip").isNotNull() & F.col("trigger_reason").isNotNull()
@@ -86,47 +99,59 @@ register(Rule("D12", "session_hijacking_multi_device", "behavioral", "low",
               "Consecutive logins of one user from another IP or agent within minutes",
               DAY, "event_time", build=device_switches, user_col="email",
               prefilter=lambda: P.service("accounts") & P.action(*P.LOGIN_ACTIONS),
+              reach=lambda p: p["threshold_secs"] + 1,  # the gap is of whole seconds
               defaults={"threshold_secs": 600}))
 
 
 # --- D13 / D13b --------------------------------------------------------------
-def _session_stats(tables, earliest, latest, keys: list[str]) -> DataFrame:
+def _session_stats(tables, earliest, latest, keys: list[str], since) -> DataFrame:
+    """Groups seen with several addresses or agents within a day.
+
+    The log is reduced to one row per (group, address, agent), which is kept
+    and used twice: the filter needs least and greatest values only, and the
+    lists are collected for the groups that pass it.
+    """
     rows = (_audit_window(tables, earliest, latest)
             .filter(F.col("session_id").isNotNull()
                     & P.not_rlike(F.col("source_ip_address"), P.PRIVATE_IP_REGEX)
                     & P.not_rlike(F.col("user_agent"), P.alternation(P.SERVICE_AGENTS)))
             .select("event_time", "session_id", email().alias("email"), "source_ip_address",
                     "user_agent", "audit_level"))
-    # collect_set once per column; its size is the distinct count (NULLs are
-    # skipped by both), so no Expand for two distinct aggregates is needed.
-    stats = (rows.groupBy(*keys)
-             .agg(F.array_sort(F.collect_set("source_ip_address")).alias("source_ip_address_list"),
-                  F.array_sort(F.collect_set("user_agent")).alias("user_agent_list"),
-                  F.min("event_time").alias("first_seen"),
-                  F.max("event_time").alias("last_seen"))
-             .withColumn("ip_count", F.size("source_ip_address_list").cast("bigint"))
-             .withColumn("agent_count", F.size("user_agent_list").cast("bigint"))
-             .withColumn("session_duration_hours",
-                         ((epoch_seconds("last_seen") - epoch_seconds("first_seen")) / 3600)
-                         .cast("float")))
-    return stats.filter(((F.col("ip_count") > 1) | (F.col("agent_count") > 1))
-                        & (F.col("session_duration_hours") <= 24))
+    if since is not None:
+        # Whole groups, but only those the new part touches: those that end after it.
+        new = rows.filter(F.col("event_time") > since).select(*keys).distinct()
+        rows = _of_groups(rows, new, keys)
+    seen = tables.keep(
+        rows.groupBy(*dict.fromkeys([*keys, "source_ip_address", "user_agent"]))
+        .agg(F.min("event_time").alias("first_seen"), F.max("event_time").alias("last_seen")), "session-uses")
+    ends = [F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")]
+    hours = ((epoch_seconds("last_seen") - epoch_seconds("first_seen")) / 3600).cast("float")
+    several = lambda c: F.coalesce(F.min(c) < F.max(c), F.lit(False))
+    wide = (seen.groupBy(*keys).agg(
+                (several("source_ip_address") | several("user_agent")).alias("_several"), *ends)
+            .filter(F.col("_several") & (hours <= 24)).select(*keys))
+    return (_of_groups(seen, wide, keys).groupBy(*keys)
+            .agg(F.array_sort(F.collect_set("source_ip_address")).alias("source_ip_address_list"),
+                 F.array_sort(F.collect_set("user_agent")).alias("user_agent_list"), *ends)
+            .withColumn("ip_count", F.size("source_ip_address_list").cast("bigint"))
+            .withColumn("agent_count", F.size("user_agent_list").cast("bigint"))
+            .withColumn("session_duration_hours", hours))
 
 
 _SESSION_OUT = ["ip_count", "agent_count", "source_ip_address_list", "user_agent_list",
                 "first_seen", "last_seen", "session_duration_hours"]
 
 
-def session_count(tables, earliest=None, latest=None) -> DataFrame:
+def session_count(tables, earliest=None, latest=None, since=None) -> DataFrame:
     """As specified: grouped by (ip, email, audit_level), so only agent changes fire."""
     return _session_stats(tables, earliest, latest,
-                          ["source_ip_address", "email", "audit_level"]).select(
+                          ["source_ip_address", "email", "audit_level"], since).select(
         "source_ip_address", "email", "audit_level", *_SESSION_OUT)
 
 
-def session_spread(tables, earliest=None, latest=None) -> DataFrame:
+def session_spread(tables, earliest=None, latest=None, since=None) -> DataFrame:
     """Corrected reading: one session used from several IPs or agents."""
-    return _session_stats(tables, earliest, latest, ["session_id", "email"]).select(
+    return _session_stats(tables, earliest, latest, ["session_id", "email"], since).select(
         "session_id", "email", *_SESSION_OUT)
 
 
@@ -145,7 +170,8 @@ GEO_STRUCT = ("struct<city:string,country:string,country_code:string,latitude:do
               "longitude:double,accuracy_radius:int>")
 
 
-def token_scanning(tables, earliest, latest, threshold: float = 0.5) -> DataFrame:
+def token_scanning(tables, earliest, latest, threshold: float = 0.5, since=None) -> DataFrame:
+    """``since``: owners' averages are over the whole window; only pairs used after it are reported."""
     lo, hi = window_bounds(earliest, latest, None)
     rows = (window_filter(tables.audit, "event_time", lo, hi)
             .filter(param("authenticationMethod") == "API_EXT_PAT_TOKEN")
@@ -162,12 +188,14 @@ def token_scanning(tables, earliest, latest, threshold: float = 0.5) -> DataFram
                              (F.col("source_ip_address").isNotNull()
                               & (F.col("source_ip_address") != "")).alias("authenticated"))
                     .alias("_first")))
-    # One row per (token, address); "first" is the earliest event (tie: event_id).
-    per_ip = (rows.groupBy("tokenId", "source_ip_address")
-              .agg(F.min("event_time").alias("min_event_time"),
-                   F.max("event_time").alias("latest_event_time"),
-                   F.count("action_name").alias("ACTIONS"),
-                   F.min_by("_first", F.struct("event_time", "event_id")).alias("_first")))
+    # One row per (token, address); "first" is the earliest event (tie: event_id). It is
+    # used for the rows and for the owners' averages, so the log is scanned once for both.
+    per_ip = tables.keep(
+        rows.groupBy("tokenId", "source_ip_address")
+        .agg(F.min("event_time").alias("min_event_time"),
+             F.max("event_time").alias("latest_event_time"),
+             F.count("action_name").alias("ACTIONS"),
+             F.min_by("_first", F.struct("event_time", "event_id")).alias("_first")), "token-uses")
     f = F.col("_first")
     flat = per_ip.select(
         f["token_owner"].alias("token_owner"), "tokenId", "source_ip_address",
@@ -182,15 +210,14 @@ def token_scanning(tables, earliest, latest, threshold: float = 0.5) -> DataFram
     # table when it is small and splits skewed partitions otherwise.
     avg = (flat.filter(F.col("token_owner").isNotNull())
            .groupBy("token_owner").agg(F.avg("ACTIONS").alias("AVG_ACTIONS")))
-    kept = (flat.join(avg, "token_owner")
+    kept = (_ends_after(flat, F.col("latest_event_time"), since).join(avg, "token_owner")
             .withColumn("RATE", F.round(F.col("ACTIONS") / F.col("AVG_ACTIONS"), 2))
             .filter(F.col("RATE") <= threshold))
     # Geo depends only on the address (a group key), so it is looked up for
-    # the surviving rows only, keyed by (token, address): one scan of the log.
+    # the surviving rows only.
     if tables.ip_geo is not None:
         from .enrich import geo_enrich
-        kept = geo_enrich(kept, "source_ip_address", tables.ip_geo, out="geo",
-                          row_key=["tokenId", "source_ip_address"])
+        kept = geo_enrich(kept, "source_ip_address", tables.ip_geo, out="geo")
     else:
         kept = kept.withColumn("geo", F.lit(None).cast(GEO_STRUCT))
     return kept.select(
@@ -212,7 +239,8 @@ register(Rule("D14", "token_scanning_activity", "behavioral", "low",
 ADMIN_STATEMENT_REGEX = r"^\s*(GRANT|REVOKE|ALTER|DROP|CREATE)\b"
 
 
-def admin_query_spike(tables, earliest=None, latest=None, threshold: float = 1.5) -> DataFrame:
+def admin_query_spike(tables, earliest=None, latest=None, threshold: float = 1.5, since=None) -> DataFrame:
+    """``since``: averages are over the whole window; days that end after it are reported."""
     lo, hi = window_bounds(earliest, latest, THIRTY_DAYS)  # a daily average needs days
     h = (window_filter(tables.history, "start_time", lo, hi)
          .filter(F.upper(F.col("statement_text")).rlike(ADMIN_STATEMENT_REGEX))
@@ -221,7 +249,8 @@ def admin_query_spike(tables, earliest=None, latest=None, threshold: float = 1.5
     daily = (h.groupBy("executed_as", "activity_date")
              .agg(F.countDistinct("statement_text").alias("unique_admin_queries")))
     avg = F.avg("unique_admin_queries").over(Window.partitionBy("executed_as"))
-    return (daily.withColumn("avg_daily_admin_queries", avg)
+    return (_ends_after(daily.withColumn("avg_daily_admin_queries", avg),
+                        F.date_add("activity_date", 1).cast("timestamp"), since)
             .withColumn("spike_ratio", F.round(F.col("unique_admin_queries")
                                                / F.col("avg_daily_admin_queries"), 2))
             .filter(F.col("spike_ratio") >= threshold))
@@ -238,7 +267,8 @@ SECRET_READ_ACTIONS = ["getSecret", "listSecrets", "listScopes"]
 
 
 def secret_scanning(tables, earliest=None, latest=None, threshold_seconds: int = 3600,
-                    threshold_value: int = 3, bucket_seconds: int | None = None) -> DataFrame:
+                    threshold_value: int = 3, bucket_seconds: int | None = None, since=None) -> DataFrame:
+    """``since``: as in D11."""
     reads = (_audit_window(tables, earliest, latest)
              .filter(P.service("secrets") & P.action(*SECRET_READ_ACTIONS)
                      & email().isNotNull())
@@ -246,7 +276,7 @@ def secret_scanning(tables, earliest=None, latest=None, threshold_seconds: int =
                      epoch_seconds("event_time").alias("_ts")))
     counted = range_count(reads, ["email"], "_ts", threshold_seconds, "reads_in_window",
                           bucket_seconds)
-    return (counted.groupBy("email")
+    return (_ends_after(counted, F.col("event_time"), since).groupBy("email")
             .agg(F.count(F.lit(1)).alias("total_reads"),
                  F.countDistinct("source_ip_address").alias("unique_ips"),
                  F.min("event_time").alias("first_seen"),
@@ -259,4 +289,5 @@ register(Rule("D32", "secret_scanning_activity", "documented", "low",
               "Many secret reads by one user within a short interval",
               DAY, "last_seen", build=secret_scanning, user_col="email",
               prefilter=lambda: P.service("secrets") & P.action(*SECRET_READ_ACTIONS),
+              reach=lambda p: p["threshold_seconds"] + 1,  # bursts count whole seconds
               defaults={"threshold_seconds": 3600, "threshold_value": 3}))

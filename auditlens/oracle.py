@@ -11,7 +11,8 @@ structs as ``<col>_<field>`` columns, timestamps as naive UTC.
 from __future__ import annotations
 
 from .functions import predicates as P
-from .functions.ip import GLOBAL_EXCEPTIONS_V4, NOT_GLOBAL_V4, _block
+from .functions.ip import (GLOBAL_EXCEPTIONS_V4, GLOBAL_EXCEPTIONS_V6, NOT_GLOBAL_V4, NOT_GLOBAL_V6,
+                           _block)
 from .sources import projection as PR
 
 WINDOW_ALL = ("2024-01-01 00:00:00", "2024-02-01 00:00:00")
@@ -34,8 +35,13 @@ def _nrx(col: str, pattern: str) -> str:
     return f"NOT regexp_matches({col}, {_q(pattern)})"
 
 
+def _instant(x: str) -> str:
+    """A timestamp literal; text in parentheses is an expression already."""
+    return x if x.startswith("(") else f"TIMESTAMP '{x}'"
+
+
 def win(lo: str, hi: str, col: str = "event_time") -> str:
-    return f"{col} BETWEEN TIMESTAMP '{lo}' AND TIMESTAMP '{hi}'"
+    return f"{col} BETWEEN {_instant(lo)} AND {_instant(hi)}"
 
 
 def _param(key: str) -> str:
@@ -326,13 +332,34 @@ def ip_long(col: str) -> str:
             f"{parts[0]} * 16777216 + {parts[1]} * 65536 + {parts[2]} * 256 + {parts[3]} END")
 
 
-def is_public(col: str) -> str:
-    n = ip_long(col)
-    blocked = " OR ".join(f"({n}) BETWEEN {lo} AND {hi}"
-                          for lo, hi in (_block(a, p) for a, p in NOT_GLOBAL_V4))
-    allowed = " OR ".join(f"({n}) BETWEEN {lo} AND {hi}"
-                          for lo, hi in (_block(a, p) for a, p in GLOBAL_EXCEPTIONS_V4))
-    return f"CASE WHEN ({n}) IS NOT NULL THEN (NOT ({blocked}) OR ({allowed})) END"
+_H = "[0-9a-f]{1,4}"
+
+
+def address_ctes(name: str, addr_sql: str) -> str:
+    """``name``(the columns of addr_sql, n, h, pub): column ip as its IPv4 number and, for
+    IPv6, as 32 hexadecimal digits (NULL when it isn't an address); global reachability."""
+    tail = r"([0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3})$"
+    last = ip_long(f"regexp_extract(ip, {_q(tail)}, 1)")
+    pad = "array_to_string(list_transform({0}, lambda x: lpad(x, 4, '0')), '')"
+    groups = "list_filter(string_split({0}, ':'), lambda x: x <> '')"
+
+    def within(blocks, col, text):
+        return " OR ".join(f"{col} BETWEEN {text(lo)} AND {text(hi)}" for lo, hi in (_block(*x) for x in blocks))
+
+    v6 = lambda x: f"'{x:032x}'"
+    return (
+        f"{name}_1 AS (SELECT *, {ip_long('ip')} AS n, CASE WHEN NOT contains(ip, ':') THEN NULL"
+        f" WHEN regexp_matches(ip, {_q(':' + tail)}) THEN lower(regexp_replace(ip, {_q(tail)}, ''))"
+        f" || printf('%04x:%04x', ({last}) // 65536, ({last}) % 65536) ELSE lower(ip) END AS t FROM ({addr_sql})),\n"
+        f"{name}_2 AS (SELECT *, {groups.format('string_split(t, ' + _q('::') + ')[1]')} AS l,"
+        f" {groups.format('string_split(t, ' + _q('::') + ')[2]')} AS r FROM {name}_1),\n"
+        f"{name}_3 AS (SELECT * EXCLUDE (t, l, r), CASE WHEN regexp_full_match(t, '{_H}(:{_H}){{7}}')"
+        f" THEN {pad.format('l')} WHEN regexp_full_match(t, '({_H}(:{_H})*)?::({_H}(:{_H})*)?')"
+        f" AND len(l) + len(r) < 8 THEN {pad.format('l')} || repeat('0000', 8 - len(l) - len(r)) || {pad.format('r')}"
+        f" END AS h FROM {name}_2),\n"
+        f"{name} AS (SELECT *, CASE WHEN n IS NOT NULL THEN NOT ({within(NOT_GLOBAL_V4, 'n', str)})"
+        f" OR {within(GLOBAL_EXCEPTIONS_V4, 'n', str)} WHEN h IS NOT NULL THEN NOT ({within(NOT_GLOBAL_V6, 'h', v6)})"
+        f" OR {within(GLOBAL_EXCEPTIONS_V6, 'h', v6)} END AS pub FROM {name}_3)")
 
 
 def skip_lookup(col: str) -> str:
@@ -345,11 +372,13 @@ def skip_lookup(col: str) -> str:
 def lookup_cte(name: str, addr_sql: str, ranges: str, fields: list[str]) -> str:
     """``name``(ip, <fields>): longest-prefix match for public addresses of addr_sql(ip)."""
     pack = ", ".join(f"{f} := r.{f}" for f in fields)
-    return (f"{name}_a AS (SELECT DISTINCT ip, {ip_long('ip')} AS n, {is_public('ip')} AS pub"
-            f" FROM ({addr_sql}) WHERE NOT {skip_lookup('ip')}),\n"
-            f"{name}_m AS (SELECT a.ip, arg_max(struct_pack({pack}), r.prefix_len) AS rec"
-            f" FROM {name}_a a LEFT JOIN {ranges} r ON a.pub AND a.n BETWEEN r.start_ip AND r.end_ip"
-            f" GROUP BY a.ip),\n"
+    return (address_ctes(f"{name}_a", f"SELECT DISTINCT ip FROM ({addr_sql}) WHERE NOT {skip_lookup('ip')}") + ",\n"
+            + address_ctes(f"{name}_r", "SELECT *, string_split(network, '/')[1] AS ip,"
+                           f" CAST(string_split(network, '/')[2] AS INTEGER) AS plen FROM {ranges}") + ",\n"
+            f"{name}_m AS (SELECT a.ip, arg_max(struct_pack({pack}), r.plen) AS rec"
+            f" FROM {name}_a a LEFT JOIN {name}_r r ON a.pub AND (a.n >> (32 - r.plen) = r.n >> (32 - r.plen)"
+            " OR a.n IS NULL AND r.n IS NULL AND left(a.h, r.plen // 4) = left(r.h, r.plen // 4))"
+            " GROUP BY a.ip),\n"
             f"{name} AS (SELECT ip, " + ", ".join(f"rec.{f} AS {f}" for f in fields)
             + f" FROM {name}_m)")
 
@@ -453,6 +482,42 @@ def dedupe_sql(names: list[str]) -> str:
     return f"sha256(concat_ws('||', {parts}))"
 
 
+TIMES = {"EVENT_DATE", "EVENT_TIME", "START_TIME", "event_time", "previous_time", "first_seen", "last_seen",
+         "min_event_time", "latest_event_time"}
+
+
+def _payload_value(n: str) -> str:
+    """A payload column's value as the JSON text has it (strings without quotes)."""
+    c = f'"{n}"'
+    if n in TIMES:
+        return f"strftime({c}, '%Y-%m-%dT%H:%M:%S.%fZ')"
+    if n.lower() == "request_params":
+        return f"CASE WHEN {c} = '' THEN '{{}}' ELSE '{{\"' || replace(replace({c}, '=', '\":\"'), ';', '\",\"') || '\"}}' END"
+    if n in ("source_ip_address_list", "user_agent_list"):
+        return f"CASE WHEN {c} = '' THEN '[]' ELSE '[\"' || replace({c}, ',', '\",\"') || '\"]' END"
+    if n == "user_identity_email":
+        return f"'{{' || coalesce('\"email\":\"' || {c} || '\"', '') || '}}'"
+    return f"CAST({c} AS VARCHAR)"
+
+
+def _geo_object() -> str:
+    texts = ("city", "country", "country_code")
+    fields = ", ".join(f"'\"{f}\":' || " + (f"'\"' || geo_{f} || '\"'" if f in texts else f"CAST(geo_{f} AS VARCHAR)")
+                       for f in PR.GEO_FIELDS)
+    return f"CASE WHEN {skip_lookup('source_ip_address')} THEN NULL ELSE '{{' || concat_ws(',', {fields}) || '}}' END"
+
+
+def payload_sql(names: list[str]) -> str:
+    """The payload's columns as sorted ``name=value`` texts, NULLs left out."""
+    values = {n: _payload_value(n) for n in names if not n.startswith("geo_")}
+    if len(values) < len(names):
+        values["geo"] = _geo_object()
+    if "user_identity_email" in values:
+        values["user_identity"] = values.pop("user_identity_email")
+    return "concat_ws('||', " + ", ".join(f"'{n}=' || ({v})" for n, v in sorted(
+        values.items(), key=lambda x: x[0] + "=")) + ")"
+
+
 def rule_body(rid: str, lo: str, hi: str, **params) -> tuple[str, list[str]]:
     """(query without the shared prefix, output column names)."""
     if rid in STATELESS or rid == "D08":
@@ -474,12 +539,47 @@ def finding_sql(rid: str, lo: str, hi: str, extra: str = "", **params) -> str:
 
 
 def findings_union_sql(rule_windows: list[tuple[str, str, str]], distinct: bool = False) -> str:
-    body = "\nUNION ALL\n".join(finding_sql(rid, lo, hi) for rid, lo, hi in rule_windows)
+    """The findings with their payload's content (column ``payload``)."""
+    body = "\nUNION ALL\n".join(
+        finding_sql(rid, lo, hi, extra=f", {payload_sql(rule_body(rid, lo, hi)[1])} AS payload")
+        for rid, lo, hi in rule_windows)
     if distinct:
         body = f"SELECT DISTINCT * FROM ({body}) u"
     return prefix() + body
 
 
+#: The first public login of a burst in the second half of January, and 200 s: between its
+#: second and third login.
+CUT_IN_BURST = ("(SELECT min(ts) + INTERVAL 200 SECOND FROM events WHERE event_id % 32 >= 27"
+                " AND (event_id // 32) % 7 <> 6 AND (event_id // 32) % 9 <> 8 AND ts >= TIMESTAMP '2024-01-15')")
+#: Rules whose findings are groups over the whole window, and the end of such a finding.
+WHOLE_WINDOW_ENDS = {"D13": "last_seen", "D13b": "last_seen", "D14": "latest_event_time",
+                     "D31": "activity_date + INTERVAL 1 DAY"}
+#: Rules that count bursts: a run's finding covers the logins of its own window.
+BURST_PEAKS = {"D11": "max_login_count", "D32": "max_reads_in_window"}
+
+
+def resumed_sql(rule_ids: list[str], lo: str, cut: str, hi: str) -> str:
+    """What a run over [lo, cut] and a resumed one up to hi leave: (rule_id, item, n).
+
+    Row rules: the findings of the whole window. Burst rules: each user's greatest
+    burst over the whole window. Group rules: the first window's findings, and of
+    the whole window's those that end after the cut."""
+    parts = []
+    for rid in rule_ids:
+        body, _ = rule_body(rid, lo, hi)
+        if rid in BURST_PEAKS:
+            parts.append(f"SELECT '{rid}' AS rule_id, email AS item, CAST({BURST_PEAKS[rid]} AS BIGINT) AS n FROM ({body}) t")
+        elif rid in WHOLE_WINDOW_ENDS:
+            after = f"SELECT * FROM ({body}) b WHERE {WHOLE_WINDOW_ENDS[rid]} > {cut}"
+            key = dedupe_sql(rule_body(rid, lo, hi)[1])
+            first, _ = rule_body(rid, lo, cut)
+            parts.append(f"SELECT DISTINCT '{rid}', {key}, 1::BIGINT FROM (({first}) UNION ALL ({after})) t")
+        else:
+            parts.append(f"SELECT DISTINCT rule_id, dedupe_key AS item, 1::BIGINT AS n FROM ({finding_sql(rid, lo, hi)}) t")
+    return prefix() + "\nUNION ALL\n".join(parts)
+
+
 def run_summary_sql(rule_windows: list[tuple[str, str, str]]) -> str:
     from .operators.catalog import catalog
     cat = catalog()
@@ -511,9 +611,8 @@ def threat_models_sql(models: dict[str, list[tuple[str, str, str]]]) -> str:
 # Enrichment and reports
 # ---------------------------------------------------------------------------
 def public_ip_sql() -> str:
-    return prefix() + (f"SELECT source_ip_address, count(*) AS events,"
-                       f" {is_public('source_ip_address')} AS is_public FROM audit"
-                       " GROUP BY source_ip_address")
+    seen = "SELECT source_ip_address AS ip, count(*) AS events FROM audit GROUP BY source_ip_address"
+    return prefix(address_ctes("a", seen)) + "SELECT ip AS source_ip_address, events, pub AS is_public FROM a"
 
 
 def enrich_sql(ranges: str, fields: list[str], out: str) -> str:
@@ -576,11 +675,29 @@ def alerts_sql(rid: str, lo: str, hi: str, ts_cols=("EVENT_DATE",),
         f" coalesce(SRC_IP, 'unknown') AS source_ip, {js} AS event_data FROM d")
 
 
-def run_log_sql(rule_windows: list[tuple[str, str, str]]) -> str:
+def user_reports_sql(rule_ids: list[str], lo: str, hi: str) -> str:
+    """Findings per user and rule, and the addresses, tokens and actions used, of the
+    users that the secret scanner's requests came from."""
+    from .operators.catalog import catalog
+    cat = catalog()
+    listed = f"SELECT DISTINCT SRC_USER FROM ({rule_body('D25', lo, hi)[0]}) d"
+    parts = [f"SELECT \"{cat[rid].user_col or 'user_identity_email'}\" AS email, '{rid}' AS item, count(*) AS n"
+             f" FROM ({rule_body(rid, lo, hi)[0]}) t GROUP BY 1" for rid in rule_ids]
+    who = f"FROM audit WHERE {win(lo, hi)}"
+    parts += [f"SELECT email, 'addresses', count(DISTINCT coalesce(source_ip_address, '')) {who} GROUP BY email",
+              f"SELECT email, 'actions', count(DISTINCT (service_name, action_name)) {who} GROUP BY email",
+              f"SELECT email, 'tokens', count(DISTINCT coalesce(p_tokenId, '')) {who} AND action_name = 'tokenLogin'"
+              " AND p_authenticationMethod <> 'API_INT_PAT_TOKEN' GROUP BY email"]
+    return prefix() + f"SELECT * FROM ({' UNION ALL '.join(parts)}) u WHERE email IN ({listed})"
+
+
+def run_log_sql(rule_windows: list[tuple[str, str, str]], run_id: str, version: str) -> str:
     """C05 after one run: one SUCCESS row per rule with its window and count."""
     union = "\nUNION ALL\n".join(finding_sql(rid, lo, hi) for rid, lo, hi in rule_windows)
     dim = ", ".join(f"('{rid}', TIMESTAMP '{lo}', TIMESTAMP '{hi}')" for rid, lo, hi in rule_windows)
     return prefix(f"f AS ({union})", f"dim(rule_id, lo, hi) AS (VALUES {dim})") + (
-        "SELECT d.rule_id, 'SUCCESS' AS status, CAST(coalesce(c.n, 0) AS BIGINT) AS row_count,"
+        f"SELECT '{run_id}' AS run_id, '{version}' AS runner_version, CAST(NULL AS VARCHAR) AS error_message,"
+        " TRUE AS started_before_end, TRUE AS lasted, TRUE AS created_at_end,"
+        " d.rule_id, 'SUCCESS' AS status, CAST(coalesce(c.n, 0) AS BIGINT) AS row_count,"
         " d.lo AS window_start_ts, d.hi AS window_end_ts FROM dim d"
         " LEFT JOIN (SELECT rule_id, count(*) AS n FROM f GROUP BY rule_id) c USING (rule_id)")

@@ -1,15 +1,19 @@
 """Evaluate many rules over their windows into one findings frame.
 
 Stateless audit rules go through the single scan; every other rule runs on
-its own and is brought to the same shape (rule_id, severity, event_ts,
-event_date, payload_json, dedupe_key). Nothing is collected.
+a subset of the log that they share and is brought to the same shape (rule_id,
+severity, event_ts, event_date, payload_json, dedupe_key). Nothing is collected.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.predicates import any_of
+from ..functions.time import window_bounds, window_filter
 from ..operators import findings as FN
 from ..operators.catalog import Rule
 from .single_scan import single_scan
@@ -28,9 +32,26 @@ def rule_findings(tables, rule: Rule, earliest, latest, **params) -> DataFrame:
                        payload.alias("payload_json"), key.alias("dedupe_key"))
 
 
+def shared_subset(tables, rules: list[Rule], windows: dict[str, tuple]) -> tuple:
+    """(tables, rules that use it): the audit rows that any of the stateful rules can use.
+
+    Their pre-filters are OR-ed over the union of their windows, so the log is
+    scanned once for all; the reduced rows are kept (``Tables.keep``) and the
+    rules run on them. A rule's own filters and window still apply there.
+    """
+    shared = [r for r in rules if r.source == "audit" and r.prefilter is not None]
+    if len(shared) < 2:
+        return tables, []
+    bounds = [window_bounds(*windows[r.rule_id], r.lookback) for r in shared]
+    subset = window_filter(tables.audit, "event_time", F.least(*[b[0] for b in bounds]),
+                           F.greatest(*[b[1] for b in bounds])).filter(any_of([r.prefilter() for r in shared]))
+    return replace(tables, audit=tables.keep(subset, "stateful-rows")), shared
+
+
 def evaluate(tables, rules: list[Rule], windows: dict[str, tuple],
              params: dict | None = None) -> DataFrame:
-    """``windows``: rule_id -> (earliest, latest)."""
+    """``windows``: rule_id -> (earliest, latest). The audit log is scanned twice
+    whatever the number of rules: for the stateless rules and for the others' subset."""
     params = params or {}
     scan = [r for r in rules if r.stateless is not None and r.source == "audit"]
     parts = []
@@ -38,11 +59,12 @@ def evaluate(tables, rules: list[Rule], windows: dict[str, tuple],
         parts.append(single_scan(tables, rule_ids=[r.rule_id for r in scan],
                                  windows={r.rule_id: windows[r.rule_id] for r in scan},
                                  params=params).select(*FINDING_COLUMNS))
+    reduced, shared = shared_subset(tables, [r for r in rules if r not in scan], windows)
     for r in rules:
         if r in scan:
             continue
         e, l = windows[r.rule_id]
-        parts.append(rule_findings(tables, r, e, l, **params.get(r.rule_id, {})))
+        parts.append(rule_findings(reduced if r in shared else tables, r, e, l, **params.get(r.rule_id, {})))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -2,11 +2,12 @@
 
 ``run_rules`` plans all selected stateless audit rules through the
 single-scan operator (one pass over the audit table) and the others one by
-one, all into the unified findings shape. The union is persisted once and
-counted per rule in one job, merged insert-only into the unified table (and,
-on request, the per-rule tables); one run-log row per rule is appended and
-the checkpoints are updated. A failing rule is logged as FAILED and the run
-continues.
+one over a shared subset, all into the unified findings shape. The union is
+persisted once and counted per rule in one job, merged insert-only into the
+unified table (and, on request, the per-rule tables); one run-log row per rule
+is appended and the checkpoints are updated. A failing rule is logged as FAILED
+and the run continues: if the job over all rules fails, the rules of the single
+scan are halved until the failing one is alone.
 """
 
 from __future__ import annotations
@@ -14,18 +15,21 @@ from __future__ import annotations
 import re
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.predicates import any_of
 from ..functions.text import JSON_OPTIONS
 from ..functions.time import window_bounds, window_filter
 from ..operators import control as C
 from ..operators import findings as FN
-from ..operators.catalog import Rule, catalog
+from ..operators.catalog import Rule, catalog, resumed_start
 from .single_scan import single_scan
 
 RUNNER_VERSION = "auditlens-0.1"
@@ -58,167 +62,175 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def _resolve_bounds(spark, earliest, latest, rules: list[Rule],
-                    resume_from: dict | None = None) -> dict:
-    """Literal (lo, hi) per rule, "now" fixed once for the run (one tiny query).
-    ``resume_from``: rule_id -> end of the last processed window (C04)."""
+def _instant(micros: int) -> datetime:
+    """An instant, not a wall-clock time: the driver's own time zone plays no part."""
+    return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=micros)
+
+
+def _resolve_bounds(spark, earliest, latest, rules: list[Rule]) -> dict:
+    """Literal (lo, hi) per rule, "now" fixed once for the run (one tiny query)."""
     exprs = []
     for i, r in enumerate(rules):
-        start = (resume_from or {}).get(r.rule_id) or earliest
-        if r.lookback is None and start is None:
+        if r.lookback is None and earliest is None:
             continue
-        lo, hi = window_bounds(start, latest, r.lookback)
+        lo, hi = window_bounds(earliest, latest, r.lookback)
         exprs += [F.unix_micros(lo.cast("timestamp")).alias(f"lo{i}"),
                   F.unix_micros(hi.cast("timestamp")).alias(f"hi{i}")]
     if not exprs:
         return {}
-    # Instants, not wall-clock times: the driver's own time zone plays no part.
-    row = {k: datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=v)
-           for k, v in spark.range(1).select(*exprs).first().asDict().items() if v is not None}
+    row = {k: _instant(v) for k, v in spark.range(1).select(*exprs).first().asDict().items() if v is not None}
     return {r.rule_id: (row[f"lo{i}"], row[f"hi{i}"]) for i, r in enumerate(rules)
             if f"lo{i}" in row and f"hi{i}" in row}
 
 
+@dataclass(frozen=True)
+class Span:
+    """What one rule reads, and after which instant its findings are new (None: all are)."""
+    lo: datetime
+    hi: datetime
+    since: datetime | None = None
+
+    @property
+    def window(self) -> tuple[datetime, datetime]:
+        """The window the run answers for."""
+        return (self.since or self.lo), self.hi
+
+
+def _resumed(spark, checkpoints: str, rules: list[Rule], bounds: dict, explicit: bool, params: dict) -> dict:
+    """rule_id -> :class:`Span` of a run that continues what successful runs have covered.
+
+    With an explicit start a rule continues at the end of the covered span that
+    holds the start: what no run has covered is never jumped over. Without one
+    it continues at the latest covered end, however long ago that is.
+    """
+    covered: dict[str, list] = {}
+    for r in C.covered_spans(spark, checkpoints).select(
+            "rule_id", F.unix_micros("span_start").alias("a"), F.unix_micros("span_end").alias("b")).collect():
+        covered.setdefault(r.rule_id, []).append((_instant(r.a), _instant(r.b)))
+    out = {}
+    for rule in rules:
+        if rule.rule_id not in bounds:
+            continue
+        lo, hi = bounds[rule.rule_id]
+        ends = [b for a, b in covered.get(rule.rule_id, []) if not explicit or a <= lo <= b]
+        if not ends:
+            out[rule.rule_id] = Span(lo, hi)
+            continue
+        since = min(max(ends), hi)
+        start = resumed_start(rule, since, lo, explicit, hi, params.get(rule.rule_id))
+        out[rule.rule_id] = Span(start, hi, since)
+    return out
+
+
+@dataclass
+class Part:
+    """Some rules and how to plan them together into unified rows."""
+    rules: list[Rule]
+    plan: Callable[[list[Rule]], DataFrame]
+
+
+def _choose_rules(spark, root: str, run_id: str, group, pattern, rule_ids, registry_path) -> list[Rule]:
+    """The rules to run. An absent registry, and a rule asked for that is unknown or not
+    enabled, is logged as FAILED and raised."""
+    error, enabled = None, None
+    if registry_path:
+        if C.registry_exists(spark, registry_path):
+            enabled = {r["rule_id"] for r in
+                       C.enabled_rules(C.read_registry(spark, registry_path)).select("rule_id").collect()}
+        else:
+            error = f"no rule registry at {registry_path}"
+    rules = select_rules(group, pattern, rule_ids, enabled)
+    names = {x for r in rules for x in (r.rule_id, r.name)}
+    missing = [r for r in rule_ids or [] if r not in names]
+    if error is None and missing:
+        error = f"unknown or not enabled: {', '.join(missing)}"
+    if error is not None:
+        failed = missing or rule_ids or [r.rule_id for r in rules]
+        C.append_run_log(C.run_log_rows(spark, [
+            _log(run_id, r, (None, None), _now(), "FAILED", None, 0, error) for r in failed]), f"{root}/run_log")
+        raise ValueError(error)
+    return rules
+
+
 def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | None = None,
               pattern: str | None = None, rule_ids: list[str] | None = None,
               registry_path: str | None = None, use_single_scan: bool = True,
               params: dict | None = None, run_id: str | None = None,
               write_rule_tables: bool = False, resume: bool = False) -> RunResult:
     """``write_rule_tables``: also write the per-rule tables (rule columns +
-    metadata); every rule's columns are always in the unified payload (see
-    :func:`rule_findings_from_unified`).
-    ``resume``: a stateless rule with a successful checkpoint starts at the end
-    of its last processed window instead of ``earliest`` (inclusive bounds: rows
-    on the boundary are seen twice and de-duplicated by the merge). The other
-    rules need the rows before a finding, so they run over the whole window again.
-
-    A rule asked for by id or name that is unknown or not enabled is logged as
-    FAILED and raises; so does a failure of the sinks."""
+    metadata), from the rows that were evaluated once; every rule's columns are
+    always in the unified payload (see :func:`rule_findings_from_unified`).
+
+    ``resume``: a rule reports only findings that end after what successful
+    runs have covered (see :func:`_resumed`). A stateless rule reads from there
+    (inclusive: rows on the boundary are seen twice and de-duplicated by the
+    merge); a rule that looks back reads as far before as its findings depend
+    on, so a burst that a window cuts is still found.
+
+    An absent registry raises, and so does a rule asked for by id or name that
+    is unknown or not enabled, and a failure of the sinks; each is logged as
+    FAILED first."""
     spark = tables.audit.sparkSession
     root = root.rstrip("/")
     params = params or {}
     run_id = run_id or uuid.uuid4().hex
-    enabled = None
-    if registry_path:
-        enabled = {r["rule_id"] for r in
-                   C.enabled_rules(C.read_registry(spark, registry_path)).select("rule_id").collect()}
-    rules = select_rules(group, pattern, rule_ids, enabled)
+    rules = _choose_rules(spark, root, run_id, group, pattern, rule_ids, registry_path)
     res = RunResult(run_id)
-    log_rows: list[dict] = []
-    names = {x for r in rules for x in (r.rule_id, r.name)}
-    if missing := [r for r in rule_ids or [] if r not in names]:
-        error = f"unknown or not enabled: {', '.join(missing)}"
-        C.append_run_log(C.run_log_rows(spark, [
-            _log(run_id, r, (None, None), _now(), "FAILED", None, 0, error) for r in missing]),
-            f"{root}/run_log")
-        raise ValueError(error)
-
-    resume_from = None
-    if resume:
-        stateless = [r.rule_id for r in rules if r.stateless is not None]
-        resume_from = {r["rule_id"]: r["last_success_end_ts"] for r in
-                       C.read_checkpoints(spark, f"{root}/checkpoints")
-                       .filter(F.col("last_success_end_ts").isNotNull()
-                               & F.col("rule_id").isin(stateless))
-                       .select("rule_id", "last_success_end_ts").collect()}
-    bounds_by_rule = _resolve_bounds(spark, earliest, latest, rules, resume_from)
-    scan_rules = [r for r in rules if use_single_scan and r.stateless is not None
-                  and r.source == "audit"]
-    other_rules = [r for r in rules if r not in scan_rules]
+    bounds = _resolve_bounds(spark, earliest, latest, rules)
+    spans = (_resumed(spark, f"{root}/checkpoints", rules, bounds, earliest is not None, params) if resume
+             else {r: Span(*b) for r, b in bounds.items()})
     started = _now()
     t0 = time.time()
 
     # 1. Plan every rule into the unified shape (planning errors stay per rule).
-    parts: dict[str, DataFrame] = {}          # part name -> unified rows
-    part_rules: dict[str, list[Rule]] = {}
-    std_frames: dict[str, DataFrame] = {}
-    if scan_rules:
-        try:
-            windows = {r.rule_id: bounds_by_rule[r.rule_id] for r in scan_rules}
-            found = single_scan(tables, rule_ids=[r.rule_id for r in scan_rules],
-                                windows={k: (F.lit(v[0]), F.lit(v[1])) for k, v in windows.items()},
-                                params=params)
-            win_lo = F.create_map(*[x for k, v in windows.items() for x in (F.lit(k), F.lit(v[0]))])
-            win_hi = F.create_map(*[x for k, v in windows.items() for x in (F.lit(k), F.lit(v[1]))])
-            parts["scan"] = found.select(
-                "event_ts", "event_date", "rule_id", F.lit(run_id).alias("run_id"),
-                win_lo[F.col("rule_id")].alias("window_start_ts"),
-                win_hi[F.col("rule_id")].alias("window_end_ts"), "severity",
-                F.current_timestamp().alias("observed_at"), "payload_json", "dedupe_key")
-            part_rules["scan"] = scan_rules
-        except Exception as e:  # noqa: BLE001 - one failure must not stop the run
-            for r in scan_rules:
-                res.failures[r.rule_id] = str(e)
-    # Stateful audit rules read one shared, persisted subset of the window:
-    # the rows any of them can use (their pre-filters OR-ed), one scan.
-    shared = [r for r in other_rules if r.source == "audit" and r.prefilter is not None
-              and r.rule_id in bounds_by_rule]
+    scan_rules = [r for r in rules if use_single_scan and r.stateless is not None and r.source == "audit"]
+    others = [r for r in rules if r not in scan_rules]
+    shared = [r for r in others if r.source == "audit" and r.prefilter is not None and r.rule_id in spans]
     rule_tables, subset = tables, None
     if len(shared) > 1:
-        lo = min(bounds_by_rule[r.rule_id][0] for r in shared)
-        hi = max(bounds_by_rule[r.rule_id][1] for r in shared)
-        pred = shared[0].prefilter()
-        for r in shared[1:]:
-            pred = pred | r.prefilter()
-        subset = (window_filter(tables.audit, "event_time", F.lit(lo), F.lit(hi))
-                  .filter(pred).persist(StorageLevel.MEMORY_AND_DISK))
+        # The rows any of the stateful audit rules can use, scanned once and persisted.
+        subset = (window_filter(tables.audit, "event_time", F.lit(min(spans[r.rule_id].lo for r in shared)),
+                                F.lit(max(spans[r.rule_id].hi for r in shared)))
+                  .filter(any_of([r.prefilter() for r in shared])).persist(StorageLevel.MEMORY_AND_DISK))
         rule_tables = replace(tables, audit=subset)
-    for r in other_rules:
-        try:
-            if r.rule_id not in bounds_by_rule:
-                raise ValueError(f"{r.rule_id} needs an explicit earliest bound")
-            lo, hi = bounds_by_rule[r.rule_id]
-            src = rule_tables if r in shared else tables
-            rows = r.run(src, F.lit(lo), F.lit(hi), sort=False, output="rows",
-                         **params.get(r.rule_id, {}))
-            std = FN.standardize(rows, r.rule_id, run_id, F.lit(lo), F.lit(hi), r.severity)
-            std_frames[r.rule_id] = std
-            parts[r.rule_id] = FN.to_unified(std, r.time_col)
-            part_rules[r.rule_id] = [r]
-        except Exception as e:  # noqa: BLE001
-            res.failures[r.rule_id] = str(e)
-
-    # 2. One job evaluates all rules (persisted once); a failing part is
-    #    isolated by evaluating the parts on their own.
-    unified = None
-    if parts:
-        unified, counts = _evaluate_parts(parts, part_rules, res)
-        res.counts.update(counts)
-    dur = int((time.time() - t0) * 1000)
 
-    # 3. Sinks: unified merge, optional per-rule tables.
+    def plan_scan(some: list[Rule]) -> DataFrame:
+        return _scan_rows(tables, some, {r.rule_id: spans[r.rule_id].window for r in some}, params, run_id)
+
+    def plan_rule(one: list[Rule]) -> DataFrame:
+        return _rule_rows(rule_tables if one[0] in shared else tables, one[0], spans.get(one[0].rule_id),
+                          params.get(one[0].rule_id, {}), run_id)
+
+    parts = ([Part(scan_rules, plan_scan)] if scan_rules else []) + [Part([r], plan_rule) for r in others]
+
+    # 2. One job evaluates all rules (persisted once). 3. Sinks: unified merge, per-rule tables.
     sink_error: Exception | None = None
+    unified = None
     try:
+        unified = _evaluate_parts(parts, res)
+        dur = int((time.time() - t0) * 1000)
         if unified is not None:
-            spans = [bounds_by_rule[r] for r in res.counts if r in bounds_by_rule]
-            dates = (min(s[0] for s in spans).date(), max(s[1] for s in spans).date()) if spans else None
-            res.inserted_unified = FN.merge_unified(unified, root, list(res.counts), date_bounds=dates)
+            res.inserted_unified = FN.merge_unified(unified, root)
             if write_rule_tables:
                 for r in rules:
-                    if not res.counts.get(r.rule_id):
-                        continue
-                    if r.rule_id in std_frames:
-                        FN.merge_rule_findings(std_frames[r.rule_id], root, r.rule_id)
-                    else:
-                        _write_rule_table_from_payload(unified, r, root, params, tables.audit.schema)
+                    if res.counts.get(r.rule_id):
+                        _write_rule_table(unified, r, root, tables, params.get(r.rule_id, {}))
     except Exception as e:  # noqa: BLE001 - logged for every rule, then raised again
         sink_error = e
+        dur = int((time.time() - t0) * 1000)
         for r in rules:
             res.failures.setdefault(r.rule_id, str(e))
     finally:
-        if unified is not None:
-            unified.unpersist()
-        if subset is not None:
-            subset.unpersist()
+        for kept in (unified, subset):
+            if kept is not None:
+                kept.unpersist()
 
+    log_rows = []
     for r in rules:
-        b = bounds_by_rule.get(r.rule_id, (None, None))
-        if r.rule_id in res.failures:
-            log_rows.append(_log(run_id, r.rule_id, b, started, "FAILED", None, dur,
-                                 res.failures[r.rule_id]))
-        else:
-            log_rows.append(_log(run_id, r.rule_id, b, started, "SUCCESS",
-                                 int(res.counts.get(r.rule_id, 0)), dur, None))
+        window = spans[r.rule_id].window if r.rule_id in spans else (None, None)
+        failure = res.failures.get(r.rule_id)
+        log_rows.append(_log(run_id, r.rule_id, window, started, "SUCCESS" if failure is None else "FAILED",
+                             int(res.counts.get(r.rule_id, 0)) if failure is None else None, dur, failure))
     if log_rows:
         log = C.run_log_rows(spark, log_rows)
         C.append_run_log(log, f"{root}/run_log")
@@ -228,38 +240,75 @@ def run_rules(tables, root: str, earliest=None, latest=None, *, group: str | Non
     return res
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def _scan_rows(tables, rules: list[Rule], windows: dict, params: dict, run_id: str) -> DataFrame:
+    """Unified rows of stateless rules from one scan."""
+    found = single_scan(tables, rule_ids=[r.rule_id for r in rules],
+                        windows={k: (F.lit(v[0]), F.lit(v[1])) for k, v in windows.items()}, params=params)
+    ends = [F.create_map(*[x for k, v in windows.items() for x in (F.lit(k), F.lit(v[i]))])[F.col("rule_id")]
+            for i in (0, 1)]
+    return found.select(
+        "event_ts", "event_date", "rule_id", F.lit(run_id).alias("run_id"), ends[0].alias("window_start_ts"),
+        ends[1].alias("window_end_ts"), "severity", F.current_timestamp().alias("observed_at"), "payload_json",
+        "dedupe_key")
+
+
+def _rule_rows(tables, rule: Rule, span: Span | None, params: dict, run_id: str) -> DataFrame:
+    """Unified rows of one rule by itself."""
+    if span is None:
+        raise ValueError(f"{rule.rule_id} needs an explicit earliest bound")
+    rows = rule.run(tables, F.lit(span.lo), F.lit(span.hi), sort=False, output="rows",
+                    since=None if span.since is None else F.lit(span.since), **params)
+    lo, hi = span.window
+    return FN.to_unified(FN.standardize(rows, rule.rule_id, run_id, F.lit(lo), F.lit(hi), rule.severity),
+                         rule.time_col)
+
+
+def _halves(part: Part) -> list[Part]:
+    middle = len(part.rules) // 2
+    return [Part(part.rules[:middle], part.plan), Part(part.rules[middle:], part.plan)]
 
 
-def _evaluate_parts(parts: dict, part_rules: dict, res: RunResult):
-    """Persist the union of all parts and count findings per rule in one job.
-    If that job fails, each part is evaluated alone: failing parts are marked
-    FAILED and the rest go on."""
-    unified = _union(list(parts.values())).persist(StorageLevel.MEMORY_AND_DISK)
+def _planned(part: Part, res: RunResult) -> list[tuple[Part, DataFrame]]:
+    """The part's frame; if planning fails, those of its halves down to the failing rule."""
     try:
-        counts = {r["rule_id"]: r["count"] for r in
-                  unified.groupBy("rule_id").count().collect()}
-        ran = [r.rule_id for rs in part_rules.values() for r in rs]
-        return unified, {rid: int(counts.get(rid, 0)) for rid in ran}
-    except Exception:  # noqa: BLE001 - find the failing part(s)
+        return [(part, part.plan(part.rules))]
+    except Exception as e:  # noqa: BLE001
+        if len(part.rules) == 1:
+            res.failures[part.rules[0].rule_id] = str(e)
+            return []
+        return [x for half in _halves(part) for x in _planned(half, res)]
+
+
+def _counted(part: Part, df: DataFrame, res: RunResult) -> list[DataFrame]:
+    """Count a part by itself; if that fails, its halves down to the failing rule. Returns
+    the frames that could be evaluated."""
+    try:
+        got = {r["rule_id"]: r["count"] for r in df.groupBy("rule_id").count().collect()}
+    except Exception as e:  # noqa: BLE001
+        if len(part.rules) == 1:
+            res.failures[part.rules[0].rule_id] = str(e)
+            return []
+        return [ok for half in _halves(part) for p, d in _planned(half, res) for ok in _counted(p, d, res)]
+    res.counts.update({r.rule_id: int(got.get(r.rule_id, 0)) for r in part.rules})
+    return [df]
+
+
+def _evaluate_parts(parts: list[Part], res: RunResult) -> DataFrame | None:
+    """Persist the union of all parts and count findings per rule in one job. If it fails,
+    parts are evaluated by themselves and halved, so only failing rules are marked FAILED
+    (one more scan per halving, about 2 log2 of the rules for one bad rule)."""
+    frames = [x for part in parts for x in _planned(part, res)]
+    if not frames:
+        return None
+    unified = reduce(DataFrame.unionByName, [df for _, df in frames]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        got = {r["rule_id"]: r["count"] for r in unified.groupBy("rule_id").count().collect()}
+        res.counts.update({r.rule_id: int(got.get(r.rule_id, 0)) for part, _ in frames for r in part.rules})
+        return unified
+    except Exception:  # noqa: BLE001 - find the failing rules
         unified.unpersist()
-    good, counts = [], {}
-    for name, df in parts.items():
-        try:
-            c = {r["rule_id"]: r["count"] for r in df.groupBy("rule_id").count().collect()}
-            good.append(df)
-            for r in part_rules[name]:
-                counts[r.rule_id] = int(c.get(r.rule_id, 0))
-        except Exception as e:  # noqa: BLE001
-            for r in part_rules[name]:
-                res.failures[r.rule_id] = str(e)
-    if not good:
-        return None, counts
-    return _union(good).persist(StorageLevel.MEMORY_AND_DISK), counts
+    good = [ok for part, df in frames for ok in _counted(part, df, res)]
+    return reduce(DataFrame.unionByName, good).persist(StorageLevel.MEMORY_AND_DISK) if good else None
 
 
 def run_rule(tables, root: str, rule_id: str, earliest=None, latest=None, **kw) -> RunResult:
@@ -280,54 +329,41 @@ def _log(run_id, rule_id, bounds, started, status, rows, duration_ms, error) ->
 def rule_output_schema(tables, rule: Rule, params: dict | None = None):
     """The rule's output schema, resolved on empty tables of the same
     schemas (analysis only, no job)."""
-    from ..sources import Tables
     spark = tables.audit.sparkSession
 
     def empty(df):
         return None if df is None else spark.createDataFrame([], df.schema)
 
-    et = Tables(audit=empty(tables.audit), history=empty(tables.history),
-                billing=empty(tables.billing), ip_geo=empty(tables.ip_geo),
-                ip_asn=empty(tables.ip_asn))
-    p = {**rule.defaults, **(params or {})}
+    et = replace(tables, audit=empty(tables.audit), history=empty(tables.history), billing=empty(tables.billing),
+                 ip_geo=empty(tables.ip_geo), ip_asn=empty(tables.ip_asn), keep=lambda df, _: df)
     ts = F.lit("2000-01-01").cast("timestamp")
-    return rule.run(et, ts, ts, sort=False, output="rows", **p).schema
+    return rule.run(et, ts, ts, sort=False, output="rows", **(params or {})).schema
+
+
+_META = ["rule_id", "run_id", "window_start_ts", "window_end_ts", "severity", "observed_at", "dedupe_key"]
+
+
+def _from_payload(unified: DataFrame, tables, rule: Rule, params: dict | None, *extra: str) -> DataFrame:
+    """Rule columns + metadata of a rule's unified rows, parsed from the payload. A rule
+    column named like a metadata column (case-blind) is kept as ``payload_<name>``."""
+    rows_schema = rule_output_schema(tables, rule, params)
+    taken = {m.lower() for m in _META}
+    cols = [F.col(f"_p.`{f.name}`").alias(f"payload_{f.name}" if f.name.lower() in taken else f.name)
+            for f in rows_schema.fields]
+    return (unified.filter(F.col("rule_id") == rule.rule_id)
+            .select(F.from_json("payload_json", rows_schema, JSON_OPTIONS).alias("_p"), *_META, *extra)
+            .select(*cols, *_META, *extra))
 
 
 def rule_findings_from_unified(tables, root: str, rule: Rule,
                                params: dict | None = None) -> DataFrame:
-    """Rule columns + metadata of any rule, parsed from the unified table's
-    payload (the per-rule view when no per-rule table was written)."""
-    spark = tables.audit.sparkSession
-    rows_schema = rule_output_schema(tables, rule, params)
-    u = FN.read_unified(spark, root).filter(F.col("rule_id") == rule.rule_id)
-    meta = ["rule_id", "run_id", "window_start_ts", "window_end_ts", "severity",
-            "observed_at", "dedupe_key"]
-    low = {m.lower() for m in meta}
-    cols = [F.col(f"_p.`{f.name}`").alias(f"payload_{f.name}" if f.name.lower() in low
-                                          else f.name) for f in rows_schema.fields]
-    return u.select(F.from_json("payload_json", rows_schema, JSON_OPTIONS).alias("_p"),
-                    *meta).select(*cols, *meta)
-
-
-def _write_rule_table_from_payload(found: DataFrame, rule: Rule, root: str, params: dict,
-                                   audit_schema) -> None:
-    """Per-rule table rows (rule columns + metadata) parsed back from the
-    single-scan payload; only this rule's findings are touched."""
-    p = {**rule.defaults, **params.get(rule.rule_id, {})}
-    spark = found.sparkSession
-    # The rule's output schema, resolved on an empty frame (no job runs).
-    rows_schema = spark.createDataFrame([], audit_schema).select(
-        *rule.stateless.columns(**p)).schema
-    meta = {m.lower() for m in FN.META_COLUMNS}
-    flat = (found.filter(F.col("rule_id") == rule.rule_id)
-            .select(F.from_json("payload_json", rows_schema, JSON_OPTIONS).alias("_p"),
-                    "rule_id", "run_id", "window_start_ts", "window_end_ts", "severity",
-                    "observed_at", "dedupe_key")
-            .select(*[F.col(f"_p.`{f.name}`").alias(
-                f"payload_{f.name}" if f.name.lower() in meta else f.name)
-                for f in rows_schema.fields],
-                "rule_id", "run_id", "window_start_ts", "window_end_ts", "severity",
-                "observed_at", "dedupe_key"))
-    FN.insert_new(flat, f"{root}/rules/rule_id={rule.rule_id}", ["dedupe_key"],
-                  merge_schema=True)
+    """The per-rule view when no per-rule table was written."""
+    return _from_payload(FN.read_unified(tables.audit.sparkSession, root), tables, rule, params)
+
+
+def _write_rule_table(unified: DataFrame, rule: Rule, root: str, tables, params: dict) -> None:
+    """F03 from the evaluated rows; only this rule's findings are touched."""
+    # event_ts by a name that no rule uses: EVENT_TS would clash case-blind.
+    rows = _from_payload(unified.withColumn("_finding_ts", F.col("event_ts")), tables, rule, params, "_finding_ts")
+    FN.merge_rule_findings(rows.withColumn(FN.FINDING_DATE, F.to_date("_finding_ts")).drop("_finding_ts"),
+                           root, rule.rule_id)

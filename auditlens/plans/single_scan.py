@@ -5,8 +5,9 @@ each row gets the array of rule ids whose window and predicate it matches,
 the array is exploded to (rule_id, row) pairs, and the rule's projection,
 payload, event time and de-duplication key are selected by a CASE on
 rule_id. One scan, one projection, no shuffle; the scan filter is the union
-of the rule windows and is pushed to parquet. The result has the unified
-findings shape (F04) without the run metadata.
+of the rule windows and of the actions the rules can match, both pushed to
+parquet. The result has the unified findings shape (F04) without the run
+metadata.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from ..functions.text import json_text
 from ..functions.time import window_bounds, window_filter
 from ..operators.catalog import Rule, catalog
 from ..operators.findings import key_of, leaves
+from ..functions.predicates import action, any_of
 from ..operators.rules_stateless import STATELESS_AUDIT_IDS
 
 
@@ -35,6 +37,16 @@ def stateless_rules(ids: list[str] | None = None) -> list[Rule]:
             if cat[i].stateless is not None and cat[i].source == "audit"]
 
 
+def touched(rules: list[Rule]) -> Column | None:
+    """A superset of the rules' predicates in plain column tests: one IN list of all their
+    actions, and what they look for besides. None if a rule states neither."""
+    specs = [r.stateless for r in rules]
+    if not all(s.actions or s.touches for s in specs):
+        return None
+    actions = sorted({a for s in specs for a in s.actions})
+    return any_of(([action(*actions)] if actions else []) + [s.touches() for s in specs if s.touches])
+
+
 def single_scan(tables, earliest=None, latest=None, rule_ids: list[str] | None = None,
                 windows: dict[str, tuple] | None = None, params: dict | None = None) -> DataFrame:
     """Findings of many stateless rules from one scan.
@@ -52,6 +64,8 @@ def single_scan(tables, earliest=None, latest=None, rule_ids: list[str] | None =
     lo = F.least(*[b[0] for b in bounds.values()]) if len(bounds) > 1 else next(iter(bounds.values()))[0]
     hi = F.greatest(*[b[1] for b in bounds.values()]) if len(bounds) > 1 else next(iter(bounds.values()))[1]
     audit = window_filter(tables.audit, "event_time", lo, hi)
+    if (superset := touched(rules)) is not None:
+        audit = audit.filter(superset)
 
     hits = []
     for r in rules:

@@ -112,7 +112,7 @@ def test_resume_starts_at_last_window_end(spark, small_tables):
     assert str(log.window_start_ts) == "2024-01-15 00:00:00"
     whole = get_rule("D04").run(small_tables, *ALL).count()
     assert first.counts["D04"] + resumed.inserted_unified == whole
-    per_rule = spark.read.parquet(f"{root}/rules/rule_id=D04")
+    per_rule = FN.read_rule_findings(spark, root, "D04")
     assert per_rule.count() == first.counts["D04"]
 
 
