@@ -22,7 +22,6 @@ from __future__ import annotations
 import heapq
 import zlib
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -94,19 +93,19 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 0
         for batch in batches:
             for part in sliced(batch):
                 rows = []
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), enc.encode(texts)):
-                    ids = np.append(ids, end_id).astype("<u4")
-                    n, data = len(ids), memoryview(ids.tobytes())
+                ids, counts = enc.encode_ended(part.column("text"), end_id, "<u4")
+                data, at = memoryview(ids.tobytes()), 0
+                for doc_id, n in zip(part.column("doc_id").to_pylist(), counts.tolist()):
                     full = n - n % capacity
                     for s in range(0, full, capacity):
-                        rows.append((doc_id, s, capacity, zlib.crc32(data[4 * s:4 * (s + capacity)]),
+                        rows.append((doc_id, s, capacity, zlib.crc32(data[4 * (at + s):4 * (at + s + capacity)]),
                                      n, serial, 0))
                         serial += 1
                     for s in range(full, n, piece):
                         e = min(s + piece, n)
-                        waiting.append((doc_id, s, e - s, zlib.crc32(data[4 * s:4 * e]), n))
+                        waiting.append((doc_id, s, e - s, zlib.crc32(data[4 * (at + s):4 * (at + e)]), n))
                         held += e - s
+                    at += n
                     if held >= group * capacity - capacity // 2:
                         rows += flush()
                         held = 0
