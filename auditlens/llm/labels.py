@@ -31,3 +31,17 @@ def sample(rows: DataFrame, limit: int, salt: str) -> DataFrame:
     if n <= limit:
         return rows
     return rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 40)) < int((1 << 40) * limit / n))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, value: int, limit: int) -> DataFrame:
+    """doc_id, text of about ``limit`` documents with the label's ``value`` that may be learnt from.
+
+    The ids are chosen from the labels alone (contradicting labels count as the
+    greatest) and broadcast, about ``limit`` whatever the tables' size, so no text
+    moves but those chosen. A repeated doc_id counts once, by its least text.
+    """
+    known = (labels.select("doc_id", F.col(label).cast("int").alias("label"))
+             .filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
+             .groupBy("doc_id").agg(F.max("label").alias("label")).filter(F.col("label") == value).select("doc_id"))
+    chosen = F.broadcast(sample(known, limit, label))
+    return docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))

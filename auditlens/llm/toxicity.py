@@ -27,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import only
+from .common import only, pinned
 from .decontaminate import plain
-from .labels import held_out, learnable, sample
+from .labels import held_out, labelled_sample, sample
 from .tokens import sliced
+from .words import WHITE, Memo, column_bytes, rows_of, runs
 
 
 _CACHE = 400_000
@@ -58,29 +59,7 @@ def features(words: set[str]) -> list[str]:
 
 
 class Features:
-    """Ids (from 0) of a text's known features; raw word forms are remembered."""
-
-    def __init__(self, names: list[str]):
-        self.at, self.raw = {f: i for i, f in enumerate(names)}, {}
-        self.begin = {f[:f.index("*") + 1] for f in names if "*" in f}
-
-    def of(self, text: bytes) -> list[int]:
-        words, raw = set(text.split()), self.raw
-        if len(raw) > _CACHE:
-            raw.clear()
-        found = set()
-        for w in words:
-            p = raw.get(w)
-            if p is None:
-                p = plain(w)
-                raw[w] = p = p if p in self.at or any(b in self.begin for b in beginnings(p)) else ""
-            if p:
-                found.add(p)
-        return sorted(self.at[f] for f in features(found) if f in self.at) if found else []
-
-
-class Counter:
-    """Counts the texts that hold each of the named features; raw word forms are remembered."""
+    """The named features of texts, found for a whole batch at once; raw word forms are remembered."""
 
     def __init__(self, names: list[str]):
         self.at = {f: i for i, f in enumerate(names)}
@@ -91,56 +70,53 @@ class Counter:
                 levels.setdefault(head + star, [-1] * len(LEVELS))[LEVELS.index(int(k))] = i
         self.begin = {b: j for j, b in enumerate(levels)}
         self.levels = np.array([*levels.values()], np.int64).reshape(-1, len(LEVELS))
-        self.total = np.zeros(len(names), np.int64)
+        self.memo = Memo(self._learn, _CACHE)
         self._clear()
 
     def _clear(self):
         #: Form 0 has no feature; a form's row: its word's feature and beginnings, -1 for none.
-        self.raw, self.form, self.rows = {}, {}, np.full((1, 5), -1, np.int64)
+        self.memo.clear()
+        self.form, self.rows = {}, np.full((1, 5), -1, np.int64)
 
-    def _learn(self, words: set[bytes]):
-        new = []
+    def _learn(self, words: list[bytes]) -> np.ndarray:
+        """The form of each raw word."""
+        got, new = [], []
         for w in words:
-            if w in self.raw:
-                continue
             p = plain(w)
-            if p not in self.form:
+            form = self.form.get(p)
+            if form is None:
                 row = [self.at.get(p, -1), *(self.begin.get(b, -1) for b in beginnings(p))]
-                row += [-1] * (5 - len(row))
+                form = 0
                 if max(row) >= 0:
-                    self.form[p] = len(self.rows) + len(new)
-                    new.append(row)
-                else:
-                    self.form[p] = 0
-            self.raw[w] = self.form[p]
+                    form = self.form[p] = len(self.rows) + len(new)
+                    new.append(row + [-1] * (5 - len(row)))
+            got.append(form)
         if new:
             self.rows = np.concatenate([self.rows, np.array(new, np.int64)])
+        return np.array(got, np.int64)
 
-    def add(self, texts: list[bytes]):
-        if len(self.raw) > _CACHE:
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(text, feature): each feature of each text, once."""
+        if self.memo.table.rows > _CACHE:
             self._clear()
-        words = [set(t.split()) for t in texts]
-        flat = [w for ws in words for w in ws]
-        got = list(map(self.raw.get, flat))
-        if None in got:
-            self._learn(set(flat))
-            got = list(map(self.raw.__getitem__, flat))
-        form = np.array(got, np.int64)
-        text = np.repeat(np.arange(len(texts)), [len(ws) for ws in words])
+        data, offsets = column_bytes(texts)
+        starts, ends = runs(data, offsets, WHITE)
+        form = self.memo(data, starts, ends)
+        text = np.repeat(np.arange(len(texts)), rows_of(starts, offsets))
         known = form > 0
         pairs = np.unique(text[known] * len(self.rows) + form[known])  # a text's distinct words
         text, row = pairs // len(self.rows), self.rows[pairs % len(self.rows)]
-        self._count(row[:, 0])
-        begin = row[:, 1:]
-        at, column = np.nonzero(begin >= 0)
+        has = row[:, 0] >= 0
+        out = [(text[has], row[has, 0])]
+        at, column = np.nonzero(row[:, 1:] >= 0)
         if len(at):
-            shared, n = np.unique(text[at] * len(self.levels) + begin[at, column], return_counts=True)
-            shared = self.levels[shared % len(self.levels)]
+            width = len(self.levels)
+            shared, n = np.unique(text[at] * width + row[at, column + 1], return_counts=True)
             for k, level in enumerate(LEVELS):
-                self._count(shared[n >= level, k])
-
-    def _count(self, ids: np.ndarray):
-        self.total += np.bincount(ids[ids >= 0], minlength=len(self.total))
+                ids = self.levels[shared % width, k]
+                ok = (n >= level) & (ids >= 0)
+                out.append((shared[ok] // width, ids[ok]))
+        return np.concatenate([t for t, _ in out]), np.concatenate([f for _, f in out])
 
 
 def corpus_counts(docs: DataFrame, names: list[str]) -> tuple[np.ndarray, int]:
@@ -148,14 +124,14 @@ def corpus_counts(docs: DataFrame, names: list[str]) -> tuple[np.ndarray, int]:
     shared = docs.sparkSession.sparkContext.broadcast(names)
 
     def run(batches):
-        counter, rows = Counter(shared.value), 0
+        known, total, rows = Features(shared.value), np.zeros(len(names), np.int64), 0
         for batch in batches:
             for b in sliced(batch):
-                counter.add([(t or "").encode() for t in b.column("text").to_pylist()])
+                total += np.bincount(known.of(b.column("text"))[1], minlength=len(total))
                 rows += b.num_rows
-        at = np.flatnonzero(counter.total)
+        at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(counter.total[at], rows), pa.int64())],
+            [pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(total[at], rows), pa.int64())],
             ["id", "n"])
 
     got = docs.select("text").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
@@ -234,7 +210,8 @@ def _matrix(rows: DataFrame, names: list[str]) -> np.ndarray:
         known = Features(names)
         for batch in batches:
             for b in sliced(batch):
-                ids = [known.of((t or "").encode()) for t in b.column("text").to_pylist()]
+                text, feature = known.of(b.column("text"))
+                ids = [feature[text == k].tolist() for k in range(b.num_rows)]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.list_(pa.int32()))], ["ids"])
 
     got = rows.select("text").mapInArrow(run, "ids array<int>").collect()
@@ -247,8 +224,7 @@ def _matrix(rows: DataFrame, names: list[str]) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", positives: int = 2048, unlabelled: int = 8192,
         n_features: int = 512):
     """(features, weights), or None if nothing sets toxic texts apart."""
-    rows = learnable(docs, labels, label)
-    toxic = sample(rows.filter("label = 1"), positives, label)
+    toxic = pinned(labelled_sample(docs, labels, label, 1, positives), "toxic-sample")
     names, prior = select_features(toxic, docs.filter(~held_out()), n_features)
     if not names:
         return None
@@ -266,9 +242,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **param
         known = Features(names)
         for batch in batches:
             for b in sliced(batch):
-                s = [weights[known.of((t or "").encode())].sum() + weights[-1] for t in b.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array(_sigmoid(np.array(s)), pa.float64())], ["doc_id", "score"])
+                text, feature = known.of(b.column("text"))
+                s = np.bincount(text, weights[feature], b.num_rows) + weights[-1]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(_sigmoid(s))], ["doc_id", "score"])
 
     return docs.mapInArrow(score, "doc_id long, score double").select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
