@@ -4,7 +4,7 @@ A byte goes if a string of ``length`` bytes that covers it starts anywhere
 else in the corpus. Shards are batches of documents (see ``repeats``).
 
 1. Owners. The least-hash ``seed``-byte string inside a string of ``length``
-   bytes (the last, on ties) owns it, so equal strings have equal owners at the
+   bytes (the last, on ties of the hash's leading bits) owns it, so equal strings have equal owners at the
    same place. An owner's strings lie side by side and make up its *span*.
    Owners (about one in 65 bytes) are counted across shards by seed and span.
    A seed that occurs once has no repeated strings; a span that occurs twice
@@ -19,8 +19,8 @@ else in the corpus. Shards are batches of documents (see ``repeats``).
    shards, or twice in one, repeats. Every shard then removes what its
    repeated strings cover.
 
-The shuffle carries text by shard (once a step), 14 bytes an owner, one byte
-back, and eight bytes for each distinct open string. A passage that any number
+The shuffle carries text by shard (once a step), 14 bytes an owner, 13 back
+(its place and answer), and eight bytes for each distinct open string. A passage that any number
 of documents share is one list entry per shard.
 
 Defined cases: a null or empty text has no bytes; matches never cross
@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import repeats as R
 from .common import pinned
@@ -45,6 +46,10 @@ _PAIRS = "batch int, bucket int, seed binary, span binary, more binary"
 _SETTLED = "batch int, bucket int, hits binary"
 _SEED, _SEED_WIDTH = 32, 6
 _REPEATED, _OPEN = 1, 2
+#: An owner's row beside the text: its first string's start, how many more it has, its pair.
+_PLACE = np.dtype([("first", "<u4"), ("size", "<u4"), ("key", "<u4")])
+#: Low bits of a seed's hash that give way to its place when the least is sought.
+_LOW = (1 << 24) - 1
 #: A fixed random 64-bit value per byte, for the rolling hash.
 _BYTE_VALUES = np.random.Generator(np.random.PCG64(20240611)).integers(0, 1 << 64, 256, np.uint64)
 
@@ -64,57 +69,70 @@ def _slide(values: np.ndarray, width: int, op) -> np.ndarray:
     return op(out[:len(values) - width + 1], out[width - done:]) if done < width else out
 
 
-class Owners:
-    """The owners of all strings of ``length`` bytes in texts laid end to end.
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """The place of the least of every ``width`` consecutive values, by their leading bits; the
+    last place on ties, as the low bits count down."""
+    low, step = np.uint64(_LOW), 1 << 16
+    out = np.empty(len(values) - width + 1, np.int64)
+    for k in range(0, len(out), step):
+        part = values[k:k + step + width - 1]
+        ranked = (part & ~low) | (low - np.arange(len(part), dtype=np.uint64))
+        out[k:k + step] = k + (low - (_slide(ranked, width, np.minimum) & low)).astype(np.int64)
+    return out
 
-    ``own``: each owner's seed hash and span hash; ``first``/``last``: the starts
-    of its first and last string; ``keys``: the distinct (seed, span) pairs in
-    order, ``key``: each owner's place among them, ``more``: which occur again.
-    """
 
-    def __init__(self, data: np.ndarray, lengths: np.ndarray, length: int):
-        self.hash = R.Prefixes(_BYTE_VALUES[data])
-        starts = np.flatnonzero(R.starts_inside(lengths, length))
-        seed, span = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.first = self.last = np.zeros(0, np.int64)
-        if len(starts):
-            seeds, reach = self.hash.rolling(_SEED), length - _SEED
-            least = _slide(seeds, reach + 1, np.minimum)[starts]
-            lows = np.zeros(len(seeds) + reach, np.uint64)  # by start of string, shifted
-            lows[starts + reach] = least
-            low = np.flatnonzero(_slide(lows, reach + 1, np.maximum)[:len(seeds)] == seeds)
-            upto = np.zeros(len(seeds), np.int32)
-            upto[low] = 1
-            owner = np.cumsum(upto, dtype=np.int32)[starts + reach] - 1  # last low seed inside
-            wrong = np.flatnonzero(seeds[low[owner]] != least)
-            while len(wrong):
-                owner[wrong] -= 1
-                wrong = wrong[seeds[low[owner[wrong]]] != least[wrong]]
-            turn = np.flatnonzero(np.diff(owner, prepend=-1))
-            self.first = starts[turn]
-            self.last = starts[np.append(turn[1:], len(starts)) - 1]
-            at = low[owner[turn]]
-            seed = seeds[at] & ~np.uint64((1 << 64 - 8 * _SEED_WIDTH) - 1)
-            place = (at - self.first).astype(np.uint64) << np.uint64(32)
-            size = (self.last - self.first).astype(np.uint64)
-            span = R.mixed(self.hash.of(self.first, self.last + length) ^ R.mixed(place | size))
-        order = np.lexsort((span, seed))
-        new = np.ones(len(order), bool)
-        new[1:] = (np.diff(seed[order]) != 0) | (np.diff(span[order]) != 0)
-        at = np.flatnonzero(new)
-        self.seed, self.span = seed[order[at]], span[order[at]]
-        self.more = np.diff(np.append(at, len(order))) > 1
-        self.key = np.empty(len(order), np.int64)
-        self.key[order] = np.cumsum(new) - 1
+class Places:
+    """Where a batch's owners lie: ``first``/``last``, the starts of an owner's first and last
+    string; ``key``, its place among the batch's distinct (seed, span) pairs in order."""
+
+    def __init__(self, first: np.ndarray, last: np.ndarray, key: np.ndarray):
+        self.first, self.last, self.key = first, last, key
+
+    def packed(self) -> bytes:
+        rows = np.empty(len(self.first), _PLACE)
+        rows["first"], rows["size"], rows["key"] = self.first, self.last - self.first, self.key
+        return rows.tobytes()
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> "Places":
+        rows = np.frombuffer(data, _PLACE)
+        first = rows["first"].astype(np.int64)
+        return cls(first, first + rows["size"], rows["key"].astype(np.int64))
 
     def starts(self, chosen: np.ndarray, n: int) -> np.ndarray:
         """Over ``n`` positions, the starts of the strings of the chosen owners."""
-        change = np.zeros(n + 1, np.int32)
-        np.add.at(change, self.first[chosen], 1)
-        np.add.at(change, self.last[chosen] + 1, -1)
+        change = np.bincount(self.first[chosen], minlength=n + 1)[:n + 1]
+        change -= np.bincount(self.last[chosen] + 1, minlength=n + 1)[:n + 1]
         return np.cumsum(change[:n]) > 0
 
 
+def owners(data: np.ndarray, lengths: np.ndarray, length: int):
+    """(places, seeds, spans, more) of the owners of all strings of ``length`` bytes in texts
+    laid end to end: the distinct pairs of seed hash and span hash in order, and which occur again."""
+    starts = np.flatnonzero(R.starts_inside(lengths, length))
+    seed, span = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    first = last = np.zeros(0, np.int64)
+    if len(starts):
+        hashes = R.Prefixes(_BYTE_VALUES[data])
+        seeds = hashes.rolling(_SEED)
+        owner = _least(seeds, length - _SEED + 1)[starts]
+        turn = np.flatnonzero(np.diff(owner, prepend=-1))
+        first = starts[turn]
+        last = starts[np.append(turn[1:], len(starts)) - 1]
+        at = owner[turn]
+        seed = seeds[at] & ~np.uint64((1 << 64 - 8 * _SEED_WIDTH) - 1)
+        place = (at - first).astype(np.uint64) << np.uint64(32)
+        size = (last - first).astype(np.uint64)
+        span = R.mixed(hashes.of(first, last + length) ^ R.mixed(place | size))
+    order = np.lexsort((span, seed))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(seed[order]) != 0) | (np.diff(span[order]) != 0)
+    at = np.flatnonzero(new)
+    key = np.empty(len(order), np.int64)
+    key[order] = np.cumsum(new) - 1
+    return Places(first, last, key), seed[order[at]], span[order[at]], np.diff(np.append(at, len(order))) > 1
+
+
 def settle(table: pa.Table) -> pa.Table:
     """A bucket of (seed, span) pairs of all shards: each shard's answers, in its order.
 
@@ -140,11 +158,12 @@ def settle(table: pa.Table) -> pa.Table:
          pa.array([x.tobytes() for x in np.split(answer, cuts)], pa.binary())], ["batch", "bucket", "hits"])
 
 
-def answers(reply: pa.Table, owners: Owners) -> np.ndarray:
-    """Each owner's answer from its batch's replies to step 1."""
+def answers(reply: pa.Table) -> tuple[Places, np.ndarray]:
+    """The batch's owners and each one's answer, from the replies to step 1."""
     rows = sorted((b, h) for b, h in zip(reply.column("bucket").to_pylist(), reply.column("hits").to_pylist())
                   if b is not None)
-    return np.frombuffer(b"".join(h for _, h in rows), np.uint8)[owners.key]
+    places = Places.unpacked(rows.pop(0)[1] if rows else b"")  # bucket -1
+    return places, np.frombuffer(b"".join(h for _, h in rows), np.uint8)[places.key]
 
 
 def suffix_dedup(docs: DataFrame, length: int = 200, batch_bytes: int = 4 << 20) -> DataFrame:
@@ -154,20 +173,20 @@ def suffix_dedup(docs: DataFrame, length: int = 200, batch_bytes: int = 4 << 20)
     bits = plan.bits
 
     def send_owners(table: pa.Table) -> pa.Table:
-        o = Owners(*_bytes(table), length)
-        batch, edges = table.column("batch")[0].as_py(), R.bucket_edges(o.seed, bits)
-        rows = [(batch, b, R.packed(o.seed[i:j] >> np.uint64(64 - 8 * _SEED_WIDTH), _SEED_WIDTH),
-                 o.span[i:j].tobytes(), o.more[i:j].tobytes())
-                for b, (i, j) in enumerate(zip(edges, edges[1:])) if i < j]
-        cols = list(zip(*rows)) or [()] * 5
+        places, seed, span, more = owners(*_bytes(table), length)
+        batch, edges = table.column("batch")[0].as_py(), R.bucket_edges(seed, bits)
+        rows = [(batch, -1, places.packed(), b"", b"")]
+        rows += [(batch, b, R.packed(seed[i:j] >> np.uint64(64 - 8 * _SEED_WIDTH), _SEED_WIDTH),
+                  span[i:j].tobytes(), more[i:j].tobytes())
+                 for b, (i, j) in enumerate(zip(edges, edges[1:])) if i < j]
         return pa.Table.from_arrays(
-            [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
+            [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
             ["batch", "bucket", "seed", "span", "more"])
 
     def send_strings(key, table: pa.Table, reply: pa.Table) -> pa.Table:
         data, lengths = _bytes(table)
-        o = Owners(data, lengths, length)
-        starts = o.starts(answers(reply, o) & _OPEN > 0, len(data))
+        places, answer = answers(reply)
+        starts = places.starts(answer & _OPEN > 0, len(data))
         place = np.flatnonzero(R.covered(starts, length))  # of each region byte in the batch's text
         doc_end = np.repeat(np.cumsum(lengths), lengths)[place]
         last = np.ones(len(place), bool)  # a region ends at a gap or its text's end
@@ -182,19 +201,18 @@ def suffix_dedup(docs: DataFrame, length: int = 200, batch_bytes: int = 4 << 20)
         first = np.flatnonzero(np.diff(string, prepend=-1))  # each distinct string's first place
         more = np.diff(np.append(first, len(string))) > 1
         at = place[order[first]]
-        prints = o.hash.of(at, at + length)
+        prints = R.Prefixes(_BYTE_VALUES[data]).of(at, at + length) if len(at) else np.zeros(0, np.uint64)
         turn = np.argsort(prints)
         return R.messages(key[0].as_py(), prints[turn], more[turn], np.zeros(len(turn), bool), bits, 8)
 
     def remove(key, table: pa.Table, reply: pa.Table) -> pa.Table:
         data, lengths = _bytes(table)
-        o = Owners(data, lengths, length)
-        answer = answers(reply, o)
-        starts = o.starts(answer & _REPEATED > 0, len(data))
+        places, answer = answers(reply)
+        starts = places.starts(answer & _REPEATED > 0, len(data))
         hits = R.hit_list(reply.filter(pa.compute.is_null(reply.column("bucket"))), 8)
         if len(hits):
-            at = np.flatnonzero(o.starts(answer & _OPEN > 0, len(data)))
-            starts[at] |= R.inside(o.hash.of(at, at + length), hits)
+            at = np.flatnonzero(places.starts(answer & _OPEN > 0, len(data)))
+            starts[at] |= R.inside(R.Prefixes(_BYTE_VALUES[data]).of(at, at + length), hits)
         gone = R.covered(starts, length)
         ends = np.cumsum(lengths)
         removed, spans, kept = [], [], []
@@ -213,8 +231,10 @@ def suffix_dedup(docs: DataFrame, length: int = 200, batch_bytes: int = 4 << 20)
     def with_reply(reply):
         return dealt.groupBy("batch").cogroup(reply.groupBy("batch"))
 
-    settled = pinned(dealt.groupBy("batch").applyInArrow(send_owners, _PAIRS)
-                     .groupBy("bucket").applyInArrow(settle, _SETTLED), "owner-answers")
+    # The owners are found once: where they lie is kept beside what is asked of the buckets.
+    sent = pinned(dealt.groupBy("batch").applyInArrow(send_owners, _PAIRS), "owners")
+    settled = pinned(sent.filter("bucket >= 0").groupBy("bucket").applyInArrow(settle, _SETTLED), "owner-answers")
+    settled = settled.unionByName(sent.filter("bucket = -1").select("batch", "bucket", F.col("seed").alias("hits")))
     strings = pinned(R.repeated(with_reply(settled).applyInArrow(send_strings, R.MESSAGE), 8), "string-hits")
     both = settled.unionByName(strings, allowMissingColumns=True)  # bucket is null in the second
     return with_reply(both).applyInArrow(remove, OUT)
