@@ -98,19 +98,19 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, path: str |
         enc, shard, start = encoder(vocabulary), None, 0
         for batch in batches:
             for b in sliced(batch):
-                ids = [np.append(x, x.dtype.type(end_id))
-                       for x in enc.encode([t or "" for t in b.column("text").to_pylist()])]
+                ids, counts = enc.encode_ended(b.column("text"), end_id, enc.dtype)
+                width, ends = ids.itemsize, np.cumsum(counts)
                 starts = []
-                for s, x in zip(b.column("shard").to_pylist(), ids):
+                for s, n in zip(b.column("shard").to_pylist(), counts.tolist()):
                     if s != shard:
                         shard, start = s, 0
                     starts.append(start)
-                    start += len(x)
+                    start += n
+                rows = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [
+                    None, pa.py_buffer(np.append(0, ends * width).astype("<i8").tobytes()), pa.py_buffer(ids.tobytes())])
                 yield pa.RecordBatch.from_arrays(
                     [b.column("shard"), b.column("doc_id"), pa.array(starts, pa.int64()),
-                     pa.array([len(x) for x in ids], pa.int64()),
-                     pa.array([x.itemsize for x in ids], pa.int32()),
-                     pa.array([x.tobytes() for x in ids], pa.binary())],
+                     pa.array(counts), pa.array(np.full(len(counts), width), pa.int32()), rows.cast(pa.binary())],
                     ["shard", "doc_id", "start_in_shard", "n_tokens", "width", "ids"])
 
     raw_schema = ROW_SCHEMA + ", width int, ids binary"
