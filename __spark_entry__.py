@@ -12,6 +12,7 @@ import datetime as _dt
 import importlib.util
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,12 +23,13 @@ from auditlens.functions.text import flatten_for_compare, json_content
 from auditlens.functions.ip import is_public_ip
 from auditlens.operators import findings as FN
 from auditlens.operators import reports as R
+from auditlens.operators.alerts import read_alerts, write_alerts
 from auditlens.operators.catalog import get_rule
 from auditlens.operators.enrich import asn_enrich, geo_enrich
 from auditlens.operators.rules_stateless import STATELESS_AUDIT_IDS
 from auditlens.plans.evaluate import evaluate, run_summary
 from auditlens.operators.control import read_run_log
-from auditlens.plans.runner import RUNNER_VERSION, run_rules
+from auditlens.plans.runner import RUNNER_VERSION, run_rule, run_rules
 from auditlens.plans.single_scan import single_scan
 from auditlens.plans.threat_models import THREAT_MODELS, run_threat_models, user_reports
 from auditlens.session import checkpoint_dir
@@ -223,6 +225,31 @@ def q_resumed(spark, sf_dir):
             .agg(F.max(peak).cast("bigint").alias("n")))
 
 
+def q_rule_table(spark, sf_dir):
+    """D19's own findings table (F03) after two runs over the same window."""
+    t = load_test_tables(spark, sf_dir)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/auditlens-findings-{uuid.uuid4().hex}"
+    for _ in range(2):
+        run_rule(t, root, "D19", *ALL)
+    return flatten_for_compare(FN.read_rule_findings(spark, root, "D19").drop(
+        "run_id", "window_start_ts", "window_end_ts", "observed_at", FN.FINDING_DATE))
+
+
+def q_alerts_written(spark, sf_dir):
+    """D24's alerts (A02) written twice."""
+    t = load_test_tables(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/auditlens-alerts-{uuid.uuid4().hex}"
+    for _ in range(2):
+        write_alerts(get_rule("D24").run(t, *ALL), path)
+    return flatten_for_compare(read_alerts(spark, path).drop("alertTime"))
+
+
+def q_without_geo(spark, sf_dir):
+    """D14 with no range table configured."""
+    t = replace(load_test_tables(spark, sf_dir), ip_geo=None)
+    return flatten_for_compare(get_rule("D14").run(t, *ALL, output="rows", threshold=0.5))
+
+
 RUN_LOG_ID = "c05"
 
 
@@ -271,6 +298,9 @@ OTHER_QUERIES = {
     "r02_token_usage_per_user": _report(R.token_usage, ALL),
     "r03_api_actions_per_user": _report(R.api_actions, ALL),
     "r04_billing_usage_per_user": _report(R.billing_usage, BILLING_WINDOW),
+    "f03_rule_table_twice": q_rule_table,
+    "a02_alerts_written_twice": q_alerts_written,
+    "e07_geo_not_configured": q_without_geo,
     "r05_user_reports": q_user_reports,
     "a01_alerts_sso_config_changed": q_alerts,
     "f05_merge_unified_twice": q_pipeline_idempotent,
@@ -295,6 +325,9 @@ def _other_oracles() -> dict[str, str]:
         "r02_token_usage_per_user": O.token_usage_sql(*ALL),
         "r03_api_actions_per_user": O.api_actions_sql(*ALL),
         "r04_billing_usage_per_user": O.billing_usage_sql(*BILLING_WINDOW),
+        "f03_rule_table_twice": O.rule_table_sql("D19", *ALL),
+        "a02_alerts_written_twice": O.alerts_sql("D24", *ALL, distinct=True),
+        "e07_geo_not_configured": O.without_geo_sql(*ALL),
         "r05_user_reports": O.user_reports_sql(
             [r for r in ALL_RULE_IDS if get_rule(r).group in ("binary", "behavioral")], *ALL),
         "a01_alerts_sso_config_changed": O.alerts_sql("D24", *ALL),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 PRIVATE_IP_REGEX = r"^(10\..*|192\.168\..*|172\.(1[6-9]|2[0-9]|3[0-1])\..*)$"
 UUID_REGEX = r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
 TOKEN_AGENT_REGEX = r"(?i)linux auth.*$"
-TOKEN_KNOWN_IP_REGEX = "52.9.53.2"
+TOKEN_KNOWN_IP_REGEX = "52.9.53.2"  # default of a rule parameter
 LOGIN_ACTIONS = ["login", "tokenLogin", "samlLogin", "jwtLogin"]
 NON_SSO_ACTIONS = ["login", "certLogin", "jwtLogin", "mfaLogin",
                    "passwordVerifyAuthentication", "samlLogin"]

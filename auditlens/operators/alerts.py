@@ -7,10 +7,14 @@ nothing new; not a random id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import json_text
+from .findings import dedupe_key, earliest, insert_new, read_stored
+
+# Names and types of an alert's columns.
 ALERTS_SCHEMA = T.StructType([
     T.StructField("alert_id", T.StringType(), False),
     T.StructField("alertTime", T.TimestampType(), True),
@@ -21,12 +25,14 @@ ALERTS_SCHEMA = T.StructType([
     T.StructField("event_data", T.StringType(), True),
 ])
 
+#: Partition column of the stored alerts.
+ALERT_DATE = "alert_date"
+STORED_SCHEMA = T.StructType([*ALERTS_SCHEMA.fields, T.StructField(ALERT_DATE, T.DateType())])
+
 
 def to_alerts(df: DataFrame, time_col: str = "EVENT_DATE", user_col: str = "SRC_USER",
               type_col: str = "ACTION", ip_col: str = "SRC_IP") -> DataFrame:
     """Needs EVENT_DATE, SRC_USER, ACTION and SRC_IP (names configurable)."""
-    from ..functions.text import json_text
-    from .findings import dedupe_key
     payload = json_text(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
     return (df.select(dedupe_key(df).alias("alert_id"),
                       F.current_timestamp().alias("alertTime"),
@@ -39,8 +45,15 @@ def to_alerts(df: DataFrame, time_col: str = "EVENT_DATE", user_col: str = "SRC_
 
 
 def write_alerts(alerts: DataFrame, path: str) -> int:
-    """Insert-only merge on alert_id (A02). Returns the number of new alerts."""
-    from .findings import insert_new
-    return insert_new(alerts.drop("alertTime").withColumn("alertTime", F.current_timestamp())
-                      .select(*[f.name for f in ALERTS_SCHEMA.fields]),
-                      path, keys=["alert_id"])
+    """Insert-only merge on alert_id (A02), by the day of the event. Returns the number of new alerts."""
+    rows = alerts.withColumn("alertTime", F.current_timestamp()).select(*ALERTS_SCHEMA.names)
+    return insert_new(rows.withColumn(ALERT_DATE, F.to_date("eventTime")), path, keys=["alert_id"],
+                      partition_by=[ALERT_DATE], schema=STORED_SCHEMA)
+
+
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The stored alerts, each once: the one raised first."""
+    stored = read_stored(spark, path, STORED_SCHEMA)
+    if stored is None:
+        return spark.createDataFrame([], ALERTS_SCHEMA)
+    return earliest(stored, [ALERT_DATE, "alert_id"], ["alertTime", "batch"]).select(*ALERTS_SCHEMA.names)

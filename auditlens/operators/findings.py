@@ -189,7 +189,7 @@ def merge_unified(unified: DataFrame, root: str) -> int:
                       partition_by=["rule_id", "event_date"], schema=UNIFIED_SCHEMA)
 
 
-def _earliest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def earliest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the one observed first."""
     rest = [c for c in df.columns if c not in keys]
     one = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.struct(*order)).alias("_r"))
@@ -202,7 +202,7 @@ def read_unified(spark: SparkSession, root: str) -> DataFrame:
     stored = read_stored(spark, f"{root.rstrip('/')}/unified", UNIFIED_SCHEMA)
     if stored is None:
         return spark.createDataFrame([], UNIFIED_SCHEMA)
-    return _earliest(stored, ["rule_id", "event_date", "dedupe_key"], ["observed_at", "batch"]).select(*UNIFIED_COLUMNS)
+    return earliest(stored, ["rule_id", "event_date", "dedupe_key"], ["observed_at", "batch"]).select(*UNIFIED_COLUMNS)
 
 
 # --- F03: per-rule tables whose columns may grow --------------------------------
@@ -291,4 +291,4 @@ def read_rule_findings(spark: SparkSession, root: str, rule_id: str) -> DataFram
     stored = read_stored(spark, f"{root.rstrip('/')}/rules/rule_id={rule_id}", schema)
     if stored is None:
         return spark.createDataFrame([], schema)
-    return _earliest(stored, [FINDING_DATE, "dedupe_key"], ["observed_at", "batch"]).drop("batch")
+    return earliest(stored, [FINDING_DATE, "dedupe_key"], ["observed_at", "batch"]).drop("batch")

@@ -655,7 +655,7 @@ def billing_usage_sql(lo, hi) -> str:
 
 
 def alerts_sql(rid: str, lo: str, hi: str, ts_cols=("EVENT_DATE",),
-               int_cols=("RESPONSE_CODE",)) -> str:
+               int_cols=("RESPONSE_CODE",), distinct: bool = False) -> str:
     """A01 for a stateless rule: alert fields without the run time; event_data
     as compact JSON (null fields left out, timestamps ISO with microseconds)."""
     body = stateless_body(rid, lo, hi)
@@ -670,11 +670,27 @@ def alerts_sql(rid: str, lo: str, hi: str, ts_cols=("EVENT_DATE",),
 
     js = "'{' || concat_ws(',', " + ", ".join(piece(n) for n in names) + ") || '}'"
     return prefix(f"d AS ({body})") + (
-        f"SELECT {dedupe_sql(names)} AS alert_id, EVENT_DATE AS eventTime,"
+        f"SELECT {'DISTINCT' if distinct else ''} {dedupe_sql(names)} AS alert_id, EVENT_DATE AS eventTime,"
         " coalesce(SRC_USER, 'unknown') AS user_email, ACTION AS event_type,"
         f" coalesce(SRC_IP, 'unknown') AS source_ip, {js} AS event_data FROM d")
 
 
+def rule_table_sql(rid: str, lo: str, hi: str) -> str:
+    """a stateless rule's table with its metadata; a rule column named SEVERITY is renamed."""
+    from .operators.catalog import catalog
+    cols = ", ".join(f'"{c}" AS "{"payload_" + c if c.lower() == "severity" else c}"' for c in stateless_columns(rid))
+    return prefix() + (f"SELECT DISTINCT {cols}, '{rid}' AS rule_id, '{catalog()[rid].severity}' AS severity,"
+                       f" {dedupe_sql(stateless_columns(rid))} AS dedupe_key FROM ({stateless_body(rid, lo, hi)}) t")
+
+
+def without_geo_sql(lo: str, hi: str) -> str:
+    """D14 where no range table is configured: typed NULLs."""
+    kinds = dict(zip(PR.GEO_FIELDS, ("VARCHAR", "VARCHAR", "VARCHAR", "DOUBLE", "DOUBLE", "INTEGER")))
+    nulls = ", ".join(f"CAST(NULL AS {k}) AS geo_{f}" for f, k in kinds.items())
+    return prefix() + (f"SELECT * REPLACE ({nulls}, CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS DOUBLE) AS lon)"
+                       f" FROM ({d14_sql.body(lo, hi, threshold=0.5)}) t")
+
+
 def user_reports_sql(rule_ids: list[str], lo: str, hi: str) -> str:
     """Findings per user and rule, and the addresses, tokens and actions used, of the
     users that the secret scanner's requests came from."""
