@@ -5,10 +5,13 @@ last return the columns of ``documents``. Rows a stage keeps go on unchanged,
 except that substring dedup rewrites the text (and n_chars) of documents that
 lost words, and drops those that lost all.
 
-A row is known by its doc_id within a stage. Stages join decisions back by
-doc_id with a semi or inner join, never through the driver; a null doc_id can't
-be decided on and is dropped by the first stage. Rows that repeat a doc_id
-share one decision (the strictest).
+Stages join decisions back with a semi or outer join, never through the driver.
+A row is known by its doc_id, and where an operator tells them apart by its text
+too, so rows of one doc_id with different texts are decided on one by one by the
+quality rules and keep their own text in substring dedup. What can't be decided
+on stays: near duplicates keep rows without a doc_id, and every distinct text of
+a doc_id whose rows aren't all copies of others. Decontamination drops all rows
+of a doc_id that has a leak, and none without a doc_id.
 """
 
 from __future__ import annotations
@@ -34,10 +37,17 @@ def _columns(docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS)
 
 
+def _text_hash(text: str = "text"):
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the quality rules keep."""
-    kept = quality_rules(docs).groupBy("doc_id").agg(F.min("kept").alias("kept")).filter("kept").select("doc_id")
-    return _columns(docs.join(kept, "doc_id", "left_semi"))
+    docs = _columns(docs)
+    judged = quality_rules(docs.withColumn("doc_id", F.struct("doc_id", _text_hash().alias("text_hash"))))
+    kept = judged.filter("kept").select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.text_hash").alias("_hash"))
+    return _columns(docs.join(kept.distinct(), F.col("doc_id").eqNullSafe(F.col("_id"))
+                              & (_text_hash() == F.col("_hash")), "left_semi"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,20 +56,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Near duplicates share 0.8 or more of their word shingles of five words;
     the defaults of ``jaccard_join`` are the contract of the op4 query alone.
     """
+    docs = _columns(docs)
     groups = jaccard_join(docs, n=5, percent=80)
     kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    return _columns(docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    with_id = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return with_id.unionByName(docs.filter("doc_id IS NULL"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Remove repeated passages; a text without any keeps its white space too."""
-    cut = substring_dedup(docs).filter("n_removed > 0").select(
-        "doc_id", F.col("kept").cast("string").alias("_kept"))
-    out = docs.join(pinned(cut, "cut-texts"), "doc_id", "left")
-    text = F.coalesce("_kept", "text")
-    return out.filter("_kept IS NULL OR _kept <> ''").select(
+    """Remove repeated passages; a text without any keeps its white space too. A text that
+    loses all its words goes."""
+    docs = _columns(docs).withColumn("_none", F.col("text").isNull())
+    out = substring_dedup(docs, carry=("lang", "source", "n_chars", "_none"))
+    text = F.when(~F.col("_none"), F.col("cleaned").cast("string"))
+    return out.filter("n_removed = 0 OR n_removed < n_words").select(
         "doc_id", text.alias("text"), "lang", "source",
-        F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept")).cast("long").alias("n_chars"))
+        F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length(text)).cast("long").alias("n_chars"))
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
