@@ -21,7 +21,8 @@ size - ceil(percent * size / 100) + 1 members, in any order common to all sets.
 
 Defined cases: a null or empty text has an empty set and links with nothing; a
 null doc_id links with nothing and has a null component; exact copies and
-repeated rows are one class; extra columns are ignored; an empty table gives no
+repeated rows are one class; rows of one doc_id with different texts link each
+by its own text; extra columns are ignored; an empty table gives no
 rows. Equal 64-bit hashes count as equal n-grams.
 """
 
@@ -41,6 +42,8 @@ _SLOTS = 1 << 23
 _PARTS = 64
 #: Lists above this many classes are worked on in blocks of this many.
 BLOCK = 256
+#: Members compared in one matrix product.
+_MEMBERS = 1 << 13
 #: Ranges of hash values whose member counts make up a set's profile.
 _RANGES = 64
 
@@ -132,7 +135,7 @@ def _signatures(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> Da
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """The whole sets of the wanted classes (cls, sig): cls, members."""
+    """The whole sets of the wanted classes (cls, doc, sig): cls, members."""
 
     def run(batches):
         for batch in batches:
@@ -144,7 +147,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column("cls"), pa.array(sets, pa.binary())],
                                                  ["cls", "members"]).filter(same)
 
-    rows = only(docs, "doc_id", "text").join(wanted, F.col("doc_id") == F.col("cls")).select("cls", "sig", "text")
+    rows = only(docs, "doc_id", "text").join(wanted, F.col("doc_id") == F.col("doc")).select("cls", "sig", "text")
     return rows.mapInArrow(run, "cls long, members binary").dropDuplicates(["cls"])
 
 
@@ -153,9 +156,16 @@ def _forest(sets: list[np.ndarray], rows: np.ndarray, cols: np.ndarray, percent:
     used = np.unique(np.concatenate([rows, cols]))
     values, place = np.unique(np.concatenate([sets[k] for k in used]), return_inverse=True)
     size = np.array([len(s) for s in sets])
-    bits = np.zeros((len(sets), len(values)), np.float32)
-    bits[np.repeat(used, size[used]), place] = 1
-    both = np.rint(bits[rows] @ bits[cols].T).astype(np.int64)
+    owner = np.repeat(used, size[used])
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    # Some members at a time, so the matrix is small however large the sets are.
+    both = np.zeros((len(rows), len(cols)), np.int64)
+    for low in range(0, len(values), _MEMBERS):
+        i, j = np.searchsorted(place, (low, low + _MEMBERS))
+        bits = np.zeros((len(sets), min(_MEMBERS, len(values) - low)), np.float32)
+        bits[owner[i:j], place[i:j] - low] = 1
+        both += np.rint(bits[rows] @ bits[cols].T).astype(np.int64)
     union = size[rows][:, None] + size[cols][None, :] - both
     root = list(range(len(sets)))
 
@@ -193,13 +203,28 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _numbered(classes: DataFrame) -> tuple[DataFrame, bool]:
+    """The classes with a number of their own (cls), and whether some had to be given one.
+
+    A class goes by its least doc_id. Classes that share it (rows of one doc_id
+    with different texts) get numbers below all doc_ids.
+    """
+    twice = pinned(classes.groupBy("doc").count().filter("count > 1").select("doc", F.lit(True).alias("twice")),
+                   "repeated-ids")
+    if twice.isEmpty():
+        return classes.withColumn("cls", F.col("doc")), False
+    low = classes.agg(F.min("doc")).first()[0]
+    number = F.when(F.col("twice"), F.lit(low - 1) - F.monotonically_increasing_id()).otherwise(F.col("doc"))
+    return pinned(classes.join(twice, "doc", "left").withColumn("cls", number).drop("twice"), "classes"), True
+
+
 def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the least doc_id reachable by links)."""
     marked = pinned(_signatures(docs, n, percent, frequency_sketch(docs, n)), "signatures")
     classes = (marked.filter("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig")
-               .agg(F.min("doc_id").alias("cls"), F.first("n_shingles").alias("size"), F.first("grp").alias("grp"),
+               .agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("size"), F.first("grp").alias("grp"),
                     F.first("prefix").alias("prefix"), F.first("profile").alias("profile")))
-    classes = pinned(classes, "classes")
+    classes, repeated = _numbered(pinned(classes, "classes"))
     groups = classes.groupBy("grp", "size").agg(F.count(F.lit(1)).alias("n_classes"), F.first("prefix").alias("prefix"))
     # A group's own list (its key's hash) serves the pairs inside it.
     keys = groups.select("grp", "size", "n_classes", F.explode(F.when(
@@ -230,7 +255,7 @@ def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
                    .select("a", "b", "p", "q").mapInArrow(may_link, "a long, b long"), "pairs")
     long = entries.filter(F.col("length") > BLOCK)
     wanted = (pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(long.select("cls")).distinct()
-              .join(classes.select("cls", "sig"), "cls"))
+              .join(classes.select("cls", "doc", "sig"), "cls"))
     sets = pinned(_sets_of(docs, wanted, n), "sets")
 
     def verify(batches):
@@ -265,7 +290,10 @@ def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
 
     blocked = dealt.join(sets, "cls").groupBy("key", "i", "j").applyInArrow(block_pair, "a long, b long")
     labels = components(linked.union(blocked.filter("a <> b")))
-    return (marked.join(classes.select("sig", "cls"), "sig", "left")
+    if repeated:  # some classes aren't numbered by a doc_id: the least one of each component
+        least = labels.join(classes.select("cls", "doc"), "cls").groupBy("label").agg(F.min("doc").alias("least"))
+        labels = labels.join(least, "label").select("cls", F.col("least").alias("label"))
+    return (marked.join(classes.select("sig", "cls", "doc"), "sig", "left")
             .join(labels, "cls", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "cls", "doc_id"))
+            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc", "doc_id"))
                     .alias("component_id")))
