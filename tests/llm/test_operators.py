@@ -121,6 +121,19 @@ def test_suffix_dedup(docs, rows, empty, batch_bytes):
     assert suffix_dedup(empty).count() == 0
 
 
+def test_messages_are_at_most_one_per_fingerprint():
+    from auditlens.llm import repeats as R
+
+    rng = np.random.default_rng(4)
+    for bits in (0, 3, 12, 30):  # up to far more buckets than fingerprints
+        prints, more = R.distinct(rng.integers(0, 1 << 63, 500, np.uint64) * np.uint64(2), 8)
+        sent = R.messages(7, prints, more, more, bits, 8)
+        assert sent.num_rows == len({int(p) >> (64 - bits) for p in prints}) <= len(prints)
+        back = np.concatenate([R.unpacked(x.as_py(), 8) for c in ("once", "more") for x in sent.column(c)])
+        assert sorted(back.tolist()) == prints.tolist()
+    assert R.messages(7, prints[:0], more[:0], more[:0], 5, 8).num_rows == 0
+
+
 def test_suffix_arrays():
     rng = random.Random(1)
     for t in range(150):
@@ -159,6 +172,31 @@ def test_jaccard_join(docs, rows, empty, block, monkeypatch):
     assert jaccard_join(empty).count() == 0
 
 
+def test_links_of_rows_that_share_an_id(spark):
+    rng = random.Random(9)
+    a, b, c = (words(rng, 100) for _ in range(3))
+    near = lambda w, k: " ".join([*w[:50], f"edit{k}", *w[51:]])
+    rows_ = [(5, " ".join(a)), (5, " ".join(b)), (2, near(a, 1)), (3, near(b, 2)), (5, " ".join(c)), (7, near(c, 3)),
+             (8, "alone here"), (8, "alone there"), (-4, " ".join(words(rng, 60)))]
+    d = spark.createDataFrame(rows_, "doc_id long, text string")
+    res = collections.Counter((r.doc_id, r.component_id) for r in jaccard_join(d).collect())
+    assert res == collections.Counter([(5, 2), (5, 3), (2, 2), (3, 3), (5, 5), (7, 5), (8, 8), (8, 8), (-4, -4)])
+
+
+def test_forest_of_large_sets_in_parts(monkeypatch):
+    from auditlens.llm import jaccard_join as J
+
+    rng = np.random.default_rng(5)
+    base = rng.choice(10**9, 3000, replace=False).astype(np.uint64)
+    sets = [np.sort(np.concatenate([base[:3000 - k], rng.choice(10**9, k).astype(np.uint64) + np.uint64(10**10)]))
+            for k in (0, 10, 100, 200, 900, 2900)]
+    at = np.arange(len(sets))
+    whole = J._forest(sets, at, at, 90)
+    monkeypatch.setattr(J, "_MEMBERS", 257)
+    assert J._forest(sets, at, at, 90) == whole and {frozenset(p) for p in whole} == {
+        frozenset(p) for p in ((0, 1), (0, 2))}
+
+
 def test_tokens(docs, rows, empty, spark):
     from tokenizers import Tokenizer
 
@@ -230,11 +268,114 @@ def test_decontaminate(spark, empty):
         (5, " ".join(words(rng, 3000)), 0), (6, " ".join(item[:8]), 0)], "doc_id long, text string, item_id int")
     b = spark.createDataFrame([(9, " ".join(item)), (10, None), (11, "the of")], "item_id long, text string")
     found = {(r.doc_id, r.item_id): r.score for r in decontaminate(d, b).collect()}
-    assert set(found) == {(1, 9), (2, 9)} and found[1, 9] == 1.0 and found[2, 9] < 1
+    assert set(found) == {(1, 9), (2, 9)} and found[1, 9] == 1.0 and found[2, 9] < 1  # 8 of 30 words are neither half nor 13
     assert decontaminate(empty, b).count() == 0 and decontaminate(d, b.limit(0)).count() == 0
     assert align(np.array([1, 2, 3]), np.array([9, 1, 2, 8, 3])) == (5, 5)
 
 
+def plain_alignment(item, text):
+    """Smith-Waterman over whole texts, cell by cell: the best local sum."""
+    above, best = [0] * (len(text) + 1), 0
+    for w in item:
+        row = [0]
+        for j, x in enumerate(text):
+            row.append(max(0, above[j] + (2 if x == w else -1), above[j + 1] - 1, row[j] - 1))
+        best, above = max(best, *row), row
+    return best
+
+
+@pytest.mark.parametrize("block_items", [3, 20_000])
+def test_decontaminate_equals_plain_alignment_of_all_pairs(spark, block_items):
+    rng = random.Random(21)
+    common = [f"c{k}" for k in range(30)]
+    vocabulary = [f"w{k}" for k in range(400)]
+    preamble = [f"p{k}" for k in range(10)]
+    items = [preamble * (k % 2) + rng.choices(vocabulary, k=size) for k, size in enumerate((30, 25, 60, 12, 40, 8, 300, 20))]
+    items += [["short", "item", "words"], ["two", "words"], [], items[0]]
+    texts = []
+    for k in range(60):
+        item = items[k % 8]
+        if k < 40:
+            body = []
+            for w in item:  # edited copies: replaced, left out and added words
+                body += rng.choices([[w], [rng.choice(vocabulary)], [], [w, rng.choice(common)]],
+                                    [10, k % 5 / 2, k % 5 / 3, k % 5 / 3])[0]
+        else:
+            at = rng.randrange(len(item))
+            body = item[at:at + rng.choice([6, 20])]  # parts, some of them long
+        texts.append(rng.choices(common, k=rng.randrange(40)) + body + rng.choices(common, k=rng.randrange(40)))
+    texts += [preamble, preamble + common, ["a", "Short", "item,", "words!"], ["short", "item", "other"], texts[3], []]
+    rows = [(None if k == 5 else k % 64, " ".join(w.upper() if k % 7 == 0 else w for w in t), "x", 1.0, 2)
+            for k, t in enumerate(texts)] + [(99, None, "x", 1.0, 2)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, item_id string, score double, end_word int").repartition(3)
+    b = spark.createDataFrame([(i, " ".join(x), i) for i, x in enumerate(items)] + [(77, None, 0)],
+                              "item_id long, text string, doc_id int")
+    expect = collections.Counter()
+    for (i, t, *_), words_ in zip(rows, texts):
+        plain_words = [w.lower().strip(",!") for w in words_]
+        for j, item in enumerate(items):
+            if len(item) < 3:
+                continue
+            total = plain_alignment(item, plain_words)
+            if total >= (2 * len(item) if len(item) < 5 else len(item)) or total >= 26:
+                expect[i, j, round(total / (2 * len(item)), 9)] += 1
+    res = decontaminate(d, b, block_items=block_items).collect()
+    assert collections.Counter((r.doc_id, r.item_id, round(r.score, 9)) for r in res) == expect
+    assert {j for _, j, _ in expect} >= {0, 1, 2, 3, 4, 6, 8, 11} and any(s < 0.5 for _, _, s in expect)
+
+
+def test_shared_preamble_is_no_seed():
+    from auditlens.llm.decontaminate import Seeds
+
+    rng = random.Random(22)
+    preamble = [f"p{k}" for k in range(10)]
+    items = [(k, preamble + [f"w{rng.randrange(10**6)}" for _ in range(20)]) for k in range(2000)]
+    counts = collections.Counter(w for _, ws in items for w in ws)
+    seeds = Seeds(items, {**counts, "": sum(counts.values())}, 100_000, 3, 1e-4, 3, 8)
+    ids = np.array([seeds.vocabulary[w] for w in preamble], np.int64)
+    assert not list(seeds.passages(ids, np.array([10])))
+    # Where items have nothing else, what they share still finds them all.
+    same = [(k, preamble) for k in range(50)]
+    seeds = Seeds(same, {w: 50 for w in preamble} | {"": 10**6}, 1000, 3, 1e-4, 3, 8)
+    ids = np.array([seeds.vocabulary[w] for w in preamble], np.int64)
+    assert {item for _, item, _, _ in seeds.passages(ids, np.array([10]))} == set(range(50))
+
+
+def test_word_tables():
+    from auditlens.llm import words as Wd
+    import pyarrow as pa
+
+    rng = random.Random(23)
+    texts = [None, "", " ", "a", " a  b\n", "é\tü\u00a0x", "x" * 9000 + " y " + "x" * 9000, "a" * 300_000, "b c" * 200_000]
+    texts += [" ".join(words(rng, rng.randrange(200))) for _ in range(50)]
+    column = pa.array(["skipped", *texts, "skipped"]).slice(1, len(texts))
+    data, offsets = Wd.column_bytes(column)
+    starts, ends = Wd.runs(data, offsets, Wd.WHITE)
+    found = [bytes(data[i:j]) for i, j in zip(starts.tolist(), ends.tolist())]
+    split = [(t or "").encode().split() for t in texts]
+    assert found == [w for ws in split for w in ws]
+    assert Wd.rows_of(starts, offsets).tolist() == [len(ws) for ws in split]
+    keys = Wd.hashes(data, starts, ends)
+    by_word = {}
+    assert all(by_word.setdefault(w, k) == k for w, k in zip(found, keys.tolist()))
+    assert len(set(by_word.values())) == len(by_word)  # no two words collide here
+    learnt = []
+
+    def learn(new):
+        learnt.extend(new)
+        return np.array([len(w) for w in new])
+
+    memo = Wd.Memo(learn)
+    for _ in range(2):
+        assert memo(data, starts, ends).tolist() == [len(w) for w in found]
+    assert sorted(learnt) == sorted(set(found))
+    table = Wd.Table(8)
+    new = np.array([k << 40 | 3 for k in range(1, 5000)], np.uint64)  # all for one place at first
+    for part in np.array_split(new, 7):
+        table.add(part)
+    assert table.find(new).tolist() == list(range(len(new))) and (table.find(new + np.uint64(1)) == -1).all()
+
+
 def test_classifiers(spark, empty):
     sf = "/root/testdata/sf0.01"
     d, lab = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
@@ -308,6 +449,36 @@ def test_pipeline_keeps_clean_documents(spark):
     assert {r.doc_id for r in out.collect()} <= heads and out.agg(F.sum("length")).first()[0] > 0
 
 
+def test_pipeline_keeps_what_it_cannot_decide(spark):
+    import corpus_pipeline as P
+
+    rng = random.Random(12)
+    clean = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(90)) for _ in range(8)]
+    passage = " ".join(f"p{rng.randrange(10**6)}" for _ in range(50))
+    rows_ = [(1, clean[0]), (1, clean[1]), (1, "junk " * 80), (None, clean[2]), (None, clean[3]), (None, None), (2, None),
+             (3, ""), (4, clean[4] + " " + passage), (4, passage + " " + clean[5]), (5, clean[6]), (6, clean[6]),
+             (None, " ".join(f"l{rng.randrange(10**6)}" for _ in range(40_000))), (7, clean[7]), (7, clean[7])]
+    ddl = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, _hash string, component_id int"
+    d = spark.createDataFrame([(i, t, "en", "s", 0, False, "x", 1) for i, t in rows_], ddl)
+    has = lambda df: collections.Counter((r.doc_id, (r.text or "")[:20]) for r in df.collect())
+    good = {(i, (t or "")[:20]) for i, t in rows_ if t and len(t.split()) >= 50 and "junk" not in t}
+    first = P.rules(spark, d, "")
+    assert set(has(first)) == good and has(first)[7, clean[7][:20]] == 2
+    near = P.near_duplicates(spark, first, "")
+    assert has(near) == collections.Counter(good - {(6, clean[6][:20])})
+    cut = P.repeated_passages(spark, near, "")
+    texts = {(r.doc_id, r.text) for r in cut.collect()}
+    assert {(4, clean[4]), (4, clean[5])} <= texts and cut.count() == near.count()
+    sf = "/root/testdata/sf0.001"
+    kept = P.leaks(spark, cut, sf)
+    assert has(kept) == has(cut)
+    assert P.packing(spark, kept, sf).agg(F.countDistinct("doc_tokens")).first()[0] > 1
+    empty_ = d.limit(0)
+    for _, stage in P.STAGES:
+        empty_ = stage(spark, empty_, sf)
+    assert empty_.count() == 0
+
+
 def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark):
     import corpus_pipeline as P
 
@@ -336,7 +507,7 @@ def test_encoder_equals_library_on_odd_characters(name):
 
     rng = random.Random(5)
     alphabet = [*"abXYßñçüŧ中あ٣½²_'’.,!?;-\"(…—*#09 \n\t\r\xa0\x01\x1c\x85̀​ 😀İΣς",
-                "'s", "'ll", " ", " ", "  ", "\n\n", "the", "<|endoftext|>"]
+                "'s", "'ll", " ", " ", "  ", "\n\n", "the", "The", "<|endoftext|>", "<|ENDOFTEXT|>", "\n", "--", "_x_"]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(3000)]
     texts += ["x" * 700 + " b", " ", "\n", "a ", " a", "a  b", ""]
     enc = tokens.Encoder(entries.vocabulary(name))
