@@ -1,12 +1,13 @@
 """Which strings of a fixed length occur more than once in a corpus.
 
 Shared by the two substring operators. Documents are dealt to *batches* by a
-hash of doc_id, a few megabytes of text each. A batch reduces its strings to
+hash of doc_id and text, a few megabytes of text each. A batch reduces its strings to
 sorted 64-bit fingerprints, keeps each once (with a mark if it occurs twice or
 more in the batch) and sends them by fingerprint range to *buckets*. A bucket
 merges the sorted lists of all batches and tells each batch which of its own
 fingerprints occur elsewhere. So the shuffle carries a few bytes per distinct
-string and batch, never the strings, never pairs, and a passage that a third
+string and batch (at most one message each, far fewer while buckets are full),
+never the strings, never pairs, and a passage that a third
 of all rows share is one entry per batch in one bucket.
 """
 
@@ -41,11 +42,11 @@ def plan_for(docs: DataFrame, batch_bytes: int) -> Plan:
     return Plan(total or 0, batch_bytes)
 
 
-def dealt(docs: DataFrame, plan: Plan) -> DataFrame:
-    """batch, doc_id and the text as UTF-8 bytes (null: empty)."""
-    return only(docs, "doc_id", "text").select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(plan.batches)).cast("int").alias("batch"), "doc_id",
-        F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+def dealt(docs: DataFrame, plan: Plan, *carry: str) -> DataFrame:
+    """batch, doc_id, the text as UTF-8 bytes (null: empty) and the columns carried along."""
+    return only(docs, "doc_id", "text", *carry).select(
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(plan.batches)).cast("int").alias("batch"), "doc_id",
+        F.coalesce("text", F.lit("")).cast("binary").alias("text"), *carry)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -105,23 +106,26 @@ def unpacked(data: bytes, width: int) -> np.ndarray:
     return raw.view("<u8").ravel()
 
 
-def bucket_edges(ascending: np.ndarray, bits: int) -> list[int]:
-    """Where each bucket (the first ``bits`` of a fingerprint) begins, and the end."""
-    first = np.arange(1 << bits, dtype=np.uint64)
-    at = np.searchsorted(ascending, first << np.uint64(64 - bits)) if bits else [0]
-    return [*map(int, at), len(ascending)]
+def bucket_spans(ascending: np.ndarray, bits: int):
+    """(bucket, begin, end) of each bucket (the first ``bits`` of a fingerprint) that has any.
+
+    However many buckets the corpus needs, a batch goes over its own fingerprints only.
+    """
+    if not len(ascending):
+        return
+    bucket = ascending >> np.uint64(64 - bits) if bits else np.zeros(len(ascending), np.uint64)
+    begin = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] + np.uint64(1)))
+    yield from zip(bucket[begin].tolist(), begin.tolist(), [*begin[1:].tolist(), len(ascending)])
 
 
 def messages(batch: int, prints: np.ndarray, more: np.ndarray, marked: np.ndarray, bits: int, width: int):
     """One row per bucket. ``prints``: the batch's distinct fingerprints, ascending;
     ``more``: which occur twice or more in it; ``marked``: which are index entries."""
     keep = np.uint64(64 - 8 * width)
-    edges = bucket_edges(prints, bits)
     rows = []
-    for b, (i, j) in enumerate(zip(edges, edges[1:])):
-        if i < j:
-            p, m, k = prints[i:j] >> keep, more[i:j], marked[i:j]
-            rows.append((batch, b, packed(p[~m], width), packed(p[m], width), packed(p[k], width)))
+    for b, i, j in bucket_spans(prints, bits):
+        p, m, k = prints[i:j] >> keep, more[i:j], marked[i:j]
+        rows.append((batch, b, packed(p[~m], width), packed(p[m], width), packed(p[k], width)))
     cols = zip(*rows) if rows else [()] * 5
     types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],

@@ -26,6 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest
 
 from . import repeats as R
@@ -49,8 +50,12 @@ def _valid(hashes: np.ndarray, counts: np.ndarray, length: int):
     return at, R.rolling(hashes, length)[at]
 
 
-def substring_dedup(docs: DataFrame, window: int = 35, batch_bytes: int = 4 << 20) -> DataFrame:
-    """Per document: word counts, removed spans [first, end) and the kept text (UTF-8)."""
+def substring_dedup(docs: DataFrame, window: int = 35, batch_bytes: int = 4 << 20,
+                    carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per document: word counts, removed spans [first, end) and the kept text (UTF-8).
+
+    ``carry``: further columns of ``docs`` to return with each row; then also
+    ``cleaned``, the kept text where words were removed, else the text as it was."""
     block = (window + 1) // 2
     plan = R.plan_for(docs, batch_bytes)
     dealt = R.dealt(docs, plan)
@@ -101,15 +106,19 @@ def substring_dedup(docs: DataFrame, window: int = 35, batch_bytes: int = 4 << 2
                 kept.append(b" ".join(w))
         return pa.Table.from_arrays(
             [table.column("doc_id").combine_chunks(), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
-             pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(kept, pa.binary())],
-            ["doc_id", "n_words", "n_removed", "spans", "kept"])
+             pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(kept, pa.binary()),
+             *([pa.array([k if n else t.as_py() for k, n, t in zip(kept, removed, table.column("text"))], pa.binary())]
+               if carry else []), *[table.column(c).combine_chunks() for c in carry]], schema.names)
+
+    fields = T._parse_datatype_string(OUT + ", cleaned binary" * bool(carry)).fields
+    schema = T.StructType([*fields, *[docs.schema[c] for c in carry]])
 
-    def with_reply(reply):
-        return dealt.groupBy("batch").cogroup(reply.groupBy("batch"))
+    def with_reply(reply, texts=dealt):
+        return texts.groupBy("batch").cogroup(reply.groupBy("batch"))
 
     blocks = pinned(R.repeated(dealt.groupBy("batch").applyInArrow(send_blocks, R.MESSAGE),
                                _BLOCK_WIDTH, indexed=True), "block-hits")
     windows = pinned(R.repeated(with_reply(blocks).applyInArrow(send_windows, R.MESSAGE),
                                 _WINDOW_WIDTH), "window-hits")
-    return with_reply(windows).applyInArrow(remove, OUT)
+    return with_reply(windows, R.dealt(docs, plan, *carry)).applyInArrow(remove, schema)
 

@@ -174,11 +174,11 @@ def suffix_dedup(docs: DataFrame, length: int = 200, batch_bytes: int = 4 << 20)
 
     def send_owners(table: pa.Table) -> pa.Table:
         places, seed, span, more = owners(*_bytes(table), length)
-        batch, edges = table.column("batch")[0].as_py(), R.bucket_edges(seed, bits)
+        batch = table.column("batch")[0].as_py()
         rows = [(batch, -1, places.packed(), b"", b"")]
         rows += [(batch, b, R.packed(seed[i:j] >> np.uint64(64 - 8 * _SEED_WIDTH), _SEED_WIDTH),
                   span[i:j].tobytes(), more[i:j].tobytes())
-                 for b, (i, j) in enumerate(zip(edges, edges[1:])) if i < j]
+                 for b, i, j in R.bucket_spans(seed, bits)]
         return pa.Table.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
             ["batch", "bucket", "seed", "span", "more"])
