@@ -54,6 +54,12 @@ _LOW = (1 << 24) - 1
 _BYTE_VALUES = np.random.Generator(np.random.PCG64(20240611)).integers(0, 1 << 64, 256, np.uint64)
 
 
+def _ordered(table: pa.Table) -> pa.Table:
+    """A batch in an order of its own. Shuffles deliver its rows as they arrive, each step
+    another way, but a place in the text must mean the same in all of them."""
+    return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+
+
 def _bytes(table: pa.Table):
     """All texts end to end, and their lengths."""
     texts = [t.as_py() for t in table.column("text")]
@@ -173,6 +179,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200, batch_bytes: int = 4 << 20)
     bits = plan.bits
 
     def send_owners(table: pa.Table) -> pa.Table:
+        table = _ordered(table)
         places, seed, span, more = owners(*_bytes(table), length)
         batch = table.column("batch")[0].as_py()
         rows = [(batch, -1, places.packed(), b"", b"")]
@@ -184,7 +191,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200, batch_bytes: int = 4 << 20)
             ["batch", "bucket", "seed", "span", "more"])
 
     def send_strings(key, table: pa.Table, reply: pa.Table) -> pa.Table:
-        data, lengths = _bytes(table)
+        data, lengths = _bytes(_ordered(table))
         places, answer = answers(reply)
         starts = places.starts(answer & _OPEN > 0, len(data))
         place = np.flatnonzero(R.covered(starts, length))  # of each region byte in the batch's text
@@ -206,6 +213,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200, batch_bytes: int = 4 << 20)
         return R.messages(key[0].as_py(), prints[turn], more[turn], np.zeros(len(turn), bool), bits, 8)
 
     def remove(key, table: pa.Table, reply: pa.Table) -> pa.Table:
+        table = _ordered(table)
         data, lengths = _bytes(table)
         places, answer = answers(reply)
         starts = places.starts(answer & _REPEATED > 0, len(data))

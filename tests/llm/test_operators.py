@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,6 +122,25 @@ def test_suffix_dedup(docs, rows, empty, batch_bytes):
     assert suffix_dedup(empty).count() == 0
 
 
+def test_suffix_dedup_whatever_order_rows_arrive_in(spark):
+    rng = random.Random(11)
+    passage = " ".join(words(rng, 60))
+    texts = [" ".join(words(rng, 20 + i)) + (" " + passage) * (i % 2) for i in range(40)]
+    rows_ = [(i, t) for i, t in enumerate(texts)] + [(None, texts[1]), (3, texts[3]), (3, passage)]
+
+    def shuffled(batches):  # another order each time a step reads its input
+        table = pa.Table.from_batches(list(batches))
+        turn = np.random.default_rng().permutation(table.num_rows)
+        yield from table.take(pa.array(turn)).combine_chunks().to_batches()
+
+    docs = spark.createDataFrame(rows_, "doc_id long, text string").coalesce(1)
+    res = suffix_dedup(docs.mapInArrow(shuffled, docs.schema)).collect()
+    expect = collections.Counter()
+    for (i, _), (s, gone) in zip(rows_, covered([t.encode() for _, t in rows_], 200)):
+        expect[i, sum(gone), bytes(b for b, g in zip(s, gone) if not g)] += 1
+    assert collections.Counter((r.doc_id, r.n_removed, bytes(r.kept)) for r in res) == expect
+
+
 def test_messages_are_at_most_one_per_fingerprint():
     from auditlens.llm import repeats as R
 
