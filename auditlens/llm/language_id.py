@@ -39,6 +39,8 @@ _STARTS = (0, 1 << 8, (1 << 8) + (1 << 16))
 _PLACES = (1 << 8) + (1 << 16) + (1 << 24)
 _PLAIN = bytes(c if c > 127 or chr(c).isalpha() else 32 for c in range(256))
 _STEP = 1 << 20
+#: Values this close (-1 to 1) are equal but for rounding, which differs by machine.
+_TIE = 1e-6
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -175,8 +177,9 @@ def identify(docs: DataFrame, **params) -> DataFrame:
                 live = np.flatnonzero(b.column("letter").to_numpy(zero_copy_only=False)) if m else []
                 if len(live):
                     values = m.values(block([t for t in b.column("text").take(pa.array(live)).to_pylist()]))
-                    at[live] = values.argmax(1)
-                    s[live] = np.clip((values.max(1) + 1) / 2, 0, 1)
+                    best = values.max(1)
+                    at[live] = (values >= best[:, None] - _TIE).argmax(1)  # the first of equals
+                    s[live] = np.clip((best + 1) / 2, 0, 1)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), names.take(pa.array(at)), pa.array(s)],
                                                  ["doc_id", "lang_pred", "score"])
 
