@@ -85,3 +85,9 @@ def test_session_rules_collect_lists_after_the_filter(spark, small_tables):
 def test_reports_do_not_expand(spark, small_tables):
     for fn in (api_actions, token_usage):
         assert "Expand" not in _plan(fn(small_tables, *ALL))
+
+
+def test_single_scan_evaluates_a_predicate_once(spark, small_tables):
+    t = _stored_audit(spark, small_tables)
+    # Known only to D01's predicate: an agent that it leaves out.
+    assert _plan(single_scan(t, *ALL, rule_ids=["D01", "D04"])).count("linux auth") == 1
