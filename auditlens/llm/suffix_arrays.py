@@ -10,18 +10,29 @@ from __future__ import annotations
 
 import numpy as np
 
+#: Positions worked on at once, for the arrays that need not span the text.
+_STEP = 1 << 19
+
+
+def place_type(n: int) -> type:
+    """Holds any place in ``n`` bytes, or the sum of four."""
+    return np.int32 if n < 1 << 29 else np.int64
+
 
 def leading_words(data: np.ndarray, end: np.ndarray, count: int = 8, bits: int = 8, add: int = 0) -> np.ndarray:
     """The next ``count`` bytes (each plus ``add``, in ``bits`` bits) as one number; zero past the end."""
     n = len(data)
-    padded = np.zeros(n + count, np.uint64)
-    padded[:n] = data
-    padded[:n] += np.uint64(add)
     word = np.zeros(n, np.uint64)
-    left = end - np.arange(n)
-    for k in range(count):
-        part = np.where(left > k, padded[k:k + n], np.uint64(0))
-        word |= part << np.uint64(bits * (count - 1 - k))
+    for i in range(0, n, _STEP):
+        own = word[i:i + _STEP]
+        left = end[i:i + _STEP] - np.arange(i, i + len(own))
+        padded = np.zeros(len(own) + count, np.uint64)
+        ahead = data[i:i + len(padded)]
+        padded[:len(ahead)] = ahead
+        padded += np.uint64(add)
+        for k in range(count):
+            part = np.where(left > k, padded[k:k + len(own)], np.uint64(0))
+            own |= part << np.uint64(bits * (count - 1 - k))
     return word
 
 
@@ -37,34 +48,41 @@ def suffix_array(data: np.ndarray, end: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     h = 7
     # Nine bits a byte, so that the end differs from a zero byte.
-    first = leading_words(data, end, h, 9, 1)
-    order = np.argsort(first)
+    word = leading_words(data, end, h, 9, 1)
+    place = place_type(n)
+    end = end.astype(place, copy=False)
+    order = np.argsort(word).astype(place)
+    word = word[order]
     new = np.ones(n, bool)
-    new[1:] = first[order[1:]] != first[order[:-1]]
-    start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank = np.empty(n, np.int64)
-    rank[order] = start + n  # above every place of a region's end
+    new[1:] = word[1:] != word[:-1]
+    del word
+    start = np.maximum.accumulate(np.where(new, np.arange(n, dtype=place), place(0)))
+    rank = np.empty(n, place)
+    rank[order] = start + place(n)  # above every place of a region's end
     while True:
         single = new.copy()
         single[:-1] &= new[1:]
-        places = np.flatnonzero(~single)  # places of the groups still unsorted
-        if not len(places):
+        unsorted = np.flatnonzero(~single).astype(place)  # places of the groups still unsorted
+        if not len(unsorted):
             return order
-        at = order[places]
-        later = at + h
-        key = np.minimum(later, end[at])  # an ended suffix: its region's end
-        inside = later < end[at]
-        key[inside] = rank[later[inside]]
-        group = start[places]
-        turn = np.argsort(group.astype(np.uint64) << np.uint64(32) | key.astype(np.uint64))
-        at, key = at[turn], key[turn]  # groups keep their places, so group is unchanged
-        order[places] = at
-        fresh = np.ones(len(at), bool)
-        fresh[1:] = (group[1:] != group[:-1]) | (key[1:] != key[:-1])
-        new[places] = fresh
-        begins = np.maximum.accumulate(np.where(fresh, places, 0))
-        start[places] = begins
-        rank[at] = begins + n
+        # Some whole groups at a time. Ranks that a round has refined already serve as well.
+        cuts = np.searchsorted(start[unsorted], start[unsorted[_STEP::_STEP]])
+        for places in np.split(unsorted, np.unique(cuts)):
+            at = order[places]
+            later = at + place(h)
+            key = np.minimum(later, end[at])  # an ended suffix: its region's end
+            inside = later < end[at]
+            key[inside] = rank[later[inside]]
+            group = start[places]
+            turn = np.argsort(group.astype(np.uint64) << np.uint64(32) | key.astype(np.uint64))
+            at, key = at[turn], key[turn]  # groups keep their places, so group is unchanged
+            order[places] = at
+            fresh = np.ones(len(at), bool)
+            fresh[1:] = (group[1:] != group[:-1]) | (key[1:] != key[:-1])
+            new[places] = fresh
+            begins = np.maximum.accumulate(np.where(fresh, places, place(0)))
+            start[places] = begins
+            rank[at] = begins + place(n)
         h *= 2
 
 
@@ -78,11 +96,12 @@ def common_prefixes(data: np.ndarray, end: np.ndarray, order: np.ndarray, depth:
     the lane's last value less one and extends by eight bytes at a time.
     """
     n = len(data)
-    shared = np.zeros(n, np.int64)
+    place = place_type(n)
+    shared = np.zeros(n, place)
     if n < 2:
         return shared
     word = leading_words(data, end)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, place)
     before[order[1:]] = order[:-1]
     begins = np.ones(n, bool)  # nothing carries over into a new region
     begins[1:] = end[1:] != end[:-1]

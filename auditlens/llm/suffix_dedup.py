@@ -23,6 +23,10 @@ The shuffle carries text by shard (once a step), 14 bytes an owner, 13 back
 (its place and answer), and eight bytes for each distinct open string. A passage that any number
 of documents share is one list entry per shard.
 
+A worker goes through its shard in pieces of whole texts, so that hashes and
+marks of every byte are held for one piece at a time; owners, answers and the
+open regions with their suffix array are held for the shard.
+
 Defined cases: a null or empty text has no bytes; matches never cross
 documents; exact copies and repeated rows remove one another; the kept bytes
 may end inside a character, so they are binary; extra columns are ignored; an
@@ -39,7 +43,7 @@ from pyspark.sql import functions as F
 
 from . import repeats as R
 from .common import pinned
-from .suffix_arrays import common_prefixes, suffix_array
+from .suffix_arrays import common_prefixes, place_type, suffix_array
 
 OUT = "doc_id long, n_bytes long, n_removed long, spans array<array<long>>, kept binary"
 _PAIRS = "batch int, bucket int, seed binary, span binary, more binary"
@@ -48,6 +52,8 @@ _SEED, _SEED_WIDTH = 32, 6
 _REPEATED, _OPEN = 1, 2
 #: An owner's row beside the text: its first string's start, how many more it has, its pair.
 _PLACE = np.dtype([("first", "<u4"), ("size", "<u4"), ("key", "<u4")])
+#: Bytes of whole texts worked on at once, some 60 bytes of arrays each; a batch has several such pieces.
+_PIECE = 1 << 19
 #: Low bits of a seed's hash that give way to its place when the least is sought.
 _LOW = (1 << 24) - 1
 #: A fixed random 64-bit value per byte, for the rolling hash.
@@ -66,6 +72,17 @@ def _bytes(table: pa.Table):
     return np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts], np.int64)
 
 
+def _pieces(lengths: np.ndarray):
+    """(i, j, begin, end) of pieces of a batch: texts i to j, whole, and the bytes they take.
+    A piece is at most ``_PIECE`` bytes longer than its first text."""
+    ends = np.cumsum(lengths)
+    i = begin = 0
+    for j in (np.flatnonzero(np.diff(ends // _PIECE, append=-1)) + 1).tolist():
+        end = int(ends[j - 1])
+        yield i, j, begin, end
+        i, begin = j, end
+
+
 def _slide(values: np.ndarray, width: int, op) -> np.ndarray:
     """``op`` over every ``width`` consecutive values, by doubling."""
     done, out = 1, values
@@ -105,21 +122,26 @@ class Places:
         first = rows["first"].astype(np.int64)
         return cls(first, first + rows["size"], rows["key"].astype(np.int64))
 
-    def starts(self, chosen: np.ndarray, n: int) -> np.ndarray:
-        """Over ``n`` positions, the starts of the strings of the chosen owners."""
-        change = np.bincount(self.first[chosen], minlength=n + 1)[:n + 1]
-        change -= np.bincount(self.last[chosen] + 1, minlength=n + 1)[:n + 1]
-        return np.cumsum(change[:n]) > 0
+    def starts(self, chosen: np.ndarray, begin: int, end: int) -> np.ndarray:
+        """Over a piece's bytes, the starts of the strings of the chosen owners, which lie in
+        the order of the text and never overlap."""
+        own = slice(*np.searchsorted(self.first, (begin, end)))
+        chosen = chosen[own]
+        change = np.zeros(end - begin + 1, np.int8)
+        change[self.first[own][chosen] - begin] += 1
+        change[self.last[own][chosen] - begin + 1] -= 1
+        return np.cumsum(change[:-1], dtype=np.int8) > 0
 
 
 def owners(data: np.ndarray, lengths: np.ndarray, length: int):
     """(places, seeds, spans, more) of the owners of all strings of ``length`` bytes in texts
     laid end to end: the distinct pairs of seed hash and span hash in order, and which occur again."""
-    starts = np.flatnonzero(R.starts_inside(lengths, length))
-    seed, span = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    first = last = np.zeros(0, np.int64)
-    if len(starts):
-        hashes = R.Prefixes(_BYTE_VALUES[data])
+    found = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2]
+    for i, j, begin, end in _pieces(lengths):
+        starts = np.flatnonzero(R.starts_inside(lengths[i:j], length))
+        if not len(starts):
+            continue
+        hashes = R.Prefixes(_BYTE_VALUES[data[begin:end]])
         seeds = hashes.rolling(_SEED)
         owner = _least(seeds, length - _SEED + 1)[starts]
         turn = np.flatnonzero(np.diff(owner, prepend=-1))
@@ -129,7 +151,8 @@ def owners(data: np.ndarray, lengths: np.ndarray, length: int):
         seed = seeds[at] & ~np.uint64((1 << 64 - 8 * _SEED_WIDTH) - 1)
         place = (at - first).astype(np.uint64) << np.uint64(32)
         size = (last - first).astype(np.uint64)
-        span = R.mixed(hashes.of(first, last + length) ^ R.mixed(place | size))
+        found.append((begin + first, begin + last, seed, R.mixed(hashes.of(first, last + length) ^ R.mixed(place | size))))
+    first, last, seed, span = (np.concatenate(c) for c in zip(*found))
     order = np.lexsort((span, seed))
     new = np.ones(len(order), bool)
     new[1:] = (np.diff(seed[order]) != 0) | (np.diff(span[order]) != 0)
@@ -172,6 +195,59 @@ def answers(reply: pa.Table) -> tuple[Places, np.ndarray]:
     return places, np.frombuffer(b"".join(h for _, h in rows), np.uint8)[places.key]
 
 
+def open_strings(data: np.ndarray, lengths: np.ndarray, places: Places, answer: np.ndarray, length: int):
+    """(prints, more): fingerprints of a batch's distinct open strings, ascending, and which it has
+    twice or more, by the suffix array of its open regions."""
+    regions, sent, last = [], [], []
+    for i, j, begin, end in _pieces(lengths):
+        starts = places.starts(answer & _OPEN > 0, begin, end)
+        place = np.flatnonzero(R.covered(starts, length))  # of each region byte in the piece
+        if not len(place):
+            continue
+        doc_end = np.repeat(np.cumsum(lengths[i:j]), lengths[i:j])[place]
+        stops = np.ones(len(place), bool)  # a region ends at a gap or its text's end
+        stops[:-1] = (np.diff(place) > 1) | (place[:-1] + 1 == doc_end[:-1])
+        regions.append(data[begin:end][place])
+        sent.append(starts[place])
+        last.append(stops)
+    if not regions:
+        return np.zeros(0, np.uint64), np.zeros(0, bool)
+    region, sent, last = (np.concatenate(c) for c in (regions, sent, last))
+    ends = (np.flatnonzero(last) + 1).astype(place_type(len(region)))
+    end = np.repeat(ends, np.diff(ends, prepend=0))
+    order = suffix_array(region, end)
+    string = np.cumsum(common_prefixes(region, end, order, length) < length, dtype=order.dtype)
+    chosen = sent[order]
+    order, string = order[chosen], string[chosen]
+    first = np.flatnonzero(np.diff(string, prepend=-1))  # each distinct string's first place
+    more = np.diff(np.append(first, len(string))) > 1
+    prints = region_prints(region, ends, order[first], length)
+    turn = np.argsort(prints)
+    return prints[turn], more[turn]
+
+
+def region_prints(region: np.ndarray, ends: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Fingerprints of the strings that start ``at`` these places of regions laid end to end."""
+    out = np.empty(len(at), np.uint64)
+    turn = np.argsort(at)
+    at = at[turn]
+    for _, _, begin, end in _pieces(np.diff(ends, prepend=0)):
+        own = slice(*np.searchsorted(at, (begin, end)))
+        p = at[own] - begin
+        out[turn[own]] = R.Prefixes(_BYTE_VALUES[region[begin:end]]).of(p, p + length)
+    return out
+
+
+def repeats(piece: np.ndarray, begin: int, places: Places, answer: np.ndarray, hits: np.ndarray,
+            length: int) -> np.ndarray:
+    """Which bytes of a batch's piece, from ``begin`` on, repeated strings cover."""
+    starts = places.starts(answer & _REPEATED > 0, begin, begin + len(piece))
+    if len(hits):
+        at = np.flatnonzero(places.starts(answer & _OPEN > 0, begin, begin + len(piece)))
+        starts[at] |= R.inside(R.Prefixes(_BYTE_VALUES[piece]).of(at, at + length), hits)
+    return R.covered(starts, length)
+
+
 def suffix_dedup(docs: DataFrame, length: int = 200, batch_bytes: int = 4 << 20) -> DataFrame:
     """Per document: byte counts, removed spans [first, end) and the kept bytes."""
     plan = R.plan_for(docs, batch_bytes)
@@ -192,45 +268,26 @@ def suffix_dedup(docs: DataFrame, length: int = 200, batch_bytes: int = 4 << 20)
 
     def send_strings(key, table: pa.Table, reply: pa.Table) -> pa.Table:
         data, lengths = _bytes(_ordered(table))
-        places, answer = answers(reply)
-        starts = places.starts(answer & _OPEN > 0, len(data))
-        place = np.flatnonzero(R.covered(starts, length))  # of each region byte in the batch's text
-        doc_end = np.repeat(np.cumsum(lengths), lengths)[place]
-        last = np.ones(len(place), bool)  # a region ends at a gap or its text's end
-        last[:-1] = (np.diff(place) > 1) | (place[:-1] + 1 == doc_end[:-1])
-        ends = np.flatnonzero(last) + 1
-        end = np.repeat(ends, np.diff(np.concatenate(([0], ends))))
-        region = data[place]
-        order = suffix_array(region, end)
-        string = np.cumsum(common_prefixes(region, end, order, length) < length)
-        sent = starts[place[order]]
-        order, string = order[sent], string[sent]
-        first = np.flatnonzero(np.diff(string, prepend=-1))  # each distinct string's first place
-        more = np.diff(np.append(first, len(string))) > 1
-        at = place[order[first]]
-        prints = R.Prefixes(_BYTE_VALUES[data]).of(at, at + length) if len(at) else np.zeros(0, np.uint64)
-        turn = np.argsort(prints)
-        return R.messages(key[0].as_py(), prints[turn], more[turn], np.zeros(len(turn), bool), bits, 8)
+        prints, more = open_strings(data, lengths, *answers(reply), length)
+        return R.messages(key[0].as_py(), prints, more, np.zeros(len(prints), bool), bits, 8)
 
     def remove(key, table: pa.Table, reply: pa.Table) -> pa.Table:
         table = _ordered(table)
         data, lengths = _bytes(table)
         places, answer = answers(reply)
-        starts = places.starts(answer & _REPEATED > 0, len(data))
         hits = R.hit_list(reply.filter(pa.compute.is_null(reply.column("bucket"))), 8)
-        if len(hits):
-            at = np.flatnonzero(places.starts(answer & _OPEN > 0, len(data)))
-            starts[at] |= R.inside(R.Prefixes(_BYTE_VALUES[data]).of(at, at + length), hits)
-        gone = R.covered(starts, length)
-        ends = np.cumsum(lengths)
         removed, spans, kept = [], [], []
-        for i, j in zip((ends - lengths).tolist(), ends.tolist()):
-            g = gone[i:j]
-            n = int(np.count_nonzero(g))
-            removed.append(n)
-            spans.append(np.flatnonzero(np.diff(np.concatenate(([0], g.view(np.int8), [0]))))
-                         .reshape(-1, 2).tolist() if n else [])
-            kept.append(data[i:j][~g].tobytes() if n else data[i:j].tobytes())
+        for i, j, begin, end in _pieces(lengths):
+            piece = data[begin:end]
+            gone = repeats(piece, begin, places, answer, hits, length)
+            ends = np.cumsum(lengths[i:j])
+            for p, q in zip((ends - lengths[i:j]).tolist(), ends.tolist()):
+                g = gone[p:q]
+                n = int(np.count_nonzero(g))
+                removed.append(n)
+                spans.append(np.flatnonzero(np.diff(np.concatenate(([0], g.view(np.int8), [0]))))
+                             .reshape(-1, 2).tolist() if n else [])
+                kept.append(piece[p:q][~g].tobytes() if n else piece[p:q].tobytes())
         return pa.Table.from_arrays(
             [table.column("doc_id").combine_chunks(), pa.array(lengths, pa.int64()), pa.array(removed, pa.int64()),
              pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(kept, pa.binary())],

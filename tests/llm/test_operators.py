@@ -141,6 +141,56 @@ def test_suffix_dedup_whatever_order_rows_arrive_in(spark):
     assert collections.Counter((r.doc_id, r.n_removed, bytes(r.kept)) for r in res) == expect
 
 
+@pytest.mark.parametrize("piece", [1, 700, 1 << 19])
+def test_suffix_dedup_in_pieces(piece, monkeypatch):
+    from auditlens.llm import repeats as R
+    from auditlens.llm import suffix_dedup as S
+
+    monkeypatch.setattr(S, "_PIECE", piece)
+    rng = random.Random(12)
+    passage = " ".join(words(rng, 60))
+    texts = [(" ".join(words(rng, 10 + 3 * i)) + (" " + passage[i:]) * (i % 3)).encode() for i in range(40)]
+    texts = [b"", *texts, b"", texts[4], b"ab" * 300, b"short", b""]
+    data, lengths = np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts])
+    pieces = list(S._pieces(lengths))
+    assert len(pieces) > 1 or piece > len(data)
+    assert [p[0] for p in pieces] + [len(texts)] == [0] + [p[1] for p in pieces]
+    assert [p[2] for p in pieces] + [len(data)] == [0] + [p[3] for p in pieces]
+    places, seed, span, more = S.owners(data, lengths, 200)
+    cells = [7, 0, R.packed(seed >> np.uint64(64 - 8 * S._SEED_WIDTH), S._SEED_WIDTH), span.tobytes(), more.tobytes()]
+    hits = S.settle(pa.table([[c] for c in cells], ["batch", "bucket", "seed", "span", "more"])).column("hits")
+    answer = np.frombuffer(hits[0].as_py(), np.uint8)[places.key]
+    assert {S._REPEATED, S._OPEN} <= set(answer.tolist())
+    prints, twice = S.open_strings(data, lengths, places, answer, 200)
+    assert (np.diff(prints.astype(object)) > 0).all()
+    gone = [S.repeats(data[i:j], i, places, answer, prints[twice], 200) for _, _, i, j in pieces]
+    assert np.concatenate(gone).tolist() == [x for _, g in covered(texts, 200) for x in g]
+
+
+def test_suffix_dedup_memory_of_a_batch():
+    import tracemalloc
+
+    from auditlens.llm.suffix_dedup import owners
+
+    rng = np.random.default_rng(3)
+    lengths = np.full(3000, 1000)
+    data = rng.integers(97, 123, lengths.sum(), dtype=np.uint8)
+    data[1_000_000:1_500_000] = data[:500_000]
+    end = np.repeat(np.cumsum(lengths), lengths)
+
+    def peak(step):  # bytes for each byte of text
+        tracemalloc.start()
+        step()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most / len(data)
+
+    assert peak(lambda: owners(data, lengths, 200)) < 25
+    order = suffix_array(data, end)
+    assert peak(lambda: suffix_array(data, end)) < 60
+    assert peak(lambda: common_prefixes(data, end, order, 200)) < 40
+
+
 def test_messages_are_at_most_one_per_fingerprint():
     from auditlens.llm import repeats as R
 
@@ -154,6 +204,11 @@ def test_messages_are_at_most_one_per_fingerprint():
     assert R.messages(7, prints[:0], more[:0], more[:0], 5, 8).num_rows == 0
 
 
+def test_suffix_arrays_some_groups_at_a_time(monkeypatch):
+    monkeypatch.setattr("auditlens.llm.suffix_arrays._STEP", 5)
+    test_suffix_arrays()
+
+
 def test_suffix_arrays():
     rng = random.Random(1)
     for t in range(150):
