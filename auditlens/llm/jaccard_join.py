@@ -18,6 +18,9 @@ size - ceil(percent * size / 100) + 1 members, in any order common to all sets.
    lesser member count: pairs below the need go, which takes nearly all chance
    candidates. The others are verified on the whole sets. Links give components by repeated
    least labels with pointer jumping.
+5. Each class is verified with its least partner first, so a set is sent once.
+   Pairs and long lists whose classes these links join already need no more
+   comparing; the others are compared as in 3 and 4.
 
 Defined cases: a null or empty text has an empty set and links with nothing; a
 null doc_id links with nothing and has a null component; exact copies and
@@ -73,6 +76,10 @@ def _texts(batch) -> list[bytes]:
     return [(t or "").encode() for t in batch.column("text").to_pylist()]
 
 
+def _digest():
+    return F.unhex(F.md5("text"))
+
+
 def frequency_sketch(docs: DataFrame, n: int) -> np.ndarray:
     """Documents per hash slot, cut at 65535; its size doesn't depend on the data."""
 
@@ -94,16 +101,17 @@ def frequency_sketch(docs: DataFrame, n: int) -> np.ndarray:
         return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int32()),
                          "n": pa.array([total.astype("<u2").tobytes()], pa.binary())})
 
-    rows = only(docs, "text").mapInArrow(count, "part int, n binary").groupBy("part") \
-        .applyInArrow(add, "part int, n binary").collect()  # 64 rows of fixed size
+    # Written, so that the counts of all tasks go from the executors' disks at once.
+    rows = pinned(only(docs, "text").mapInArrow(count, "part int, n binary").groupBy("part")
+                  .applyInArrow(add, "part int, n binary"), "sketch")
     out = np.zeros((_PARTS, _SLOTS // _PARTS), np.uint16)
-    for r in rows:
+    for r in rows.collect():  # 64 rows of fixed size
         out[r.part] = np.frombuffer(r.n, "<u2")
     return out.ravel()
 
 
 def _signatures(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """doc_id, size, signature of the set, its group key and prefix."""
+    """doc_id, text's digest, size, signature of the set, its group key and prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches):
@@ -125,30 +133,30 @@ def _signatures(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> Da
                                 .astype("<u4").tobytes()))
                 cols = list(zip(*out)) or [()] * 5
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()),
-                     pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.list_(pa.int64())),
-                     pa.array(cols[4], pa.binary())],
-                    ["doc_id", "n_shingles", "sig", "grp", "prefix", "profile"])
+                    [b.column("doc_id"), b.column("digest"), pa.array(cols[0], pa.int64()),
+                     pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary()),
+                     pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.binary())],
+                    ["doc_id", "digest", "n_shingles", "sig", "grp", "prefix", "profile"])
 
-    return only(docs, "doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, sig binary, grp binary, prefix array<long>, profile binary")
+    return only(docs, "doc_id", "text").withColumn("digest", _digest()).mapInArrow(
+        run, "doc_id long, digest binary, n_shingles long, sig binary, grp binary, prefix array<long>, profile binary")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """The whole sets of the wanted classes (cls, doc, sig): cls, members."""
+    """The whole sets of the wanted classes (cls, doc, digest): cls, members."""
 
     def run(batches):
         for batch in batches:
             for b in sliced(batch):
                 members, counts = shingle_sets(_texts(b), n)
                 sets = [x.tobytes() for x in np.split(members, np.cumsum(counts)[:-1])]
-                sig = pa.array([xxh3_128_digest(x) for x in sets], pa.binary())
-                same = pa.array([x == y for x, y in zip(sig.to_pylist(), b.column("sig").to_pylist())], pa.bool_())
-                yield pa.RecordBatch.from_arrays([b.column("cls"), pa.array(sets, pa.binary())],
-                                                 ["cls", "members"]).filter(same)
+                yield pa.RecordBatch.from_arrays([b.column("cls"), pa.array(sets, pa.binary())], ["cls", "members"])
 
-    rows = only(docs, "doc_id", "text").join(wanted, F.col("doc_id") == F.col("doc")).select("cls", "sig", "text")
-    return rows.mapInArrow(run, "cls long, members binary").dropDuplicates(["cls"])
+    # Copies of a text go while they lie where the join put them: texts are dealt once, sets not at all.
+    return (only(docs, "doc_id", "text").withColumn("own", _digest())
+            .join(wanted, (F.col("doc_id") == F.col("doc")) & (F.col("own") == F.col("digest")))
+            .groupBy("doc", "digest", "cls").agg(F.first("text").alias("text"))
+            .select("cls", "text").mapInArrow(run, "cls long, members binary"))
 
 
 def _forest(sets: list[np.ndarray], rows: np.ndarray, cols: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -222,18 +230,20 @@ def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the least doc_id reachable by links)."""
     marked = pinned(_signatures(docs, n, percent, frequency_sketch(docs, n)), "signatures")
     classes = (marked.filter("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig")
-               .agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("size"), F.first("grp").alias("grp"),
-                    F.first("prefix").alias("prefix"), F.first("profile").alias("profile")))
+               .agg(F.min(F.struct("doc_id", "digest")).alias("least"), F.first("n_shingles").alias("size"),
+                    F.first("grp").alias("grp"), F.first("prefix").alias("prefix"), F.first("profile").alias("profile"))
+               .select("sig", F.col("least.doc_id").alias("doc"), "least.digest", "size", "grp", "prefix", "profile"))
     classes, repeated = _numbered(pinned(classes, "classes"))
     groups = classes.groupBy("grp", "size").agg(F.count(F.lit(1)).alias("n_classes"), F.first("prefix").alias("prefix"))
-    # A group's own list (its key's hash) serves the pairs inside it.
-    keys = groups.select("grp", "size", "n_classes", F.explode(F.when(
+    # A group's own list (its key's hash) serves the pairs inside it. The many rows are narrow: they
+    # name a group by its hash, and one that two groups share only adds candidates.
+    keys = groups.select(F.xxhash64("grp").alias("grp"), "n_classes", F.explode(F.when(
         F.col("n_classes") > 1, F.array_append("prefix", F.xxhash64("grp"))).otherwise(F.col("prefix"))).alias("key"))
     # 100 * least >= percent * greatest is needed of two sizes.
-    lists = (keys.groupBy("key").agg(F.sum("n_classes").alias("length"), F.count(F.lit(1)).alias("n_groups"))
-             .filter("length > 1"))
+    lists = keys.groupBy("key").agg(F.sum("n_classes").alias("length")).filter("length > 1")
     entries = (keys.join(lists, "key").select("key", "length", "grp")
-               .join(classes.select("grp", "cls", "size"), "grp").select("key", "length", "cls", "size"))
+               .join(classes.select(F.xxhash64("grp").alias("grp"), "cls", "size"), "grp")
+               .select("key", "length", "cls", "size"))
     entries = pinned(entries, "entries")
 
     short = entries.filter(F.col("length") <= BLOCK)
@@ -255,7 +265,7 @@ def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
                    .select("a", "b", "p", "q").mapInArrow(may_link, "a long, b long"), "pairs")
     long = entries.filter(F.col("length") > BLOCK)
     wanted = (pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(long.select("cls")).distinct()
-              .join(classes.select("cls", "doc", "sig"), "cls"))
+              .join(classes.select("cls", "doc", "digest"), "cls"))
     sets = pinned(_sets_of(docs, wanted, n), "sets")
 
     def verify(batches):
@@ -267,9 +277,27 @@ def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
                 keep.append(100 * both >= percent * (len(p) + len(q) - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    linked = (pairs.join(sets.selectExpr("cls AS a", "members AS p"), "a")
-              .join(sets.selectExpr("cls AS b", "members AS q"), "b")
-              .select("a", "b", "p", "q").mapInArrow(verify, "a long, b long"))
+    def verified(pairs):
+        return (pairs.join(sets.selectExpr("cls AS a", "members AS p"), "a")
+                .join(sets.selectExpr("cls AS b", "members AS q"), "b")
+                .select("a", "b", "p", "q").mapInArrow(verify, "a long, b long"))
+
+    # Each class and its least partner, or the first class of a long list.
+    heads = long.groupBy("key").agg(F.min(F.struct("cls", "size")).alias("head"))
+    stars = (long.join(heads, "key").filter((F.col("head.cls") < F.col("cls")) & (
+        100 * F.least("head.size", "size") >= percent * F.greatest("head.size", "size")))
+        .select(F.col("head.cls").alias("a"), F.col("cls").alias("b")))
+    joined = components(verified(pairs.union(stars).groupBy("b").agg(F.min("a").alias("a"))))
+
+    # What these links leave open: pairs and lists whose classes are not all in one component.
+    apart = (pairs.join(joined.selectExpr("cls AS a", "label AS p"), "a", "left")
+             .join(joined.selectExpr("cls AS b", "label AS q"), "b", "left")
+             .filter("coalesce(p, a) <> coalesce(q, b)").select("a", "b"))
+    linked = pinned(verified(apart), "linked")  # its shuffles go before the long lists' begin
+    open_ = (long.join(joined, "cls", "left").groupBy("key")
+             .agg(F.min(F.coalesce("label", "cls")).alias("p"), F.max(F.coalesce("label", "cls")).alias("q"))
+             .filter("p <> q").select("key"))
+    long = long.join(open_, "key", "left_semi")
 
     # Long lists: an entry goes to its own block paired with every block of its list.
     n_blocks = F.ceil(F.col("length") / BLOCK).cast("int")
@@ -289,7 +317,8 @@ def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
                          "b": pa.array([cls[q] for _, q in found], pa.int64())})
 
     blocked = dealt.join(sets, "cls").groupBy("key", "i", "j").applyInArrow(block_pair, "a long, b long")
-    labels = components(linked.union(blocked.filter("a <> b")))
+    labels = components(joined.selectExpr("cls AS a", "label AS b").union(linked).union(blocked)
+                        .filter("a <> b"))
     if repeated:  # some classes aren't numbered by a doc_id: the least one of each component
         least = labels.join(classes.select("cls", "doc"), "cls").groupBy("label").agg(F.min("doc").alias("least"))
         labels = labels.join(least, "label").select("cls", F.col("least").alias("label"))

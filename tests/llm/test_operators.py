@@ -258,6 +258,34 @@ def test_links_of_rows_that_share_an_id(spark):
     assert res == collections.Counter([(5, 2), (5, 3), (2, 2), (3, 3), (5, 5), (7, 5), (8, 8), (8, 8), (-4, -4)])
 
 
+@pytest.mark.parametrize("block", [4, 256])
+def test_sets_are_sent_once_a_class_not_once_a_pair(spark, block, monkeypatch):
+    from auditlens.llm import jaccard_join as J
+
+    steps, pinned = [], J.pinned
+
+    def watched(df, name):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        out = pinned(df, name)
+        steps.append((name, plan, out.count()))
+        return out
+
+    monkeypatch.setattr(J, "pinned", watched)
+    monkeypatch.setattr(J, "BLOCK", block)
+    rng = random.Random(4)
+    base, other = words(rng, 200), words(rng, 200)
+    edited = lambda w, *at: " ".join("new" + x if k in at else x for k, x in enumerate(w))
+    # 40 near copies of one text, all alike; 2 of another and one between them that alone links them.
+    rows_ = [(k, edited(base, 4 * k + 2)) for k in range(40)]
+    rows_ += [(100, edited(other, 10, 20, 30)), (101, edited(other, 110, 120, 130)), (102, " ".join(other))]
+    rows_ += [(200 + k, " ".join(words(rng, 50))) for k in range(3)] + rows_[:1] + [(50, rows_[0][1].encode().upper().decode())]
+    res = {(r.doc_id, r.component_id) for r in jaccard_join(spark.createDataFrame(rows_, "doc_id long, text string")).collect()}
+    assert res == {(k, 0) for k in [*range(40), 50]} | {(100, 100), (101, 100), (102, 100)} | {(k, k) for k in (200, 201, 202)}
+    assert sum(n for name, _, n in steps if name == "links") < 3 * 46
+    (sets, n), = [(plan, n) for name, plan, n in steps if name == "sets"]
+    assert n <= 43 and sets.index("MapInArrow") < sets.index("Exchange")  # texts are dealt, sets are not
+
+
 def test_forest_of_large_sets_in_parts(monkeypatch):
     from auditlens.llm import jaccard_join as J
 
